@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import simhash, tokens
+from . import decontaminate, fingerprints, mixing, quality, simhash, tokens
 
 QUERIES = {
     "op4_simhash": simhash.op4_simhash,
+    "op5_mix": mixing.op5_mix,
+    "op6_quality": quality.op6_quality,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
     "op10_token_counts": tokens.op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mix": mixing.ORACLE}
