@@ -71,3 +71,24 @@ def crc_mod5(column: str = "doc_id") -> Column:
 def ascii_lower(column: Column) -> Column:
     """Lower-case A to Z and nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with value worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def starts_of(sizes: Column, step: int = 64) -> Column:
+    """Running sums before each element, in two levels: long arrays stay cheap."""
+    zero = F.lit(0).cast("long")
+
+    def total(a: Column) -> Column:
+        return F.aggregate(a, zero, lambda x, y: x + y)
+
+    def with_sizes(s: Column) -> Column:
+        count = F.greatest(F.lit(0), F.ceil(F.size(s) / step).cast("int") - 1)
+        blocks = F.transform(F.sequence(F.lit(0), count), lambda b: total(F.slice(s, b * step + 1, step)))
+        bases = let(blocks, lambda b: F.transform(b, lambda x, i: total(F.slice(b, 1, i))))
+        return let(bases, lambda base: F.transform(s, lambda x, i: F.get(base, F.floor(i / step).cast("int")) + total(F.slice(s, F.floor(i / step).cast("int") * step + 1, i % step))))
+
+    return let(sizes, with_sizes)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, mixing, quality, simhash, tokens
+from . import chat, decontaminate, fingerprints, mixing, ppm, quality, simhash, tokens, urls
 
 QUERIES = {
+    "op2_ppm": ppm.op2_ppm,
+    "op3_urls": urls.op3_urls,
     "op4_simhash": simhash.op4_simhash,
     "op5_mix": mixing.op5_mix,
     "op6_quality": quality.op6_quality,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_fingerprints": fingerprints.op8_fingerprints,
+    "op9_chat": chat.op9_chat,
     "op10_token_counts": tokens.op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {"op5_mix": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op3_urls": urls.ORACLE, "op5_mix": mixing.ORACLE, "op9_chat": chat.ORACLE}
