@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, mixing, ppm, quality, simhash, tokens, urls
+from . import chat, decontaminate, fingerprints, mixing, pii, ppm, quality, simhash, tokens, urls
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_ppm": ppm.op2_ppm,
     "op3_urls": urls.op3_urls,
     "op4_simhash": simhash.op4_simhash,
