@@ -73,33 +73,38 @@ def thresholds(narrow: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total: float = 1.5, most: float = 2.0) -> DataFrame:
-    """``(doc_id, source, size, h, source_size, target, taken)`` of every row.
-
-    Every document goes in as often as its source's target holds it whole, and
-    once more if its hash is below the source's threshold, the budgets of
-    successive copies being nested. The document at the threshold goes in if
-    that brings the source nearer to its target. Rows that share that hash
-    (repeated ids) take equal parts of what is left, in words, so that copies
-    of one row can't overshoot. Empty and null texts have size 0; a null
-    source is a source; a source of size 0 takes nothing; reruns agree.
+    """``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes).
+
+    Columns of these names that ``docs`` has are replaced. Every document goes
+    in as often as its source's target holds it whole, and once more if its
+    hash is below the source's threshold, the budgets of successive copies
+    being nested. The document at the threshold goes in if that brings the
+    source nearer to its target. Rows that share that hash (repeated ids) take
+    equal parts of what is left, in words, so that copies of one row can't
+    overshoot. Empty and null texts have size 0; a null source is a source; a
+    source of size 0 takes nothing; reruns agree.
     """
-    narrow = docs.select("doc_id", "source", word_count(text_of()).alias("size"), id_hash(F.col("doc_id")).alias("h"))
-    narrow = cut(narrow, "mix")
+    size, h = word_count(text_of()), id_hash(F.col("doc_id"))
+    narrow = cut(docs.select("source", size.alias("size"), h.alias("h")), "mix")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = cut(targets(sizes, weights, total, most).withColumn("whole", F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))), "targets")
     ends = thresholds(narrow, goals.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget")))
     plan = goals.join(ends, goals["source"].eqNullSafe(ends["source"]), "left").drop(ends["source"])
-    rows = narrow.join(plan, narrow["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    at_end = F.when(F.col("tie") > 1, F.least(F.floor(F.col("rest") / F.col("tie")), "size")).when(2 * F.col("rest") >= F.col("size"), F.col("size")).otherwise(0)
-    # no end: the source is covered whole before its budget ends
-    extra = F.when(F.col("low").isNull(), F.when(F.col("target") > F.col("whole") * F.col("source_size"), F.col("size")).otherwise(0)).when(F.col("h") < F.col("low"), F.col("size")).when(F.col("h") == F.col("low"), at_end).otherwise(0)
-    taken = F.least(F.col("whole") * F.col("size") + extra, (most * F.col("size")).cast("long"))
-    return rows.select("doc_id", "source", "size", "h", "source_size", "target", taken.cast("long").alias("taken"))
+    plan = cut(plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns]), "mix-plan")
+    rows = docs.withColumn("size", size).withColumn("__h", h).join(plan, F.col("source").eqNullSafe(F.col("__source")))
+    c = {x: F.col(f"__{x}") for x in ("h", "low", "rest", "tie", "whole", "target", "source_size")} | {"size": F.col("size")}
+    at_end = F.when(c["tie"] > 1, F.least(F.floor(c["rest"] / c["tie"]), c["size"])).when(2 * c["rest"] >= c["size"], c["size"]).otherwise(0)
+    # without an end the source is covered whole before its budget ends
+    whole = F.when(c["target"] > c["whole"] * c["source_size"], c["size"]).otherwise(0)
+    extra = F.when(c["low"].isNull(), whole).when(c["h"] < c["low"], c["size"]).when(c["h"] == c["low"], at_end).otherwise(0)
+    taken = F.least(c["whole"] * c["size"] + extra, (most * c["size"]).cast("long")).cast("long")
+    out = rows.withColumn("source_size", c["source_size"]).withColumn("target", c["target"]).withColumn("taken", taken)
+    return out.drop("__h", *plan.columns)
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: what the mix takes of every document."""
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 #: The same by a full sort in hash order.

@@ -156,26 +156,29 @@ def _signed(mask: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: int = 4, masks: list[tuple[int, ...]] | None = None, blocks: int = 7) -> DataFrame:
-    """``(doc_id, f, component_id)`` for every row of ``docs``.
+    """``(doc_id, tie, f, component_id, keeper)`` for every row of ``docs``.
 
     Fingerprints of whole texts over ``size``-word shingles, links at
     ``max_bits`` or fewer differing bits, and component_id, the smallest doc_id
     reachable. Copies share a fingerprint and count once in the join, so a
-    group of copies makes no pairs. The default masks lose no link. Null and
-    empty texts have fingerprint zero; a null doc_id is never a component's
-    smallest unless it has no other; repeated rows each get their row.
+    group of copies makes no pairs. The default masks lose no link. keeper
+    marks the row with the component's smallest doc_id, of rows with that id
+    the one with the smallest hash (tie) of its text. Null and empty texts have
+    fingerprint zero; a null doc_id comes after all others; repeated rows each
+    get their row.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(size, words)(text_of()).alias("f"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), fingerprints(size, words)(text_of()).alias("f"))
     narrow = cut(narrow, "simhash")
     node = F.col("f")[0] if words == 1 else F.xxhash64("f")
     narrow = narrow.withColumn("node", node)
-    prints = narrow.groupBy("node", "f").agg(F.min("doc_id").alias("least"))
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
+    prints = narrow.groupBy("node", "f").agg(F.min(rank).alias("least"))
     links = block_links(prints.select("node", "f"), masks or pigeonhole_masks(max_bits, blocks), max_bits)
     roots = cut(connected_components(links), "roots")
     member = prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "root").select("node", "component_id")
-    return narrow.join(named, "node").select("doc_id", "f", "component_id")
+    least = member.groupBy("root").agg(F.min("least").alias("least"))
+    named = cut(member.select("node", "root").join(least, "root").select("node", "least"), "components")
+    return narrow.join(named, "node").select("doc_id", "tie", "f", F.col("least.doc_id").alias("component_id"), (rank == F.col("least")).alias("keeper"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, words: int = 2, max_bits: int = 24, tables: int = 80, width: int = 24) -> DataFrame:
@@ -184,15 +187,15 @@ def keep_one(docs: DataFrame, size: int = 5, words: int = 2, max_bits: int = 24,
     128-bit fingerprints over five-word shingles: texts of similarity 0.8
     differ in about 20 of 128 bits, unrelated ones in 64. Blocks are drawn at
     random, for no choice of whole blocks finds pairs that far apart. The
-    document with the smallest doc_id stays; rows that repeat it go as well;
-    where no member has an id, one of them stays.
+    keeper of each component stays, once.
     """
-    found = near_duplicates(docs, size, words, max_bits, sampled_masks(words, tables, width))
-    goes = found.where("doc_id is null and component_id is not null or doc_id <> component_id").select(F.col("doc_id").alias("__goes")).distinct()
-    # of several rows with an id, all go or all stay here
-    stays = docs.join(goes, F.col("doc_id").eqNullSafe(F.col("__goes")), "left_anti")
-    again = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return stays.dropDuplicates(["doc_id"]) if again else stays
+    found = cut(near_duplicates(docs, size, words, max_bits, sampled_masks(words, tables, width)).select("doc_id", "tie", "keeper"), "keepers")
+    goes = found.where("not keeper").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct()
+    tie = F.xxhash64(text_of())
+    stays = docs.join(goes, F.col("doc_id").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_anti")
+    if found.where("keeper").groupBy("doc_id", "tie").count().where("count > 1").isEmpty():
+        return stays
+    return stays.withColumn("__tie", tie).dropDuplicates(["doc_id", "__tie"]).drop("__tie")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
