@@ -6,7 +6,7 @@ import importlib
 from types import ModuleType
 
 #: Modules that register queries.
-MODULES = ("retrieval",)
+MODULES = ("retrieval", "rollups")
 
 
 def load_catalog() -> ModuleType:
