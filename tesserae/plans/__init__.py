@@ -6,7 +6,7 @@ import importlib
 from types import ModuleType
 
 #: Modules that register queries.
-MODULES = ("retrieval", "rollups")
+MODULES = ("retrieval", "rollups", "texts", "checks")
 
 
 def load_catalog() -> ModuleType:
