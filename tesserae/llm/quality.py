@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod5, table, text_of
+from .common import crc_mod5, cut, table, text_of
 
 #: Share of a class's covariance that comes from both classes together, then of a scaled identity.
 POOLED, RIDGE = 0.2, 0.02
@@ -143,15 +143,20 @@ def fit(labelled: DataFrame) -> Discriminant:
     return Discriminant(means, np.array(factors), np.array(dets), float(np.log(n[1] / n[0])))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
-    """Fit on the labelled documents outside the held-out fifth.
+def train(known: DataFrame, labels: DataFrame) -> Discriminant:
+    """Fit on the labelled ones of ``known(doc_id, held_out, x)`` outside the held-out fifth.
 
-    Rows join on doc_id; a null id has no label; repeated rows count as often
-    as they stand there; null labels are left out.
+    Statistics join labels on doc_id, so that no text is shuffled. A null id
+    has no label; repeated rows count as often as they stand there; null
+    labels are left out.
     """
-    known = docs.where(crc_mod5() != 0).select("doc_id", text_of().alias("text"))
-    rows = known.join(labels.select("doc_id", F.col("quality").alias("y")), "doc_id")
-    return fit(rows.select("y", features(F.col("text")).alias("x")))
+    rows = known.where("not held_out").select("doc_id", "x").join(labels.select("doc_id", F.col("quality").alias("y")), "doc_id")
+    return fit(rows.select("y", "x"))
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, x)``: the statistics of every row, written down once."""
+    return cut(docs.select("doc_id", (crc_mod5() == 0).alias("held_out"), features(text_of()).alias("x")), "quality")
 
 
 def score_column(model: Discriminant, text: str = "text") -> Column:
@@ -161,7 +166,7 @@ def score_column(model: Discriminant, text: str = "text") -> Column:
 
 def reject_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score at least 0.3, with all their columns."""
-    model = train(docs, labels)
+    model = train(measured(docs), labels)
     return docs.where(score_column(model) >= THRESHOLD)
 
 
@@ -171,7 +176,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null and empty texts score by their statistics as any other. An empty
     table gives no rows.
     """
-    docs = table(spark, sf_dir, "documents")
-    model = train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", (crc_mod5() == 0).alias("held_out"), score_column(model).alias("score"))
+    known = measured(table(spark, sf_dir, "documents"))
+    model = train(known, table(spark, sf_dir, "labels"))
+    scored = known.select("doc_id", "held_out", model.udf()("x").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
