@@ -142,7 +142,8 @@ def in_order(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     told = [(r.head.doc_id, r.head.tie, heads[k - 1].bucket) for k, r in enumerate(heads)]
     told = spark.createDataFrame(told, "id bigint, its_tie bigint, before int")
-    ghosts = rows.join(told, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("its_tie")))
+    # one row a range: at most MOST_RANGES
+    ghosts = rows.join(F.broadcast(told), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("its_tie")))
     ghosts = ghosts.select(F.col("before").alias("bucket"), F.lit(1).alias("ghost"), "doc_id", "tie", "text")
     rows = rows.select("bucket", F.lit(0).alias("ghost"), "doc_id", "tie", "text").unionByName(ghosts)
     order = ["bucket", "ghost", F.col("doc_id").desc_nulls_last(), F.col("tie").desc()]
