@@ -6,7 +6,7 @@ import importlib
 from types import ModuleType
 
 #: Modules that register queries.
-MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs")
+MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs", "streams")
 
 
 def load_catalog() -> ModuleType:
