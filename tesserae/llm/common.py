@@ -2,62 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word of the contracts: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+from ..sources.shared import cut, new_path, path_exists, shared_dir
 
-_own_dir: dict[str, str] = {}
+__all__ = ["WORD", "ascii_lower", "crc_mod5", "cut", "let", "new_path", "path_exists", "shared_dir", "starts_of", "table", "text_of"]
 
+#: A word of the contracts: a run of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the corpus tables, read lazily."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset a temporary folder serves, but only in local mode.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _own_dir:
-        _own_dir[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tesserae-")
-    return _own_dir[context.applicationId]
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again.
-
-    Lineage ends at the written table, so a lost executor costs no more than
-    the running stage, and what follows reads the columns that it needs.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in whichever store it names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def text_of(column: str = "text") -> Column:
     """The text of a row; a null text is empty."""
     return F.coalesce(F.col(column), F.lit(""))
