@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +43,28 @@ def fold_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A further 64 bits for each hash, independent of the first for all practical purposes."""
+    if not k:
+        return hashes
+    x = hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def text_bits(text: str, size: int, words: int) -> list[int]:
+    """A text's fingerprint, 64 bits to a word."""
+    hashes = shingle_hashes(text, size, SEED)
+    return [fold_bits(remixed(hashes, k)) for k in range(words)]
+
+
 def fingerprints(size: int, words: int):
-    """Arrow UDF: text to an array of ``words`` 64-bit fingerprints, seeds 42, 43 and so on."""
+    """Arrow UDF: text to an array of ``words`` 64-bit fingerprints."""
 
     @F.arrow_udf("array<bigint>")
     def simhash(texts: pa.Array) -> pa.Array:
-        flat = np.fromiter((fold_bits(shingle_hashes(x.as_py(), size, SEED + k)) for x in texts for k in range(words)), np.int64, len(texts) * words)
+        flat = np.fromiter((v for x in texts for v in text_bits(x.as_py(), size, words)), np.int64, len(texts) * words)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words), pa.int32()), pa.array(flat))
 
     return simhash
@@ -77,6 +94,22 @@ def sampled_masks(words: int, count: int, width: int, seed: int = 7) -> list[tup
     return out
 
 
+def masks_for(words: int, share: float = 0.152, recall: float = 0.97):
+    """Sampled blocks for a number of fingerprints.
+
+    Blocks are three bits wider than it takes to tell the fingerprints apart,
+    so that unrelated ones seldom meet, and there are as many as it takes for
+    a pair that differs in ``share`` of its bits (similarity 0.8) to share one
+    with probability ``recall``.
+    """
+
+    def masks(count: int) -> list[tuple[int, ...]]:
+        width = min(60, max(18, math.ceil(math.log2(max(2, count))) + 3))
+        return sampled_masks(words, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** width)), width)
+
+    return masks
+
+
 def star_links(prints: np.ndarray, nodes: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
     """Links that connect what is close within one block, at most one for each node.
 
@@ -155,7 +188,7 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: int = 4, masks: list[tuple[int, ...]] | None = None, blocks: int = 7) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: int = 4, masks: Callable[[int], list[tuple[int, ...]]] | None = None, blocks: int = 7) -> DataFrame:
     """``(doc_id, tie, f, component_id, keeper)`` for every row of ``docs``.
 
     Fingerprints of whole texts over ``size``-word shingles, links at
@@ -173,7 +206,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: in
     narrow = narrow.withColumn("node", node)
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
     prints = narrow.groupBy("node", "f").agg(F.min(rank).alias("least"))
-    links = block_links(prints.select("node", "f"), masks or pigeonhole_masks(max_bits, blocks), max_bits)
+    chosen = masks(prints.count()) if masks else pigeonhole_masks(max_bits, blocks)
+    links = block_links(prints.select("node", "f"), chosen, max_bits)
     roots = cut(connected_components(links), "roots")
     member = prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = member.groupBy("root").agg(F.min("least").alias("least"))
@@ -181,15 +215,16 @@ def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: in
     return narrow.join(named, "node").select("doc_id", "tie", "f", F.col("least.doc_id").alias("component_id"), (rank == F.col("least")).alias("keeper"))
 
 
-def keep_one(docs: DataFrame, size: int = 5, words: int = 2, max_bits: int = 24, tables: int = 80, width: int = 24) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 50) -> DataFrame:
     """One document of each near-duplicate group, with all its columns.
 
-    128-bit fingerprints over five-word shingles: texts of similarity 0.8
-    differ in about 20 of 128 bits, unrelated ones in 64. Blocks are drawn at
-    random, for no choice of whole blocks finds pairs that far apart. The
-    keeper of each component stays, once.
+    256-bit fingerprints over five-word shingles: texts of similarity 0.8
+    differ in about 39 of 256 bits, unrelated ones in 128. Blocks are drawn at
+    random, for whole blocks as for few bits (op4_simhash) would have to be
+    too narrow to find pairs that far apart; measured recall is in the README.
+    The keeper of each component stays, once.
     """
-    found = cut(near_duplicates(docs, size, words, max_bits, sampled_masks(words, tables, width)).select("doc_id", "tie", "keeper"), "keepers")
+    found = cut(near_duplicates(docs, size, words, max_bits, masks_for(words)).select("doc_id", "tie", "keeper"), "keepers")
     goes = found.where("not keeper").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct()
     tie = F.xxhash64(text_of())
     stays = docs.join(goes, F.col("doc_id").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_anti")
