@@ -49,7 +49,7 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
     """Rows as comparable text, columns by name, in any order."""
 
     def plain(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return "~"
         if hasattr(v, "tolist"):
             v = v.tolist()
