@@ -77,7 +77,7 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFr
     urls = pages.select("url").where("url is not null").distinct()
     host, path, rest = parts(F.col("url"))
     urls = urls.select("url", F.concat(host, path, rest).alias("body"))
-    words = urls.select("url", "body", F.explode(F.array_union(F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(f"({TOKEN})"), 1)), F.array(F.lit("")))).alias("token"))
+    words = urls.select("url", "body", F.explode(F.array_union(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("body")), F.lit(f"({TOKEN})"), 1)), F.array(F.lit("")))).alias("token"))
     listed = spark.createDataFrame([(k, r.name, r.verdict, r.pattern, r.rank, len(r.name), list(r.tokens) or [""]) for k, r in enumerate(rules)], "id int, name string, action string, pattern string, rank int, long int, tokens array<string>")
     held = listed.select("id", F.explode("tokens").alias("token"))
     # tokens of rules only: the index needs no count of others

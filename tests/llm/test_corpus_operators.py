@@ -180,7 +180,7 @@ def test_ppm_edge_rows(awkward, empty):
 
 def test_urls_by_rarest_token_equal_all_rules(spark):
     hosts, paths = ["com", "a.com", "example.com", "www.example.com", "Example.COM", "x.net", "spam-farm.org", "notexample.com", "ads.b.org", ""], ["", "/", "/en/x", "/en", "/es/", "/fr/1?q=/es/", "/EN/", "/ads/1"]
-    told = [f"http://{h}{p}" for h in hosts for p in paths] + ["no scheme/en/", "", None, None, "x://a.com:80/en/#f", "http://a.com/?u=http://net/es/"]
+    told = [f"http://{h}{p}" for h in hosts for p in paths] + ["no scheme/en/", "", None, None, "x://a.com:80/en/#f", "http://a.com/?u=http://net/es/", "http://b.org/ads/\u212a", "http://spam\u212a.org/"]
     pages = spark.createDataFrame(list(enumerate(told)), "page_id long, url string")
     rules = urls.default_rules()
     got = {r.page_id: r for r in urls.judge(pages, rules).collect()}
