@@ -32,7 +32,7 @@ BUCKET_BYTES, CHUNK = 24_000_000, 2_000_000
 OWNED = 3
 
 KEYS = "bucket long, owner long, kind string, n long, keys binary, counts binary"
-VALUES = "bucket long, owner long, kind string, vals binary"
+VALUES = "bucket long, owner long, kind string, vals binary, tokens long, distinct_words long"
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -215,7 +215,7 @@ def answer(low: LowOrders):
         kind = key[1].as_py()
         buckets = group.column("bucket").to_pylist()
         counts = [unpack(x.as_py(), np.int64) for x in group.column("counts")]
-        extra = []
+        tokens = known = 0
         if kind == "word":
             place: dict[bytes, int] = {}
             lists = []
@@ -224,14 +224,14 @@ def answer(low: LowOrders):
                 lists.append(np.fromiter((place.setdefault(w, len(place)) for w in own), np.int64, len(own)))
             total = np.bincount(np.concatenate(lists), np.concatenate(counts), len(place)).astype(np.int64)
             vals = [pack(total[x]) for x in lists]
-            extra = [(-1, np.array([total.sum(), (total > 0).sum()], np.int64).tobytes())]
+            tokens, known = int(total.sum()), int((total > 0).sum())
         else:
             lists = [unpack_sorted(x.as_py()) for x in group.column("keys")]
             w, n = merged(list(zip(lists, counts, strict=True)))
             logs = log_probabilities(w, n, low).astype(np.float32)
             vals = [pack(logs[np.searchsorted(w, x)]) for x in lists]
-        rows = [*zip(buckets, vals, strict=True), *extra]
-        return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int64()), "owner": pa.array([key[0].as_py()] * len(rows), pa.int64()), "kind": pa.array([kind] * len(rows)), "vals": pa.array([v for _, v in rows], pa.binary())})
+        rest = [0] * (len(vals) - 1)  # an owner's totals stand once, beside its first answer
+        return pa.table({"bucket": pa.array(buckets, pa.int64()), "owner": pa.array([key[0].as_py()] * len(vals), pa.int64()), "kind": pa.array([kind] * len(vals)), "vals": pa.array(vals, pa.binary()), "tokens": pa.array([tokens, *rest], pa.int64()), "distinct_words": pa.array([known, *rest], pa.int64())})
 
     return run
 
@@ -288,23 +288,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     owners = max(8, buckets // OWNED)
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
     asked = cut(rows.groupBy("bucket").applyInArrow(gather(owners), KEYS), "ppm-keys")
-    pairs = asked.where("kind = 'pair'").groupBy("kind").applyInArrow(add_pairs, "pair long, n long").collect()
+    pairs = asked.where("kind = 'pair'").select("keys", "counts").mapInArrow(add_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     low = LowOrders(np.array([r.pair for r in pairs], np.int64), np.array([r.n for r in pairs], np.int64))
     told = asked.where("kind <> 'pair'").groupBy("owner", "kind").applyInArrow(answer(low), VALUES)
     told = cut(told, "ppm-values")
-    totals = np.array([np.frombuffer(r.vals, np.int64) for r in told.where("bucket = -1").select("vals").collect()], np.int64).reshape(-1, 2).sum(axis=0)
+    totals = told.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
     answers = asked.join(told, ["bucket", "owner", "kind"]).select("bucket", "kind", "keys", "vals")
     run = score_texts(int(totals[0]) + train_texts, int(totals[1]) + (train_texts > 0), train_texts)
     return rows.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, RESULT)
 
 
-def add_pairs(group: pa.Table) -> pa.Table:
-    """Sums the buckets' counts of symbol pairs, of which there are at most 66,306."""
+def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial sums of a task's counts of symbol pairs, of which there are at most 66,306."""
     total = np.zeros((PAD + 1) << WIDTH, np.int64)
-    for keys, counts in zip(group.column("keys"), group.column("counts"), strict=True):
-        total[unpack_sorted(keys.as_py())] += unpack(counts.as_py(), np.int64)
+    for batch in batches:
+        for keys, counts in zip(batch.column("keys"), batch.column("counts"), strict=True):
+            total[unpack_sorted(keys.as_py())] += unpack(counts.as_py(), np.int64)
     at = np.flatnonzero(total)
-    return pa.table({"pair": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+    yield pa.RecordBatch.from_pydict({"pair": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
 
 
 def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
