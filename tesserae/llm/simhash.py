@@ -142,9 +142,12 @@ def block_links(prints: DataFrame, masks: list[tuple[int, ...]], max_bits: int)
     and Hamming distances are verified there.
     """
     words = len(masks[0])
-    keys = [F.xxhash64(F.lit(t), *[F.col("f")[w].bitwiseAND(F.lit(_signed(m[w]))) for w in range(words) if m[w]]) for t, m in enumerate(masks)]
     cols = [F.col("f")[w].alias(f"f{w}") for w in range(words)]
-    rows = prints.select("node", *cols, F.explode(F.array(*keys)).alias("k"))
+    # masks are constant rows: one small expression, however many there are
+    kept = F.array(*[F.array(F.lit(t).cast("long"), *[F.lit(_signed(m)).cast("long") for m in mask]) for t, mask in enumerate(masks)])
+    rows = prints.select("node", *cols).select("node", *[f"f{w}" for w in range(words)], F.explode(kept).alias("m"))
+    key = F.xxhash64(F.col("m")[0], *[F.col(f"f{w}").bitwiseAND(F.col("m")[w + 1]) for w in range(words)])
+    rows = rows.select("node", *[f"f{w}" for w in range(words)], key.alias("k"))
     rows = rows.repartition("k").sortWithinPartitions("k")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
