@@ -281,6 +281,52 @@ def test_near_copies_of_similarity_point_eight(spark, documents, texts):
     assert not far
 
 
+def shingle_set(text, size=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
+
+
+def kept_by_all_pairs(texts):
+    """Ids that stay when texts are linked at Jaccard 0.8 or more of distinct shingles."""
+    sets, up = [shingle_set(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            up[max(x, y)] = min(x, y)
+    return [k for k in range(len(texts)) if find(k) == k]
+
+
+def varied_texts():
+    """Groups of texts around 0.8 and well below it, short ones and ones with repeated lines."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for n in (5, 8, 9, 10, 12, 14, 20, 60, 300):
+        for changed in (1, 2, 3, 5, 8):
+            base = [word() for _ in range(n)]
+            other, end = list(base), list(base)
+            for k in rng.sample(range(n), min(changed, n)):
+                other[k] = word()
+            end[-min(changed, n) :] = [word() for _ in range(min(changed, n))]
+            texts += [" ".join(x) for x in (base, other, end, [*base, word()], base[1:])]
+    line = [word() for _ in range(6)]
+    texts += [" ".join(line * 30 + [word() for _ in range(40)]) for _ in range(4)]
+    return texts
+
+
+def test_keep_one_drops_nothing_below_point_eight(spark):
+    texts = varied_texts()
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], DDL)
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert set(kept_by_all_pairs(texts)) <= kept
+
+
 # 5 mixing
 
 
