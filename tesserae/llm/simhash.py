@@ -147,7 +147,11 @@ def block_links(prints: DataFrame, masks: list[tuple[int, ...]], max_bits: int)
     kept = F.array(*[F.array(F.lit(t).cast("long"), *[F.lit(_signed(m)).cast("long") for m in mask]) for t, mask in enumerate(masks)])
     rows = prints.select("node", *cols).select("node", *[f"f{w}" for w in range(words)], F.explode(kept).alias("m"))
     key = F.xxhash64(F.col("m")[0], *[F.col(f"f{w}").bitwiseAND(F.col("m")[w + 1]) for w in range(words)])
-    rows = rows.select("node", *[f"f{w}" for w in range(words)], key.alias("k"))
+    return keyed_links(rows.select("node", *[f"f{w}" for w in range(words)], key.alias("k")), words, max_bits)
+
+
+def keyed_links(rows: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """``rows(node, f0.., k)`` to links ``(u, v)`` of close ones among those of the same ``k``."""
     rows = rows.repartition("k").sortWithinPartitions("k")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,18 +222,45 @@ def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: in
     return narrow.join(named, "node").select("doc_id", "tie", "f", F.col("least.doc_id").alias("component_id"), (rank == F.col("least")).alias("keeper"))
 
 
-def set_sketches(size: int, words: int):
-    """Arrow UDF: text to its distinct shingle hashes, sorted, and their fingerprint."""
+def prefix_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, enough that any two sets of Jaccard index 0.8 or more share one.
+
+    Such sets share at least four fifths of either; in any one order of all
+    shingles, their first n - ceil(4n / 5) + 1 then meet. Shingles known to be
+    ``common`` (sorted) come last, which only keeps blocks small.
+    """
+    n = len(hashes)
+    at = np.minimum(np.searchsorted(common, hashes), max(0, len(common) - 1))
+    late = common[at] == hashes if len(common) else np.zeros(n, bool)
+    return np.r_[hashes[~late], hashes[late]][: n - (4 * n + 4) // 5 + 1] if n else hashes
+
+
+def common_shingles(docs: DataFrame, size: int, one_in: int = 32, least: int = 8, most: int = 20_000) -> np.ndarray:
+    """Shingles that many of a sample of distinct texts have, sorted; they decide an order, never a link."""
 
-    @F.arrow_udf("struct<s: array<bigint>, f: array<bigint>>")
+    @F.arrow_udf("array<bigint>")
+    def shingles(texts: pa.Array) -> pa.Array:
+        return lists_of([np.unique(shingle_hashes(x.as_py(), size, SEED)).view(np.int64) for x in texts])
+
+    texts = docs.select(text_of().alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(one_in)) == 0).distinct()
+    counts = texts.select(F.explode(shingles("t")).alias("h")).groupBy("h").count().where(F.col("count") >= least)
+    found = counts.orderBy(F.col("count").desc(), "h").limit(most).select("h").collect()
+    return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
+
+
+def set_sketches(size: int, words: int, common: np.ndarray):
+    """Arrow UDF: text to its distinct shingle hashes, sorted, their prefix and their fingerprint."""
+
+    @F.arrow_udf("struct<s: array<bigint>, p: array<bigint>, f: array<bigint>>")
     def sketch(texts: pa.Array) -> pa.Array:
-        sets, flat = [], []
+        sets, first, flat = [], [], []
         for x in texts:
             h = np.unique(shingle_hashes(x.as_py(), size, SEED))
             sets.append(h.view(np.int64))
+            first.append(prefix_of(h, common).view(np.int64))
             flat += [fold_bits(remixed(h, k)) for k in range(words)]
         f = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words), pa.int32()), pa.array(flat, pa.int64()))
-        return pa.StructArray.from_arrays([lists_of(sets), f], ["s", "f"])
+        return pa.StructArray.from_arrays([lists_of(sets), lists_of(first), f], ["s", "p", "f"])
 
     return sketch
 
@@ -294,17 +325,24 @@ def exact_groups(members: DataFrame) -> DataFrame:
     return members.repartition("root").sortWithinPartitions("root").mapInArrow(split, "node bigint, root bigint")
 
 
-def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 50) -> DataFrame:
+def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84) -> DataFrame:
     """``(doc_id, tie, keeper)``: groups linked by Jaccard index 0.8 or more of their distinct shingles.
 
-    Fingerprints only find candidates. Whatever may be linked through them
-    stands together in one task, where every link is decided on whole sets.
+    Sets meet in blocks of a shared prefix shingle, which loses no pair. Within
+    a block, fingerprints tell apart what has nothing in common: at 0.8 a bit
+    differs with probability 0.19 at most (four of five shingles), so 84 of 256
+    bits are over five deviations away, for tables of any size. Whatever may be
+    linked then stands together in one task, where every link is decided on
+    whole sets.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), set_sketches(size, words)(text_of()).alias("x"))
-    narrow = cut(narrow.select("doc_id", "tie", F.xxhash64("x.s").alias("node"), "x.f", "x.s"), "sets")
+    common = common_shingles(docs, size)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), set_sketches(size, words, common)(text_of()).alias("x"))
+    narrow = cut(narrow.select("doc_id", "tie", F.xxhash64("x.s").alias("node"), "x.f", "x.p", "x.s"), "sets")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
-    prints = narrow.groupBy("node", "f").agg(F.min(rank).alias("least"))
-    links = block_links(prints.select("node", "f"), masks_for(words)(prints.count()), max_bits)
+    prints = narrow.groupBy("node").agg(F.min(rank).alias("least"))
+    once = narrow.groupBy("node").agg(F.first("f").alias("f"), F.first("p").alias("p"))
+    rows = once.select("node", *[F.col("f")[w].alias(f"f{w}") for w in range(words)], F.explode("p").alias("k"))
+    links = keyed_links(rows, words, max_bits)
     coarse = cut(connected_components(links), "candidates")
     sets = narrow.select("node", "s").join(coarse, "node").groupBy("node", "root").agg(F.first("s").alias("s"))
     roots = cut(exact_groups(sets), "roots")
@@ -314,11 +352,12 @@ def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int =
     return narrow.select("doc_id", "tie", "node").join(named, "node").select("doc_id", "tie", (rank == F.col("least")).alias("keeper"))
 
 
-def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 50) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84) -> DataFrame:
     """One document of each near-duplicate group, with all its columns.
 
     Texts are linked at Jaccard index 0.8 or more of their distinct five-word
-    shingles, counted on whole sets; 256-bit fingerprints find the candidates.
+    shingles, counted on whole sets. Candidates share one of a set's first
+    shingles and pass a wide limit on differing bits of their fingerprints.
     The keeper of each component stays, once.
     """
     found = cut(similar_sets(docs, size, words, max_bits), "keepers")

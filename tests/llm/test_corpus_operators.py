@@ -327,6 +327,26 @@ def test_keep_one_drops_nothing_below_point_eight(spark):
     assert set(kept_by_all_pairs(texts)) <= kept
 
 
+def test_keep_one_equals_all_pairs_at_point_eight(spark):
+    texts = varied_texts()
+    rng = random.Random(12)
+    for n in (8, 9, 10, 13, 14, 24, 44, 104):  # n - 4 shingles; four in five of them stay
+        for _ in range(12):
+            base = [f"x{rng.randrange(10**6)}" for _ in range(n)]
+            texts += [" ".join(base), " ".join([*base, *[f"x{rng.randrange(10**6)}" for _ in range((n - 4) // 4)]])]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], DDL)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == kept_by_all_pairs(texts)
+
+
+def test_prefixes_of_similar_sets_meet_whatever_is_common():
+    rng = np.random.default_rng(5)
+    for n in range(1, 80):
+        big = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        small = np.sort(rng.permutation(big)[: -(-4 * n // 5)])
+        for common in (big[:0], big[::3], big):
+            assert np.intersect1d(simhash.prefix_of(big, common), simhash.prefix_of(small, common)).size
+
+
 # 5 mixing
 
 
