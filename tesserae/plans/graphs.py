@@ -17,7 +17,12 @@ s AS (SELECT doc_id, CAST(ord AS INTEGER) AS ord, CASE WHEN ord = 0 THEN 1 ELSE
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "documents").where("lang <> 'en'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
+    """The sections that the SQL of section queries reads: those of documents in other languages than English."""
+    return sections_of(read(spark, sf_dir, "documents").where("lang <> 'en'"))
+
+
+def sections_of(docs: DataFrame) -> DataFrame:
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
     level = F.when(F.col("ord") == 0, 1).otherwise(1 + (F.col("ord") + F.length("line")) % 3).cast("int")
     return lines.select("doc_id", "ord", level.alias("level"), F.length("line").cast("bigint").alias("n"))
 
@@ -125,19 +130,19 @@ def part_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections packed in order into chunks of 512 tokens; an ordered fold that SQL doesn't have."""
     size = F.greatest(F.lit(1), F.floor(F.col("n") / 4)).cast("int")
-    return folds.pack(sections(spark, sf_dir).select("doc_id", "ord", size.alias("size")), 512)
+    return folds.pack(sections_of(read(spark, sf_dir, "documents")).select("doc_id", "ord", size.alias("size")), 512)
 
 
 @query("legal_outline_levels")
 def legal_outline_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outline levels that never rise by more than one."""
-    return folds.legal_levels(sections(spark, sf_dir).select("doc_id", "ord", (F.col("level") * 2 - 1).alias("level")))
+    return folds.legal_levels(sections_of(read(spark, sf_dir, "documents")).select("doc_id", "ord", (F.col("level") * 2 - 1).alias("level")))
 
 
 @query("bullet_tiers")
 def bullet_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indentation tiers of a document, each measured from the last one kept."""
-    return folds.tiers(sections(spark, sf_dir).select("doc_id", (F.col("n") % 40).cast("double").alias("x")), 6.0)
+    return folds.tiers(sections_of(read(spark, sf_dir, "documents")).select("doc_id", (F.col("n") % 40).cast("double").alias("x")), 6.0)
 
 
 @query("shard_assignment")

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tesserae.plans import load_catalog
 from tesserae.functions import text as T
 from tesserae.operators import folds, quality, tables, topk, trees
 from tesserae.sources import sinks
@@ -155,3 +156,11 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = load_catalog().QUERIES["pricing_summary"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThanOrEqual(l_shipdate" in plan
     assert "l_partkey" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_section_folds_read_every_document(spark, tmp_path):
+    rows = [(1, "one\ntwo two", "en"), (2, "three", "de"), (3, "four\nfive", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("packed_chunks", "legal_outline_levels", "bullet_tiers"):
+        found = load_catalog().QUERIES[name](spark, str(tmp_path))
+        assert {r.doc_id for r in found.select("doc_id").collect()} == {1, 2, 3}, name
