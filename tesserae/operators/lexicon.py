@@ -37,7 +37,7 @@ def close_matches(words: DataFrame, lexicon: DataFrame, least: float = 0.8) -> D
     return best.where("r = 1").select("word", "term", F.round("ratio", 6).alias("ratio"))
 
 
-def chunk_text(text: Column, target: int = 1000, overlap: int = 150, most: int = 10) -> Column:
+def chunk_text(text: Column, target: int = 1000, overlap: int = 150, most: int | None = None) -> Column:
     """Paragraphs packed to about ``target`` characters, each chunk beginning with the last sentences of the one before."""
 
     def pack(t: str) -> list[str]:

@@ -5,6 +5,7 @@ from difflib import SequenceMatcher
 from pyspark.sql import functions as F
 
 from tesserae.operators import lexicon
+from tesserae.plans import load_catalog
 
 
 def test_close_matches_equal_all_pairs(spark):
@@ -23,3 +24,11 @@ def test_chunks_keep_all_paragraphs(spark):
     assert [len(r.c) for r in rows[1:]] == [0, 0]
     joined = "\n".join(rows[0].c)
     assert all(p.strip() in joined for p in paragraphs)
+
+
+def test_paragraph_chunks_keep_long_texts_whole(spark, tmp_path):
+    paragraphs = [f"Paragraph {k} says so. " + "word " * 150 for k in range(40)]
+    spark.createDataFrame([(1, "\n".join(paragraphs))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert load_catalog().QUERIES["paragraph_chunks"](spark, str(tmp_path)).where("doc_id = 1").count() == len(paragraphs)
+    rows = spark.createDataFrame([("\n".join(paragraphs),)], "t string").select(lexicon.chunk_text(F.col("t")).alias("c"), lexicon.chunk_text(F.col("t"), most=10).alias("few")).first()
+    assert all(p.strip() in "\n".join(rows.c) for p in paragraphs) and rows.few == rows.c[:10]
