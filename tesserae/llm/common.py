@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut, new_path, path_exists, shared_dir
 
-__all__ = ["WORD", "ascii_lower", "crc_mod5", "cut", "let", "new_path", "path_exists", "shared_dir", "starts_of", "table", "text_of"]
+__all__ = ["WORD", "HashSet", "ascii_lower", "crc_mod5", "cut", "fresh", "join_hot", "let", "new_path", "path_exists", "shared_dir", "starts_of", "table", "text_of"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: A table of at most this many narrow rows is broadcast.
+FEW = 100_000
+#: A key with more than one row in so many is joined apart from the others.
+HOT = 1_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the corpus tables, read lazily."""
@@ -51,3 +57,50 @@ def starts_of(sizes: Column, step: int = 64) -> Column:
         return let(bases, lambda base: F.transform(s, lambda x, i: F.get(base, F.floor(i / step).cast("int")) + total(F.slice(s, F.floor(i / step).cast("int") * step + 1, i % step))))
 
     return let(sizes, with_sizes)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def join_hot(rows: DataFrame, found: DataFrame, key: str, how: str = "inner", few: int = FEW, most: int | None = None) -> DataFrame:
+    """``rows`` joined with ``found``, which has one narrow row for each ``key``; how is inner, left or left_anti.
+
+    Both are written tables, unless ``found`` is known to have at most ``most``
+    rows and that is few. A small ``found`` is broadcast. Beyond that, keys
+    with over a thousandth of all rows are fewer than a thousand: those are
+    broadcast and their rows stay where they are, the others shuffle. So no
+    task gets more than a thousandth of the rows by one key.
+    """
+    if (found.count() if most is None or most > few else most) <= few:
+        return rows.join(F.broadcast(found), key, how)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("n"))
+    total = rows.count()
+    hot = cut(sizes.where(F.col("n") > total / HOT).select(key), "hot")
+    apart = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(found.join(F.broadcast(hot), key, "left_semi")), key, how)
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(found.join(F.broadcast(hot), key, "left_anti"), key, how)
+    return apart.unionByName(rest)
+
+
+class HashSet:
+    """A set of 64-bit hashes as a bit array of bounded size; a test may err on the side of yes.
+
+    Spark sets the bits by word, so that what reaches the driver follows the
+    array's size, at most ``2 ** most`` bits, however many hashes there are.
+    """
+
+    def __init__(self, hashes: DataFrame, count: int, most: int = 28) -> None:
+        self.bits = min(most, max(12, (32 * count).bit_length()))
+        at = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - self.bits)
+        words = hashes.select(at.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("m")).toArrow()
+        self.words = np.zeros(1 << (self.bits - 6), np.uint64)
+        self.words[words.column("w").to_numpy()] = words.column("m").to_numpy().view(np.uint64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each of the unsigned hashes may be in the set."""
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1

@@ -3,21 +3,30 @@
 from __future__ import annotations
 
 import itertools
-import math
-import random
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_of
+from .common import FEW, cut, fresh, join_hot, table, text_of
 from .components import connected_components
 
 SEED = 42
 #: Shingles whose bits are counted at once.
 CHUNK = 32_768
+#: Fingerprints of a block beyond which it is divided once more.
+LARGE = 4_096
+#: Shingles of a group of candidates that one task decides on; larger groups are dealt out in parts.
+MOST_SHINGLES = 2_000_000
+#: Members of a large group that go to each of its parts.
+PIVOTS = 8
+
+
+def rank() -> Column:
+    """Order of rows in a component: known ids before null ones."""
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
 
 
 def shingle_hashes(text: str, size: int, seed: int) -> np.ndarray:
@@ -83,33 +92,6 @@ def pigeonhole_masks(max_bits: int, blocks: int) -> list[tuple[int, ...]]:
     return [(sum(pick),) for pick in itertools.combinations(each, blocks - max_bits)]
 
 
-def sampled_masks(words: int, count: int, width: int, seed: int = 7) -> list[tuple[int, ...]]:
-    """``count`` blocks of ``width`` bits each, drawn from fingerprints of several words."""
-    rng, out = random.Random(seed), []
-    for _ in range(count):
-        masks = [0] * words
-        for bit in rng.sample(range(64 * words), width):
-            masks[bit // 64] |= 1 << (bit % 64)
-        out.append(tuple(masks))
-    return out
-
-
-def masks_for(words: int, share: float = 0.152, recall: float = 0.97):
-    """Sampled blocks for a number of fingerprints.
-
-    Blocks are three bits wider than it takes to tell the fingerprints apart,
-    so that unrelated ones seldom meet, and there are as many as it takes for
-    a pair that differs in ``share`` of its bits (similarity 0.8) to share one
-    with probability ``recall``.
-    """
-
-    def masks(count: int) -> list[tuple[int, ...]]:
-        width = min(60, max(18, math.ceil(math.log2(max(2, count))) + 3))
-        return sampled_masks(words, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** width)), width)
-
-    return masks
-
-
 def star_links(prints: np.ndarray, nodes: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
     """Links that connect what is close within one block, at most one for each node.
 
@@ -134,6 +116,32 @@ def star_links(prints: np.ndarray, nodes: np.ndarray, max_bits: int) -> tuple[li
     return us, vs
 
 
+def block_pairs(prints: np.ndarray, nodes: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
+    """The links of ``star_links``, of large blocks by pigeonhole once more.
+
+    The bits that differ within the block fall into three more parts than
+    may differ: close pairs agree in three of them, so that only fingerprints
+    which do are held against each other, however many a block has.
+    """
+    if len(nodes) <= LARGE or prints.shape[1] > 1:
+        return star_links(prints, nodes, max_bits)
+    free = np.flatnonzero(np.unpackbits(np.array([np.bitwise_or.reduce(prints[:, 0] ^ prints[0, 0])]).view(np.uint8), bitorder="little"))
+    if len(free) < max_bits + 3:
+        return star_links(prints, nodes, max_bits)
+    parts = [sum(1 << int(b) for b in p) for p in np.array_split(free, max_bits + 3)]
+    us, vs = [], []
+    for pick in itertools.combinations(parts, 3):
+        key = prints[:, 0] & np.uint64(sum(pick))
+        order = np.argsort(key, kind="stable")
+        edges = np.flatnonzero(np.diff(key[order])) + 1
+        for same in np.split(order, edges):
+            if len(same) > 1:
+                u, v = star_links(prints[same], nodes[same], max_bits)
+                us += u
+                vs += v
+    return us, vs
+
+
 def block_links(prints: DataFrame, masks: list[tuple[int, ...]], max_bits: int) -> DataFrame:
     """``prints(node, f: array<bigint>)``, distinct, to links ``(u, v)`` of close ones.
 
@@ -167,7 +175,7 @@ def keyed_links(rows: DataFrame, words: int, max_bits: int) -> DataFrame:
             two = two[np.bitwise_count(f[two] ^ f[two + 1]).sum(axis=1) <= max_bits]
             us, vs = node[two].tolist(), node[two + 1].tolist()
             for a, b in zip(starts[long > 2], stops[long > 2], strict=True):
-                u, v = star_links(f[a:b], node[a:b], max_bits)
+                u, v = block_pairs(f[a:b], node[a:b], max_bits)
                 us += u
                 vs += v
             yield pa.RecordBatch.from_pydict({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
@@ -195,31 +203,34 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, words: int = 1, max_bits: int = 4, masks: Callable[[int], list[tuple[int, ...]]] | None = None, blocks: int = 7) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4, blocks: int = 7) -> DataFrame:
     """``(doc_id, tie, f, component_id, keeper)`` for every row of ``docs``.
 
     Fingerprints of whole texts over ``size``-word shingles, links at
     ``max_bits`` or fewer differing bits, and component_id, the smallest doc_id
     reachable. Copies share a fingerprint and count once in the join, so a
-    group of copies makes no pairs. The default masks lose no link. keeper
-    marks the row with the component's smallest doc_id, of rows with that id
-    the one with the smallest hash (tie) of its text. Null and empty texts have
-    fingerprint zero; a null doc_id comes after all others; repeated rows each
-    get their row.
+    group of copies makes no pairs; no link is lost. keeper marks the row with
+    the component's smallest doc_id, of rows with that id the one with the
+    smallest hash (tie) of its text. Null and empty texts have fingerprint
+    zero; a null doc_id comes after all others; repeated rows each get their
+    row; an empty table gives none. Further columns play no part.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), fingerprints(size, words)(text_of()).alias("f"))
-    narrow = cut(narrow, "simhash")
-    node = F.col("f")[0] if words == 1 else F.xxhash64("f")
-    narrow = narrow.withColumn("node", node)
-    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
-    prints = narrow.groupBy("node", "f").agg(F.min(rank).alias("least"))
-    chosen = masks(prints.count()) if masks else pigeonhole_masks(max_bits, blocks)
-    links = block_links(prints.select("node", "f"), chosen, max_bits)
-    roots = cut(connected_components(links), "roots")
-    member = prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("least"))
-    named = cut(member.select("node", "root").join(least, "root").select("node", "least"), "components")
-    return narrow.join(named, "node").select("doc_id", "tie", "f", F.col("least.doc_id").alias("component_id"), (rank == F.col("least")).alias("keeper"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), fingerprints(size, 1)(text_of()).alias("f"))
+    narrow = cut(narrow.withColumn("node", F.col("f")[0]), "simhash")
+    prints = cut(narrow.groupBy("node").agg(F.min(rank()).alias("least")), "prints")
+    links = block_links(prints.select("node", F.array("node").alias("f")), pigeonhole_masks(max_bits, blocks), max_bits)
+    return named(narrow, prints, connected_components(links)).select("doc_id", "tie", "f", "component_id", "keeper")
+
+
+def named(narrow: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """``narrow`` rows with their component's least row; ``prints(node, least)`` are in ``roots`` where they have a link."""
+    most = prints.count()
+    keep = (lambda df, tag: df) if most <= FEW else cut
+    member = keep(prints.join(keep(roots, "roots"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "members")
+    least = keep(member.groupBy("root").agg(F.min("least").alias("least")), "least")
+    found = keep(join_hot(member.select("node", "root"), least, "root", most=most).select("node", "least"), "components")
+    rows = join_hot(narrow, found, "node", most=most)
+    return rows.withColumn("component_id", F.col("least.doc_id")).withColumn("keeper", rank() == F.col("least"))
 
 
 def prefix_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -275,7 +286,8 @@ def exact_roots(sets: list[np.ndarray], fifths: int = 4) -> np.ndarray:
     """The first index that each set reaches over pairs of Jaccard index ``fifths`` / 5 or more.
 
     Counts common elements over postings; what is reached leaves the
-    candidates, so that a group of near copies takes few rounds.
+    candidates. Where more are reached and not yet asked than are left, those
+    left are asked instead, so that a group of near copies takes few rounds.
     """
     sizes = np.array([len(x) for x in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -284,20 +296,31 @@ def exact_roots(sets: list[np.ndarray], fifths: int = 4) -> np.ndarray:
     docs, bounds = owner[order], np.r_[0, np.cumsum(np.bincount(ids))]
     at = np.r_[0, np.cumsum(sizes)]
     root, left = np.full(len(sets), -1), np.ones(len(sets), bool)
+
+    def near(x: int) -> np.ndarray:
+        mine = ids[at[x] : at[x + 1]]
+        lo, long = bounds[mine], bounds[mine + 1] - bounds[mine]
+        picks = np.repeat(lo - np.r_[0, np.cumsum(long)[:-1]], long) + np.arange(long.sum())
+        common = np.bincount(docs[picks], minlength=len(sets))
+        # c / (a + b - c) >= k / 5, in whole numbers
+        return ((5 + fifths) * common >= fifths * (sizes + sizes[x])) & (common > 0)
+
     for r in range(len(sets)):
         if not left[r]:
             continue
         root[r], left[r], front = r, False, [r]
-        while front and left.any():
-            x = front.pop()
-            mine = ids[at[x] : at[x + 1]]
-            lo, long = bounds[mine], bounds[mine + 1] - bounds[mine]
-            picks = np.repeat(lo - np.r_[0, np.cumsum(long)[:-1]], long) + np.arange(long.sum())
-            common = np.bincount(docs[picks], minlength=len(sets))
-            # c / (a + b - c) >= k / 5, in whole numbers
-            near = np.flatnonzero(left & ((5 + fifths) * common >= fifths * (sizes + sizes[x])) & (common > 0))
-            root[near], left[near] = r, False
-            front += near.tolist()
+        while front:
+            rest = np.flatnonzero(left)
+            if not len(rest):
+                break
+            if len(front) <= len(rest):
+                found = np.flatnonzero(left & near(front.pop()))
+                front += found.tolist()
+            else:
+                group = root == r
+                found = np.array([y for y in rest if (near(y) & group).any()], int)
+                front = found.tolist()
+            root[found], left[found] = r, False
     return root
 
 
@@ -325,31 +348,59 @@ def exact_groups(members: DataFrame) -> DataFrame:
     return members.repartition("root").sortWithinPartitions("root").mapInArrow(split, "node bigint, root bigint")
 
 
-def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84) -> DataFrame:
-    """``(doc_id, tie, keeper)``: groups linked by Jaccard index 0.8 or more of their distinct shingles.
+def exact_links(members: DataFrame, most: int = MOST_SHINGLES) -> DataFrame:
+    """``members(node, root, s)``, a written table, to ``(node, root)`` links whose components are those of all near pairs.
+
+    A group of up to ``most`` shingles is decided in one task. Larger ones are
+    dealt out: each part meets itself and the group's pivots, then whatever
+    does not hang together with the group's largest component by then meets
+    every part, each pair of parts in a task of its own. No pair of sets is
+    passed over but within that component, where a link would say nothing new.
+    """
+    sizes = members.groupBy("root").agg(F.sum(F.size("s")).alias("total"))
+    large = cut(sizes.where(F.col("total") > most), "large")
+    if large.isEmpty():
+        return exact_groups(members)
+    own = large.select("root", F.ceil(F.col("total") / most).cast("int").alias("parts"))
+    small = join_hot(members, own, "root", "left_anti")
+    rows = cut(join_hot(members, own, "root"), "large-members")
+    part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    task = lambda *keys: F.xxhash64("root", *keys).alias("root")
+    pivots = rows.groupBy("root", "parts", part(F.lit(PIVOTS)).alias("p")).agg(F.min_by(F.struct("node", "s"), F.xxhash64("node", F.lit(1))).alias("x"))
+    pivots = pivots.select("root", "x.node", "x.s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    first = rows.select("root", "node", "s", part(F.col("parts")).alias("i")).unionByName(pivots)
+    links = cut(exact_groups(small.select("node", "root", "s")).unionByName(exact_groups(first.select("node", task("i"), "s"))), "exact")
+    sub = cut(connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("root", "sub"), "sub")
+    state = cut(rows.join(sub, "node", "left").select("root", "node", "s", F.coalesce("sub", "node").alias("sub")), "large-state")
+    counts = state.groupBy("root", "sub").agg(F.count("*").alias("n"), F.sum(F.size("s")).alias("total"))
+    best = counts.groupBy("root").agg(F.max_by("sub", F.struct("n", "sub")).alias("best"), (F.sum("total") - F.max_by("total", F.struct("n", "sub"))).alias("open"), F.sum("total").alias("all"))
+    best = cut(best.select("root", "best", F.ceil(F.col("open") / most).cast("int").alias("us"), F.ceil(F.col("all") / most).cast("int").alias("them")).where("us > 0"), "largest")
+    rows = join_hot(state, best, "root")
+    all_ = rows.select("root", "node", "s", F.explode(F.sequence(F.lit(0), F.col("us") - 1)).alias("i"), part(F.col("them")).alias("j"))
+    open_ = rows.where("sub <> best").select("root", "node", "s", part(F.col("us")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("them") - 1)).alias("j"))
+    return links.unionByName(exact_groups(all_.unionByName(open_).select("node", task("i", "j"), "s")))
+
+
+def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84, most: int = MOST_SHINGLES) -> DataFrame:
+    """``(doc_id, tie, component_id, keeper)``: groups linked by Jaccard index 0.8 or more of their distinct shingles.
 
     Sets meet in blocks of a shared prefix shingle, which loses no pair. Within
     a block, fingerprints tell apart what has nothing in common: at 0.8 a bit
     differs with probability 0.19 at most (four of five shingles), so 84 of 256
     bits are over five deviations away, for tables of any size. Whatever may be
-    linked then stands together in one task, where every link is decided on
-    whole sets.
+    linked is then decided on whole sets.
     """
     common = common_shingles(docs, size)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), set_sketches(size, words, common)(text_of()).alias("x"))
     narrow = cut(narrow.select("doc_id", "tie", F.xxhash64("x.s").alias("node"), "x.f", "x.p", "x.s"), "sets")
-    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
-    prints = narrow.groupBy("node").agg(F.min(rank).alias("least"))
+    prints = cut(narrow.groupBy("node").agg(F.min(rank()).alias("least")), "prints")
     once = narrow.groupBy("node").agg(F.first("f").alias("f"), F.first("p").alias("p"))
     rows = once.select("node", *[F.col("f")[w].alias(f"f{w}") for w in range(words)], F.explode("p").alias("k"))
-    links = keyed_links(rows, words, max_bits)
-    coarse = cut(connected_components(links), "candidates")
-    sets = narrow.select("node", "s").join(coarse, "node").groupBy("node", "root").agg(F.first("s").alias("s"))
-    roots = cut(exact_groups(sets), "roots")
-    member = prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("least"))
-    named = cut(member.select("node", "root").join(least, "root").select("node", "least"), "components")
-    return narrow.select("doc_id", "tie", "node").join(named, "node").select("doc_id", "tie", (rank == F.col("least")).alias("keeper"))
+    coarse = cut(connected_components(keyed_links(rows, words, max_bits)), "candidates")
+    sets = join_hot(narrow.select("node", "s"), coarse, "node").groupBy("node", "root").agg(F.first("s").alias("s"))
+    links = exact_links(cut(sets, "candidate-sets"), most)
+    roots = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    return named(narrow.select("doc_id", "tie", "node"), prints, roots).select("doc_id", "tie", "component_id", "keeper")
 
 
 def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84) -> DataFrame:
@@ -358,15 +409,18 @@ def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84)
     Texts are linked at Jaccard index 0.8 or more of their distinct five-word
     shingles, counted on whole sets. Candidates share one of a set's first
     shingles and pass a wide limit on differing bits of their fingerprints.
-    The keeper of each component stays, once.
+    The keeper of each component stays, once, however often its row repeats.
+    Null and empty texts are one group; a null doc_id comes after all others;
+    an empty table gives no rows; columns of any name stay.
     """
     found = cut(similar_sets(docs, size, words, max_bits), "keepers")
-    goes = found.where("not keeper").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct()
+    its_id, its_tie = fresh(docs, "keeper_id"), fresh(docs, "keeper_tie")
+    goes = found.where("not keeper").select(F.col("doc_id").alias(its_id), F.col("tie").alias(its_tie)).distinct()
     tie = F.xxhash64(text_of())
-    stays = docs.join(goes, F.col("doc_id").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_anti")
+    stays = docs.join(goes, F.col("doc_id").eqNullSafe(F.col(its_id)) & (tie == F.col(its_tie)), "left_anti")
     if found.where("keeper").groupBy("doc_id", "tie").count().where("count > 1").isEmpty():
         return stays
-    return stays.withColumn("__tie", tie).dropDuplicates(["doc_id", "__tie"]).drop("__tie")
+    return stays.withColumn(its_tie, tie).dropDuplicates(["doc_id", its_tie]).drop(its_tie)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.llm import chat, components, decontaminate, fingerprints, mixing, pii, ppm, quality, queries, simhash, tokens, urls
+from tesserae.llm.common import HashSet, cut, fresh, join_hot
 
 #: Rows with nulls in every column, empty and long texts, repeats and ties, and columns with clashing names.
 LONG = " ".join(f"w{k % 977}" for k in range(30_000))
@@ -249,6 +250,7 @@ def test_pigeonhole_links_every_close_pair_and_chains(spark):
     df = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "node long").withColumn("f", F.array("node"))
     links = simhash.block_links(df, simhash.pigeonhole_masks(4, 7), 4)
     roots = {r.node: r.root for r in components.connected_components(links).collect()}
+    assert roots == {r.node: r.root for r in components.connected_components(links, few=0).collect()}
     want = classes({v: v for v in values})
     signed = {v: v - (1 << 64) if v >> 63 else v for v in values}
     for a, b in itertools.combinations(values, 2):
@@ -274,13 +276,89 @@ def test_keep_one_keeps_one_of_each_group(awkward, empty, spark):
 
 def test_near_copies_of_similarity_point_eight(spark, documents, texts):
     grams = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, v in texts.items() if len(w := v.lower().split()) >= 40}
-    close = [(a, b) for a, b in itertools.combinations(sorted(grams), 2) if texts[a] != texts[b] and len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.8]
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents, 5, 4, 50, simhash.masks_for(4)).collect()}
-    assert sum(found[a] == found[b] for a, b in close) >= 0.8 * len(close)
+    close = [(a, b) for a, b in itertools.combinations(sorted(grams), 2) if texts[a] != texts[b] and 10 * len(grams[a] & grams[b]) >= 8 * len(grams[a] | grams[b])]
+    found = {r.doc_id: r.component_id for r in simhash.similar_sets(documents).collect()}
+    assert close and all(found[a] == found[b] for a, b in close)
     far = [(a, b) for a, b in itertools.combinations(sorted(grams), 2) if not grams[a] & grams[b] and found[a] == found[b]]
     assert not far
 
 
+def test_thousands_of_planted_near_copies_are_all_found(spark):
+    rng = random.Random(21)
+    pairs = []
+    for k in range(3000):
+        words = [f"p{rng.randrange(10**7)}" for _ in range(rng.randint(20, 120))]
+        other = list(words)
+        at = rng.randrange(5, len(words) - 5)
+        for j in range(max(1, int((len(words) - 4) * rng.uniform(0, 0.11)) - 4)):  # neighbours share the shingles they touch
+            other[min(at + j, len(words) - 1)] = f"q{rng.randrange(10**7)}"
+        pairs.append((" ".join(words), " ".join(other)))
+    near = [10 * len(a & b) >= 8 * len(a | b) for a, b in ((shingle_set(x), shingle_set(y)) for x, y in pairs)]
+    docs = spark.createDataFrame([(2 * k + j, p[j], "en", "s", 0) for k, p in enumerate(pairs) for j in (0, 1)], DDL)
+    found = {r.doc_id: r.component_id for r in simhash.similar_sets(docs).collect()}
+    assert sum(near) > 2000
+    assert [found[2 * k] == found[2 * k + 1] for k in range(len(pairs))] == near
+
+
+def test_large_groups_dealt_out_are_the_same(spark):
+    rng = random.Random(13)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(60)]
+    sets = []
+    for k in range(400):  # a family around one text: some near it, some only near each other, some near none
+        words = list(base)
+        for j in rng.sample(range(60), rng.choice((0, 1, 2, 3, 6, 9))):
+            words[j] = f"c{rng.randrange(40)}"
+        sets.append(np.unique(simhash.shingle_hashes(" ".join(words), 5, simhash.SEED)))
+    rows = [(k, k // 200, s.view(np.int64).tolist()) for k, s in enumerate(sets)]
+    members = cut(spark.createDataFrame(rows, "node long, root long, s array<long>"), "members")
+    as_sets = [set(s.tolist()) for s in sets]
+    want = {}
+    for lo in (0, 200):
+        want |= {lo + k: lo + int(v) for k, v in enumerate(simhash.exact_roots(sets[lo : lo + 200]))}
+    for a, b in itertools.combinations(range(400), 2):  # roots part what all pairs part
+        if a // 200 == b // 200 and 10 * len(as_sets[a] & as_sets[b]) >= 8 * len(as_sets[a] | as_sets[b]):
+            assert want[a] == want[b]
+    for most in (10**6, 3_000, 500):
+        links = simhash.exact_links(members, most).select(F.col("node").alias("u"), F.col("root").alias("v"))
+        got = {r.node: r.root for r in components.connected_components(links).collect()}
+        assert {k: got.get(k, k) for k in want} == want, most
+
+
+def test_large_blocks_lose_no_pair():
+    rng = np.random.default_rng(4)
+    few = rng.integers(0, 2**63, 1, np.uint64) ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 40, (6000, 7)).astype(np.uint64), axis=1)
+    prints = np.unique(few)[:, None]
+    nodes = np.arange(len(prints))
+    assert len(nodes) > simhash.LARGE
+
+    def groups(pairs):
+        up = np.arange(len(nodes))
+        for _ in range(60):
+            for u, v in zip(*pairs, strict=True):
+                up[u] = up[v] = min(up[u], up[v])
+            up = up[up]
+        return up
+
+    assert (groups(simhash.block_pairs(prints, nodes, 4)) == groups(simhash.star_links(prints, nodes, 4))).all()
+
+
+def test_hash_sets_miss_nothing(spark):
+    rng = np.random.default_rng(9)
+    h = rng.integers(-(2**63), 2**63 - 1, 5000)
+    held = HashSet(spark.createDataFrame([(int(x),) for x in h], "h long"), len(h))
+    assert held.has(h.view(np.uint64)).all()
+    assert held.has(rng.integers(0, 2**63, 20_000, np.uint64) * np.uint64(2)).mean() < 0.1
+
+
+def test_hot_keys_join_apart(spark):
+    rows = cut(spark.createDataFrame([(0 if k % 3 else k, k) for k in range(6000)], "node long, x long"), "rows")
+    found = cut(rows.select("node").distinct().where("node % 2 = 0").withColumn("m", F.col("node") * 2), "found")
+    for how in ("inner", "left", "left_anti"):
+        a = join_hot(rows, found, "node", how, few=0)
+        b = rows.join(found, "node", how)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def shingle_set(text, size=5):
     w = text.lower().split()
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
