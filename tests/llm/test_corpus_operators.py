@@ -543,18 +543,45 @@ def test_decontamination_equals_all_alignments(spark):
         assert out[k] == sorted(i for i, x in items if overlaps_by_force(t, x or "")), (k, t)
 
 
-def test_decontamination_in_blocks_is_the_same(spark, sf_dir, monkeypatch, documents):
-    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    whole = {r.doc_id: sorted(h.item_id for h in r.hits) for r in decontaminate.overlaps(documents, bench).collect()}
-    kept = sorted(r.doc_id for r in decontaminate.remove_contaminated(documents, bench).collect())
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 2_000)
-    assert whole == {r.doc_id: sorted(h.item_id for h in r.hits) for r in decontaminate.overlaps(documents, bench).collect()}
-    assert kept == sorted(r.doc_id for r in decontaminate.remove_contaminated(documents, bench).collect()) == sorted(k for k, v in whole.items() if not v)
+def hits_by_force(text: str, items: list[tuple[int, str]]) -> list[tuple]:
+    """Each overlapped item with the tokens that its best alignment matches, and where that begins."""
+    a, out = decontaminate.tokens(text), []
+    for item_id, x in items:
+        b = decontaminate.tokens(x or "")
+        w, best = min(decontaminate.WINDOW, len(b)), (0, 0)
+        for shift in range(-(len(b) - w), len(a) - w + 1) if w else ():
+            equal = [0 <= i + shift < len(a) and a[i + shift] == b[i] for i in range(len(b))]
+            good = [i for i in range(len(b) - w + 1) if 0 <= i + shift and i + w + shift <= len(a) and sum(equal[i : i + w]) >= w - decontaminate.allowed(w)]
+            inside = {j for i in good for j in range(i, i + w) if equal[j]}
+            if good:
+                best = max(best, (len(inside), -(good[0] + shift)))
+        if best[0]:
+            out.append((item_id, best[0], len(b), -best[1]))
+    return sorted(out)
+
+
+def test_decontamination_hits_equal_all_alignments(spark, monkeypatch):
+    rng = random.Random(18)
+    items = [(k, " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(rng.choice((2, 5, 9, 13, 20, 40))))) for k in range(15)]
+    docs = []
+    for k in range(60):
+        parts = [rng.choice(items)[1].split() for _ in range(2)]
+        for t in parts:
+            for _ in range(rng.randint(0, 3)):
+                t[rng.randrange(len(t))] = "other"
+        docs.append((k, " ".join(["filler"] * rng.randint(0, 9) + parts[0] + ["between"] * rng.randint(0, 3) + parts[1])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {k: hits_by_force(t, items) for k, t in docs}
+    assert {r.doc_id: [tuple(h) for h in r.hits] for r in decontaminate.overlaps(df, bench).collect()} == want
+    # a short bit array lets many seeds pass: the same rows by the join alone
+    monkeypatch.setattr(decontaminate, "HashSet", lambda hashes, count: HashSet(hashes, count, most=6))
+    assert {r.doc_id: [tuple(h) for h in r.hits] for r in decontaminate.overlaps(df, bench).collect()} == want
 
 
 @pytest.mark.parametrize("n", range(1, 16))
 def test_masks_lose_no_allowed_substitution(n):
-    masks = decontaminate.MASKS if n >= decontaminate.WINDOW else decontaminate.SHORT_MASKS if n >= 5 else (tuple(range(n)),)
+    masks = decontaminate.masks_of(n)
     w = min(n, decontaminate.WINDOW)
     places = [{o + i for i in m} for m in masks for o in range(w - m[-1])]
     assert all(any(not p & set(bad) for p in places) for bad in itertools.combinations(range(w), decontaminate.allowed(w)))
