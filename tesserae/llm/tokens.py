@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, new_path, path_exists, table, text_of
+from .common import HashSet, cut, join_hot, new_path, path_exists, table, text_of
 
-CACHE_SCHEMA = "digest string, tokenizer string, n_bytes long, n_tokens long"
+CACHE_SCHEMA = "digest string, n_bytes long, n_tokens long, tokenizer string"
 
 
 class PieceCounter:
@@ -50,28 +51,8 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Token counts of whole texts, encoding each distinct unseen text once.
-
-    ``cache_dir`` holds (content digest, tokenizer digest, counts). Rows join
-    it by digest; only distinct texts that it lacks are encoded, and their
-    counts are appended. The digest is over the exact UTF-8 bytes, for any
-    folding could change a count. A null text counts as empty (0 tokens);
-    repeated rows and ids each get their row; an empty table gives no rows.
-    The tokenizer's file has to exist at the same path on every machine.
-    """
-    spark = docs.sparkSession
-    version = tokenizer_version(tokenizer)
-    digest = F.sha2(text_of(text), 256).alias("digest")
-
-    def cached() -> DataFrame:
-        rows = spark.read.schema(CACHE_SCHEMA).parquet(cache_dir).where(F.col("tokenizer") == version)
-        return rows.groupBy("digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"))
-
-    texts = docs.select(digest, text_of(text).alias("text"))
-    if path_exists(spark, cache_dir):
-        texts = texts.join(cached(), "digest", "left_anti")
-    misses = texts.groupBy("digest").agg(F.first("text").alias("text"))
+def encode_missing(texts: DataFrame, tokenizer: str, version: str, cache_dir: str) -> None:
+    """Append the counts of ``texts(digest, text)`` to the cache."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load_counter(tokenizer)
@@ -81,18 +62,68 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str, keys: tuple[st
                 found = part.column("text").to_pylist()
                 yield pa.RecordBatch.from_pydict({
                     "digest": part.column("digest"),
-                    "tokenizer": pa.array([version] * len(found), pa.string()),
                     "n_bytes": pa.array([len(x.encode()) for x in found], pa.int64()),
                     "n_tokens": pa.array(counter.count(found), pa.int64()),
                 })
 
-    misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
-    # a written table, so that Spark can split the rows of a digest that many documents share
-    return docs.select(*keys, digest).join(cut(cached(), "token-counts"), "digest").select(*keys, "n_bytes", "n_tokens")
+    counts = texts.mapInArrow(encode, "digest string, n_bytes long, n_tokens long")
+    counts.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache_dir)
+
+
+def in_set(held: HashSet):
+    """Arrow UDF: whether a hash may be in the set."""
+
+    @F.arrow_udf("boolean")
+    def member(hashes: pa.Array) -> pa.Array:
+        return pa.array(held.has(hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return member
+
+
+def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """Token counts of whole texts, encoding each distinct unseen text once.
+
+    ``cache_dir`` holds counts by content digest, in a folder for each
+    tokenizer digest. Digests alone meet the cache and are counted; texts whose
+    digest occurs once are encoded where they stand, and only texts that repeat
+    shuffle, with partial reduction before, so that each is encoded once. What
+    tells them apart on the spot are bit arrays of bounded size, which may send
+    a text the longer way or encode one that is cached, and change no count.
+    The digest is over the exact UTF-8 bytes, for any folding could change a
+    count. A null text counts as empty (0 tokens); repeated rows and ids each
+    get their row; an empty table gives no rows; other columns play no part.
+    The tokenizer's file has to exist at the same path on every machine.
+    """
+    spark = docs.sparkSession
+    version = tokenizer_version(tokenizer)
+    rows = docs.select(*keys, F.sha2(text_of(text), 256).alias("digest"), text_of(text).alias("text"))
+
+    def cached() -> DataFrame:
+        known = spark.read.schema(CACHE_SCHEMA).parquet(cache_dir).where(F.col("tokenizer") == version)
+        return known.groupBy("digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"))
+
+    narrow = cut(rows.select(*keys, "digest"), "token-digests")
+    times = cut(narrow.groupBy("digest").agg(F.count("*").alias("n")), "token-times")
+    there = path_exists(spark, cache_dir)
+    missing = cut(times.join(cached().select("digest"), "digest", "left_anti"), "token-misses") if there else times
+    head = F.xxhash64("digest")
+    texts, count = rows.select("digest", "text"), missing.count()
+    if count < times.count():
+        texts = texts.where(in_set(HashSet(missing.select(head.alias("h")), count))(head))
+    repeats = missing.where("n > 1")
+    again = in_set(HashSet(repeats.select(head.alias("h")), repeats.count()))(head)
+    texts = texts.withColumn("again", again)
+    once = texts.where("not again").select("digest", "text")
+    encode_missing(once.unionByName(texts.where("again").groupBy("digest").agg(F.first("text").alias("text"))), tokenizer, version, cache_dir)
+    return join_hot(narrow, cut(cached(), "token-counts"), "digest").select(*keys, "n_bytes", "n_tokens")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str, cache_dir: str | None = None, limit: int = 4096) -> DataFrame:
-    """Contract query: tokens of every document by piece_bpe_32k.model."""
+    """Contract query: tokens of every document by piece_bpe_32k.model.
+
+    Null texts are empty; repeated rows each get their row; an empty table
+    gives none. Pass ``cache_dir`` to keep counts from one run to the next.
+    """
     import public_tokenizers
 
     counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), cache_dir or new_path(spark, "token-cache"))
