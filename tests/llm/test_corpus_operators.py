@@ -629,6 +629,36 @@ def test_span_hashes_agree_wherever_spans_stand():
             assert a.span(i, j) == a.span(k, k + j - i)
 
 
+def test_short_texts_are_comparable():
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(60))
+    prints = {n: fingerprints.PrefixHash(text[:n]).fingerprint() for n in range(1, 61)}
+    for n in range(40, 60):
+        assert fingerprints.likeness(prints[60], prints[n]) == pytest.approx(2 * (n - 3) / (57 + n - 3), abs=0.2)
+    longer = "".join(rng.choice("abcdefghij ") for _ in range(30))
+    assert fingerprints.likeness(prints[60], fingerprints.PrefixHash(text + longer).fingerprint()) > 0.6
+    assert fingerprints.likeness(prints[60], fingerprints.PrefixHash(text[::-1]).fingerprint()) < 0.2
+
+
+def test_extension_survives_equal_hashes(monkeypatch):
+    a, b = fingerprints.PrefixHash("same start, one end"), fingerprints.PrefixHash("same start, two end")
+    monkeypatch.setattr(fingerprints.PrefixHash, "span", lambda self, start, stop: 0)
+    assert a.common_extension(b) == 12
+
+
+def test_rows_without_an_id_part_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_CHARS", 2_000)
+    rng = random.Random(17)
+    rows = [(None if k % 3 == 0 else 5 if k % 3 == 1 else k, "".join(rng.choice("abc ") for _ in range(100))) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spread = fingerprints.in_order(df).where("ghost = 0").groupBy("bucket").count().collect()
+    assert max(r["count"] for r in spread) < 60
+    tie = {t: h for t, h in df.select("text", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -tie[r[1]]))
+    want = sorted((str(a[0]), hashlib.sha256(fingerprints.edit(a[1], b[1]).encode()).hexdigest()) for a, b in zip(order, [*order[1:], order[0]], strict=True))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in fingerprints.fingerprint_edits(df).collect()) == want
+
+
 def test_fingerprint_edge_rows(awkward, empty):
     assert fingerprints.fingerprint_edits(empty).count() == 0
     out = fingerprints.fingerprint_edits(awkward).collect()
