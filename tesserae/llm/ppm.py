@@ -26,10 +26,13 @@ from .common import crc_mod5, cut, table, text_of
 ORDER = 5
 #: Symbols: bytes, then the end of a text; PAD stands before its start.
 END, PAD, WIDTH = 256, 257, 9
+SYMBOL, TRIPLE = (1 << WIDTH) - 1, (1 << 3 * WIDTH) - 1
 #: Bytes of text that a bucket aims at, and symbols handled at once within it.
 BUCKET_BYTES, CHUNK = 24_000_000, 2_000_000
-#: Buckets to one owner of words and windows.
-OWNED = 3
+#: Buckets to one owner of words and windows, and how many owners there may be: distinct windows grow far slower than texts.
+OWNED, MOST_OWNERS = 3, 4096
+#: Windows that an owner unpacks before it adds them up.
+UNPACKED = 6_000_000
 
 KEYS = "bucket long, owner long, kind string, n long, keys binary, counts binary"
 VALUES = "bucket long, owner long, kind string, vals binary, tokens long, distinct_words long"
@@ -129,12 +132,13 @@ def gather(owners: int):
             parts.append((u, np.bincount(place, np.repeat(train[a:b], np.diff(begins)), len(u)).astype(np.int64)))
         u, n = merged(parts)
         owner = suffix(u) % owners
-        for k in range(owners):
-            mine = owner == k
-            if mine.any():
-                rows.append((k, "gram", int(mine.sum()), pack_sorted(u[mine]), pack(n[mine])))
-        pair, n = merged([(u & ((1 << 2 * WIDTH) - 1), n)])
-        rows.append((0, "pair", len(pair), pack_sorted(pair), pack(n)))
+        order = np.argsort(owner, kind="stable")
+        stops = np.searchsorted(owner[order], np.arange(owners + 1))
+        for k in np.flatnonzero(np.diff(stops)).tolist():
+            mine = order[stops[k] : stops[k + 1]]
+            rows.append((k, "gram", len(mine), pack_sorted(u[mine]), pack(n[mine])))
+        low, n = merged([(u[n > 0] & TRIPLE, n[n > 0])])
+        rows.append((0, "low", len(low), pack_sorted(low), pack(n)))
         owner, kind, n, keys, counts = zip(*rows, strict=True)
         return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int64()), "owner": pa.array(owner, pa.int64()), "kind": pa.array(kind), "n": pa.array(n, pa.int64()), "keys": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
@@ -142,24 +146,48 @@ def gather(owners: int):
 
 
 def suffix(w: np.ndarray) -> np.ndarray:
-    """A number for the two symbols before the last, by which windows have their owner."""
-    two = (w >> WIDTH) & ((1 << 2 * WIDTH) - 1)
-    return ((two * 0x9E3779B1) & 0xFFFFFFFF) >> 7
+    """A number for the three symbols before the last, by which windows have their owner."""
+    return ((((w >> WIDTH) & TRIPLE) * 0x9E3779B1) & 0xFFFFFFFF) >> 5
 
 
 class LowOrders:
-    """Counts of symbols after one symbol and after none: at most 258 times 257 numbers."""
+    """Training counts of symbols after two symbols, one and none.
 
-    def __init__(self, pairs: np.ndarray, n: np.ndarray) -> None:
+    Takes distinct, sorted triples of symbols that occur: at most 258 * 258 *
+    257 by the alphabet, and in texts some hundred thousand.
+    """
+
+    def __init__(self, triples: np.ndarray, n: np.ndarray) -> None:
+        self.triples, self.n = triples, n
+        before, symbol = (triples >> WIDTH) & SYMBOL, triples & SYMBOL
         self.after = np.zeros((PAD + 1, END + 1), np.int64)
-        np.add.at(self.after, (pairs >> WIDTH, pairs & ((1 << WIDTH) - 1)), n)
+        np.add.at(self.after, (before, symbol), n)
         self.alone = self.after.sum(axis=0)
+        self.contexts, at = np.unique(triples >> WIDTH, return_inverse=True)
+        self.total, self.distinct = np.bincount(at, n).astype(np.int64), np.bincount(at)
+        # counts after one symbol of what each context of two has seen
+        self.below = np.bincount(at, self.after[before, symbol]).astype(np.int64)
+
+    def count(self, triples: np.ndarray) -> np.ndarray:
+        """How often each triple occurs."""
+        if not len(self.triples):
+            return np.zeros(len(triples), np.int64)
+        at = np.minimum(np.searchsorted(self.triples, triples), len(self.triples) - 1)
+        return np.where(self.triples[at] == triples, self.n[at], 0)
+
+    def context(self, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of counts, distinct symbols and counts one level down of contexts of two symbols."""
+        if not len(self.contexts):
+            return (np.zeros(len(two), np.int64),) * 3
+        at = np.minimum(np.searchsorted(self.contexts, two), len(self.contexts) - 1)
+        there = self.contexts[at] == two
+        return tuple(np.where(there, x[at], 0) for x in (self.total, self.distinct, self.below))
 
 
 def log_probabilities(w: np.ndarray, n: np.ndarray, low: LowOrders) -> np.ndarray:
     """log10 probability of the last symbol of each window.
 
-    ``w`` is sorted, distinct and complete for its contexts of two symbols.
+    ``w`` is sorted, distinct and complete for its contexts of three symbols.
     From the longest context down: of twice the counts of a context, a symbol
     seen there has twice its count less one, and each distinct symbol leaves
     one to the escape. Below, symbols that a longer context has seen
@@ -171,16 +199,18 @@ def log_probabilities(w: np.ndarray, n: np.ndarray, low: LowOrders) -> np.ndarra
     open_ = np.ones(len(w), bool)
     above = None  # (sum of counts to leave out, distinct symbols to leave out) for each row
     levels = []
-    for k in range(ORDER, 1, -1):
+    for k in range(ORDER, 2, -1):
         keys, row = np.unique(w & ((1 << WIDTH * (k + 1)) - 1), return_inverse=True)
         c = np.bincount(row, n, len(keys))
         ctx, at = np.unique(keys >> WIDTH, return_inverse=True)
         levels.append((keys, row, c, at, np.bincount(at, c, len(ctx)), np.bincount(at, c > 0, len(ctx))))
-    symbol, before = w & ((1 << WIDTH) - 1), (w >> WIDTH) & ((1 << WIDTH) - 1)
+    symbol, before = w & SYMBOL, (w >> WIDTH) & SYMBOL
     for i, k in enumerate(range(ORDER, -1, -1)):
-        if k > 1:
+        if k > 2:
             keys, row, c, at, total, distinct = levels[i]
             mine, t, q = c[row], total[at[row]], distinct[at[row]]
+        elif k == 2:
+            mine, (t, q, below) = low.count(w & TRIPLE), low.context((w >> WIDTH) & ((1 << 2 * WIDTH) - 1))
         elif k == 1:
             mine, t, q = low.after[before, symbol], low.after.sum(axis=1)[before], (low.after > 0).sum(axis=1)[before]
         else:
@@ -195,12 +225,14 @@ def log_probabilities(w: np.ndarray, n: np.ndarray, low: LowOrders) -> np.ndarra
         escape[goes] *= distinct_left[goes] / base[goes]
         # what this level has seen, counted one level down
         if k > 2:
-            nk, _, nc = levels[i + 1][:3]
-            below = nc[np.searchsorted(nk, keys & ((1 << WIDTH * k) - 1))]
-            above = np.bincount(at, below * (c > 0), len(total))[at[row]], q
+            if k > 3:
+                nk, _, nc = levels[i + 1][:3]
+                fewer = nc[np.searchsorted(nk, keys & ((1 << WIDTH * k) - 1))]
+            else:
+                fewer = low.count(keys & TRIPLE)
+            above = np.bincount(at, fewer * (c > 0), len(total))[at[row]], q
         elif k == 2:
-            b, s = (keys >> WIDTH) & ((1 << WIDTH) - 1), keys & ((1 << WIDTH) - 1)
-            above = np.bincount(at, low.after[b, s] * (c > 0), len(total))[at[row]], q
+            above = below, q
         elif k == 1:
             above = ((low.after > 0) * low.alone).sum(axis=1)[before], q
     left = END + 1 - (low.alone > 0).sum()
@@ -209,14 +241,18 @@ def log_probabilities(w: np.ndarray, n: np.ndarray, low: LowOrders) -> np.ndarra
 
 
 def answer(low: LowOrders):
-    """Per owner and kind: total counts of words, or probabilities of windows, for each bucket that asked."""
+    """Per owner and kind: total counts of words, or probabilities of windows, for each bucket that asked.
+
+    Windows are unpacked and added up some at a time, then unpacked once more
+    to answer, so that memory follows the owner's distinct windows.
+    """
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         kind = key[1].as_py()
         buckets = group.column("bucket").to_pylist()
-        counts = [unpack(x.as_py(), np.int64) for x in group.column("counts")]
         tokens = known = 0
         if kind == "word":
+            counts = [unpack(x.as_py(), np.int64) for x in group.column("counts")]
             place: dict[bytes, int] = {}
             lists = []
             for x in group.column("keys"):
@@ -226,10 +262,17 @@ def answer(low: LowOrders):
             vals = [pack(total[x]) for x in lists]
             tokens, known = int(total.sum()), int((total > 0).sum())
         else:
-            lists = [unpack_sorted(x.as_py()) for x in group.column("keys")]
-            w, n = merged(list(zip(lists, counts, strict=True)))
-            logs = log_probabilities(w, n, low).astype(np.float32)
-            vals = [pack(logs[np.searchsorted(w, x)]) for x in lists]
+            parts, size = [], 0
+            for x, c in zip(group.column("keys"), group.column("counts"), strict=True):
+                parts.append((unpack_sorted(x.as_py()), unpack(c.as_py(), np.int64)))
+                size += len(parts[-1][0])
+                if size > UNPACKED:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0]) // 2
+            w, n = merged(parts)
+            del parts
+            logs = log_probabilities(w, n, low)
+            vals = [logs[np.searchsorted(w, unpack_sorted(x.as_py()))].tobytes() for x in group.column("keys")]
         rest = [0] * (len(vals) - 1)  # an owner's totals stand once, beside its first answer
         return pa.table({"bucket": pa.array(buckets, pa.int64()), "owner": pa.array([key[0].as_py()] * len(vals), pa.int64()), "kind": pa.array([kind] * len(vals)), "vals": pa.array(vals, pa.binary()), "tokens": pa.array([tokens, *rest], pa.int64()), "distinct_words": pa.array([known, *rest], pa.int64())})
 
@@ -250,8 +293,8 @@ def score_texts(train_tokens: int, train_words: int, train_texts: int):
                 count.update(zip(zlib.decompress(keys.as_py()).split(b" "), unpack(vals.as_py(), np.int64).tolist(), strict=True))
             else:
                 grams.append(unpack_sorted(keys.as_py()))
-                logs.append(unpack(vals.as_py(), np.float32))
-        grams, logs = np.concatenate(grams), np.concatenate(logs).astype(float)
+                logs.append(np.frombuffer(vals.as_py(), np.float64))
+        grams, logs = np.concatenate(grams), np.concatenate(logs)
         order = np.argsort(grams)
         grams, logs = grams[order], logs[order]
         data = [x.as_py().encode().lower() for x in texts.column("text")]
@@ -285,12 +328,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (crc_mod5() != 1).alias("train"))
     size, train_texts = rows.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
     buckets = max(6, -(-(size or 0) // BUCKET_BYTES))
-    owners = max(8, buckets // OWNED)
+    owners = min(MOST_OWNERS, max(8, buckets // OWNED))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
     asked = cut(rows.groupBy("bucket").applyInArrow(gather(owners), KEYS), "ppm-keys")
-    pairs = asked.where("kind = 'pair'").select("keys", "counts").mapInArrow(add_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
-    low = LowOrders(np.array([r.pair for r in pairs], np.int64), np.array([r.n for r in pairs], np.int64))
-    told = asked.where("kind <> 'pair'").groupBy("owner", "kind").applyInArrow(answer(low), VALUES)
+    lows = asked.where("kind = 'low'").select("keys", "counts").mapInArrow(add_triples, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n")).orderBy("triple").toArrow()
+    low = LowOrders(lows.column("triple").to_numpy(), lows.column("n").to_numpy())
+    told = asked.where("kind <> 'low'").groupBy("owner", "kind").applyInArrow(answer(low), VALUES)
     told = cut(told, "ppm-values")
     totals = told.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
     answers = asked.join(told, ["bucket", "owner", "kind"]).select("bucket", "kind", "keys", "vals")
@@ -298,16 +341,18 @@ def score_documents(docs: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, RESULT)
 
 
-def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial sums of a task's counts of symbol pairs, of which there are at most 66,306."""
-    total = np.zeros((PAD + 1) << WIDTH, np.int64)
+def add_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial sums of a task's counts of symbol triples."""
+    total = np.empty(0, np.int64), np.empty(0, np.int64)
     for batch in batches:
         for keys, counts in zip(batch.column("keys"), batch.column("counts"), strict=True):
-            total[unpack_sorted(keys.as_py())] += unpack(counts.as_py(), np.int64)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"pair": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+            total = merged([total, (unpack_sorted(keys.as_py()), unpack(counts.as_py(), np.int64))])
+    yield pa.RecordBatch.from_pydict({"triple": pa.array(total[0], pa.int64()), "n": pa.array(total[1], pa.int64())})
 
 
 def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: scores of all documents, those learned from and those held out."""
+    """Contract query: scores of all documents, those learned from and those held out.
+
+    Null texts are empty; repeated rows each get their row; an empty table gives none.
+    """
     return score_documents(table(spark, sf_dir, "documents"))
