@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, starts_of, table, text_of
+from .common import cut, fresh, let, starts_of, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -28,12 +28,12 @@ BASE = {
     "card": r"[0-9]++(?:[ -][0-9]++)*+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: Looser patterns, whose spans only the classifier can add.
+#: Looser patterns, whose spans only the classifier can add: what stands next to further digits, is written out, or has another layout.
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]{1,63}){1,4}|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{2,63}){1,4}",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9-])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9-])",
-    "phone": r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])|(?<![0-9+().-])00[1-9][0-9][ ().0-9-]{6,18}[0-9]",
+    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])|(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ .-][0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
+    "phone": r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])|(?<![0-9+().-])00[1-9][0-9][ ().0-9-]{6,18}[0-9]|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-][0-9]{4}(?![0-9])",
 }
 #: What a text has to hold for a pattern to be tried at all.
 GUARDS = {
@@ -44,25 +44,30 @@ GUARDS = {
 }
 LOOSE_GUARDS = {
     "email": lambda t: t.rlike(r"[(\[{]at[)\]}]| at [A-Za-z0-9-]+ dot "),
-    "ip": lambda t: t.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
-    "card": lambda t: t.rlike("3[47][0-9]{2}"),
-    "phone": lambda t: t.rlike("[0-9]{3}[ .-][0-9]{4}|00[1-9][0-9]"),
+    "ip": lambda t: t.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:|[0-9][(\[](?:\.|dot)[)\]][0-9]"),
+    "card": lambda t: t.rlike(r"[0-9]{13}|[0-9]{4}[ .-][0-9]{4,6}[ .-]"),
+    "phone": lambda t: t.rlike(r"[0-9]{3}[ .-][0-9]{4}|00[1-9][0-9]"),
 }
 
-#: Gazetteers: domain endings, calling codes, first digits of card issuers.
-ENDINGS = "com|org|net|edu|gov|info|io|co|de|fr|es|it|uk|eu|ch|at|be|nl|us|ca|mx|br|ar"
-CALLING = r"1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+#: Gazetteers (fixed values): domain endings, calling codes, first digits of card issuers.
+ENDINGS = (
+    "ac ad ae ai al am ar at au az ba bd be bg bh biz bo br by ca cat cc ch cl cloud club cn co com cr cu cy cz de dev dk do dz ec edu ee eg es eu example fi fm fr "
+    "gb ge gg gh gl gov gr gt hk hn hr hu id ie il im in info int io iq ir is it jm jo jp ke kg kh kr kw kz la lb li lk lt lu lv ly ma md me mil mk ml mm mn mo mobi mt mx my "
+    "name net ng ni nl no np nu nz om online org pa pe ph pk pl pr pro pt py qa ro rs ru sa sd se sg shop si site sk sn so store sv sy tech tel th tk tn to top tr tv tw tz "
+    "ua ug uk us uy uz va ve vn ws xyz ye za zm zw"
+).split()
+CALLING = r"1|7|2[07]|21[1-3689]|22[0-9]|23[0-9]|24[0-9]|25[0-8]|26[0-9]|29[0179]|3[0-469]|35[0-9]|37[0-9]|38[0-9]|4[013-9]|42[013]|5[1-8]|50[0-9]|59[0-9]|6[0-6]|67[0-9]|68[0-9]|69[0-2]|8[1246]|85[02356]|88[0-6]|9[0-58]|96[0-8]|97[0-7]|99[2-8]"
 ISSUERS = "3[0-9]|4|5[0-9]|6[0-9]|2[2-7]"
-#: Context: words that announce personal data, and words that announce other numbers.
+#: Context (fixed values): words that announce personal data, and words that announce other numbers.
 CUES = {
     "email": r"(?i)\b(?:e-?mails?|mailto|contact|correo|courriel|kontakt|write|reply)\b",
     "ip": r"(?i)\b(?:ips?|address|host|server|login|logged|client|adresse|direcci.n)\b",
     "card": r"(?i)\b(?:cards?|visa|master ?card|amex|credit|debit|payment|karte|carte|tarjeta)\b",
     "phone": r"(?i)\b(?:phones?|tel|telephone|call|mobile|cell|fax|whatsapp|telefon|t.l.phone|tel.fono|anruf)\b",
 }
-AGAINST = r"(?i)\b(?:version|ver|release|build|isbn|issn|doi|order|invoice|serial|ref|part|model|section|chapter)\b"
+AGAINST = r"(?i)\b(?:version|ver|release|build|isbn|issn|doi|order|invoice|serial|ref|part|model|section|chapter|token|key|hash|id)\b"
 
-LABELERS = ("pattern", "gazetteer", "context", "format")
+LABELERS = ("boundary", "gazetteer", "context", "format")
 #: Values of each feature of a candidate beside the votes: length, separators, what stands before and after.
 VALUES = 8
 FEATURES = ("length", "separators", "before", "after")
@@ -158,9 +163,9 @@ def votes(s: Column) -> list[Column]:
 
     def listed(kind: str) -> Column:
         if kind == "email":
-            return vote(plain.rlike(rf"\.(?:{ENDINGS})$"), ~plain.rlike(r"\.[a-z]{2,}$"))
+            return vote(plain.rlike(rf"\.(?:{'|'.join(ENDINGS)})$"), ~plain.rlike(r"\.[a-z]{2,}$"))
         if kind == "ip":
-            return vote(~text.rlike(r"^0*(?:0|10|127|22[4-9]|2[3-5][0-9])\."), text.rlike(r"^0*(?:0|127)\."))
+            return vote(~text.rlike(r"^0*(?:0|10|127|22[4-9]|2[3-5][0-9])[.:\[(]"), text.rlike(r"^0*(?:0|127)[.:\[(]"))
         if kind == "card":
             return vote(text.rlike(f"^(?:{ISSUERS})"), text.rlike("^[01789]"))
         return vote(text.rlike(rf"^(?:\+|00)(?:{CALLING})") | text.rlike(r"^\(?[2-9][0-9]{2}"), text.rlike(r"^\(?[01]"))
@@ -174,8 +179,10 @@ def votes(s: Column) -> list[Column]:
             return vote(luhn(digits(text)), F.length(F.regexp_replace(digits(text), "^(.)\\1*$", "")) == 0)
         return vote(n.between(10, 13), (n < 8) | (n > 15))
 
+    before, after = F.right(left, F.lit(1)), s["right"]
+    touches = before.rlike(r"[\p{L}\p{N}_@#\"'=/]") | after.rlike(r"[\p{L}\p{N}_@\"'=/]")
     return [
-        vote(s["base"], F.lit(False)),
+        vote((before.rlike(r"^[\s(\[{<,;:!?&*$%#|.]?$")) & (after.rlike(r"^[\s)\]}>,;:!?&*$%#|.]?$")), touches),
         by_kind(s, listed),
         by_kind(s, lambda kind: vote(left.rlike(CUES[kind]), left.rlike(AGAINST))),
         by_kind(s, formed),
@@ -257,34 +264,46 @@ def estimate(counts: dict[tuple[int, tuple[int, ...]], float], seen: dict[tuple[
     return Classifier(tuple(prior), tuple(vote_odds), tuple(feature_odds))
 
 
-def train(docs: DataFrame) -> Classifier:
-    """Learn from every candidate in ``docs``: one pass, counts only."""
-    base, loose = spans(F.col("t"))
-    rows = docs.select(text_of().alias("t")).select(base.alias("b"), loose.alias("l"))
-    rows = rows.where((F.size("b") > 0) | (F.size("l") > 0)).select(F.explode(F.concat("b", apart(F.col("l"), F.col("b")))).alias("s"))
+def candidates(text: Column) -> Column:
+    """Struct of ``base`` spans of a text and ``loose`` ones apart from them."""
+    base, loose = spans(text)
+    return let(base, lambda b: F.struct(b.alias("base"), apart(loose, b).alias("loose")))
+
+
+def learn(rows: DataFrame, column: str) -> Classifier:
+    """Learn from every candidate in a column of ``candidates``: one pass, counts only."""
+    c = F.col(column)
+    found = rows.where((F.size(c["base"]) > 0) | (F.size(c["loose"]) > 0)).select(F.explode(F.concat(c["base"], c["loose"])).alias("s"))
     s = F.col("s")
-    rows = rows.select(s["kind"].alias("kind"), F.array(*votes(s)).alias("p"), F.array(*features(s)).alias("f"))
-    rows = rows.select("kind", "p", F.posexplode("f").alias("j", "v"))
-    found = rows.groupBy("kind", "p", "j", "v").count().collect()
+    found = found.select(s["kind"].alias("kind"), F.array(*votes(s)).alias("p"), F.array(*features(s)).alias("f"))
+    found = found.select("kind", "p", F.posexplode("f").alias("j", "v"))
     counts: dict = defaultdict(float)
     seen: dict = defaultdict(float)
-    for r in found:
+    for r in found.groupBy("kind", "p", "j", "v").count().collect():
         seen[r.kind, tuple(r.p), r.j, r.v] += r["count"]
         if r.j == 0:
             counts[r.kind, tuple(r.p)] += r["count"]
     return estimate(counts, seen)
 
 
-def found_spans(model: Classifier, text: Column) -> Column:
-    """Struct of ``base`` and ``all`` spans of a text, each in order of kind, then start."""
-    base, loose = spans(text)
+def train(docs: DataFrame) -> Classifier:
+    """A classifier from the texts of ``docs``."""
+    return learn(docs.select(candidates(text_of()).alias("c")), "c")
+
+
+def decide(model: Classifier, found: Column) -> Column:
+    """Struct of ``base`` and ``all`` spans from ``candidates``, each in order of kind, then start."""
 
-    def with_base(b: Column) -> Column:
-        added = F.filter(apart(loose, b), lambda s: model.probability(s) >= THRESHOLD)
-        every = F.when(F.size(added) > 0, F.array_sort(F.concat(b, added))).otherwise(b)
-        return F.struct(b.alias("base"), every.alias("all"))
+    def with_added(added: Column) -> Column:
+        every = F.when(F.size(added) > 0, F.array_sort(F.concat(found["base"], added))).otherwise(found["base"])
+        return F.struct(found["base"].alias("base"), every.alias("all"))
 
-    return let(base, with_base)
+    return let(F.filter(found["loose"], lambda s: model.probability(s) >= THRESHOLD), with_added)
+
+
+def found_spans(model: Classifier, text: Column) -> Column:
+    """Struct of ``base`` and ``all`` spans of a text."""
+    return let(candidates(text), lambda c: decide(model, c))
 
 
 def listing(found: Column) -> Column:
@@ -311,23 +330,29 @@ def redact(text: Column, found: Column) -> Column:
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced and n_chars, where there is one, set anew.
 
-    Rows and other columns stay as they are; a null text stays null.
+    Rows and other columns, whatever their names, stay as they are; a null text
+    stays null; an empty table gives no rows. Texts are searched once: what is
+    found stands beside them in a written table.
     """
-    model = train(docs)
-    clean = F.when(F.col("text").isNotNull(), redact(F.col("text"), found_spans(model, F.col("text"))["all"]))
-    out = docs.withColumn("text", clean)
+    name = fresh(docs, "found")
+    rows = cut(docs.withColumn(name, candidates(text_of())), "pii")
+    model = learn(rows, name)
+    clean = F.when(F.col("text").isNotNull(), redact(F.col("text"), decide(model, F.col(name))["all"]))
+    out = rows.withColumn("text", clean).drop(name)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: personal data in every document.
 
-    Null texts are empty and hold nothing; repeated rows each get their row.
-    n_ columns count base spans.
+    Null texts are empty and hold nothing; repeated rows each get their row; an
+    empty table gives none. n_ columns count base spans, n_added what the
+    classifier adds.
     """
     docs = table(spark, sf_dir, "documents")
-    model = train(docs)
-    rows = docs.select("doc_id", text_of().alias("t")).select("doc_id", found_spans(model, F.col("t")).alias("x"))
+    rows = cut(docs.select("doc_id", candidates(text_of()).alias("c")), "pii")
+    model = learn(rows, "c")
+    rows = rows.select("doc_id", decide(model, F.col("c")).alias("x"))
     counts = [F.size(F.filter(F.col("x.base"), _is_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(listing(F.col("x.base")), 256).alias("base_sha256"), listing(F.col("x.all")).alias("spans"), (F.size("x.all") - F.size("x.base")).cast("long").alias("n_added"))
 
