@@ -63,7 +63,11 @@ TURNS = "array<struct<role:string,text:string>>"
 
 
 def canonical_turns(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS, rename_roles: bool = True) -> Column:
-    """Turns of a JSON record by the mapping that its fingerprint selects; null if none does."""
+    """Turns of a JSON record by the mapping that its fingerprint selects.
+
+    A record of an unknown shape, such as one with further fields, takes the
+    first mapping all of whose fields it has; null if there is none.
+    """
 
     def role_of(r: Column) -> Column:
         r = F.coalesce(r, F.lit(""))
@@ -78,8 +82,20 @@ def canonical_turns(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS, re
         each = F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(F.try_variant_get(record, p.rstrip("!"), "string"), F.lit("")).alias("text"), F.lit(p.endswith("!")).alias("keep")) for r, p in m.fields])
         return F.transform(F.filter(each, lambda x: x["keep"] | (x["text"] != "")), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
 
+    def fits(m: Mapping) -> Column:
+        if m.turns:
+            rows = F.try_variant_get(record, m.turns, f"array<struct<`{m.role}`:string,`{m.text}`:string>>")
+            return rows.isNotNull() & (F.size(rows) > 0) & F.forall(rows, lambda x: x[m.role].isNotNull() | x[m.text].isNotNull())
+        found = F.lit(True)
+        for _, path in m.fields:
+            found = found & F.try_variant_get(record, path.rstrip("!"), "string").isNotNull()
+        return found
+
     out = F.lit(None).cast(TURNS)
     mark = fingerprint(record)
+    # of mappings that fit, the one with the most fields comes first
+    for m in sorted(mappings, key=lambda m: len(m.fields)):
+        out = F.when(fits(m), turns_of(m)).otherwise(out)
     for m in mappings:
         out = F.when(mark == fingerprint(F.parse_json(F.lit(m.example))), turns_of(m)).otherwise(out)
     return out
@@ -131,24 +147,41 @@ def learned_text(formatted: Column, mask: Column) -> Column:
     return F.array_join(F.transform(mask, lambda s: unescape(F.decode(F.substring(data, s["start"].cast("int") + 1, s["size"].cast("int")), "UTF-8"))), "")
 
 
-def records(conversations: DataFrame) -> DataFrame:
-    """Rows by turn to one JSON record for each conversation, in messages layout.
+def records(conversations: DataFrame, layouts: bool = False) -> DataFrame:
+    """Rows by turn to one JSON record for each conversation, in messages layout or in those of several sources.
 
     Turns stand in order of turn, then role and text; a null turn comes first,
     a null text or role is empty, rows without a conv_id are one conversation.
+    With ``layouts`` a question and its answer become prompt and completion,
+    and a hash of the id spreads the others over the layouts that hold turns.
     """
     rows = F.array_sort(F.collect_list(F.struct(F.col("turn").isNotNull().alias("known"), F.coalesce(F.col("turn"), F.lit(0)).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))))
     grouped = conversations.groupBy("conv_id").agg(rows.alias("rows"))
-    messages = F.transform("rows", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-    return grouped.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+
+    def turns(role: str, text: str) -> Column:
+        return F.transform("rows", lambda x: F.struct(x["role"].alias(role), x["content"].alias(text)))
+
+    record = F.to_json(F.struct(turns("role", "content").alias("messages")))
+    if layouts:
+        kind = F.pmod(F.xxhash64("conv_id"), F.lit(3))
+        record = F.when(kind == 1, F.to_json(F.struct(turns("from", "value").alias("conversations")))).otherwise(record)
+        record = F.when(kind == 2, F.to_json(F.struct(F.struct(turns("speaker", "text").alias("turns")).alias("dialog")))).otherwise(record)
+        pair = (F.size("rows") == 2) & (F.get("rows", F.lit(0))["role"] == "user") & (F.get("rows", F.lit(1))["role"] == "assistant")
+        record = F.when(pair, F.to_json(F.struct(F.get("rows", F.lit(0))["content"].alias("prompt"), F.get("rows", F.lit(1))["content"].alias("completion")))).otherwise(record)
+    return grouped.select("conv_id", record.alias("record"))
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: digests of every conversation, read back from its formatted text."""
+    """Contract query: digests of every conversation, read back from its formatted text.
+
+    Records come in several layouts, as from several sources. Null texts and
+    roles are empty; rows that repeat are turns like others; rows without a
+    conv_id are one conversation.
+    """
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     probe = f"{STOP}{START}assistant ok"
     own = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
-    found = records(rows.unionByName(own)).select("conv_id", F.parse_json("record").alias("record"))
+    found = records(rows.unionByName(own), layouts=True).select("conv_id", F.parse_json("record").alias("record"))
     turns = found.select("conv_id", canonical_turns(F.col("record"), rename_roles=False).alias("turns"))
     out = format_chat(turns, "conv_id")
     out = out.select("conv_id", "formatted", read_back(F.col("formatted")).alias("back"), learned_text(F.col("formatted"), F.col("mask")).alias("learned"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, table, text_of
+from .common import WORD, cut, fresh, table, text_of
 
 #: Bits of the 60-bit hash that each histogram resolves; 60 / BITS rounds find a threshold.
 BITS, HASH_BITS = 12, 60
@@ -82,7 +82,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total: fl
     source nearer to its target. Rows that share that hash (repeated ids) take
     equal parts of what is left, in words, so that copies of one row can't
     overshoot. Empty and null texts have size 0; a null source is a source; a
-    source of size 0 takes nothing; reruns agree.
+    source of size 0 takes nothing; an empty table gives no rows; other columns
+    stay, whatever their names; reruns agree.
     """
     size, h = word_count(text_of()), id_hash(F.col("doc_id"))
     narrow = cut(docs.select("source", size.alias("size"), h.alias("h")), "mix")
@@ -90,20 +91,21 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total: fl
     goals = cut(targets(sizes, weights, total, most).withColumn("whole", F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))), "targets")
     ends = thresholds(narrow, goals.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget")))
     plan = goals.join(ends, goals["source"].eqNullSafe(ends["source"]), "left").drop(ends["source"])
-    plan = cut(plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns]), "mix-plan")
-    rows = docs.withColumn("size", size).withColumn("__h", h).join(plan, F.col("source").eqNullSafe(F.col("__source")))
-    c = {x: F.col(f"__{x}") for x in ("h", "low", "rest", "tie", "whole", "target", "source_size")} | {"size": F.col("size")}
+    named = {c: fresh(docs, f"mix_{c}") for c in (*plan.columns, "h")}
+    plan = cut(plan.select(*[F.col(c).alias(named[c]) for c in plan.columns]), "mix-plan")
+    rows = docs.withColumn("size", size).withColumn(named["h"], h).join(plan, F.col("source").eqNullSafe(F.col(named["source"])))
+    c = {x: F.col(named[x]) for x in ("h", "low", "rest", "tie", "whole", "target", "source_size")} | {"size": F.col("size")}
     at_end = F.when(c["tie"] > 1, F.least(F.floor(c["rest"] / c["tie"]), c["size"])).when(2 * c["rest"] >= c["size"], c["size"]).otherwise(0)
     # without an end the source is covered whole before its budget ends
     whole = F.when(c["target"] > c["whole"] * c["source_size"], c["size"]).otherwise(0)
     extra = F.when(c["low"].isNull(), whole).when(c["h"] < c["low"], c["size"]).when(c["h"] == c["low"], at_end).otherwise(0)
     taken = F.least(c["whole"] * c["size"] + extra, (most * c["size"]).cast("long")).cast("long")
     out = rows.withColumn("source_size", c["source_size"]).withColumn("target", c["target"]).withColumn("taken", taken)
-    return out.drop("__h", *plan.columns)
+    return out.drop(*named.values())
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: what the mix takes of every document."""
+    """Contract query: what the mix takes of every document; null texts have size 0, repeated rows each get their row."""
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 

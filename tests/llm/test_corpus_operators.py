@@ -60,6 +60,27 @@ def test_query_matches_sql(name, same_as_sql):
     same_as_sql(queries.QUERIES[name], queries.ORACLES[name])
 
 
+def test_columns_of_any_name_survive(spark, awkward):
+    names = ["__id", "__tie", "__digest", "__low", "__h", "keeper_id", "keeper_tie", "found", "mix_h", "mix_low", "mix_source", "component_id", "doc_ID_2"]
+    docs = awkward
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
+    for out, more in ((simhash.keep_one(docs), []), (decontaminate.remove_contaminated(docs, bench), []), (pii.redact_documents(docs), []), (quality.reject_low_quality(docs, labels), []), (mixing.mix(docs), ["source_size", "target", "taken"])):
+        assert out.columns == docs.columns + more
+        assert all(r[n] == n for r in out.collect() for n in names)
+    pages = spark.createDataFrame([(1, "http://a.com/", "x", "y")], "page_id long, url string, token string, best string")
+    assert urls.judge(pages, urls.default_rules()).count() == 1
+    assert ppm.score_documents(docs).count() == len(AWKWARD)
+
+
+def test_empty_tables(spark, empty):
+    assert pii.redact_documents(empty).count() == 0
+    assert empty.select(pii.found_spans(pii.train(empty), F.coalesce("text", F.lit("")))).count() == 0
+    assert urls.judge(spark.createDataFrame([], "page_id long, url string"), urls.default_rules()).count() == 0
+
+
 # 1 personal data
 
 
@@ -739,7 +760,12 @@ def test_layouts_come_out_as_one(spark):
     ]
     out = spark.createDataFrame([(x,) for x in told], "r string").select(chat.canonical_turns(F.parse_json("r")).alias("t")).collect()
     assert all([tuple(x) for x in r.t] == [("user", "q"), ("assistant", "a")] for r in out)
-    assert spark.range(1).select(chat.canonical_turns(F.parse_json(F.lit('{"other": 1}'))).alias("t")).first().t is None
+    more = ['{"id": 7, "prompt": "q", "completion": "a"}', '{"messages": [{"role": "user", "content": "q", "name": "x"}, {"role": "assistant", "content": "a"}], "lang": "en"}', '{"n": 1, "instruction": "q", "input": "", "output": "a"}']
+    out = spark.createDataFrame([(x,) for x in more], "r string").select(chat.canonical_turns(F.parse_json("r")).alias("t")).collect()
+    assert all([tuple(x) for x in r.t] == [("user", "q"), ("assistant", "a")] for r in out)
+    for x in ('{"other": 1}', '{"prompt": "q"}', '{"messages": []}', "3", "null"):
+        turns = spark.range(1).select(chat.canonical_turns(F.parse_json(F.lit(x))).alias("t")).first().t
+        assert not turns, x
 
 
 def test_chat_round_trip(spark):
@@ -763,6 +789,20 @@ def test_chat_uses_no_python(spark, sf_dir):
     assert not re.search("Python|Pandas|Arrow", run("op9_chat", spark, sf_dir)._jdf.queryExecution().toString())
 
 
+def test_layouts_of_records_give_the_same_turns(spark):
+    rows = [(k, t, "assistant" if t % 2 else "user", f"said {k} {t} é\"") for k in range(40) for t in range(1 + k % 5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [chat.records(df, layouts=x).select("conv_id", "record", chat.canonical_turns(F.parse_json("record"), rename_roles=False).alias("t")).collect() for x in (False, True)]
+    assert {r.conv_id: r.t for r in got[0]} == {r.conv_id: r.t for r in got[1]}
+    assert len({r.record.split(":")[0] for r in got[1]}) == 4
+
+
+def test_a_very_long_text_is_formatted(spark):
+    df = spark.createDataFrame([(1, 0, "assistant", LONG * 10)], "conv_id long, turn long, role string, text string")
+    turns = chat.records(df).select("conv_id", chat.canonical_turns(F.parse_json("record")).alias("turns"))
+    assert chat.format_chat(turns, "conv_id").select(chat.learned_text(F.col("formatted"), F.col("mask")).alias("x")).first().x == LONG * 10
+
+
 def test_chat_edge_rows(spark):
     rows = [(1, 1, "assistant", None), (1, 0, None, "x"), (1, 0, None, "x"), (None, None, None, None), (2, None, "user", ""), (2, 5, "assistant", "y")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
