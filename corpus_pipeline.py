@@ -24,22 +24,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject; null texts score as empty ones, repeats go together, an empty table gives no rows."""
     return quality.reject_low_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; null and empty texts are one group, of repeated rows one stays."""
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage; null texts are clean, repeats go together."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced; a null text stays null."""
     return pii.redact_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes; null and empty texts have no words and so aren't taken, a null source is a source."""
     return mixing.mix(docs).where("taken > 0")
 
 
