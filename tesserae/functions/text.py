@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = r"[\p{L}\p{N}]+"
@@ -44,10 +44,11 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
 
 
-def clean(html: Column, cap: int = 8000) -> Column:
-    """Visible text of markup, collapsed and capped; null if nothing is left."""
+def clean(html: Column, cap: int | None = None) -> Column:
+    """Visible text of markup, collapsed, capped if asked; null if nothing is left."""
     body = F.regexp_replace(F.regexp_replace(html, r"(?s)<script\b.*?</script>", " "), r"(?s)<style\b.*?</style>", " ")
-    return F.nullif(F.substring(collapse(unescape(strip_tags(body))), 1, cap), F.lit(""))
+    said = collapse(unescape(strip_tags(body)))
+    return F.nullif(said if cap is None else F.substring(said, 1, cap), F.lit(""))
 
 
 def content_stream(html: Column) -> Column:
@@ -86,6 +87,13 @@ def digit_signature(number: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.regexp_replace(number, "[^0-9]", ""), "")), "")
 
 
+def classes(rows: DataFrame, value: str, signature: Column, *within: str) -> DataFrame:
+    """``rows`` that share a signature with others: ``(*within, value, class, n_others)``, class the least of them."""
+    marked = rows.select(*within, value, signature.alias("_k"))
+    found = marked.groupBy(*within, "_k").agg(F.min(value).alias("class"), (F.count("*") - 1).alias("n_others")).where("n_others > 0")
+    return marked.join(found, [*within, "_k"]).select(*within, value, "class", "n_others")
+
+
 def letter_signature(word: Column) -> Column:
     return F.array_join(F.array_sort(F.split(word, "")), "")
 
@@ -124,10 +132,11 @@ def marker_family(text: Column) -> Column:
     )
 
 
-def text_windows(text: Column, size: int, overlap: int, most: int) -> Column:
-    """Overlapping windows by characters, at most ``most``."""
+def text_windows(text: Column, size: int, overlap: int, most: int | None = None) -> Column:
+    """Overlapping windows by characters, at most ``most`` if given."""
     step = size - overlap
-    count = F.least(F.lit(most), F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / F.lit(step)))).cast("int")
+    count = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / F.lit(step)))
+    count = (count if most is None else F.least(F.lit(most), count)).cast("int")
     return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, i * step + 1, size))
 
 

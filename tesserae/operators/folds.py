@@ -1,15 +1,13 @@
-"""Ordered folds over one document's rows: packing and outline repair.
-
-Each document is a group; groups are streamed to Arrow tasks that Spark has
-partitioned, and each fold is a short loop over one document.
-"""
+"""Ordered operations over one document's rows, and the order of jobs."""
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 
 def pack(elements: DataFrame, budget: int) -> DataFrame:
     """``elements(doc_id, ord, size)`` to ``(doc_id, ord, chunk)``: filled in order, no element split.
@@ -31,17 +29,16 @@ def pack(elements: DataFrame, budget: int) -> DataFrame:
 
 
 def legal_levels(entries: DataFrame) -> DataFrame:
-    """Outline levels clamped so that each rises by one at most; the first is 1."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ord")
-        last, out = 0, []
-        for level in rows["level"]:
-            last = max(1, min(level, last + 1))
-            out.append(last)
-        return rows.assign(legal=out)[["doc_id", "ord", "legal"]]
+    """Outline levels clamped so that each rises by one at most; the first is 1.
 
-    return entries.groupBy("doc_id").applyInPandas(fold, "doc_id bigint, ord int, legal int")
+    Level i becomes the least of level j plus the steps from j to i, so that a
+    running minimum says it without a loop.
+    """
+    w = Window.partitionBy("doc_id").orderBy("ord")
+    at = F.row_number().over(w)
+    level = F.greatest(F.col("level"), F.lit(1))
+    legal = F.least(at, F.min("_low").over(w.rowsBetween(Window.unboundedPreceding, 0)) + at)
+    return entries.withColumn("_low", level - at).select("doc_id", "ord", legal.cast("int").alias("legal"))
 
 
 def tiers(points: DataFrame, tolerance: float) -> DataFrame:
@@ -53,14 +50,22 @@ def tiers(points: DataFrame, tolerance: float) -> DataFrame:
 
 
 def assign_shards(jobs: DataFrame, shards: int) -> DataFrame:
-    """``jobs(job, pages)`` to shards in a snake over descending size: balanced without a running total.
+    """``jobs(job, pages)`` to shards in a snake over descending size, then job: balanced without a running total.
 
-    Ranks come from a range sort and per-range counts, so no task sees all jobs.
+    A job's place among all comes from a range sort, written down, and the
+    counts of its ranges, so that no task sees all jobs and any layout of the
+    table gives the same shards.
     """
     ordered = jobs.repartitionByRange(F.col("pages").desc(), "job").sortWithinPartitions(F.col("pages").desc(), "job")
-    rows = ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    rows = rows.withColumn("_i", F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)))
-    lap = F.floor(F.col("_i") / shards)
-    place = F.col("_i") % shards
-    shard = F.when(lap % 2 == 0, place).otherwise(shards - 1 - place)
-    return rows.select("job", "pages", F.pmod(shard + F.col("_p"), F.lit(shards)).cast("int").alias("shard"))
+    rows = ordered.select("job", "pages", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_i"))
+    rows = cut(rows, "jobs")
+    sizes = sorted((r["_p"], r["count"]) for r in rows.groupBy("_p").count().collect())
+    starts, total = [], 0
+    for p, n in sizes:
+        starts.append((p, total))
+        total += n
+    starts = jobs.sparkSession.createDataFrame(starts, "_p int, _start bigint")
+    place = F.col("_start") + F.col("_i")
+    lap, seat = F.floor(place / shards), place % shards
+    # one row a range of the sort
+    return rows.join(F.broadcast(starts), "_p").select("job", "pages", F.when(lap % 2 == 0, seat).otherwise(shards - 1 - seat).cast("int").alias("shard"))

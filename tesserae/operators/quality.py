@@ -55,11 +55,15 @@ def rare_word_presence(source: DataFrame, output: DataFrame, page: str = "page",
     return found.withColumn("present", F.col("n_found") >= share * F.col("n_words"))
 
 
-def window_containment(needles: DataFrame, hay: DataFrame, key: str) -> DataFrame:
-    """Share of distinct windows ``(key, w)`` that occur anywhere in ``hay(w)``: windows join as hashes."""
-    mine = needles.select(key, F.xxhash64("w").alias("h")).distinct()
-    there = hay.select(F.xxhash64("w").alias("h")).distinct().withColumn("there", F.lit(1))
-    joined = mine.join(there, "h", "left").groupBy(key).agg(F.count("*").alias("n_windows"), F.count("there").alias("n_found"))
+def window_containment(needles: DataFrame, hay: DataFrame, *keys: str) -> DataFrame:
+    """Share of distinct windows ``(keys, w)`` that occur anywhere in ``hay(w)``.
+
+    Windows join as hashes. Those of the needles meet the hay first, so that
+    only windows which some needle has are made distinct.
+    """
+    mine = needles.select(*keys, F.xxhash64("w").alias("h")).distinct()
+    there = hay.select(F.xxhash64("w").alias("h")).join(mine.select("h").distinct(), "h", "left_semi").distinct().withColumn("there", F.lit(1))
+    joined = mine.join(there, "h", "left").groupBy(*keys).agg(F.count("*").alias("n_windows"), F.count("there").alias("n_found"))
     return joined.withColumn("containment", F.round(F.col("n_found") / F.col("n_windows"), 6))
 
 

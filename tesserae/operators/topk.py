@@ -2,35 +2,81 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
-def dot(a: str | Column, b: str | Column, places: int = 6) -> Column:
-    """Dot product in double precision, rounded so that ranks don't depend on summation order."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.round(F.aggregate(products, F.lit(0.0), lambda s, x: s + x), places)
+#: Rows of a batch that are held against the queries at once.
+BLOCK = 2048
 
 
-def scored(rows: DataFrame, queries: DataFrame, id_col: str, scope: Column | None = None, most_queries: int = 10_000) -> DataFrame:
-    """Every row in scope against every query: ``(q, <rows>, score)``.
+def scored(rows: DataFrame, queries: DataFrame, id_col: str, most_queries: int = 10_000, keep: int | None = None, floor: int | None = None, group: str = "label") -> DataFrame:
+    """Rows against queries: ``(<queries but qvec>, <rows but embedding>, score)``, a row never against itself.
 
-    ``queries(q, qvec)`` is a stated set; it is broadcast while it has at most
-    ``most_queries`` rows and dealt out in slices of that size beyond. The scope
-    filter stands below the scoring, so results are exact within it.
+    ``queries(q, qvec, ...)`` is a stated set; it goes to the tasks in slices of
+    ``most_queries`` rows, each a matrix that meets the rows block by block.
+    The score is a dot product in double precision, rounded so that ranks don't
+    depend on summation order. With ``keep`` a batch passes on just what may be
+    among a query's best so many, with ``floor`` also among the best so many of
+    a ``group``; results stay exact.
     """
     count = queries.count()
     slices = max(1, -(-count // most_queries))
+    kinds = {f.name: f for f in (*queries.schema.fields, *rows.schema.fields) if f.name not in ("qvec", "embedding")}
+    schema = StructType([*kinds.values(), StructField("score", DoubleType())])
     parts = []
     for k in range(slices):
-        part = queries if slices == 1 else queries.where(F.pmod(F.xxhash64("q"), F.lit(slices)) == k)
-        on = scope if scope is not None else F.lit(True)
-        joined = rows.join(F.broadcast(part), on & (F.col(id_col) != F.col("q")))
-        parts.append(joined.withColumn("score", dot("embedding", "qvec")).drop("embedding", "qvec"))
+        asked = (queries if slices == 1 else queries.where(F.pmod(F.xxhash64("q"), F.lit(slices)) == k)).toArrow()
+        if asked.num_rows:
+            parts.append(rows.mapInArrow(_block_scores(asked, id_col, keep, floor, group), schema))
+    if not parts:
+        return rows.sparkSession.createDataFrame([], schema)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.withColumn("score", F.round("score", 6))
+
+
+def _block_scores(asked: pa.Table, id_col: str, keep: int | None, floor: int | None, group: str):
+    told = asked.drop_columns(["qvec"]).combine_chunks()
+    matrix = np.array(asked.column("qvec").to_pylist(), float)
+    own = asked.column("q").to_numpy()
+
+    def may_be_best(scores: np.ndarray, n: int) -> np.ndarray:
+        if len(scores) <= n:
+            return np.ones_like(scores, bool)
+        # rounding may make ties of what differs by less
+        return scores >= np.partition(scores, len(scores) - n, axis=0)[len(scores) - n] - 2e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                vectors = part.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(part.num_rows, -1)
+                scores = vectors @ matrix.T
+                other = part.column(id_col).to_numpy()[:, None] != own[None, :]
+                wanted = other
+                if keep is not None:
+                    ranked = np.where(other, scores, -np.inf)
+                    wanted = may_be_best(ranked, keep)
+                    if floor is not None:
+                        labels = part.column(group).to_numpy(zero_copy_only=False)
+                        for g in np.unique(labels):
+                            mine = np.flatnonzero(labels == g)
+                            wanted[mine] |= may_be_best(ranked[mine], floor)
+                    wanted &= other
+                r, q = np.nonzero(wanted)
+                rest = part.select([c for c in part.schema.names if c != "embedding"]).take(pa.array(r))
+                mine = told.take(pa.array(q)).combine_chunks().to_batches()
+                columns = list(mine[0].columns) if mine else [pa.array([], f.type) for f in told.schema]
+                yield pa.RecordBatch.from_arrays([*columns, *rest.columns, pa.array(scores[r, q])], [*told.schema.names, *rest.schema.names, "score"])
+
+    return run
 
 
 def top_k(hits: DataFrame, k: int, by: list[str], order: list[Column], rank: str = "rk") -> DataFrame:
@@ -41,10 +87,9 @@ def top_k(hits: DataFrame, k: int, by: list[str], order: list[Column], rank: str
 def top_k_with_floor(hits: DataFrame, k: int, floor: int, group: str, id_col: str) -> DataFrame:
     """Global top ``k`` of each query together with the top ``floor`` of each group, each row once, ranked anew."""
     order = [F.col("score").desc(), F.col(id_col)]
-    best = top_k(hits, k, ["q"], order).drop("rk")
-    each = top_k(hits, floor, ["q", group], order).drop("rk")
-    rows = best.unionByName(each).dropDuplicates(["q", id_col])
-    return rows.withColumn("rk", F.row_number().over(Window.partitionBy("q").orderBy(*order)))
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(*order))
+    rows = hits.withColumn("rk", rank).withColumn("_rl", F.row_number().over(Window.partitionBy("q", group).orderBy(*order)))
+    return rows.where((F.col("rk") <= k) | (F.col("_rl") <= floor)).drop("_rl").withColumn("rk", rank)
 
 
 def within_margin(hits: DataFrame, k: int, least: float, margin: float, id_col: str) -> DataFrame:

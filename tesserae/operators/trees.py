@@ -5,20 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
 
-def levels_to_root(nodes: DataFrame, key: str, parent: str, label: str, most: int = 12) -> DataFrame:
+
+def levels_to_root(nodes: DataFrame, key: str, parent: str, label: str) -> DataFrame:
     """Breadcrumb and depth of each node, by joins up the parent chain.
 
-    Rounds follow the tree's depth, at most ``most``; a cycle ends there. Each
-    round joins on the parent, so a node with many children is but a probe.
+    Rounds double the stretch of path that a row holds, so that they follow the
+    logarithm of the tree's depth; a parent that isn't there ends a path, and a
+    cycle raises.
     """
-    up = nodes.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.col(label).alias("_l"))
-    rows = nodes.select(key, F.col(parent).alias("_at"), F.array(F.col(label)).alias("path"))
+    rows = nodes.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.array(F.col(label)).alias("_path"))
+    known = rows.select(F.col("_k").alias("_p")).distinct()
+    rows = rows.join(known.withColumn("_there", F.lit(True)), "_p", "left").select("_k", F.when(F.col("_there"), F.col("_p")).alias("_p"), "_path")
+    rows = _doubled(rows, lambda own, up: F.concat(up, own))
+    return rows.select(F.col("_k").alias(key), F.array_join("_path", " > ").alias("breadcrumb"), F.size("_path").alias("depth"))
+
+
+def chain_roots(nodes: DataFrame) -> DataFrame:
+    """``nodes(id, parent)`` to ``(id, root, depth)``; a parent that isn't there ends a chain, and a cycle raises."""
+    known = nodes.select(F.col("id").alias("parent")).distinct().withColumn("_there", F.lit(True))
+    rows = nodes.join(known, "parent", "left").select(F.col("id").alias("_k"), F.when(F.col("_there"), F.col("parent")).alias("_p"))
+    rows = rows.withColumn("_path", F.struct(F.coalesce("_p", "_k").alias("at"), F.col("_p").isNotNull().cast("int").alias("n")))
+    rows = _doubled(rows, lambda own, up: F.struct(up["at"].alias("at"), (own["n"] + up["n"]).alias("n")))
+    return rows.select(F.col("_k").alias("id"), F.col("_path.at").alias("root"), F.col("_path.n").alias("depth"))
+
+
+def _doubled(rows: DataFrame, joined, most: int = 40) -> DataFrame:
+    """``rows(_k, _p, _path)``: each row's path joined with its parent's until no row has a parent, by pointer doubling."""
+    rows = cut(rows, "paths")
     for _ in range(most):
-        rows = rows.join(up, F.col("_at") == F.col("_k"), "left")
-        path = F.when(F.col("_k").isNotNull(), F.concat(F.array("_l"), "path")).otherwise(F.col("path"))
-        rows = rows.select(key, F.col("_p").alias("_at"), path.alias("path"))
-    return rows.select(key, F.array_join("path", " > ").alias("breadcrumb"), F.size("path").alias("depth"))
+        if rows.where("_p is not null").isEmpty():
+            return rows
+        up = rows.select(F.col("_k").alias("_p"), F.col("_p").alias("_pp"), F.col("_path").alias("_up"))
+        path = F.when(F.col("_up").isNotNull(), joined(F.col("_path"), F.col("_up"))).otherwise(F.col("_path"))
+        rows = cut(rows.join(up, "_p", "left").select("_k", F.col("_pp").alias("_p"), path.alias("_path")), "paths")
+    raise ValueError("parents form a cycle")
 
 
 def parents_by_level(sections: DataFrame, doc: str, most: int) -> DataFrame:

@@ -14,16 +14,17 @@ from .catalog import query
 #: The "output" of a document lacks every line whose place is 3 modulo 7.
 _SIDES = """
 WITH l AS (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ord FROM documents),
-a AS (SELECT doc_id, ord, unnest(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+')) AS token, generate_subscripts(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+'), 1) - 1 AS k FROM l),
+tk AS (SELECT doc_id, ord, unnest(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+')) AS token, generate_subscripts(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+'), 1) - 1 AS k FROM l),
+a AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord, k) - 1 AS pos FROM tk),
 b AS (SELECT * FROM a WHERE ord % 7 <> 3)
 """
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Source and output tokens; pos counts lines by thousands of words."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
-    a = docs.select("doc_id", "ord", F.posexplode(T.tokens(F.col("line"))).alias("k", "token"))
-    a = a.withColumn("pos", (F.col("ord").cast("bigint") * 100_000 + F.col("k")).cast("bigint"))
+    """Source and output tokens ``(doc_id, ord, k, token, pos)``: line, place in it, place in the document."""
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.transform(T.tokens(line), lambda t, k: F.struct(i.alias("ord"), k.alias("k"), t.alias("token"))))
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.flatten(lines)).alias("pos", "x"))
+    a = rows.select("doc_id", "x.ord", "x.k", "x.token", F.col("pos").cast("bigint").alias("pos"))
     return a, a.where("ord % 7 <> 3")
 
 
@@ -45,7 +46,7 @@ def extra_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("text_conservation_spans", _SIDES + """, s AS (SELECT doc_id, token, count(*) AS supply FROM b GROUP BY ALL),
-u AS (SELECT *, ord * 100000 + k AS pos, row_number() OVER (PARTITION BY doc_id, token ORDER BY ord, k) AS nth FROM a),
+u AS (SELECT *, row_number() OVER (PARTITION BY doc_id, token ORDER BY ord, k) AS nth FROM a),
 m AS (SELECT doc_id, pos FROM u LEFT JOIN s USING (doc_id, token) WHERE nth > coalesce(supply, 0)),
 g AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) <= 3 THEN 0 ELSE 1 END AS new FROM m),
 i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS span FROM g)
@@ -107,15 +108,15 @@ def shingle_containment_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query("relocation_ratio", _SIDES + """, w AS (SELECT doc_id, ord, list(token ORDER BY k) AS w FROM a WHERE ord % 7 = 3 GROUP BY ALL),
-n AS (SELECT DISTINCT doc_id * 1000 + ord AS span, unnest(list_transform(range(1, CAST(greatest(0, len(w) - 7) AS BIGINT) + 1), lambda i: array_to_string(w[i:i + 7], ' '))) AS s FROM w),
+n AS (SELECT DISTINCT doc_id, ord, unnest(list_transform(range(1, CAST(greatest(0, len(w) - 7) AS BIGINT) + 1), lambda i: array_to_string(w[i:i + 7], ' '))) AS s FROM w),
 h AS (SELECT DISTINCT unnest(list_transform(range(1, CAST(greatest(0, len(w) - 7) AS BIGINT) + 1), lambda i: array_to_string(w[i:i + 7], ' '))) AS s FROM (SELECT list(token ORDER BY k) AS w FROM b GROUP BY doc_id, ord))
-SELECT span, count(*) AS n_windows, count(h.s) AS n_found, round(count(h.s) / count(*), 6) AS containment FROM n LEFT JOIN h USING (s) GROUP BY span
+SELECT doc_id, CAST(ord AS INTEGER) AS ord, count(*) AS n_windows, count(h.s) AS n_found, round(count(h.s) / count(*), 6) AS containment FROM n LEFT JOIN h USING (s) GROUP BY doc_id, ord
 """)
 def relocation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dropped lines that stand somewhere else after all."""
     lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
-    w = lines.select((F.col("doc_id") * 1000 + F.col("ord")).alias("span"), "ord", F.explode(T.windows_of(T.tokens(F.col("line")), 8)).alias("w"))
-    return Q.window_containment(w.where("ord % 7 = 3"), w.where("ord % 7 <> 3"), "span")
+    w = lines.select("doc_id", "ord", F.explode(T.windows_of(T.tokens(F.col("line")), 8)).alias("w"))
+    return Q.window_containment(w.where("ord % 7 = 3"), w.where("ord % 7 <> 3"), "doc_id", "ord")
 
 
 @query("structure_profile", """
@@ -131,12 +132,12 @@ def structure_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("footnote_gaps", """
-WITH n AS (SELECT DISTINCT o_custkey AS doc, CAST(o_orderkey % 40 AS INTEGER) AS id FROM orders WHERE o_custkey < 400), r AS (SELECT doc, min(id) AS lo, max(id) AS hi, count(*) AS n FROM n GROUP BY doc HAVING count(*) >= 4), e AS (SELECT doc, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS id FROM r)
-SELECT doc, id FROM e WHERE (doc, id) NOT IN (SELECT (doc, id) FROM n)
+WITH n AS (SELECT DISTINCT o_custkey AS doc, CAST(o_orderkey % 40 AS INTEGER) AS id FROM orders), r AS (SELECT doc, min(id) AS lo, max(id) AS hi, count(*) AS n FROM n GROUP BY doc HAVING count(*) >= 4), e AS (SELECT doc, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS id FROM r)
+SELECT doc, id FROM e ANTI JOIN n USING (doc, id)
 """)
 def footnote_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers missing between a document's first and last note."""
-    n = read(spark, sf_dir, "orders").where("o_custkey < 400").select(F.col("o_custkey").alias("doc"), (F.col("o_orderkey") % 40).cast("int").alias("id")).distinct()
+    n = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), (F.col("o_orderkey") % 40).cast("int").alias("id")).distinct()
     r = n.groupBy("doc").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("n >= 4")
     return r.select("doc", F.explode(F.sequence("lo", "hi")).alias("id")).join(n, ["doc", "id"], "left_anti")
 
@@ -240,12 +241,12 @@ def row_split_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("page_states", """
-WITH p AS (SELECT doc_id, CAST(unnest(range(0, least(6, 1 + n_chars // 500))) AS INTEGER) AS page FROM documents), s AS (SELECT *, (doc_id + page) % 11 = 0 AS silent, (doc_id * 3 + page) % 7 = 0 AS flagged, (doc_id + 2 * page) % 5 = 0 AS blind FROM p)
+WITH p AS (SELECT doc_id, CAST(unnest(range(0, 1 + n_chars // 500)) AS INTEGER) AS page FROM documents), s AS (SELECT *, (doc_id + page) % 11 = 0 AS silent, (doc_id * 3 + page) % 7 = 0 AS flagged, (doc_id + 2 * page) % 5 = 0 AS blind FROM p)
 SELECT CASE WHEN silent THEN 'silent' WHEN flagged THEN 'flagged' WHEN blind THEN 'unvalidatable' ELSE 'ok' END AS state, count(*) AS n_pages, count(DISTINCT doc_id) AS n_docs FROM s GROUP BY 1
 """)
 def page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gravest state of each page, counted."""
-    pages = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.sequence(F.lit(0), F.least(F.lit(6), 1 + F.floor(F.col("n_chars") / 500)).cast("int") - 1)).alias("page"))
+    pages = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.sequence(F.lit(0), (1 + F.floor(F.col("n_chars") / 500)).cast("int") - 1)).alias("page"))
     d, p = F.col("doc_id"), F.col("page")
     state = F.when((d + p) % 11 == 0, "silent").when((d * 3 + p) % 7 == 0, "flagged").when((d + 2 * p) % 5 == 0, "unvalidatable").otherwise("ok")
     return pages.groupBy(state.alias("state")).agg(F.count("*").alias("n_pages"), F.count_distinct("doc_id").alias("n_docs"))
@@ -261,12 +262,12 @@ def validate_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("ragged_tables", """
-WITH cells AS (SELECT l_orderkey AS tbl, l_linenumber AS r, l_partkey % 3 + 1 AS span, l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_orderkey < 3000), w AS (SELECT tbl, r, CAST(sum(span) AS BIGINT) AS width FROM cells GROUP BY ALL)
+WITH cells AS (SELECT l_orderkey AS tbl, l_linenumber AS r, l_partkey % 3 + 1 AS span, l_partkey, l_suppkey, l_quantity FROM lineitem), w AS (SELECT tbl, r, CAST(sum(span) AS BIGINT) AS width FROM cells GROUP BY ALL)
 SELECT tbl, count(*) AS n_rows, count(DISTINCT width) AS n_widths, max(width) AS widest FROM w GROUP BY tbl HAVING count(DISTINCT width) > 1
 """)
 def ragged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables whose rows differ in logical width once spans are counted."""
-    cells = read(spark, sf_dir, "lineitem").where("l_orderkey < 3000").select(F.col("l_orderkey").alias("tbl"), F.col("l_linenumber").alias("r"), (F.col("l_partkey") % 3 + 1).alias("span"))
+    cells = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tbl"), F.col("l_linenumber").alias("r"), (F.col("l_partkey") % 3 + 1).alias("span"))
     w = cells.groupBy("tbl", "r").agg(F.sum("span").alias("width"))
     return w.groupBy("tbl").agg(F.count("*").alias("n_rows"), F.count_distinct("width").alias("n_widths"), F.max("width").alias("widest")).where("n_widths > 1")
 

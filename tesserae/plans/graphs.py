@@ -11,18 +11,14 @@ from .catalog import query
 
 #: Each line is a section whose level follows its place and length.
 _SECTIONS = """
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ord FROM documents WHERE lang <> 'en'),
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ord FROM documents),
 s AS (SELECT doc_id, CAST(ord AS INTEGER) AS ord, CASE WHEN ord = 0 THEN 1 ELSE 1 + CAST((ord + length(line)) % 3 AS INTEGER) END AS level, length(line) AS n FROM l)
 """
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sections that the SQL of section queries reads: those of documents in other languages than English."""
-    return sections_of(read(spark, sf_dir, "documents").where("lang <> 'en'"))
-
-
-def sections_of(docs: DataFrame) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
+    """A section for each line of each document."""
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
     level = F.when(F.col("ord") == 0, 1).otherwise(1 + (F.col("ord") + F.length("line")) % 3).cast("int")
     return lines.select("doc_id", "ord", level.alias("level"), F.length("line").cast("bigint").alias("n"))
 
@@ -34,15 +30,15 @@ def section_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("breadcrumbs", _SECTIONS + """, p AS (SELECT c.doc_id, c.ord, max(p.ord) AS parent FROM s c LEFT JOIN s p ON p.doc_id = c.doc_id AND p.ord < c.ord AND p.level < c.level GROUP BY ALL)
-SELECT a.doc_id * 100000 + a.ord AS id, coalesce('s' || c.ord || ' > ', '') || coalesce('s' || b.ord || ' > ', '') || 's' || a.ord AS breadcrumb, CAST(1 + (b.ord IS NOT NULL)::INT + (c.ord IS NOT NULL)::INT AS INTEGER) AS depth
+SELECT a.doc_id, a.ord, coalesce('s' || c.ord || ' > ', '') || coalesce('s' || b.ord || ' > ', '') || 's' || a.ord AS breadcrumb, CAST(1 + (b.ord IS NOT NULL)::INT + (c.ord IS NOT NULL)::INT AS INTEGER) AS depth
 FROM p a LEFT JOIN p b ON b.doc_id = a.doc_id AND b.ord = a.parent LEFT JOIN p c ON c.doc_id = b.doc_id AND c.ord = b.parent
 """)
 def breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path of each section from the top."""
     rows = trees.parents_by_level(sections(spark, sf_dir), "doc_id", 3)
-    base = F.col("doc_id") * 100_000
-    nodes = rows.select((base + F.col("ord")).alias("id"), (base + F.col("parent")).alias("up"), F.concat(F.lit("s"), F.col("ord").cast("string")).alias("label"))
-    return trees.levels_to_root(nodes, "id", "up", "label", 3)
+    key = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col("doc_id").alias("d"), F.col(c).cast("int").alias("o")))
+    nodes = rows.select(key("ord").alias("id"), key("parent").alias("up"), F.concat(F.lit("s"), F.col("ord").cast("string")).alias("label"))
+    return trees.levels_to_root(nodes, "id", "up", "label").select(F.col("id.d").alias("doc_id"), F.col("id.o").alias("ord"), "breadcrumb", "depth")
 
 
 @query("subtree_rows", _SECTIONS + ", u AS (SELECT a.doc_id, a.ord, coalesce(min(b.ord) - 1, (SELECT max(ord) FROM s z WHERE z.doc_id = a.doc_id)) AS until FROM s a LEFT JOIN s b ON b.doc_id = a.doc_id AND b.ord > a.ord AND b.level <= a.level GROUP BY a.doc_id, a.ord) SELECT u.doc_id, u.ord, CAST(until AS INTEGER) AS until, CAST(sum(t.n) AS BIGINT) AS n_chars FROM u JOIN s t ON t.doc_id = u.doc_id AND t.ord BETWEEN u.ord AND u.until GROUP BY ALL")
@@ -69,18 +65,19 @@ def section_lengths_over_own(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections(spark, sf_dir).select("doc_id", "ord", "level", (F.lead("ord").over(w) - F.col("ord")).alias("to_next"))
 
 
-_EDGES = "WITH e AS (SELECT DISTINCT o_custkey AS src, (o_orderkey * 7) % 1500 AS dst FROM orders WHERE o_orderkey % 5 = 0)\n"
+_EDGES = "WITH e AS (SELECT DISTINCT o_custkey AS src, (o_orderkey * 7) % 1500 AS dst FROM orders)\n"
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A citation graph over customers."""
-    return read(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("src"), ((F.col("o_orderkey") * 7) % 1500).alias("dst")).distinct()
+    return read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), ((F.col("o_orderkey") * 7) % 1500).alias("dst")).distinct()
 
 
-@query("citation_reverse", _EDGES + "SELECT dst AS key, count(*) AS n_cited_by, list_sort(list(src)) AS cited_by FROM e WHERE src <> dst GROUP BY dst")
+@query("citation_reverse", _EDGES + "SELECT dst AS key, src AS cited_by, count(*) OVER (PARTITION BY dst) AS n_cited_by FROM e WHERE src <> dst")
 def citation_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Who cites each key."""
-    return edges(spark, sf_dir).where("src <> dst").groupBy(F.col("dst").alias("key")).agg(F.count("*").alias("n_cited_by"), F.array_sort(F.collect_list("src")).alias("cited_by"))
+    """Who cites each key: a row for each, with their number; no list grows with a key's fame."""
+    rows = edges(spark, sf_dir).where("src <> dst").select(F.col("dst").alias("key"), F.col("src").alias("cited_by"))
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("n_cited_by")), "key")
 
 
 @query("ego_neighbourhood", _EDGES + ", b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), h0 AS (SELECT CAST(7 AS BIGINT) AS node), h1 AS (SELECT DISTINCT dst AS node FROM b JOIN h0 ON src = node WHERE dst NOT IN (SELECT node FROM h0)), h2 AS (SELECT DISTINCT dst AS node FROM b JOIN h1 ON src = node WHERE dst NOT IN (SELECT node FROM h0) AND dst NOT IN (SELECT node FROM h1)) SELECT node, 0 AS hops FROM h0 UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2")
@@ -104,17 +101,11 @@ def siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "ord", (F.count("*").over(Window.partitionBy("doc_id", "up")) - 1).alias("n_siblings"))
 
 
-@query("version_chain_roots", "WITH RECURSIVE p AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_custkey - 1 END AS parent FROM customer), r AS (SELECT id, parent, id AS root, 0 AS d FROM p WHERE parent IS NULL UNION ALL SELECT p.id, p.parent, r.root, d + 1 FROM p JOIN r ON p.parent = r.id) SELECT id, root, CAST(d AS INTEGER) AS depth FROM r")
+@query("version_chain_roots", "WITH RECURSIVE p AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_custkey - 1 END AS parent FROM customer), r AS (SELECT id, parent, id AS root, 0 AS d FROM p WHERE parent IS NULL OR parent NOT IN (SELECT id FROM p) UNION ALL SELECT p.id, p.parent, r.root, d + 1 FROM p JOIN r ON p.parent = r.id) SELECT id, root, CAST(d AS INTEGER) AS depth FROM r")
 def version_chain_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Root of each parent chain, by a recursive query with a stated limit."""
+    """Root and depth of each parent chain, however long."""
     k = F.col("c_custkey")
-    read(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 8 != 0, k - 1).alias("parent")).createOrReplaceTempView("tesserae_chain")
-    return spark.sql("""
-        WITH RECURSIVE r(id, root, depth) MAX RECURSION LEVEL 100 AS (
-          SELECT id, id, 0 FROM tesserae_chain WHERE parent IS NULL
-          UNION ALL SELECT p.id, r.root, r.depth + 1 FROM tesserae_chain p JOIN r ON p.parent = r.id WHERE r.depth < 90)
-        SELECT id, root, depth FROM r
-    """)
+    return trees.chain_roots(read(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 8 != 0, k - 1).alias("parent")))
 
 
 @query("part_lexicon", "WITH u AS (SELECT p_name AS name, p_brand AS letter, count(DISTINCT p_partkey) AS n FROM part GROUP BY ALL), t AS (SELECT *, sum(n) OVER (PARTITION BY name) AS total, row_number() OVER (PARTITION BY name ORDER BY n DESC, letter) AS rk FROM u) SELECT name, letter, n, round(n / total, 6) AS share FROM t WHERE rk = 1 AND n >= 3 AND n / total >= 0.05")
@@ -130,22 +121,22 @@ def part_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections packed in order into chunks of 512 tokens; an ordered fold that SQL doesn't have."""
     size = F.greatest(F.lit(1), F.floor(F.col("n") / 4)).cast("int")
-    return folds.pack(sections_of(read(spark, sf_dir, "documents")).select("doc_id", "ord", size.alias("size")), 512)
+    return folds.pack(sections(spark, sf_dir).select("doc_id", "ord", size.alias("size")), 512)
 
 
-@query("legal_outline_levels")
+@query("legal_outline_levels", _SECTIONS + ", e AS (SELECT doc_id, ord, level * 2 - 1 AS level, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS i FROM s) SELECT doc_id, ord, CAST(least(i, min(level - i) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) + i) AS INTEGER) AS legal FROM e")
 def legal_outline_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outline levels that never rise by more than one."""
-    return folds.legal_levels(sections_of(read(spark, sf_dir, "documents")).select("doc_id", "ord", (F.col("level") * 2 - 1).alias("level")))
+    return folds.legal_levels(sections(spark, sf_dir).select("doc_id", "ord", (F.col("level") * 2 - 1).alias("level")))
 
 
 @query("bullet_tiers")
 def bullet_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indentation tiers of a document, each measured from the last one kept."""
-    return folds.tiers(sections_of(read(spark, sf_dir, "documents")).select("doc_id", (F.col("n") % 40).cast("double").alias("x")), 6.0)
+    return folds.tiers(sections(spark, sf_dir).select("doc_id", (F.col("n") % 40).cast("double").alias("x")), 6.0)
 
 
-@query("shard_assignment")
+@query("shard_assignment", "WITH j AS (SELECT doc_id AS job, CAST(ceil(n_chars / 500.0) AS BIGINT) AS pages FROM documents), r AS (SELECT *, row_number() OVER (ORDER BY pages DESC, job) - 1 AS place FROM j) SELECT job, pages, CAST(CASE WHEN (place // 8) % 2 = 0 THEN place % 8 ELSE 7 - place % 8 END AS INTEGER) AS shard FROM r")
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs dealt to eight shards, largest first."""
     jobs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("job"), F.ceil(F.col("n_chars") / 500).alias("pages"))

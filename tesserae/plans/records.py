@@ -12,15 +12,14 @@ from .catalog import query
 #: Layout blocks, made from line items: a page, a height on it, a box, a kind.
 _BLOCKS = """
 WITH b AS (SELECT o_orderkey AS ord, o_custkey AS doc, CAST(o_orderkey % 9 AS INTEGER) AS page, CAST(o_orderkey * 37 % 1000 AS DOUBLE) AS y0, CAST(o_orderkey * 53 % 700 AS DOUBLE) AS x0,
-  CASE o_orderkey % 5 WHEN 0 THEN 'heading' WHEN 1 THEN 'list' WHEN 2 THEN 'table' ELSE 'text' END AS kind, o_orderpriority AS said FROM orders WHERE o_custkey < 300)
+  CASE o_orderkey % 5 WHEN 0 THEN 'heading' WHEN 1 THEN 'list' WHEN 2 THEN 'table' ELSE 'text' END AS kind, o_orderpriority AS said FROM orders)
 """
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     kind = F.when(k % 5 == 0, "heading").when(k % 5 == 1, "list").when(k % 5 == 2, "table").otherwise("text")
-    rows = read(spark, sf_dir, "orders").where("o_custkey < 300")
-    return rows.select(k.alias("ord"), F.col("o_custkey").alias("doc"), (k % 9).cast("int").alias("page"), (k * 37 % 1000).cast("double").alias("y0"), (k * 53 % 700).cast("double").alias("x0"), kind.alias("kind"), F.col("o_orderpriority").alias("said"))
+    return read(spark, sf_dir, "orders").select(k.alias("ord"), F.col("o_custkey").alias("doc"), (k % 9).cast("int").alias("page"), (k * 37 % 1000).cast("double").alias("y0"), (k * 53 % 700).cast("double").alias("x0"), kind.alias("kind"), F.col("o_orderpriority").alias("said"))
 
 
 @query("page_texts", _BLOCKS + "SELECT doc, page, string_agg(said, ' ' ORDER BY y0, ord) AS said, count(*) AS n FROM b GROUP BY doc, page")
@@ -100,7 +99,7 @@ def style_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Table markup, rendered from orders; the later version joins two cells of some rows.
 _HTML = """
 WITH c AS (SELECT o_custkey AS tbl, o_orderkey AS ord, '<tr><td>' || o_orderstatus || '</td><td colspan="' || (1 + o_orderkey % 2) || '">' || CAST(floor(o_totalprice) AS BIGINT) || '</td><td>' || o_orderpriority || '</td></tr>' AS tr,
-  CASE WHEN o_orderkey % 11 = 0 THEN '<tr><td>' || o_orderstatus || CAST(floor(o_totalprice) AS BIGINT) || '</td><td colspan="2">' || o_orderpriority || '</td></tr>' END AS merged FROM orders WHERE o_custkey < 200),
+  CASE WHEN o_orderkey % 11 = 0 THEN '<tr><td>' || o_orderstatus || CAST(floor(o_totalprice) AS BIGINT) || '</td><td colspan="2">' || o_orderpriority || '</td></tr>' END AS merged FROM orders),
 h AS (SELECT tbl, string_agg(tr, '' ORDER BY ord) AS before, string_agg(coalesce(merged, tr), '' ORDER BY ord) AS after FROM c GROUP BY tbl)
 """
 
@@ -109,7 +108,7 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, s, p = F.col("o_orderkey"), F.col("o_orderstatus"), F.floor("o_totalprice").cast("string")
     tr = F.concat(F.lit("<tr><td>"), s, F.lit('</td><td colspan="'), (1 + k % 2).cast("string"), F.lit('">'), p, F.lit("</td><td>"), "o_orderpriority", F.lit("</td></tr>"))
     merged = F.concat(F.lit("<tr><td>"), s, p, F.lit('</td><td colspan="2">'), "o_orderpriority", F.lit("</td></tr>"))
-    rows = read(spark, sf_dir, "orders").where("o_custkey < 200").select(F.col("o_custkey").alias("tbl"), k.alias("ord"), tr.alias("a"), F.when(k % 11 == 0, merged).otherwise(tr).alias("b"))
+    rows = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("tbl"), k.alias("ord"), tr.alias("a"), F.when(k % 11 == 0, merged).otherwise(tr).alias("b"))
     both = rows.groupBy("tbl").agg(F.array_sort(F.collect_list(F.struct("ord", "a", "b"))).alias("r"))
     return both.select("tbl", F.array_join(F.transform("r", lambda x: x["a"]), "").alias("before"), F.array_join(F.transform("r", lambda x: x["b"]), "").alias("after"))
 
@@ -288,10 +287,10 @@ def guidance_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("alert_rows", "SELECT 'ALERT:' || o_orderkey AS key, o_orderpriority AS said FROM orders WHERE o_orderkey % 50 = 0 UNION ALL SELECT 'ALERT:' || o_orderkey || '#a' || (i - 1), string_split(o_orderpriority, '-')[i] FROM orders, range(1, 4) r(i) WHERE o_orderkey % 50 = 0 AND i <= len(string_split(o_orderpriority, '-'))")
+@query("alert_rows", "SELECT 'ALERT:' || o_orderkey AS key, o_orderpriority AS said FROM orders UNION ALL SELECT 'ALERT:' || o_orderkey || '#a' || (i - 1), string_split(o_orderpriority, '-')[i] FROM orders, range(1, 4) r(i) WHERE i <= len(string_split(o_orderpriority, '-'))")
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary row for each alert and one for each part of its attachment."""
-    a = read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.concat(F.lit("ALERT:"), F.col("o_orderkey").cast("string")).alias("key"), F.col("o_orderpriority").alias("said"))
+    a = read(spark, sf_dir, "orders").select(F.concat(F.lit("ALERT:"), F.col("o_orderkey").cast("string")).alias("key"), F.col("o_orderpriority").alias("said"))
     parts = a.select("key", F.posexplode(F.split("said", "-")).alias("i", "part"))
     return a.unionByName(parts.select(F.concat("key", F.lit("#a"), F.col("i").cast("string")).alias("key"), F.col("part").alias("said")))
 
@@ -310,12 +309,12 @@ def citation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited.join(have, T.parent_key(F.col("cited")) == F.col("repaired"), "left")
 
 
-@query("index_rows", "SELECT n_name AS region, 'C:' || c_custkey AS key, left(c_name, 10) AS title, 'clause' AS kind FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 3 = 0 UNION ALL SELECT n_name, 'G:' || s_suppkey, left(s_name, 10), 'guidance' FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+@query("index_rows", "SELECT n_name AS region, 'C:' || c_custkey AS key, left(c_name, 10) AS title, 'clause' AS kind FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT n_name, 'G:' || s_suppkey, left(s_name, 10), 'guidance' FROM supplier JOIN nation ON n_nationkey = s_nationkey")
 def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clause and guidance rows of one index, titles capped."""
     nation = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("region"))
     row = lambda df, on, p, key, title, kind: df.join(nation, F.col(on) == F.col("n_nationkey")).select("region", F.concat(F.lit(p), F.col(key).cast("string")).alias("key"), F.substring(title, 1, 10).alias("title"), F.lit(kind).alias("kind"))
-    return row(read(spark, sf_dir, "customer").where("c_custkey % 3 = 0"), "c_nationkey", "C:", "c_custkey", "c_name", "clause").unionByName(row(read(spark, sf_dir, "supplier"), "s_nationkey", "G:", "s_suppkey", "s_name", "guidance"))
+    return row(read(spark, sf_dir, "customer"), "c_nationkey", "C:", "c_custkey", "c_name", "clause").unionByName(row(read(spark, sf_dir, "supplier"), "s_nationkey", "G:", "s_suppkey", "s_name", "guidance"))
 
 
 @query("promotion_plan", """

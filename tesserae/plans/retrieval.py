@@ -10,7 +10,7 @@ from ..sources.tables import read
 from .catalog import query
 
 #: The stated query set, and the labels of a scoped search.
-EVERY, SCOPE = 50, (0, 2, 4, 6)
+EVERY, SCOPE = 20, (0, 2, 4, 6)
 
 
 def queries_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,11 +18,12 @@ def queries_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("vec_id").alias("q"), F.col("embedding").alias("qvec"), F.col("label").alias("qlabel"))
 
 
-def hits(spark: SparkSession, sf_dir: str, scoped: bool) -> DataFrame:
-    rows = read(spark, sf_dir, "embeddings")
+def hits(spark: SparkSession, sf_dir: str, scoped: bool, keep: int | None = None, floor: int | None = None) -> DataFrame:
+    """Scores of all rows, or of those in scope, for each query; as many as are needed."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     if scoped:
         rows = rows.where(F.col("label").isin(*SCOPE))
-    return topk.scored(rows, queries_of(spark, sf_dir), "vec_id").select("q", "vec_id", "label", "qlabel", "score")
+    return topk.scored(rows, queries_of(spark, sf_dir), "vec_id", keep=keep, floor=floor).select("q", "vec_id", "label", "qlabel", "score")
 
 
 _HITS = """
@@ -30,7 +31,7 @@ WITH s AS (
   SELECT a.vec_id AS q, b.vec_id, b.label, a.label AS qlabel,
          round(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE))), 6) AS score
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id{scope}
-  WHERE a.vec_id % 50 = 0
+  WHERE a.vec_id % 20 = 0
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rk,
          row_number() OVER (PARTITION BY q, label ORDER BY score DESC, vec_id) AS rl FROM s
@@ -46,13 +47,13 @@ FROM r WHERE rk <= 8 OR rl <= 3
 """)
 def scoped_topk_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact search within a scope: the best eight, and three of each label at least."""
-    return topk.top_k_with_floor(hits(spark, sf_dir, True), 8, 3, "label", "vec_id").select("q", "vec_id", "label", "score", "rk")
+    return topk.top_k_with_floor(hits(spark, sf_dir, True, 8, 3), 8, 3, "label", "vec_id").select("q", "vec_id", "label", "score", "rk")
 
 
 @query("global_topk", _ALL + "SELECT q, vec_id, label, score, CAST(rk AS INTEGER) AS rk FROM r WHERE rk <= 10")
 def global_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact unscoped search; no floor applies."""
-    found = topk.top_k(hits(spark, sf_dir, False), 10, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    found = topk.top_k(hits(spark, sf_dir, False, 10), 10, ["q"], [F.col("score").desc(), F.col("vec_id")])
     return found.select("q", "vec_id", "label", "score", "rk")
 
 
@@ -62,7 +63,7 @@ FROM m WHERE score >= 0.2 AND score >= round(best - 0.15, 6) QUALIFY rk <= 5
 """)
 def margin_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links that score well enough and close to the best."""
-    return topk.within_margin(hits(spark, sf_dir, False), 5, 0.2, 0.15, "vec_id").select("q", "vec_id", "score", "rk")
+    return topk.within_margin(hits(spark, sf_dir, False, 5), 5, 0.2, 0.15, "vec_id").select("q", "vec_id", "score", "rk")
 
 
 @query("clear_lead", _ALL + """, two AS (SELECT q, vec_id, score, rk, lead(score) OVER (PARTITION BY q ORDER BY rk) AS second FROM r WHERE rk <= 2)
@@ -70,7 +71,7 @@ SELECT q, vec_id, score FROM two WHERE rk = 1 AND (second IS NULL OR round(score
 """)
 def clear_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best match, accepted only with a lead over the runner-up."""
-    return topk.clear_lead(hits(spark, sf_dir, False), 0.02, "vec_id").select("q", "vec_id", "score")
+    return topk.clear_lead(hits(spark, sf_dir, False, 2), 0.02, "vec_id").select("q", "vec_id", "score")
 
 
 @query("listwise_band_scores", _ALL + """
@@ -79,7 +80,7 @@ FROM r WHERE rk <= 20
 """)
 def listwise_band_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks of a listwise judgement as scores, split at its relevance mark."""
-    ranks = topk.top_k(hits(spark, sf_dir, False), 20, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    ranks = topk.top_k(hits(spark, sf_dir, False, 20), 20, ["q"], [F.col("score").desc(), F.col("vec_id")])
     return topk.band_scores(ranks, 6, 20).select("q", "vec_id", "rk", "band")
 
 
@@ -89,7 +90,7 @@ FROM r WHERE rk <= 25
 """)
 def cascade_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finalists of a cascade above one half, the tail below."""
-    ranks = topk.top_k(hits(spark, sf_dir, False), 25, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    ranks = topk.top_k(hits(spark, sf_dir, False, 25), 25, ["q"], [F.col("score").desc(), F.col("vec_id")])
     return topk.cascade_scores(ranks, 15).select("q", "vec_id", "rk", "cascade")
 
 
@@ -111,7 +112,7 @@ SELECT q, vec_id, max(score) AS score, count(*) AS n_lists FROM u GROUP BY ALL
 def union_keep_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw and expanded hit lists together, the best score of each row; raw hits never drop out."""
     order = [F.col("score").desc(), F.col("vec_id")]
-    ranked = topk.top_k(hits(spark, sf_dir, False), 30, ["q"], order)
+    ranked = topk.top_k(hits(spark, sf_dir, False, 30), 30, ["q"], order)
     raw = ranked.where("rk <= 10").select("q", "vec_id", "score")
     wide = ranked.where("label % 2 = 0").select("q", "vec_id", F.round(F.col("score") * 0.9, 6).alias("score"))
     return raw.unionByName(wide).groupBy("q", "vec_id").agg(F.max("score").alias("score"), F.count("*").alias("n_lists"))
@@ -122,7 +123,7 @@ SELECT q, vec_id, label, CAST(rk AS INTEGER) AS rk FROM d WHERE rk <= 10 OR nth
 """)
 def floor_after_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beyond the top, rows stay until their label has its floor."""
-    ranked = topk.top_k(hits(spark, sf_dir, True), 60, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    ranked = topk.top_k(hits(spark, sf_dir, True, 60), 60, ["q"], [F.col("score").desc(), F.col("vec_id")])
     nth = F.count("*").over(Window.partitionBy("q", "label").orderBy("rk").rowsBetween(Window.unboundedPreceding, 0))
     return ranked.withColumn("nth", nth).where("rk <= 10 or nth <= 4").select("q", "vec_id", "label", "rk")
 
@@ -133,7 +134,7 @@ SELECT q, vec_id, label, boosted, score, CAST(row_number() OVER (PARTITION BY q
 """)
 def named_first_bonus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the label that the query names come first; one kind of row has a bonus."""
-    ranked = topk.top_k(hits(spark, sf_dir, False), 40, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    ranked = topk.top_k(hits(spark, sf_dir, False, 40), 40, ["q"], [F.col("score").desc(), F.col("vec_id")])
     rows = ranked.withColumn("boosted", F.col("label") == F.col("qlabel")).withColumn("score", F.round(F.col("score") + F.when(F.col("label") == 3, 0.1).otherwise(0.0), 6))
     return topk.top_k(rows, 12, ["q"], [F.col("boosted").desc(), F.col("score").desc(), F.col("vec_id")], "place").select("q", "vec_id", "label", "boosted", "score", "place")
 
@@ -149,7 +150,7 @@ _METRICS = "count(*) AS n_queries, " + ", ".join(f"round(avg(CASE WHEN first <=
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best forty of each query, relevant where the label agrees."""
-    found = hits(spark, sf_dir, False)
+    found = hits(spark, sf_dir, False, 40)
     sizes = read(spark, sf_dir, "embeddings").groupBy("label").count()
     sizes = sizes.select(F.col("label").alias("qlabel"), (F.col("count") - 1).alias("n_relevant"))
     ranked = topk.top_k(found, 40, ["q"], [F.col("score").desc(), F.col("vec_id")])
@@ -174,7 +175,7 @@ SELECT count(*) FILTER (a AND b) AS n_both, count(*) FILTER (a AND NOT b) AS onl
 """)
 def head_to_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rankers side by side: which of them answers a query."""
-    found = hits(spark, sf_dir, True)
+    found = hits(spark, sf_dir, True, 3, 1)
     order = [F.col("score").desc(), F.col("vec_id")]
     right = F.bool_or(F.col("label") == F.col("qlabel"))
     a = topk.top_k(found, 3, ["q"], order).groupBy("q").agg(right.alias("a"))
@@ -202,7 +203,7 @@ SELECT q, n AS n_pooled, k AS n_found, round(k / n, 6) AS recall FROM good JOIN
 """)
 def pooled_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall against what two systems together find."""
-    found = hits(spark, sf_dir, False).withColumn("relevant", F.col("label") == F.col("qlabel"))
+    found = hits(spark, sf_dir, False, 10, 2).withColumn("relevant", F.col("label") == F.col("qlabel"))
     order = [F.col("score").desc(), F.col("vec_id")]
     best, each = topk.top_k(found, 10, ["q"], order), topk.top_k(found, 2, ["q", "label"], order)
     pool = best.select("q", "vec_id", "relevant").union(each.select("q", "vec_id", "relevant")).distinct()
@@ -216,7 +217,7 @@ FROM r CROSS JOIN (VALUES (5), (10), (20)) c(k) CROSS JOIN (VALUES (0.1::DOUBLE)
 """)
 def tuning_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ranking under a grid of settings: rows are scored once, whatever the grid's size."""
-    ranked = topk.top_k(hits(spark, sf_dir, False), 20, ["q"], [F.col("score").desc(), F.col("vec_id")])
+    ranked = topk.top_k(hits(spark, sf_dir, False, 20), 20, ["q"], [F.col("score").desc(), F.col("vec_id")])
     grid = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(t).alias("least_score")) for k in (5, 10, 20) for t in (0.1, 0.3)]))
     rows = ranked.withColumn("g", grid).where("rk <= g.k and score >= g.least_score")
     return rows.groupBy("g.k", "g.least_score").agg(F.count("*").alias("n_kept"), F.count_if(F.col("label") == F.col("qlabel")).alias("n_relevant"))

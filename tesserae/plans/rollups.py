@@ -362,12 +362,12 @@ def asof_section(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("page_range_attach", """
-WITH r AS (SELECT p_partkey AS chunk, p_size AS lo, p_size + CAST(p_partkey % 4 AS INTEGER) AS hi FROM part WHERE p_partkey < 300), p AS (SELECT s_suppkey AS note, CAST(s_suppkey % 50 AS INTEGER) AS page FROM supplier)
+WITH r AS (SELECT p_partkey AS chunk, p_size AS lo, p_size + CAST(p_partkey % 4 AS INTEGER) AS hi FROM part), p AS (SELECT s_suppkey AS note, CAST(s_suppkey % 50 AS INTEGER) AS page FROM supplier)
 SELECT chunk, note, page FROM r JOIN p ON page BETWEEN lo AND hi
 """)
 def page_range_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notes of a page with every chunk whose pages cover it."""
-    ranges = read(spark, sf_dir, "part").where("p_partkey < 300").select(F.col("p_partkey").alias("chunk"), F.col("p_size").alias("lo"), (F.col("p_size") + (F.col("p_partkey") % 4).cast("int")).alias("hi"))
+    ranges = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("chunk"), F.col("p_size").alias("lo"), (F.col("p_size") + (F.col("p_partkey") % 4).cast("int")).alias("hi"))
     notes = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("note"), (F.col("s_suppkey") % 50).cast("int").alias("page"))
     return tables.attach_ranges(notes, ranges, [], "page", "lo", "hi").select("chunk", "note", "page")
 

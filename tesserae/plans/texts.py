@@ -49,12 +49,11 @@ def attested_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("lang", "a", "b").agg(F.count("*").alias("n")).where("n >= 2")
 
 
-@query("anagram_candidates", _TOKENS + ", x AS (SELECT DISTINCT token, array_to_string(list_sort(string_split(token, '')), '') AS k FROM t WHERE lang = 'en' AND length(token) BETWEEN 4 AND 9) SELECT a.token AS token, b.token AS other FROM x a JOIN x b USING (k) WHERE a.token < b.token")
+@query("anagram_candidates", _TOKENS + ", x AS (SELECT DISTINCT lang, token, array_to_string(list_sort(string_split(token, '')), '') AS k FROM t WHERE length(token) >= 4) SELECT lang, token, min(token) OVER w AS class, count(*) OVER w - 1 AS n_others FROM x WINDOW w AS (PARTITION BY lang, k) QUALIFY n_others > 0")
 def anagram_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the same letters, joined on their sorted letters."""
-    words = doc_tokens(spark, sf_dir).where("lang = 'en'").where(F.length("token").between(4, 9)).select("token").distinct()
-    x = words.withColumn("k", T.letter_signature(F.col("token")))
-    return x.join(x.withColumnRenamed("token", "other"), "k").where("token < other").select("token", "other")
+    """Words of one language with the same letters, each with the first of its class; no pairs are made."""
+    words = doc_tokens(spark, sf_dir).where(F.length("token") >= 4).select("lang", "token").distinct()
+    return T.classes(words, "token", T.letter_signature(F.col("token")), "lang")
 
 
 @query("prefix_suggest", "WITH n AS (SELECT DISTINCT p_name AS title FROM part), p AS (SELECT title, left(title, k) AS prefix FROM n CROSS JOIN range(2, 16) r(k) WHERE k <= greatest(2, length(title))), r AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY length(title), title) AS rk FROM p) SELECT prefix, title, CAST(rk AS INTEGER) AS rk FROM r WHERE rk <= 3")
@@ -67,7 +66,7 @@ def prefix_suggest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BM25 = _LISTS + """, d AS (SELECT doc_id, w, len(w) AS dl FROM l), a AS (SELECT avg(dl) AS avgdl, count(*) AS n FROM d),
-q AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')[:8])) AS token FROM benchmark),
+q AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'))) AS token FROM benchmark),
 tf AS (SELECT doc_id, dl, token, count(*) AS f FROM (SELECT doc_id, dl, unnest(w) AS token FROM d) WHERE token IN (SELECT token FROM q) GROUP BY ALL),
 df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
 s AS (SELECT item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM q JOIN tf USING (token) JOIN df USING (token), a GROUP BY ALL)
@@ -75,47 +74,62 @@ SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDE
 """
 
 
-@query("bm25_topk", _BM25)
-def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lexical search: term frequencies of query words only, joined on the word."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("w")).withColumn("dl", F.size("w"))
-    stats = docs.agg(F.avg("dl").alias("avgdl"), F.count("*").alias("n"))
-    asked = read(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(F.slice(T.tokens(F.col("text")), 1, 8))).alias("token"))
-    rows = docs.select("doc_id", "dl", F.explode("w").alias("token")).join(asked.select("token").distinct(), "token", "left_semi")
-    tf = rows.groupBy("doc_id", "dl", "token").agg(F.count("*").alias("f"))
+def best_by_words(docs: DataFrame, asked: DataFrame, weight, with_shared: bool = False, k: int = 5) -> DataFrame:
+    """``docs(doc_id, w)`` and ``asked(item_id, token)`` to the ``k`` best documents of each item.
+
+    weight(n, df, f, dl) is what a shared word adds: all documents, those with
+    the word, its uses in this one and this one's length. Only rows of asked
+    words leave a document, counted; frequent words spread over the documents
+    that have them, for their few items are on every side.
+    """
+    docs = docs.withColumn("dl", F.size("w"))
+    n = docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    tf = docs.select("doc_id", "dl", F.explode("w").alias("token")).join(asked.select("token").distinct(), "token", "left_semi").groupBy("doc_id", "dl", "token").agg(F.count("*").alias("f"))
     df = tf.groupBy("token").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("f") * 2.2 / (F.col("f") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.col("avgdl")))
-    scores = asked.join(tf, "token").join(df, "token").crossJoin(F.broadcast(stats)).groupBy("item_id", "doc_id").agg(F.round(F.sum(weight), 6).alias("score"))
+    items = asked.join(df, "token").crossJoin(F.broadcast(n))
+    rows = tf.join(items, "token")
+    s = rows.groupBy("item_id", "doc_id").agg(F.round(F.sum(weight(F.col("n"), F.col("df"), F.col("f"), F.col("dl"))), 6).alias("score"), F.count("*").alias("n_shared"))
     w = Window.partitionBy("item_id").orderBy(F.col("score").desc(), "doc_id")
-    return scores.withColumn("rk", F.row_number().over(w)).where("rk <= 5")
+    best = s.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
+    return best.drop("rk") if with_shared else best.drop("n_shared")
+
 
+@query("bm25_topk", _BM25)
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lexical search with all words of each question."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("w"))
+    asked = read(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("token"))
+    return best_by_words(docs, asked, lambda n, df, f, dl: F.log(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / F.col("avgdl"))))
 
-@query("idf_overlap_topk", _TOKENS + """, dt AS (SELECT DISTINCT doc_id, token FROM t), df AS (SELECT token, count(*) AS df FROM dt GROUP BY token),
-q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM benchmark),
-s AS (SELECT item_id, doc_id, round(sum(ln(1 + (SELECT count(*) FROM documents) / df)), 6) AS score, count(*) AS n_shared FROM q JOIN dt USING (token) JOIN df USING (token) WHERE df <= 50 GROUP BY ALL)
+
+#: Words that say nothing about a subject (fixed values).
+STOP = ("the", "and", "of", "to", "in", "is", "it", "that", "on", "was", "for", "der", "die", "und", "le", "la", "et", "el", "de", "que")
+
+
+@query("idf_overlap_topk", _TOKENS + f""", dt AS (SELECT DISTINCT doc_id, token FROM t WHERE token NOT IN {STOP}), df AS (SELECT token, count(*) AS df FROM dt GROUP BY token), dl AS (SELECT doc_id, count(*) AS dl FROM dt GROUP BY doc_id),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS token FROM benchmark),
+s AS (SELECT item_id, doc_id, round(sum(ln(1 + (SELECT count(*) FROM documents) / df)) / (1 + ln(1 + any_value(dl))), 6) AS score, count(*) AS n_shared FROM q JOIN dt USING (token) JOIN df USING (token) JOIN dl USING (doc_id) GROUP BY ALL)
 SELECT item_id, doc_id, score, n_shared FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 5
 """)
 def idf_overlap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shared rare words, weighted by rarity, the best five documents of each item."""
-    dt = doc_tokens(spark, sf_dir).select("doc_id", "token").distinct()
-    n = read(spark, sf_dir, "documents").agg(F.count("*").alias("n_all"))
-    df = dt.groupBy("token").agg(F.count("*").alias("df")).where("df <= 50")
+    """Shared words weighted by rarity and by the document's length, the best five documents of each item.
+
+    Items are a stated set: their words go to each document's distinct words,
+    so scores are sums within one document and no word's rows meet in one task.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.filter(T.tokens(F.col("text")), lambda x: ~x.isin(*STOP))).alias("w"))
     asked = read(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("token"))
-    rows = asked.join(df, "token").join(dt, "token").crossJoin(F.broadcast(n))
-    s = rows.groupBy("item_id", "doc_id").agg(F.round(F.sum(F.log(1 + F.col("n_all") / F.col("df"))), 6).alias("score"), F.count("*").alias("n_shared"))
-    w = Window.partitionBy("item_id").orderBy(F.col("score").desc(), "doc_id")
-    return s.withColumn("rk", F.row_number().over(w)).where("rk <= 5").drop("rk")
+    return best_by_words(docs, asked, lambda n, df, f, dl: F.log(1 + n / df) / (1 + F.log(1 + dl)), with_shared=True)
 
 
 _UN = "replace(replace(replace(replace(replace(replace(replace({x}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 _CLEAN = "trim(regexp_replace(" + _UN.format(x="regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script\\b.*?</script>', ' ', 'g'), '(?s)<style\\b.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g')") + ", '[ \\t\\r\\n]+', ' ', 'g'))"
 
 
-@query("html_clean", f"SELECT page_id, nullif(left({_CLEAN}, 8000), '') AS body, length({_CLEAN}) AS n_chars FROM pages")
+@query("html_clean", f"SELECT page_id, nullif({_CLEAN}, '') AS body, length(nullif({_CLEAN}, '')) AS n_chars FROM pages")
 def html_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of pages."""
-    return read(spark, sf_dir, "pages").select("page_id", T.clean(F.col("html")).alias("body"), F.length(T.clean(F.col("html"), 100_000_000)).cast("bigint").alias("n_chars"))
+    return read(spark, sf_dir, "pages").select("page_id", T.clean(F.col("html")).alias("body")).withColumn("n_chars", F.length("body").cast("bigint"))
 
 
 @query("html_links", "WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS href FROM pages) SELECT page_id, href, count(*) AS n FROM l GROUP BY ALL")
@@ -152,26 +166,25 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", ext("^([a-z]+)://").alias("scheme"), ext("://([^/?#]*)").alias("host"), ext("://[^/?#]*(/[^?#]*)").alias("path"), F.nullif(ext("[?&]page=([^&#]*)"), F.lit("")).alias("page"))
 
 
-@query("numeric_tokens", "WITH n AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, unnest(regexp_extract_all('pays ' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) || ',000 or ' || CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '% of it', '[0-9][0-9,]*(?:\\.[0-9]+)?%?')) AS x FROM lineitem WHERE l_orderkey < 500) SELECT l_orderkey, replace(x, ',', '') AS number, count(*) AS n FROM n GROUP BY ALL")
+@query("numeric_tokens", "WITH n AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, unnest(regexp_extract_all('pays ' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) || ',000 or ' || CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '% of it', '[0-9][0-9,]*(?:\\.[0-9]+)?%?')) AS x FROM lineitem) SELECT l_orderkey, replace(x, ',', '') AS number, count(*) AS n FROM n GROUP BY ALL")
 def numeric_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of a text, normalised."""
     said = F.concat(F.lit("pays "), F.floor("l_extendedprice").cast("string"), F.lit(",000 or "), F.floor("l_quantity").cast("string"), F.lit("% of it"))
-    rows = read(spark, sf_dir, "lineitem").where("l_orderkey < 500").select("l_orderkey", F.explode(T.numeric_tokens(said)).alias("number"))
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", F.explode(T.numeric_tokens(said)).alias("number"))
     return rows.groupBy("l_orderkey", "number").agg(F.count("*").alias("n"))
 
 
-@query("number_transpositions", "WITH n AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS x FROM orders WHERE o_custkey BETWEEN 100 AND 999), k AS (SELECT x, array_to_string(list_sort(string_split(x, '')), '') AS k FROM n) SELECT a.x AS a, b.x AS b FROM k a JOIN k b USING (k) WHERE a.x < b.x")
+@query("number_transpositions", "WITH n AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS x FROM orders), k AS (SELECT x, array_to_string(list_sort(string_split(x, '')), '') AS digits FROM n WHERE length(x) >= 3) SELECT x AS number, min(x) OVER w AS class, count(*) OVER w - 1 AS n_others FROM k WINDOW w AS (PARTITION BY digits) QUALIFY n_others > 0")
 def number_transpositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers that differ by the order of their digits alone."""
-    n = read(spark, sf_dir, "orders").where("o_custkey between 100 and 999").select(F.col("o_custkey").cast("string").alias("a")).distinct()
-    k = n.withColumn("k", T.digit_signature(F.col("a")))
-    return k.join(k.withColumnRenamed("a", "b"), "k").where("a < b").select("a", "b")
+    """Numbers that differ by the order of their digits alone, each with the first of its class; no pairs are made."""
+    n = read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("number")).distinct().where(F.length("number") >= 3)
+    return T.classes(n, "number", T.digit_signature(F.col("number")))
 
 
-@query("window_chunks", "SELECT doc_id, CAST(i AS INTEGER) AS i, md5(substr(text, CAST(i * 2100 + 1 AS BIGINT), 2500)) AS digest FROM documents, range(0, 8) r(i) WHERE i < least(8, greatest(1, ceil((length(text) - 400) / 2100.0)))")
+@query("window_chunks", "SELECT doc_id, CAST(i AS INTEGER) AS i, md5(substr(text, CAST(i * 2100 + 1 AS BIGINT), 2500)) AS digest FROM (SELECT doc_id, text, unnest(range(0, CAST(greatest(1, ceil((length(text) - 400) / 2100.0)) AS BIGINT))) AS i FROM documents)")
 def window_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping windows of texts for embedding: 2,500 characters, 400 shared, the first eight."""
-    rows = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.text_windows(F.col("text"), 2500, 400, 8)).alias("i", "w"))
+    """Overlapping windows of whole texts for embedding: 2,500 characters, 400 shared."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.text_windows(F.col("text"), 2500, 400)).alias("i", "w"))
     return rows.select("doc_id", "i", F.md5("w").alias("digest"))
 
 
@@ -182,7 +195,7 @@ def line_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(T.plausible_title(F.col("line"))).alias("n_titles"), F.count_if(F.length("line") > 60).alias("n_long"), F.sum(T.token_estimate(F.col("line"))).alias("token_estimate"))
 
 
-_KEYS = "WITH k AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) WHEN 1 THEN chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) || '.' || (o_orderkey % 5) ELSE chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) || '.' || (o_orderkey % 5) || '(' || chr(CAST(97 + o_orderkey % 3 AS INTEGER)) || ')' END AS key FROM orders WHERE o_orderkey < 2000)\n"
+_KEYS = "WITH k AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) WHEN 1 THEN chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) || '.' || (o_orderkey % 5) ELSE chr(CAST(65 + o_orderkey % 4 AS INTEGER)) || (o_orderkey % 7) || '.' || (o_orderkey % 5) || '(' || chr(CAST(97 + o_orderkey % 3 AS INTEGER)) || ')' END AS key FROM orders)\n"
 
 
 def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +204,7 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = F.concat(F.char((65 + k % 4).cast("int")), (k % 7).cast("string"))
     mid = F.concat(top, F.lit("."), (k % 5).cast("string"))
     low = F.concat(mid, F.lit("("), F.char((97 + k % 3).cast("int")), F.lit(")"))
-    return read(spark, sf_dir, "orders").where("o_orderkey < 2000").select("o_orderkey", F.when(k % 3 == 0, top).when(k % 3 == 1, mid).otherwise(low).alias("key"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 3 == 0, top).when(k % 3 == 1, mid).otherwise(low).alias("key"))
 
 
 @query("clause_parents", _KEYS + "SELECT DISTINCT key, CASE WHEN ends_with(key, ')') THEN regexp_replace(key, '\\([^()]*\\)$', '') WHEN contains(key, '.') THEN regexp_replace(key, '\\.[^.]*$', '') END AS parent FROM k")
