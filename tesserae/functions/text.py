@@ -142,3 +142,80 @@ def text_windows(text: Column, size: int, overlap: int, most: int | None = None)
 
 def edge_prefixes(word: Column, least: int = 2, most: int = 15) -> Column:
     return F.transform(F.sequence(F.lit(least), F.greatest(F.lit(least), F.least(F.lit(most), F.length(word)))), lambda n: F.substring(word, 1, n))
+
+
+def heading_mark(title: Column) -> Column:
+    """Family of the number that a heading starts with: decimal, upper_alpha, paren_roman or paren_alpha.
+
+    A lone number needs its dot (dates and addresses begin with one), and a
+    trailing number makes the line an entry of a table of contents.
+    """
+    found = (
+        F.when(title.rlike(r"^([0-9]+(\.[0-9]+)+\.?|[0-9]+\.)\s+\S"), "decimal").when(title.rlike(r"^[A-Z]\.\s+\S"), "upper_alpha")
+        .when(title.rlike(r"^\([ivxlcdmIVXLCDM]{2,}\)\s*\S"), "paren_roman").when(title.rlike(r"^\([a-zA-Z]+\)\s*\S"), "paren_alpha")
+    )
+    return F.when(~title.rlike(" [0-9]{1,4}$"), found)
+
+
+def mark_depth(title: Column) -> Column:
+    """How deep a heading's number says that it is: its dotted parts, one for letters."""
+    mark = heading_mark(title)
+    return F.when(mark == "decimal", F.size(F.split(F.rtrim(F.regexp_extract(title, "^([0-9.]+)", 1), F.lit(".")), r"\."))).when(mark.isNotNull(), 1)
+
+
+def clean_markdown(line: Column) -> Column:
+    """A line without the marks of headings, notes, tags and tables."""
+    bare = F.regexp_replace(F.regexp_replace(line, "^#{1,6} +", ""), r"\[\^[0-9]+\]:?", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, "<[^>]*>", " "), r"\|", " "), "[ \t]+", " "))
+
+
+def linkify(text: Column) -> Column:
+    """Bare urls as markdown links, trailing punctuation left out."""
+    return F.regexp_replace(text, r"(^|[\s])(\(?)(https?://[^\s<>()\[\]\"]*[^\s<>()\[\]\".,;:!?])", "$1$2[$3]($3)")
+
+
+def normal_key(key: Column) -> Column:
+    """A clause key with brackets as dots: ``H1.6(a)`` is ``H1.6.a``."""
+    return F.trim(F.replace(F.replace(key, F.lit("("), F.lit(".")), F.lit(")"), F.lit("")), F.lit("."))
+
+
+def cited(citation: Column) -> Column:
+    """Place and clause keys of a citation such as ``Name Survey A3.1, B2 and C1``; null without any."""
+    pattern = r"(?i)^(.+?)\s+survey\s+(.*)$"
+    keys = F.transform(F.split(F.regexp_extract(citation, pattern, 2), "[,;]| and "), lambda x: F.rtrim(F.regexp_extract(F.trim(x), r"^([A-K][0-9][A-Za-z0-9_.()]*)", 1), F.lit(".")))
+    place = F.regexp_extract(citation, pattern, 1)
+    return F.when(place != "", F.struct(place.alias("place"), F.filter(keys, lambda x: x != "").alias("keys")))
+
+
+def path_key(path: Column) -> Column:
+    """The clause key of a file in a tree of parts: ``A-part/2.1-rules/2.1.2-more.md`` is ``A2.1.2``."""
+    part, name = F.substring(path, 1, 1), F.regexp_extract(path, "/([^/]*)$", 1)
+    above = F.coalesce(F.nullif(F.regexp_extract(path, r"^[^/]*/([0-9]+(?:\.[0-9]+)+)-[^/]*/", 1), F.lit("")), F.regexp_extract(path, r"^[^/]*/0*([0-9]+)-[^/]*/", 1))
+    return (
+        F.when(name.rlike("^(README|glossary)"), None).when(name.rlike(r"^[0-9]+(\.[0-9]+)+-"), F.concat(part, F.regexp_extract(name, r"^([0-9]+(?:\.[0-9]+)+)-", 1)))
+        .when(name.rlike(r"^\(?[a-z]{1,4}\)?[-.]") & (above != ""), F.concat(part, above, F.lit("("), F.regexp_extract(name, r"^\(?([a-z]{1,4})\)?[-.]", 1), F.lit(")")))
+        .when(name.startswith("00-"), F.concat(part, above)).when(name.rlike("^0*[0-9]+-"), F.concat(part, F.regexp_extract(name, "^0*([0-9]+)-", 1)))
+    )
+
+
+def like_contents(words: Column) -> Column:
+    """Do words read like a table of contents? At least eight, numbers among them, short ones mostly rising."""
+
+    def shape(w: Column) -> Column:
+        digits = F.filter(w, lambda x: x.rlike("^[0-9]+$"))
+        pages = F.transform(F.filter(digits, lambda x: F.length(x) <= 4), lambda x: x.cast("int"))
+        pairs = F.arrays_zip(F.slice(pages, 1, F.greatest(F.lit(0), F.size(pages) - 1)).alias("a"), F.slice(pages, 2, F.greatest(F.lit(0), F.size(pages) - 1)).alias("b"))
+        rising = F.size(F.filter(pairs, lambda p: p["b"] >= p["a"])) / F.greatest(F.lit(1), F.size(pages) - 1)
+        return (F.size(w) >= 8) & (F.size(digits) / F.greatest(F.lit(1), F.size(w)) >= 0.15) & (F.size(pages) >= 2) & (rising >= 0.4)
+
+    return let(words, shape)
+
+
+def heading_like(title: Column) -> Column:
+    """Does an entry read as a heading? Under ten words, no sentence's end, no small letter at its start."""
+    t = F.trim(title)
+    prose = (
+        (t == "") | (F.size(F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ")) >= 10) | t.rlike("[,;:]$") | (t.rlike(r"\.$") & ~t.rlike("^[0-9.]+$"))
+        | t.rlike("^[a-z]") | t.rlike(r"^\(?[a-z0-9ivx]{1,4}\)\s+[a-z]")
+    )
+    return ~prose
