@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from ..sources.shared import cut
 
 
-def levels_to_root(nodes: DataFrame, key: str, parent: str, label: str) -> DataFrame:
-    """Breadcrumb and depth of each node, by joins up the parent chain.
+def paths(nodes: DataFrame, key: str, parent: str, item: str) -> DataFrame:
+    """``(key, path)``: items from the top down to each node, by joins up the parent chain.
 
     Rounds double the stretch of path that a row holds, so that they follow the
     logarithm of the tree's depth; a parent that isn't there ends a path, and a
     cycle raises.
     """
-    rows = nodes.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.array(F.col(label)).alias("_path"))
+    rows = nodes.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.array(F.col(item)).alias("_path"))
     known = rows.select(F.col("_k").alias("_p")).distinct()
     rows = rows.join(known.withColumn("_there", F.lit(True)), "_p", "left").select("_k", F.when(F.col("_there"), F.col("_p")).alias("_p"), "_path")
-    rows = _doubled(rows, lambda own, up: F.concat(up, own))
-    return rows.select(F.col("_k").alias(key), F.array_join("_path", " > ").alias("breadcrumb"), F.size("_path").alias("depth"))
+    return _doubled(rows, lambda own, up: F.concat(up, own)).select(F.col("_k").alias(key), F.col("_path").alias("path"))
+
+
+def levels_to_root(nodes: DataFrame, key: str, parent: str, label: str) -> DataFrame:
+    """Breadcrumb and depth of each node."""
+    return paths(nodes, key, parent, label).select(key, F.array_join("path", " > ").alias("breadcrumb"), F.size("path").alias("depth"))
 
 
 def chain_roots(nodes: DataFrame) -> DataFrame:
@@ -31,10 +35,10 @@ def chain_roots(nodes: DataFrame) -> DataFrame:
     return rows.select(F.col("_k").alias("id"), F.col("_path.at").alias("root"), F.col("_path.n").alias("depth"))
 
 
-def _doubled(rows: DataFrame, joined, most: int = 40) -> DataFrame:
+def _doubled(rows: DataFrame, joined) -> DataFrame:
     """``rows(_k, _p, _path)``: each row's path joined with its parent's until no row has a parent, by pointer doubling."""
     rows = cut(rows, "paths")
-    for _ in range(most):
+    for _ in range(rows.count().bit_length() + 1):
         if rows.where("_p is not null").isEmpty():
             return rows
         up = rows.select(F.col("_k").alias("_p"), F.col("_p").alias("_pp"), F.col("_path").alias("_up"))
