@@ -6,7 +6,7 @@ import importlib
 from types import ModuleType
 
 #: Modules that register queries.
-MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs", "streams", "records", "suggest", "markup", "outline")
+MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs", "streams", "records", "suggest", "markup", "outline", "rules", "reads")
 
 
 def load_catalog() -> ModuleType:
