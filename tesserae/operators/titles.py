@@ -89,7 +89,7 @@ def suggest(questions: DataFrame, lexicon: DataFrame, pairs: DataFrame, least: f
         return any(word[:k] + word[k + 1] + word[k] + word[k + 2 :] == term for k in range(len(word) - 1))
 
     def repaired(words: list, seen: list) -> str | None:
-        known, now = {(p["a"], p["b"]) for p in seen or []}, [w["word"] for w in words]
+        known, now = {(p["a"], p["b"]) for p in (seen if seen is not None else [])}, [w["word"] for w in words]
         for k, w in enumerate(words):
             choices = [(c["term"], c["freq"], c["ratio"]) for c in (w["options"] if w["options"] is not None else [])]
             if not choices:

@@ -218,7 +218,7 @@ def furniture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.join(n, "doc_id").where("n >= 3 and k >= 0.5 * n").select("doc_id", "shape", F.round(F.col("k") / F.col("n"), 6).alias("share"))
 
 
-@query("split_punctuation", "WITH w AS (SELECT doc_id, unnest(string_split(replace(unnest(regexp_extract_all(lower(text || ' don''t re-use closed-ended'), '[\\p{L}\\p{N}''-]+')), '''', ''), '-')) AS token FROM documents) SELECT doc_id, count(*) FILTER (token <> '') AS n, count(DISTINCT token) FILTER (token <> '') AS n_distinct FROM w GROUP BY doc_id")
+@query("split_punctuation", "WITH r AS (SELECT doc_id, unnest(regexp_extract_all(lower(text || ' don' || chr(39) || 't re-use closed-ended'), '[\\p{L}\\p{N}' || chr(39) || '-]+')) AS w FROM documents), w AS (SELECT doc_id, unnest(string_split(replace(w, chr(39), ''), '-')) AS token FROM r) SELECT doc_id, count(*) FILTER (token <> '') AS n, count(DISTINCT token) FILTER (token <> '') AS n_distinct FROM w GROUP BY doc_id")
 def split_punctuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words without apostrophes, parted at hyphens, so that two spellings agree."""
     words = F.regexp_extract_all(F.lower(F.concat("text", F.lit(" don't re-use closed-ended"))), F.lit(r"([\p{L}\p{N}'-]+)"), 1)
