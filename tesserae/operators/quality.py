@@ -22,7 +22,17 @@ def multiset_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFram
 
 def word_coverage(source: DataFrame, output: DataFrame, least: float = 97.0) -> DataFrame:
     """Share of a document's words that its output has, counted as multisets."""
-    diff = multiset_difference(source, output, ["doc_id", "token"])
+    return coverage_of(multiset_difference(source, output, ["doc_id", "token"]), least)
+
+
+def marked_difference(rows: DataFrame, kept: Column, keys: list[str]) -> DataFrame:
+    """``multiset_difference`` of rows and of those of them that are ``kept``: one pass, one grouping."""
+    both = rows.groupBy(*keys).agg(F.count("*").alias("n_a"), F.count_if(kept).alias("n_b"))
+    return both.withColumn("missing", F.col("n_a") - F.col("n_b")).withColumn("extra", F.lit(0).cast("bigint"))
+
+
+def coverage_of(diff: DataFrame, least: float = 97.0) -> DataFrame:
+    """Coverage of each document from a multiset difference by document and word."""
     sums = diff.groupBy("doc_id").agg(F.sum("n_a").alias("n_source"), F.sum("missing").alias("n_missing"), F.sum("extra").alias("n_extra"))
     cover = F.round(100.0 * (F.col("n_source") - F.col("n_missing")) / F.greatest("n_source", F.lit(1)), 6)
     return sums.withColumn("coverage", cover).withColumn("ok", F.col("coverage") >= least)

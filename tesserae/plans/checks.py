@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import quality as Q
 from ..operators import tables
+from ..sources.shared import cut
 from ..sources.tables import read
 from .catalog import query
 
@@ -34,14 +35,15 @@ SELECT *, round(100.0::DOUBLE * (n_source - n_missing) / greatest(n_source, 1),
 """)
 def word_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of its source's words each output has."""
-    return Q.word_coverage(*sides(spark, sf_dir))
+    a, _ = sides(spark, sf_dir)
+    return Q.coverage_of(Q.marked_difference(a, F.col("ord") % 7 != 3, ["doc_id", "token"]))
 
 
 @query("extra_words", _SIDES + "SELECT token, CAST(count(*) AS BIGINT) AS n_lost FROM a WHERE ord % 7 = 3 GROUP BY token HAVING count(*) >= 20")
 def extra_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that outputs lose most often over the corpus."""
-    a, b = sides(spark, sf_dir)
-    diff = Q.multiset_difference(a, b, ["token"]).where("missing >= 20")
+    a, _ = sides(spark, sf_dir)
+    diff = Q.marked_difference(a, F.col("ord") % 7 != 3, ["token"]).where("missing >= 20")
     return diff.select("token", F.col("missing").alias("n_lost"))
 
 
@@ -92,8 +94,10 @@ def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def strip_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of documents without their common lines."""
     lines = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    common = lines.where("line <> ''").distinct().groupBy("line").count().where("count >= 4").select("line")
-    return lines.join(common, "line", "left_anti").groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.sum(F.length("line")).alias("n_chars"))
+    said, blank = lines.where("line <> ''"), lines.where("line = ''")  # a blank line is never common, and many: it joins nothing
+    common = said.distinct().groupBy("line").count().where("count >= 4").select("line")
+    kept = said.join(common, "line", "left_anti").select("doc_id", "line").unionByName(blank)
+    return kept.groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.sum(F.length("line")).alias("n_chars"))
 
 
 _W8 = "list_transform(range(1, CAST(greatest(0, len(w) - 7) AS BIGINT) + 1, {step}), lambda i: array_to_string(w[i:i + 7], ' '))"
@@ -282,16 +286,20 @@ def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Copies reduce to one representative. By the prefix rule a pair of that
     likeness shares one of the rarest fifth of either's shingles, so only
-    those go into the join; the likeness of candidates is then exact.
+    those go into the join; the likeness of candidates is then exact. Texts
+    become sets of hashes at once, written down for all uses; shingles of a
+    single text come first in the order and need no join.
     """
-    docs = read(spark, sf_dir, "documents").groupBy("text").agg(F.min("doc_id").alias("doc_id"))
-    w = docs.select("doc_id", T.tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
+    w = read(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("digest"), T.tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
     grams = F.when(F.size("w") < 5, F.array(F.array_join("w", " "))).otherwise(T.windows_of(F.col("w"), 5))
-    sets = w.select("doc_id", F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).alias("s")).withColumn("n", F.size("s"))
+    rows = cut(w.select("doc_id", "digest", F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).alias("s")), "shingles")
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    sets = cut(rows.join(first, ["digest", "doc_id"], "left_semi").select("doc_id", F.size("s").alias("n"), "s"), "shingle-sets")
     each = sets.select("doc_id", "n", F.explode("s").alias("g"))
-    freq = each.groupBy("g").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("doc_id").orderBy("df", "g")
-    head = each.join(freq, "g").withColumn("r", F.row_number().over(order)).where("r <= n - ceil(0.8 * n) + 1").where("df > 1")
+    freq = each.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
+    doc = Window.partitionBy("doc_id")
+    met = each.join(freq, "g").withColumn("r", F.row_number().over(doc.orderBy("df", "g")) + F.col("n") - F.count("*").over(doc))
+    head = met.where("r <= n - ceil(0.8 * n) + 1")
     a = head.select("g", F.col("doc_id").alias("a"), F.col("n").alias("na"))
     b = head.select("g", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     pairs = a.join(b, "g").where("a < b and least(na, nb) >= 0.8 * greatest(na, nb)").select("a", "b").distinct()

@@ -37,14 +37,14 @@ def run_complete(rows: DataFrame, tag: str) -> DataFrame:
     spark = rows.sparkSession
     path = new_path(spark, tag)
 
+    last: list[int] = []
+
     def replace(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{number:010d}")
+        last[:] = [number]
 
     rows.writeStream.foreachBatch(replace).outputMode("complete").option("checkpointLocation", f"{path}-log").trigger(availableNow=True).start().awaitTermination()
-    done = spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(path).withColumn("_f", F.input_file_name())
-    number = F.regexp_extract("_f", r"/(\d{10})/[^/]*$", 1)
-    last = done.agg(F.max(number)).first()[0]
-    return spark.read.schema(rows.schema).parquet(f"{path}/{last}")
+    return spark.read.schema(rows.schema).parquet(f"{path}/{last[0]:010d}") if last else spark.createDataFrame([], rows.schema)
 
 
 def tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,16 +87,24 @@ class Counters(StatefulProcessor):
 
 def worker_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counters of each worker, kept in a state store; the newest row of each."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    provider, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     rows = events_stream(spark, sf_dir, "40 days").withColumn("shard", F.col("user_id") % 8)
     out = rows.groupBy("shard").transformWithStateInPandas(Counters(), "shard bigint, n bigint, failed bigint", "Update", "None")
-    spark_path = new_path(spark, "stream-counters")
+    path = new_path(spark, "stream-counters")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{spark_path}/b={number}")
-
-    out.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{spark_path}-log").trigger(availableNow=True).start().awaitTermination()
-    done = spark.read.schema("shard bigint, n bigint, failed bigint, batch int").parquet(spark_path)
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/b={number}")
+
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, rocks)
+    try:
+        out.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{path}-log").trigger(availableNow=True).start().awaitTermination()
+    finally:  # the session keeps its own provider
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
+    done = spark.read.schema("shard bigint, n bigint, failed bigint, batch int").parquet(path)
     return done.groupBy("shard").agg(F.max_by("n", "batch").alias("n"), F.max_by("failed", "batch").alias("failed"))
 
 
