@@ -27,7 +27,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60, few: int = FEW)
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = keep(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = join_hot(links.select(F.col("v").alias("u"), F.col("u").alias("v")), least, "u", few=few, most=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = keep(large.where("u <> v").distinct(), "large")
+        large = keep(large.where("u <> v"), "large")  # at most the links before; one distinct a round will do
         low = keep(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = join_hot(large, low, "u", few=few, most=most).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         links = cut(small.where("u <> v").distinct(), "links")
