@@ -164,3 +164,18 @@ def test_section_folds_read_every_document(spark, tmp_path):
     for name in ("packed_chunks", "legal_outline_levels", "bullet_tiers"):
         found = load_catalog().QUERIES[name](spark, str(tmp_path))
         assert {r.doc_id for r in found.select("doc_id").collect()} == {1, 2, 3}, name
+
+
+def test_approximate_neighbours_find_nine_of_ten(spark, sf_dir):
+    from tesserae.plans import load_catalog
+
+    rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
+    found = {}
+    for r in load_catalog().QUERIES["lsh_neighbours"](spark, sf_dir).collect():
+        found.setdefault(r.q, set()).add(r.vec_id)
+    asked = [q for q in rows if q % 20 == 0]
+    hits = 0
+    for q in asked:
+        scores = {i: sum(a * b for a, b in zip(v, rows[q], strict=True)) for i, v in rows.items() if i != q}
+        hits += len(found.get(q, set()) & set(sorted(scores, key=lambda i: (-scores[i], i))[:10]))
+    assert hits >= 0.9 * 10 * len(asked)
