@@ -167,8 +167,6 @@ def test_section_folds_read_every_document(spark, tmp_path):
 
 
 def test_approximate_neighbours_find_nine_of_ten(spark, sf_dir):
-    from tesserae.plans import load_catalog
-
     rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
     found = {}
     for r in load_catalog().QUERIES["lsh_neighbours"](spark, sf_dir).collect():
