@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut, new_path, path_exists, shared_dir
 
-__all__ = ["WORD", "HashSet", "ascii_lower", "crc_mod5", "cut", "fresh", "join_hot", "let", "new_path", "path_exists", "shared_dir", "starts_of", "table", "text_of"]
+__all__ = ["WORD", "HashSet", "ascii_lower", "crc_mod5", "cut", "fresh", "join_hot", "let", "new_path", "path_exists", "shared_dir", "starts_of", "string_buffer", "table", "text_of", "text_slices"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -86,6 +90,26 @@ def join_hot(rows: DataFrame, found: DataFrame, key: str, how: str = "inner", fe
     return apart.unionByName(rest)
 
 
+def string_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of an Arrow string array, from 0, and its UTF-8 bytes; a null text has none."""
+    texts = pc.fill_null(texts, "") if texts.null_count else texts
+    _, offsets, data = texts.buffers()
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return offsets - offsets[0], whole[offsets[0] : offsets[-1]]
+
+
+def text_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows with at most ``size`` bytes of text, or a single row that has more."""
+    offsets, _ = string_buffer(batch.column(column))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 class HashSet:
     """A set of 64-bit hashes as a bit array of bounded size; a test may err on the side of yes.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, mixing, pii, ppm, quality, simhash, tokens, urls
+from . import chat, decontaminate, fingerprints, importance, mixing, pii, ppm, quality, simhash, tokens, urls
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_chat": chat.op9_chat,
     "op10_token_counts": tokens.op10_token_counts,
+    "op12_importance": importance.op12_importance,
 }
 
 ORACLES: dict[str, str] = {"op3_urls": urls.ORACLE, "op5_mix": mixing.ORACLE, "op9_chat": chat.ORACLE}
