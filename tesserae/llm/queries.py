@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprints, importance, mixing, pii, ppm, quality, simhash, tokens, urls
+from . import chat, decontaminate, divergence, fingerprints, importance, language, mixing, pii, ppm, quality, simhash, tokens, urls
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_chat": chat.op9_chat,
     "op10_token_counts": tokens.op10_token_counts,
+    "op11_language": language.op11_language,
     "op12_importance": importance.op12_importance,
+    "op13_divergence": divergence.op13_divergence,
 }
 
-ORACLES: dict[str, str] = {"op3_urls": urls.ORACLE, "op5_mix": mixing.ORACLE, "op9_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {"op3_urls": urls.ORACLE, "op5_mix": mixing.ORACLE, "op9_chat": chat.ORACLE, "op13_divergence": divergence.ORACLE}
