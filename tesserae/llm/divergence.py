@@ -50,25 +50,30 @@ QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, term)
 COUNTS = "lang string, source string, term string, n long, docs long"
 
 
+def done(con: duckdb.DuckDBPyConnection, sql: str) -> list[tuple]:
+    """Run a statement to its end."""
+    return con.execute(sql).fetchall()
+
+
 def engine() -> duckdb.DuckDBPyConnection:
     """An in-memory database for one task: one thread, bounded memory, no files."""
     con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": "", "preserve_insertion_order": False})
-    con.execute("CREATE MACRO p(unit, n, total) AS 1 + unit::HUGEINT * (n + 1) // total")
-    con.execute("CREATE MACRO f(p, q) AS (p - q) * (p - q) // q")
+    done(con, "CREATE MACRO p(unit, n, total) AS 1 + unit::HUGEINT * (n + 1) // total")
+    done(con, "CREATE MACRO f(p, q) AS (p - q) * (p - q) // q")
     return con
 
 
 def gathered(con: duckdb.DuckDBPyConnection, batches: Iterator[pa.RecordBatch]) -> None:
     """Sum ``batches`` of counts into the table ``counts``, summing up whenever as many rows again have come."""
-    con.execute("CREATE TEMP TABLE counts (lang VARCHAR, source VARCHAR, term VARCHAR, n BIGINT, docs BIGINT)")
+    done(con, "CREATE TEMP TABLE counts (lang VARCHAR, source VARCHAR, term VARCHAR, n BIGINT, docs BIGINT)")
     limit = HELD
     for batch in batches:
-        rows = pa.Table.from_batches([batch])  # noqa: F841 (read by DuckDB)
-        con.execute("INSERT INTO counts SELECT lang, source, term, n, docs FROM rows")
-        if con.execute("SELECT count(*) FROM counts").fetchone()[0] > limit:
-            con.execute(f"CREATE OR REPLACE TEMP TABLE counts AS {SUM.format('counts')}")
-            limit = 2 * max(HELD, con.execute("SELECT count(*) FROM counts").fetchone()[0])
-    con.execute(f"CREATE OR REPLACE TEMP TABLE counts AS {SUM.format('counts')}")
+        con.register("rows", pa.Table.from_batches([batch]))
+        done(con, "INSERT INTO counts SELECT lang, source, term, n, docs FROM rows")
+        if done(con, "SELECT count(*) FROM counts")[0][0] > limit:
+            done(con, f"CREATE OR REPLACE TEMP TABLE counts AS {SUM.format('counts')}")
+            limit = 2 * max(HELD, done(con, "SELECT count(*) FROM counts")[0][0])
+    done(con, f"CREATE OR REPLACE TEMP TABLE counts AS {SUM.format('counts')}")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -79,15 +84,15 @@ def term_counts(docs: DataFrame) -> DataFrame:
             made = 0
             for batch in batches:
                 for part in text_slices(batch, "text", 8 << 20):
-                    texts = pa.Table.from_batches([part]).append_column("k", pa.array(range(part.num_rows), pa.int64()))  # noqa: F841 (read by DuckDB)
-                    con.execute(("INSERT INTO counts " if made else "CREATE TEMP TABLE counts AS ") + COUNT)
-                    made = con.execute("SELECT count(*) FROM counts").fetchone()[0]
+                    con.register("texts", pa.Table.from_batches([part]).append_column("k", pa.array(range(part.num_rows), pa.int64())))
+                    done(con, ("INSERT INTO counts " if made else "CREATE TEMP TABLE counts AS ") + COUNT)
+                    made = done(con, "SELECT count(*) FROM counts")[0][0]
                     if made > HELD:
-                        yield from con.execute(SUM.format("counts")).fetch_record_batch()
-                        con.execute("DROP TABLE counts")
+                        yield from con.sql(SUM.format("counts")).to_arrow_reader()
+                        done(con, "DROP TABLE counts")
                         made = 0
             if made:
-                yield from con.execute(SUM.format("counts")).fetch_record_batch()
+                yield from con.sql(SUM.format("counts")).to_arrow_reader()
 
     return docs.mapInArrow(count, COUNTS)
 
@@ -98,7 +103,7 @@ def kept_terms(counts: DataFrame, shards: int, least: int) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with engine() as con:
             gathered(con, batches)
-            yield from con.execute(KEEP.format(least=least)).fetch_record_batch()
+            yield from con.sql(KEEP.format(least=least)).to_arrow_reader()
 
     return counts.repartition(shards, "lang", "term").mapInArrow(keep, "lang string, source string, term string, n long, whole long, leads boolean")
 
@@ -108,14 +113,14 @@ def compared(kept: DataFrame, shards: int, top: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with engine() as con:
-            con.execute("CREATE TEMP TABLE counts (lang VARCHAR, source VARCHAR, term VARCHAR, n BIGINT, whole BIGINT, n_group BIGINT, n_lang BIGINT, v BIGINT)")
+            done(con, "CREATE TEMP TABLE counts (lang VARCHAR, source VARCHAR, term VARCHAR, n BIGINT, whole BIGINT, n_group BIGINT, n_lang BIGINT, v BIGINT)")
             for batch in batches:
-                rows = pa.Table.from_batches([batch])  # noqa: F841 (read by DuckDB)
-                con.execute("INSERT INTO counts SELECT lang, source, term, n, whole, n_group, n_lang, v FROM rows")
-            con.execute(SHARES.format(unit=UNIT))
-            con.execute("DROP TABLE counts")
+                con.register("rows", pa.Table.from_batches([batch]))
+                done(con, "INSERT INTO counts SELECT lang, source, term, n, whole, n_group, n_lang, v FROM rows")
+            done(con, SHARES.format(unit=UNIT))
+            done(con, "DROP TABLE counts")
             for part, sql in (("pair", PAIRS), ("term", TERMS.format(top=top))):
-                for found in con.execute(sql).fetch_record_batch():
+                for found in con.sql(sql).to_arrow_reader():
                     yield pa.RecordBatch.from_arrays([pa.array([part] * found.num_rows, pa.string()), *found.columns], ["part", *found.schema.names])
 
     return kept.repartition(shards, "lang", "term").mapInArrow(compare, "part string, lang string, source string, item string, value long")
