@@ -1,103 +1,182 @@
-"""What a section lost against its source, and where it went: an ordered comparison of two token lists."""
+"""What a section lost against its source and where it went: runs of words meet by hash, one chain keeps them in order."""
 
 from __future__ import annotations
 
-from collections import defaultdict
-from difflib import SequenceMatcher
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of a gap worth reporting, of a window and its stride, and of a run that counts in ``covered``.
-LEAST, WINDOW, STRIDE, RUN = 6, 8, 4, 4
-#: Share of windows that make a gap relocated or found elsewhere, of tokens in units that make it restructured.
-MOVED, ELSEWHERE, UNITS = 0.6, 0.6, 0.5
-
-
-class Hay:
-    """Tokens in order, with the places of each run of RUN tokens."""
-
-    def __init__(self, tokens: list[str]) -> None:
-        self.tokens, self.places = tokens, defaultdict(list)
-        for k in range(len(tokens) - RUN + 1):
-            self.places[tuple(tokens[k : k + RUN])].append(k)
-
-    def longest(self, needle: list[str], at: int) -> int:
-        """Length of the longest run of the needle from ``at`` that stands here, 0 if it is under RUN."""
-        best = 0
-        for k in self.places.get(tuple(needle[at : at + RUN]), ()):
-            n = RUN
-            while at + n < len(needle) and k + n < len(self.tokens) and needle[at + n] == self.tokens[k + n]:
-                n += 1
-            best = max(best, n)
-        return best
-
-    def window_share(self, span: list[str]) -> float:
-        """Share of the span's windows that stand here whole."""
-        size = min(WINDOW, len(span))
-        if size < RUN:
-            text, hay = f" {' '.join(span)} ", f" {' '.join(self.tokens)} "
-            return float(text in hay)
-        starts = range(0, len(span) - size + 1, STRIDE)
-        return sum(self.longest(span, k) >= size for k in starts) / len(starts)
-
-    def covered(self, span: list[str]) -> float:
-        """Share of the span's tokens in longest runs that stand here, from left to right."""
-        at = total = 0
-        while at <= len(span) - RUN:
-            n = self.longest(span, at)
-            total, at = total + n, at + (n or 1)
-        return total / len(span) if span else 0.0
-
-
-def units_share(span: list[str], units: list[list[str]]) -> float:
-    """Share of the span's tokens that whole units account for."""
-    hay = f" {' '.join(span)} "
-    return min(1.0, sum(len(u) for u in units if f" {' '.join(u)} " in hay) / len(span)) if span else 0.0
-
-
-def section_gaps(source: list[str], output: list[str], whole: Hay, units: list[list[str]]) -> tuple[list[tuple], int, int]:
-    """``(start, n, bucket, ratio)`` of each gap, and how many source tokens the section kept and lacks."""
-    own, out, kept, absent = Hay(output), [], 0, 0
-    for tag, a, b, _, _ in SequenceMatcher(None, source, output, autojunk=False).get_opcodes():
-        if tag == "equal":
-            kept += b - a
-        elif tag != "insert":
-            absent += b - a
-            if b - a < LEAST:
-                continue
-            span = source[a:b]
-            tests = (("relocated", own.window_share(span), MOVED), ("elsewhere", whole.window_share(span), ELSEWHERE), ("restructured", units_share(span, units), UNITS), ("scattered", whole.covered(span), 0.9))
-            bucket, ratio = next(((name, x) for name, x, least in tests if x >= least), ("dropped" if tag == "delete" else "changed", whole.covered(span)))
-            out.append((a, b - a, bucket, round(ratio, 4)))
-    return out, kept, absent
+from ..functions.text import like_contents
+from ..sources.shared import cut
+from .chains import longest_chain
+
+#: Words of a gap worth a row (twice as many where other words stand instead), of a window and its stride, of a run. Fixed values.
+LEAST, WINDOW, STRIDE, RUN = 4, 8, 4, 4
+#: Shares that make a gap relocated (within its section), found elsewhere (in the whole output), restructured (in units). Fixed values.
+MOVED, ELSEWHERE, UNITS = 0.6, 0.9, 0.5
+#: A gap of so few words may have them anywhere; a unit has at least so many. Fixed values.
+REORDERED, SHORTEST_UNIT = 10, 3
+#: A hollow section: kept share at most, words of its body, share that another section holds, share of own text known to the source. Fixed values.
+HOLLOW_KEPT, HOLLOW_BODY, HOLLOW_HELD, HOLLOW_OWN = 0.15, 150, 0.6, 0.8
+
+#: Stands before and behind each section, so that its first and last words make whole runs.
+EDGE = "\0"
+AT = ["doc_id", "section"]
+
+
+def run_at(words: Column, order: Window, size: int) -> Column:
+    """Hash of the ``size`` words from a row on."""
+    return F.xxhash64(words, *[F.lead(words, k).over(order) for k in range(1, size)])
+
+
+def numbered(tokens: DataFrame) -> DataFrame:
+    """Tokens with ``i``, their number in the section, and ``n``, how many it has."""
+    by = Window.partitionBy("doc_id", "side", "section")
+    return tokens.select("doc_id", "side", "section", "token", (F.row_number().over(by.orderBy("pos")) - 1).alias("i"), F.count("*").over(by).alias("n"))
+
+
+def matched_runs(rows: DataFrame) -> DataFrame:
+    """``(doc_id, section, a, b)``: runs that a section's source and output have in the same order, edges included.
+
+    The k-th time a run occurs meets the k-th time it does on the other side,
+    counted from either end; of those the longest rising chain stays.
+    """
+    edge = rows.select("doc_id", "side", "section", "n").distinct().select("doc_id", "side", "section", F.lit(EDGE).alias("token"), F.explode(F.concat(F.sequence(F.lit(1 - RUN), F.lit(-1)).cast("array<bigint>"), F.transform(F.sequence(F.lit(0), F.lit(RUN - 2)), lambda k: F.col("n") + k))).alias("i"))
+    both = rows.select("doc_id", "side", "section", "token", F.col("i").cast("bigint").alias("i")).unionByName(edge)
+    order = Window.partitionBy("doc_id", "side", "section").orderBy("i")
+    both = both.withColumn("h", run_at(F.col("token"), order, RUN)).withColumn("whole", F.lead("i", RUN - 1).over(order).isNotNull()).where("whole")
+    same = Window.partitionBy("doc_id", "side", "section", "h")
+    both = both.withColumn("up", F.row_number().over(same.orderBy("i"))).withColumn("down", -F.row_number().over(same.orderBy(F.desc("i")))).withColumn("nth", F.explode(F.array("up", "down")))
+    left, right = (both.where(f"side = {s}").select("doc_id", "section", "h", "nth", F.col("i").alias(x)) for s, x in ((0, "a"), (1, "b")))
+    return longest_chain(left.join(right, ["doc_id", "section", "h", "nth"]).select("doc_id", "section", "a", "b").distinct(), AT)
+
+
+def source_gaps(rows: DataFrame) -> DataFrame:
+    """Source tokens with ``kept`` and, where they aren't, their gap: ``(doc_id, section, i, n, token, kept, first, size, replaced)``."""
+    chain = cut(matched_runs(rows), "gap-chain")
+    source = rows.where("side = 0").join(chain.select("doc_id", "section", F.col("a").alias("i"), "b"), ["doc_id", "section", "i"], "left")
+    # runs that begin before the first word belong to the edge
+    early = chain.where("a < 0").groupBy("doc_id", "section").agg(F.max(F.struct("a", "b")).alias("early"))
+    sizes = rows.where("side = 1").groupBy("doc_id", "section").agg(F.count("*").alias("n_out"))
+    late = chain.groupBy("doc_id", "section").agg(F.max(F.struct("a", "b")).alias("late"))
+    source = source.join(early, AT, "left").join(late, AT, "left").join(sizes, AT, "left").na.fill({"n_out": 0})
+    order = Window.partitionBy(*AT).orderBy("i")
+    back, on = order.rowsBetween(1 - RUN, 0), order.rowsBetween(Window.unboundedPreceding, 0)
+    kept = F.coalesce(F.max("b").over(back).isNotNull(), F.lit(False)) | (F.col("i") < F.coalesce(F.col("early.a") + RUN, F.lit(0)))
+    source = source.withColumn("kept", kept).withColumn("new", F.when(F.col("kept") | F.coalesce(F.lag("kept").over(order), F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(on))
+    # output words between the matches on either side say that the gap was replaced
+    before = F.coalesce(F.last(F.col("b") + RUN, ignorenulls=True).over(on), F.greatest(F.col("early.b") + RUN, F.lit(0)), F.lit(0))
+    after = F.coalesce(F.first("b", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)), F.col("n_out"))
+    source = source.withColumn("replaced", F.least(after, F.col("n_out")) > before)
+    gap = Window.partitionBy(*AT, "run")
+    return source.select(*AT, "i", "n", "token", "kept", F.min("i").over(gap).alias("first"), F.count("*").over(gap).alias("size"), "replaced")
+
+
+def output_runs(rows: DataFrame, sizes: range) -> DataFrame:
+    """Runs of the output by hash: ``(doc_id, section, size, h)``, section null where a run goes beyond its own."""
+    order = Window.partitionBy("doc_id").orderBy("section", "i")
+    found = F.array(*[F.when(F.lead("i", k - 1).over(order).isNotNull(), F.struct(F.lit(k).alias("size"), run_at(F.col("token"), order, k).alias("h"), F.when(F.lead("section", k - 1).over(order) == F.col("section"), F.col("section")).alias("section"))) for k in sizes])
+    out = rows.where("side = 1").withColumn("found", found).select("doc_id", F.explode("found").alias("r")).where("r is not null")
+    return out.select("doc_id", "r.section", "r.size", "r.h")
+
+
+def windows(spans: DataFrame) -> DataFrame:
+    """Windows of ``spans(doc_id, section, first, words)``: ``(doc_id, section, first, k, size, h)``; a short span is one window."""
+    size = F.least(F.size("words"), F.lit(WINDOW))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)), F.lit(STRIDE))
+    cuts = spans.select("doc_id", "section", "first", size.alias("size"), F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.slice("words", k, size).alias("words")))).alias("w"))
+    # the same hash as a run of so many columns has
+    hashes = F.lit(None).cast("bigint")
+    for k in range(RUN, WINDOW + 1):
+        hashes = F.when(F.col("size") == k, F.xxhash64(*[F.get("w.words", j) for j in range(k)])).otherwise(hashes)
+    return cuts.select("doc_id", "section", "first", F.col("w.k").alias("k"), "size", hashes.alias("h"))
+
+
+def unit_shares(spans: DataFrame, units: DataFrame) -> DataFrame:
+    """``(doc_id, section, first, units_share)``: words of a span in units that stand in it whole, each unit once."""
+    head = lambda at: F.xxhash64(*[F.get("words", at + j) for j in range(SHORTEST_UNIT)])
+    known = units.where(F.size("words") >= SHORTEST_UNIT).distinct().select("doc_id", F.col("words").alias("unit"), F.xxhash64(*[F.get("words", j) for j in range(SHORTEST_UNIT)]).alias("h"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - SHORTEST_UNIT, F.lit(0)))
+    asked = spans.select("doc_id", "section", "first", "words", F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), head(k).alias("h")))).alias("r"))
+    met = asked.select("doc_id", "section", "first", "words", "r.k", "r.h").join(known, ["doc_id", "h"]).where(F.slice("words", F.col("k") + 1, F.size("unit")) == F.col("unit"))
+    once = met.select("doc_id", "section", "first", F.size("words").alias("n"), "unit").distinct()
+    return once.groupBy("doc_id", "section", "first").agg(F.least(F.lit(1.0), F.sum(F.size("unit")) / F.first("n")).alias("units_share"))
+
+
+def covered(words: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
+    """``(*keys, covered)``: the share of each list's words in runs that ``known(doc_id, h)`` has."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - RUN, F.lit(0)))
+    runs = words.where(F.size("words") >= RUN).select(*keys, F.size("words").alias("n"), F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.xxhash64(*[F.get("words", k + j) for j in range(RUN)]).alias("h")))).alias("r"))
+    met = runs.select(*keys, "n", "r.k", "r.h").join(known, ["doc_id", "h"], "left_semi")
+    # each run adds what the one before it doesn't cover
+    step = F.least(F.lit(RUN), F.col("k") - F.coalesce(F.lag("k").over(Window.partitionBy(*keys).orderBy("k")), F.lit(-RUN)))
+    return met.withColumn("step", step).groupBy(*keys).agg((F.sum("step") / F.first("n")).alias("covered"))
 
 
 def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
     """``tokens(doc_id, side, section, pos, token)`` and ``units(doc_id, words)`` to gaps by section.
 
-    ``(doc_id, section, start, n, bucket, ratio, retention)``; a section without
-    a gap has one row of bucket ``none``. side 0 is the source, 1 the output. A
-    task compares one document at a time.
+    ``(doc_id, section, start, n, bucket, ratio, retention)``; side 0 is the
+    source, 1 the output. A gap is a row of source words in no run that the
+    section's output has in the same order. One that was deleted is, by the
+    first rule that holds: ``relocated`` (most windows in its own section),
+    ``elsewhere`` (nearly all of them in the whole output), ``restructured``
+    (whole units make up half), ``elsewhere`` (runs cover nearly all, or it is
+    short and every word is there), ``restructured`` (rows of a table of
+    contents), else ``dropped``. One in whose place other words stand is
+    ``changed``, from twice the size. retention is the share of its words that
+    a section kept; one without a gap has one row of bucket ``none``.
     """
-
-    def compare(key: tuple, rows: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["section", "pos"])
-        sides = {s: {k: g["token"].tolist() for k, g in part.groupby("section")} for s, part in rows.groupby("side")}
-        source, output = sides.get(0, {}), sides.get(1, {})
-        whole, listed = Hay([t for k in sorted(output) for t in output[k]]), [list(w) for w in cells["words"]]
-        out = []
-        for section, mine in source.items():
-            gaps, kept, absent = section_gaps(mine, output.get(section, []), whole, listed)
-            share = round(kept / max(1, kept + absent), 4)
-            out += [(key[0], section, *g, share) for g in gaps or [(0, 0, "none", 0.0)]]
-        return pd.DataFrame(out, columns=["doc_id", "section", "start", "n", "bucket", "ratio", "retention"])
-
-    return tokens.groupBy("doc_id").cogroup(units.groupBy("doc_id")).applyInPandas(compare, "doc_id bigint, section int, start int, n int, bucket string, ratio double, retention double")
-
-
-def hollow(gaps: DataFrame, sizes: DataFrame, kept: float = 0.15, body: int = 150) -> DataFrame:
-    """Sections of ``sizes(doc_id, section, n_tokens)`` with a body of which hardly anything stayed."""
-    share = gaps.groupBy("doc_id", "section").agg(F.min("retention").alias("retention"))
-    return share.join(sizes, ["doc_id", "section"]).where((F.col("retention") <= kept) & (F.col("n_tokens") >= body))
+    rows = cut(numbered(tokens), "gap-tokens")
+    source = cut(source_gaps(rows), "gap-source")
+    share = source.groupBy(*AT).agg(F.round(F.avg(F.col("kept").cast("double")), 4).alias("retention"))
+    words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"])
+    spans = source.where(~F.col("kept") & (F.col("size") >= LEAST)).groupBy(*AT, "first").agg(words.alias("words"), F.max("replaced").alias("replaced"))
+    spans = cut(spans.where(~F.col("replaced") | (F.size("words") >= 2 * LEAST)), "gap-spans")
+    gone = spans.where("not replaced")
+    runs = output_runs(rows, range(RUN, WINDOW + 1)).distinct()
+    asked = windows(gone)
+    whole, own = runs.select("doc_id", "size", "h").distinct(), runs.where("section is not null")
+    seen = asked.join(whole.withColumn("there", F.lit(1)), ["doc_id", "size", "h"], "left").join(own.withColumn("here", F.lit(1)), ["doc_id", "section", "size", "h"], "left")
+    seen = seen.groupBy(*AT, "first").agg((F.count("here") / F.count("*")).alias("here"), (F.count("there") / F.count("*")).alias("there"))
+    runs_out = runs.where(f"size = {RUN}").select("doc_id", "h").distinct()
+    out_words = rows.where("side = 1").select("doc_id", "token").distinct().withColumn("met", F.lit(1))
+    short = gone.where(F.size("words") <= REORDERED).select(*AT, "first", F.explode("words").alias("token")).join(out_words, ["doc_id", "token"], "left")
+    short = short.groupBy(*AT, "first").agg((F.count("met") == F.count("*")).alias("reordered"))
+    keys = [*AT, "first"]
+    told = spans.join(seen, keys, "left").join(unit_shares(gone, units), keys, "left").join(covered(gone, keys, runs_out), keys, "left").join(short, keys, "left")
+    told = told.na.fill(0.0, ["here", "there", "units_share", "covered"])
+    rules = [
+        (F.col("replaced"), "changed", F.lit(0.0)), (F.col("here") >= MOVED, "relocated", F.col("here")), (F.col("there") >= ELSEWHERE, "elsewhere", F.col("there")), (F.col("units_share") >= UNITS, "restructured", F.col("units_share")),
+        (F.col("covered") >= ELSEWHERE, "elsewhere", F.col("covered")), (F.coalesce("reordered", F.lit(False)), "elsewhere", F.lit(1.0)), (like_contents(F.col("words")), "restructured", F.lit(1.0)),
+    ]
+    bucket = F.struct(F.lit("dropped").alias("bucket"), F.col("covered").alias("ratio"))
+    for test, name, ratio in reversed(rules):
+        bucket = F.when(test, F.struct(F.lit(name).alias("bucket"), ratio.alias("ratio"))).otherwise(bucket)
+    told = told.select(*AT, F.col("first").cast("int").alias("start"), F.size("words").alias("n"), bucket.alias("b"))
+    out = share.join(told, AT, "left")
+    return out.select("doc_id", "section", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b.bucket", F.lit("none")).alias("bucket"), F.round(F.coalesce("b.ratio", F.lit(0.0)), 4).alias("ratio"), "retention")
+
+
+def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Sections that kept their heading and lost their body to another one: ``(doc_id, section, n_tokens, retention, absorbed_by, absorbed_ratio)``.
+
+    The body is worth having, hardly any of it stayed, another section of the
+    output holds most of its windows, and the section's own output isn't text
+    that the source has.
+    """
+    rows = numbered(tokens)
+    sizes = rows.where("side = 0").groupBy(*AT).agg(F.count("*").alias("n_tokens"))
+    share = gaps.groupBy(*AT).agg(F.min("retention").alias("retention")).join(sizes, AT)
+    thin = cut(share.where((F.col("retention") <= HOLLOW_KEPT) & (F.col("n_tokens") >= HOLLOW_BODY)), "hollow-thin")
+    words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"]).alias("words")
+    texts = rows.join(F.broadcast(thin.select(*AT)) if thin.count() < 100_000 else thin.select(*AT), AT, "left_semi").groupBy(*AT, "side").agg(words)
+    asked = windows(texts.where("side = 0").select(*AT, F.lit(0).alias("first"), "words"))
+    n_asked = asked.groupBy(*AT).agg(F.count("*").alias("n_asked"))
+    held = output_runs(rows, range(WINDOW, WINDOW + 1)).where("section is not null").select("doc_id", F.col("section").alias("holder"), "h").distinct()
+    held = asked.join(held, ["doc_id", "h"]).where("holder <> section").groupBy(*AT, "holder").agg(F.count("*").alias("n_held")).join(n_asked, AT)
+    best = held.select(*AT, F.struct((F.col("n_held") / F.col("n_asked")).alias("ratio"), (-F.col("holder")).alias("back")).alias("x")).groupBy(*AT).agg(F.max("x").alias("x"))
+    order = Window.partitionBy("doc_id").orderBy("section", "i")
+    known = rows.where("side = 0").select("doc_id", run_at(F.col("token"), order, RUN).alias("h"), F.lead("i", RUN - 1).over(order).isNotNull().alias("whole")).where("whole").select("doc_id", "h").distinct()
+    own = covered(texts.where("side = 1").select(*AT, "words"), AT, known)
+    out = thin.join(best, AT).join(own, AT, "left").where((F.col("x.ratio") >= HOLLOW_HELD) & (F.coalesce("covered", F.lit(0.0)) < HOLLOW_OWN))
+    return out.select(*AT, "n_tokens", "retention", (-F.col("x.back")).alias("absorbed_by"), F.round("x.ratio", 4).alias("absorbed_ratio"))

@@ -75,6 +75,17 @@ def both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.unionByName(output).select("doc_id", "side", "section", F.struct("o", "k").alias("pos"), "token").withColumn("pos", F.col("pos.o") * F.lit(1 << 32) + F.col("pos.k"))
 
 
+def emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides again, but where a section has no table all of its output stands at the end of the section before it."""
+    md = markdown(spark, sf_dir).where(F.col("line") != "").withColumn("section", F.floor(F.col("ord") / 9).cast("int"))
+    words = F.posexplode(T.tokens(T.clean_markdown(F.col("line")))).alias("k", "token")
+    place = (F.col("ord").cast("bigint") * F.lit(1 << 32) + F.col("k")).alias("pos")
+    tables_in = md.groupBy("doc_id", "section").agg(F.max(F.col("line").startswith("|")).alias("has_table"))
+    output = md.join(tables_in, ["doc_id", "section"]).withColumn("section", F.when(F.col("has_table") | (F.col("section") == 0), F.col("section")).otherwise(F.col("section") - 1))
+    out = md.select("doc_id", F.lit(0).alias("side"), "section", "ord", words).unionByName(output.select("doc_id", F.lit(1).alias("side"), "section", "ord", words))
+    return out.select("doc_id", "side", "section", place, "token")
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table cells and note bodies of three words or more, as token lists."""
     md = markdown(spark, sf_dir)
@@ -90,10 +101,9 @@ def localized_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("hollow_sections")
 def hollow_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections with a body of which hardly anything stayed."""
-    rows = both_sides(spark, sf_dir)
-    sizes = rows.where("side = 0").groupBy("doc_id", "section").agg(F.count("*").alias("n_tokens"))
-    return gaps.hollow(gaps.localized_gaps(rows, cells(spark, sf_dir)), sizes)
+    """Sections whose body went to another one, the heading left behind."""
+    rows = cut(emptied(spark, sf_dir), "hollow-sides")
+    return gaps.hollow(rows, gaps.localized_gaps(rows, cells(spark, sf_dir)))
 
 
 @query("restructured_units", MD + """, c AS (SELECT doc_id, trim(unnest(string_split(trim(line, '|'), '|'))) AS c FROM md WHERE regexp_matches(line, '^\\|.*\\|$') UNION ALL SELECT doc_id, regexp_replace(line, '^\\[\\^[0-9]+\\]:', '') FROM md WHERE regexp_matches(line, '^\\[\\^[0-9]+\\]:')),
