@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FEW, cut, fresh, join_hot, table, text_of
+from .common import FEW, cut, fresh, join_hot, table, text_of, text_slices
 from .components import connected_components
 
 SEED = 42
@@ -22,6 +22,8 @@ LARGE = 4_096
 MOST_SHINGLES = 2_000_000
 #: Members of a large group that go to each of its parts.
 PIVOTS = 8
+#: Bytes of text whose sets of shingles a task holds at once.
+SLICE = 2 << 20
 
 
 def rank() -> Column:
@@ -259,21 +261,19 @@ def common_shingles(docs: DataFrame, size: int, one_in: int = 32, least: int = 8
     return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
 
 
-def set_sketches(size: int, words: int, common: np.ndarray):
-    """Arrow UDF: text to its distinct shingle hashes, sorted, their prefix and their fingerprint."""
+def set_sketches(docs: DataFrame, size: int, words: int, common: np.ndarray) -> DataFrame:
+    """``(doc_id, tie, f, p, s)`` of every text: its fingerprint, the prefix of its shingle hashes, and all of them, distinct and sorted."""
 
-    @F.arrow_udf("struct<s: array<bigint>, p: array<bigint>, f: array<bigint>>")
-    def sketch(texts: pa.Array) -> pa.Array:
-        sets, first, flat = [], [], []
-        for x in texts:
-            h = np.unique(shingle_hashes(x.as_py(), size, SEED))
-            sets.append(h.view(np.int64))
-            first.append(prefix_of(h, common).view(np.int64))
-            flat += [fold_bits(remixed(h, k)) for k in range(words)]
-        f = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words), pa.int32()), pa.array(flat, pa.int64()))
-        return pa.StructArray.from_arrays([lists_of(sets), lists_of(first), f], ["s", "p", "f"])
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text", SLICE):  # sets of few texts at once
+                sets = [np.unique(shingle_hashes(x.as_py(), size, SEED)) for x in part.column("text")]
+                f = lists_of([np.array([fold_bits(remixed(h, k)) for k in range(words)], np.int64) for h in sets])
+                first = lists_of([prefix_of(h, common).view(np.int64) for h in sets])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), f, first, lists_of([h.view(np.int64) for h in sets])], ["doc_id", "tie", "f", "p", "s"])
 
-    return sketch
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), text_of().alias("text"))
+    return rows.mapInArrow(sketch, "doc_id bigint, tie bigint, f array<bigint>, p array<bigint>, s array<bigint>")
 
 
 def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -391,8 +391,7 @@ def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int =
     linked is then decided on whole sets.
     """
     common = common_shingles(docs, size)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), set_sketches(size, words, common)(text_of()).alias("x"))
-    narrow = cut(narrow.select("doc_id", "tie", F.xxhash64("x.s").alias("node"), "x.f", "x.p", "x.s"), "sets")
+    narrow = cut(set_sketches(docs, size, words, common).withColumn("node", F.xxhash64("s")), "sets")
     prints = cut(narrow.groupBy("node").agg(F.min(rank()).alias("least")), "prints")
     once = narrow.groupBy("node").agg(F.first("f").alias("f"), F.first("p").alias("p"))
     rows = once.select("node", *[F.col("f")[w].alias(f"f{w}") for w in range(words)], F.explode("p").alias("k"))
