@@ -51,7 +51,7 @@ def section_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tree(spark, sf_dir)
     owner = outline.clause_sections(rows).select("doc_id", F.col("ord").alias("section"), "owner")
     body = rows.where("level is null and kind <> 'footnote'").join(owner, ["doc_id", "section"], "left").withColumn("owner", F.coalesce("owner", F.lit(-1)))
-    return body.groupBy("doc_id", "owner").agg(F.count("*").alias("n_blocks"), F.sum(F.length("text")).alias("n_chars"), F.min("page").alias("page_start"), F.max("page").alias("page_end"))
+    return body.groupBy("doc_id", "owner").agg(F.count("*").alias("n_blocks"), F.sum("size").alias("n_chars"), F.min("page").alias("page_start"), F.max("page").alias("page_end"))
 
 
 @query("section_notes")

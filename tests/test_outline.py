@@ -20,36 +20,47 @@ def shape(*lines):
     return out
 
 
-def levels(*lines):
-    return {at: (level, parent) for at, _, level, parent, _, _ in outline.walk((o, k, h, t) for _, o, k, h, t, _ in shape(*lines)) if level is not None}
+def opened(spark, *lines, by_rank=False):
+    df = spark.createDataFrame(shape(*lines), "doc_id long, ord int, kind string, hint int, text string, page int")
+    return sorted(outline.section_tree(df, by_rank).where("level is not null").collect(), key=lambda r: r.ord)
 
 
-def test_families_nest_one_level_at_a_time():
-    assert levels("# A. Part", "# 1. Intro", "# 1.1 Scope", "- (a) first", "- (i) inner", "- (ii) more", "- (b) second", "# B. Next") == {0: (1, -1), 1: (2, 0), 2: (3, 1), 3: (4, 2), 4: (5, 3), 5: (5, 3), 6: (4, 2), 7: (1, -1)}
+def levels(spark, *lines, **kw):
+    return {r.ord: (r.level, r.parent) for r in opened(spark, *lines, **kw)}
 
 
-def test_numbers_without_a_letter_start_at_the_top():
-    assert levels("# 1. Methods", "# 1.1 Data", "# 1.1.1.1 Deep", "# 2. More") == {0: (1, -1), 1: (2, 0), 2: (4, 1), 3: (1, -1)}
+def test_families_nest_one_level_at_a_time(spark):
+    assert levels(spark, "# A. Part", "# 1. Intro", "# 1.1 Scope", "- (a) first", "- (i) inner", "- (ii) more", "- (b) second", "# B. Next") == {0: (1, -1), 1: (2, 0), 2: (3, 1), 3: (4, 2), 4: (5, 3), 5: (5, 3), 6: (4, 2), 7: (1, -1)}
 
 
-def test_a_letter_that_comes_next_is_no_roman_number():
-    found = list(outline.walk((o, k, h, t) for _, o, k, h, t, _ in shape("# 1. X", "- (h) eight", "- (i) nine", "- (j) ten")))
-    assert [f[4] for f in found] == ["decimal", "paren_alpha", "paren_alpha", "paren_alpha"]
-    assert [f[2] for f in found] == [1, 2, 2, 2]
+def test_numbers_without_a_letter_start_at_the_top(spark):
+    assert levels(spark, "# 1. Methods", "# 1.1 Data", "# 1.1.1.1 Deep", "# 2. More") == {0: (1, -1), 1: (2, 0), 2: (4, 1), 3: (1, -1)}
 
 
-def test_headings_without_a_number_are_siblings_below_the_numbered_one():
-    assert levels("# 2. Rules", "# Aviation", "# Shipping", "body", "# 3. End") == {0: (1, -1), 1: (2, 0), 2: (2, 0), 4: (1, -1)}
+def test_a_letter_that_comes_next_is_no_roman_number(spark):
+    found = opened(spark, "# 1. X", "- (h) eight", "- (i) nine", "- (j) ten")
+    assert [(r.family, r.level) for r in found] == [("decimal", 1), ("paren_alpha", 2), ("paren_alpha", 2), ("paren_alpha", 2)]
+    found = opened(spark, "# 1. X", "- (b) two", "- (i) first", "- (ii) second", "- (v) fifth", "- (c) three")
+    assert [(r.family, r.level) for r in found[1:]] == [("paren_alpha", 2), ("paren_roman", 3), ("paren_roman", 3), ("paren_roman", 3), ("paren_alpha", 2)]
 
 
-def test_by_rank_a_heading_without_a_number_holds_what_follows():
-    blocks = [(o, k, h, t) for _, o, k, h, t, _ in shape("# Part A", "# 1. Intro", "# 1.1 Scope", "- (ii) x", "# A. Next")]
-    assert [(f[2], f[3]) for f in outline.walk(blocks, by_rank=True)] == [(1, -1), (2, 0), (3, 1), (4, 2), (2, 0)]
+def test_headings_without_a_number_are_siblings_below_the_numbered_one(spark):
+    assert levels(spark, "# 2. Rules", "# Aviation", "# Shipping", "body", "# 3. End") == {0: (1, -1), 1: (2, 0), 2: (2, 0), 4: (1, -1)}
 
 
-def test_dates_and_contents_entries_are_no_markers():
-    assert outline.marker("14 November 2025", []) is None and outline.marker("1 Queen Street", []) is None
-    assert outline.marker("1. Overview 3", []) is None and outline.marker("1. Overview", []) == ("decimal", "1")
+def test_by_rank_a_heading_without_a_number_holds_what_follows(spark):
+    assert levels(spark, "# Part A", "# 1. Intro", "# 1.1 Scope", "- (ii) x", "# A. Next", by_rank=True) == {0: (1, -1), 1: (2, 0), 2: (3, 1), 3: (4, 2), 4: (2, 0)}
+
+
+def test_dates_and_contents_entries_have_no_number(spark):
+    titles = ["14 November 2025", "1 Queen Street", "1. Overview 3", "1. Overview", "3.2 Fees", "(iv) x", "B. Rest"]
+    found = spark.createDataFrame([(t,) for t in titles], "t string").select(outline.number_of(F.col("t")).alias("n")).collect()
+    assert [r.n and tuple(r.n) for r in found] == [None, None, None, ("decimal", "1"), ("decimal", "3.2"), ("paren", "iv"), ("upper", "B")]
+
+
+def test_blocks_stand_under_the_last_heading(spark):
+    df = spark.createDataFrame(shape("body", "# 1. X", "more", "- (a) y", "text"), "doc_id long, ord int, kind string, hint int, text string, page int")
+    assert {r.ord: (r.section, r.size) for r in outline.section_tree(df).collect()} == {0: (-1, 4), 1: (1, 4), 2: (1, 4), 3: (3, 5), 4: (3, 4)}
 
 
 def test_content_folds_into_the_nearest_clause_that_stays(spark):
@@ -73,24 +84,53 @@ def words(text):
     return text.split()
 
 
-def test_gaps_say_where_a_span_went():
-    a = words("one two three four five six seven eight nine ten eleven twelve")
-    b = words("red orange yellow green blue indigo violet black white grey pink brown")
-    c = words("the cell holds these very words")
-    whole = gaps.Hay([*b, *a])
-    found = lambda source, output, units=(): [g[2] for g in gaps.section_gaps(source, output, whole, list(units))[0]]
-    assert found([*a, *b], a) == ["elsewhere"]
-    assert found([*a, *c], a) == ["dropped"]
-    assert found([*a, *c], a, [c]) == ["restructured"]
-    assert found([*b, *a], [*a, *b])[0] == "relocated"
-    assert found(a, a) == [] and found([*c, *a], [*words("x y z"), *a]) == ["changed"]
+def gap_rows(spark, source, output, others=(), units=()):
+    rows = [(1, 0, 0, k, t) for k, t in enumerate(source)] + [(1, 1, 0, k, t) for k, t in enumerate(output)] + [(1, 1, 5, k, t) for k, t in enumerate(others)]
+    df = spark.createDataFrame(rows, "doc_id long, side int, section int, pos long, token string")
+    listed = spark.createDataFrame([(1, list(u)) for u in units], "doc_id long, words array<string>")
+    return sorted((r.start, r.n, r.bucket, r.ratio, r.retention) for r in gaps.localized_gaps(df, listed).collect())
+
+
+COLOURS = words("red orange yellow green blue indigo violet black white grey pink brown")
+NUMBERS = words("one two three four five six seven eight nine ten eleven twelve")
+
+
+@pytest.mark.parametrize(("source", "output", "others", "units", "want"), [
+    ([*NUMBERS, *COLOURS], NUMBERS, COLOURS, [], [(12, 12, "elsewhere", 1.0, 0.5)]),
+    ([*NUMBERS, *COLOURS], NUMBERS, COLOURS[:8], [], [(12, 12, "dropped", 0.6667, 0.5)]),  # two thirds elsewhere are a loss
+    ([*COLOURS, *NUMBERS], [*NUMBERS, *COLOURS], (), [], [(0, 12, "relocated", 1.0, 0.5)]),
+    ([*NUMBERS, *words("the cell holds these very words")], NUMBERS, (), [words("the cell holds"), words("very words")], [(12, 6, "restructured", 0.5, 0.6667)]),
+    ([*NUMBERS, *words("lamp oak")], NUMBERS, (), [], [(0, 0, "none", 0.0, 0.8571)]),  # too short for a gap
+    ([*NUMBERS, *words("nine one four two five")], NUMBERS, (), [], [(12, 5, "elsewhere", 1.0, 0.7059)]),  # every word is there
+    ([*NUMBERS, *COLOURS, "end", "here"], [*NUMBERS, "end", "here"], (), [], [(12, 12, "dropped", 0.0, 0.5385)]),
+    ([*COLOURS[:8], *NUMBERS], [*words("x y z"), *NUMBERS], COLOURS, [], [(0, 8, "changed", 0.0, 0.6)]),  # replaced ones are never excused
+    ([*COLOURS[:7], *NUMBERS], [*words("x y z"), *NUMBERS], (), [], [(0, 0, "none", 0.0, 0.6316)]),  # and count from twice the size
+    (words("a b c"), words("a b c"), (), [], [(0, 0, "none", 0.0, 1.0)]),
+    (NUMBERS, [], (), [], [(0, 12, "dropped", 0.0, 0.0)]),
+])
+def test_gaps_say_where_a_span_went(spark, source, output, others, units, want):
+    assert gap_rows(spark, source, output, others, units) == want
+
+
+def test_coverage_joins_runs_over_a_seam(spark):
+    seam = [*COLOURS[:5], *COLOURS[7:12]]
+    assert gap_rows(spark, [*NUMBERS, *seam], NUMBERS, [*COLOURS[:5], "x", "x", *COLOURS[7:12]]) == [(12, 10, "elsewhere", 1.0, 0.5455)]
+
 
+def test_hollow_sections_need_a_holder_and_nothing_of_their_own(spark):
+    body, own = [f"b{k}" for k in range(200)], [f"o{k}" for k in range(50)]
+    def found(kept, held, size=200):
+        rows = [(1, 0, 1, k, t) for k, t in enumerate(body[:size])] + [(1, 0, 2, k, t) for k, t in enumerate(own)]
+        rows += [(1, 1, 1, k, t) for k, t in enumerate(kept)] + [(1, 1, 2, k, t) for k, t in enumerate([*own, *held])]
+        df = spark.createDataFrame(rows, "doc_id long, side int, section int, pos long, token string")
+        none = spark.createDataFrame([], "doc_id long, words array<string>")
+        return [(r.section, r.absorbed_by, r.absorbed_ratio) for r in gaps.hollow(df, gaps.localized_gaps(df, none)).collect()]
 
-def test_coverage_joins_runs_over_a_seam():
-    hay = gaps.Hay(words("a b c d e x x x p q r s t"))
-    assert hay.covered(words("a b c d e p q r s t")) == 1.0
-    assert hay.covered(words("a b c z p q r s")) == 0.5
-    assert hay.covered(words("a b")) == 0.0
+    assert found(["see", "below"], body) == [(1, 2, 1.0)]
+    assert found(["see", "below"], body[:90]) == []  # nobody holds most of it
+    assert found(own[:30], body) == []  # what it has is the source's own text
+    assert found(body[:60], body) == []  # enough of it stayed
+    assert found(["see", "below"], body[:100], 100) == []  # no body worth having
 
 
 def test_a_chain_of_two_hundred_has_one_root(spark):
@@ -106,6 +146,6 @@ def test_keys_from_paths(spark, path, key):
     assert spark.range(1).select(T.path_key(F.lit(path)).alias("k")).first().k == key
 
 
-@pytest.mark.parametrize(("title", "ok"), [("Scope of the rules", True), ("1.4.", True), ("and so it goes", False), ("(a) the advice has been given", False), ("It ends like this.", False), ("one " * 10, False)])
+@pytest.mark.parametrize(("title", "ok"), [("Scope of the rules", True), ("1.4.", True), ("and so it goes", False), ("(b) where nobody was asked", False), ("It ends like this.", False), ("one " * 10, False)])
 def test_heading_like(spark, title, ok):
     assert spark.range(1).select(T.heading_like(F.lit(title)).alias("k")).first().k is ok
