@@ -18,23 +18,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tesserae.llm import decontaminate, mixing, pii, quality, simhash
-from tesserae.llm.common import cut, table
+from tesserae.llm.common import bounded_batches, cut, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; null texts score as empty ones, repeats go together, an empty table gives no rows."""
+    bounded_batches(spark)
     return quality.reject_low_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; null and empty texts are one group, of repeated rows one stays."""
+    bounded_batches(spark)
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage; null texts are clean, repeats go together."""
+    bounded_batches(spark)
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

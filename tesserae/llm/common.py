@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import cut, new_path, path_exists, shared_dir
 
-__all__ = ["WORD", "HashSet", "ascii_lower", "crc_mod5", "cut", "fresh", "join_hot", "let", "new_path", "path_exists", "shared_dir", "starts_of", "string_buffer", "table", "text_of", "text_slices"]
+__all__ = ["WORD", "HashSet", "ascii_lower", "bounded_batches", "crc_mod5", "cut", "fresh", "join_hot", "let", "new_path", "path_exists", "shared_dir", "starts_of", "string_buffer", "table", "text_of", "text_slices"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -110,6 +110,14 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iter
         low = high
 
 
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Spark hand whole texts to Python in batches of about ``size``, not of ten thousand rows: both sides hold a batch at a time.
+
+    This is a setting of the session, and it stays.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 class HashSet:
     """A set of 64-bit hashes as a bit array of bounded size; a test may err on the side of yes.
 
