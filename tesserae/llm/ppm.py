@@ -308,7 +308,10 @@ def score_texts(train_tokens: int, train_words: int, train_texts: int):
             base.append(float(np.log10((c + 0.5) / unit).sum() + np.log10((train_texts + 0.5) / unit)))
         for a, b in chunks(data):
             w, begins = windows(data[a:b])
-            score[a:b] = np.add.reduceat(logs[np.searchsorted(grams, w)], begins[:-1])
+            order = np.argsort(w)  # sorted windows are found several times faster
+            each = np.empty(len(w))
+            each[order] = logs[np.searchsorted(grams, w[order])]
+            score[a:b] = np.add.reduceat(each, begins[:-1])
         names = [x.split()[0] for x in RESULT.split(", ")]
         held = pa.array(~texts.column("train").to_numpy().astype(bool))
         return pa.table([texts.column("doc_id"), held, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([train_tokens] * len(data), pa.int64()), pa.array(base), pa.array(score)], names=names)
