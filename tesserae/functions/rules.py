@@ -18,17 +18,21 @@ def style_level(style: Column) -> Column:
     return F.when(style.rlike("(?i)^heading *[0-9]"), F.regexp_extract(style, "([0-9]+)", 1).cast("int")).when(F.lower(style) == "title", 0)
 
 
+#: What a version of an index and a run may be named: fixed values, from what index stores and paths admit.
+VERSION, RUN = r"^[a-z0-9][a-z0-9._-]{0,48}$", r"^[A-Za-z0-9][A-Za-z0-9._-]{0,63}$"
+
+
 def valid_version(name: Column) -> Column:
-    return name.rlike(r"^v[0-9]+(\.[0-9]+)*$")
+    return name.rlike(VERSION)
 
 
 def valid_run(name: Column) -> Column:
-    return name.rlike(r"^[A-Za-z0-9][A-Za-z0-9_.#-]{0,63}$")
+    return name.rlike(RUN)
 
 
-def canonical_place(name: Column) -> Column:
-    """A place's name without a trailing bracket or a product's suffix."""
-    return F.trim(F.regexp_replace(F.regexp_replace(name, r"\s*\([^)]*\)$", ""), " - (Data Privacy|Shareholding Disclosure)$", ""))
+def canonical_place(name: Column, products: tuple[str, ...]) -> Column:
+    """A place's name without a trailing bracket or the name of one of some products."""
+    return F.trim(F.regexp_replace(F.regexp_replace(name, r"\s*\([^)]*\)$", ""), f" - ({'|'.join(products)})$", ""))
 
 
 def ladder(rules: list[tuple[Column, str]], otherwise: str) -> Column:

@@ -211,11 +211,16 @@ def like_contents(words: Column) -> Column:
     return let(words, shape)
 
 
+#: What a heading's first and last characters don't look like, and the words it has fewer of. Fixed values.
+PROSE_START, PROSE_END, HEADING_WORDS = r"^(?:\(?[0-9a-z]{1,4}\)\s+)?[a-z]", r"[,;:]$|[^0-9.]\.$|^[^0-9.].*\.$|\s.*\.$", 10
+
+
 def heading_like(title: Column) -> Column:
-    """Does an entry read as a heading? Under ten words, no sentence's end, no small letter at its start."""
-    t = F.trim(title)
-    prose = (
-        (t == "") | (F.size(F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ")) >= 10) | t.rlike("[,;:]$") | (t.rlike(r"\.$") & ~t.rlike("^[0-9.]+$"))
-        | t.rlike("^[a-z]") | t.rlike(r"^\(?[a-z0-9ivx]{1,4}\)\s+[a-z]")
-    )
-    return ~prose
+    """Does an entry read as a heading? It has a word, fewer than ten, and neither starts nor ends as prose does.
+
+    Prose starts with a small letter, after a bracketed number or without one,
+    and ends with a comma, a colon, a semicolon or, unless all is digits and
+    stops, a stop.
+    """
+    said = F.trim(title)
+    return (F.size(F.filter(F.split(said, r"\s+"), lambda w: w != "")).between(1, HEADING_WORDS - 1)) & ~said.rlike(f"{PROSE_START}|{PROSE_END}")

@@ -14,13 +14,13 @@ from .catalog import query
 MD = """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ord FROM documents),
 md AS (SELECT doc_id, CAST(ord AS INTEGER) AS ord, CASE ord % 9
-  WHEN 0 THEN repeat('#', CAST(1 + (ord // 9) % 3 AS INTEGER)) || ' ' || CASE ord % 27 WHEN 0 THEN chr(CAST(65 + (ord // 27) % 11 AS INTEGER)) || '. ' WHEN 9 THEN (1 + ord // 27) || '.' || (1 + doc_id % 3) || ' ' ELSE '(' || chr(CAST(97 + ord % 5 AS INTEGER)) || ') ' END || left(said, 40)
+  WHEN 0 THEN repeat('#', CAST(1 + (ord // 9) % 3 AS INTEGER)) || ' ' || CASE ord % 27 WHEN 0 THEN chr(CAST(65 + (ord // 27) % 11 AS INTEGER)) || '. ' WHEN 9 THEN (1 + ord // 27) || '.' || (1 + doc_id % 3) || ' ' ELSE '(' || chr(CAST(97 + ord % 5 AS INTEGER)) || ') ' END || said
   WHEN 2 THEN said || ' under section ' || (1000 + (doc_id * 31 + ord * 17) % 9000) || ' of the act or ' || (1 + (doc_id + ord) % 9) || ',' || (100 + (doc_id * 7 + ord) % 900) || ' euro'
   WHEN 4 THEN said || '[^' || (1 + (doc_id + ord) % 23) || '] see ' || chr(CAST(65 + ord % 4 AS INTEGER)) || (1 + ord % 5) || '.' || (1 + ord % 3) || '(a)'
-  WHEN 5 THEN '| ' || left(said, 12) || ' | ' || ord || CASE WHEN ord % 2 = 0 THEN ' | x |' ELSE ' |' END
-  WHEN 6 THEN '| ' || left(said, 7) || ' | Yes |'
-  WHEN 7 THEN '[^' || (1 + (doc_id + ord * 5) % 23) || ']: ' || left(said, 30)
-  WHEN 8 THEN '- ' || left(said, 50) ELSE said END AS line FROM l)
+  WHEN 5 THEN '| ' || replace(said, '|', '/') || ' | ' || ord || CASE WHEN ord % 2 = 0 THEN ' | x |' ELSE ' |' END
+  WHEN 6 THEN '| ' || replace(said, '|', '/') || ' | Yes |'
+  WHEN 7 THEN '[^' || (1 + (doc_id + ord * 5) % 23) || ']: ' || said
+  WHEN 8 THEN '- ' || said ELSE said END AS line FROM l)
 """
 
 
@@ -32,12 +32,12 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     letter = lambda base, n: F.char((base + n).cast("int"))
     number = F.when(o % 27 == 0, F.concat(letter(65, F.floor(o / 27) % 11), F.lit(". "))).when(o % 27 == 9, F.concat(whole(1 + F.floor(o / 27)), F.lit("."), whole(1 + d % 3), F.lit(" "))).otherwise(F.concat(F.lit("("), letter(97, o % 5), F.lit(") ")))
     line = (
-        F.when(o % 9 == 0, F.concat(F.repeat(F.lit("#"), (1 + F.floor(o / 9) % 3).cast("int")), F.lit(" "), number, F.substring(said, 1, 40)))
+        F.when(o % 9 == 0, F.concat(F.repeat(F.lit("#"), (1 + F.floor(o / 9) % 3).cast("int")), F.lit(" "), number, said))
         .when(o % 9 == 2, F.concat(said, F.lit(" under section "), whole(1000 + (d * 31 + o * 17) % 9000), F.lit(" of the act or "), whole(1 + (d + o) % 9), F.lit(","), whole(100 + (d * 7 + o) % 900), F.lit(" euro")))
         .when(o % 9 == 4, F.concat(said, F.lit("[^"), whole(1 + (d + o) % 23), F.lit("] see "), letter(65, o % 4), whole(1 + o % 5), F.lit("."), whole(1 + o % 3), F.lit("(a)")))
-        .when(o % 9 == 5, F.concat(F.lit("| "), F.substring(said, 1, 12), F.lit(" | "), whole(o), F.when(o % 2 == 0, " | x |").otherwise(" |")))
-        .when(o % 9 == 6, F.concat(F.lit("| "), F.substring(said, 1, 7), F.lit(" | Yes |"))).when(o % 9 == 7, F.concat(F.lit("[^"), whole(1 + (d + o * 5) % 23), F.lit("]: "), F.substring(said, 1, 30)))
-        .when(o % 9 == 8, F.concat(F.lit("- "), F.substring(said, 1, 50))).otherwise(said)
+        .when(o % 9 == 5, F.concat(F.lit("| "), F.replace(said, F.lit("|"), F.lit("/")), F.lit(" | "), whole(o), F.when(o % 2 == 0, " | x |").otherwise(" |")))
+        .when(o % 9 == 6, F.concat(F.lit("| "), F.replace(said, F.lit("|"), F.lit("/")), F.lit(" | Yes |"))).when(o % 9 == 7, F.concat(F.lit("[^"), whole(1 + (d + o * 5) % 23), F.lit("]: "), said))
+        .when(o % 9 == 8, F.concat(F.lit("- "), said)).otherwise(said)
     )
     return rows.select("doc_id", "ord", line.alias("line"))
 
@@ -153,12 +153,12 @@ def linked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").where("url is not null").select("page_id", T.linkify(said).alias("said"))
 
 
-_CITES = MD + ", c AS (SELECT doc_id, ord, unnest(regexp_extract_all(line, '\\b([A-K][0-9]+(?:\\.[0-9]+)*(?:\\([a-z]\\))?)', 1)) AS key FROM md WHERE ord % 9 = 4)\n"
+_CITES = MD + ", c AS (SELECT doc_id, ord, unnest(regexp_extract_all(line, '\\b([A-K][0-9]+(?:\\.[0-9]+)*(?:\\([a-z]\\))?)', 1)) AS key FROM md)\n"
 
 
 def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clause keys that the lines with references cite."""
-    rows = markdown(spark, sf_dir).where("ord % 9 = 4")
+    """Clause keys that lines cite."""
+    rows = markdown(spark, sf_dir)
     return rows.select("doc_id", "ord", F.explode(F.regexp_extract_all("line", F.lit(r"\b([A-K][0-9]+(?:\.[0-9]+)*(?:\([a-z]\))?)"), 1)).alias("key"))
 
 
@@ -253,7 +253,7 @@ def swapped_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("number_contexts", MD + """, l2 AS (SELECT doc_id, regexp_extract_all(lower(string_agg(line, ' ' ORDER BY ord)), '[\\p{L}\\p{N}]+') AS w FROM md GROUP BY doc_id), o AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(string_agg(CASE WHEN ord % 7 = 3 THEN '' ELSE line END, ' ' ORDER BY ord)), '[\\p{L}\\p{N}]+'), ' ') || ' ' AS hay FROM md GROUP BY doc_id),
-s AS (SELECT doc_id, i, w[i:i] AS me, w[i - 4:i - 1] AS b, w[i + 1:i + 4] AS n FROM (SELECT doc_id, w, unnest(range(5, CAST(len(w) AS BIGINT) - 3)) AS i FROM l2 WHERE len(w) >= 9) WHERE regexp_matches(w[i], '^[0-9]{4}$'))
+s AS (SELECT doc_id, i, w[i:i] AS me, w[i - 4:i - 1] AS b, w[i + 1:i + 4] AS n FROM (SELECT doc_id, w, unnest(range(5, CAST(len(w) AS BIGINT) - 3)) AS i FROM l2 WHERE len(w) >= 9) WHERE regexp_matches(w[i], '^[0-9]+$'))
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, me[1] AS number, contains(o.hay, ' ' || array_to_string(b, ' ') || ' ' || me[1] || ' ' || array_to_string(n, ' ') || ' ') AS kept FROM s JOIN o USING (doc_id)
 """)
 def number_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,8 +262,8 @@ def number_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = lambda rows: rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "line"))).alias("r")).select("doc_id", T.tokens(F.array_join(F.transform("r", lambda x: x["line"]), " ")).alias("w"))
     source, output = whole(md), whole(md.withColumn("line", F.when(F.col("ord") % 7 == 3, "").otherwise(F.col("line"))))
     spans = lambda rows: rows.select("doc_id", F.posexplode(T.windows_of(F.col("w"), 9)).alias("i", "s"))
-    asked = spans(source).withColumn("number", F.split("s", " ")[4]).where(F.col("number").rlike("^[0-9]{4}$"))
-    hay = spans(output).where(F.split("s", " ")[4].rlike("^[0-9]{4}$")).select("doc_id", "s", F.lit(True).alias("kept")).distinct()
+    asked = spans(source).withColumn("number", F.split("s", " ")[4]).where(F.col("number").rlike("^[0-9]+$"))
+    hay = spans(output).where(F.split("s", " ")[4].rlike("^[0-9]+$")).select("doc_id", "s", F.lit(True).alias("kept")).distinct()
     return asked.join(hay, ["doc_id", "s"], "left").select("doc_id", (F.col("i") + 4).cast("int").alias("pos"), "number", F.coalesce("kept", F.lit(False)).alias("kept"))
 
 

@@ -23,7 +23,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(outline.section_tree(outline.demoted(blocks(spark, sf_dir))), "section-tree")
+    return cut(outline.section_tree(outline.demoted(cut(blocks(spark, sf_dir), "blocks"))), "section-tree")
 
 
 @query("block_sections")

@@ -15,12 +15,12 @@ from .retrieval import _ALL, _SCOPED, hits, queries_of
 
 @query("question_suggestions")
 def question_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark questions with a word misspelt in each, mended by the corpus's words."""
-    docs = read(spark, sf_dir, "documents").select(T.tokens(F.col("text")).alias("w"))
-    words = docs.select(F.explode("w").alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("freq")).where("freq >= 3")
-    pairs = docs.where(F.size("w") > 1).select(F.explode(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("a"), F.slice("w", 2, F.size("w") - 1).alias("b"))).alias("p")).select("p.a", "p.b").groupBy("a", "b").count().where("count >= 2")
-    longest = F.array_max(F.transform(F.slice(T.tokens(F.col("text")), 1, 12), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    asked = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("q"), F.array_join(F.slice(T.tokens(F.col("text")), 1, 12), " ").alias("t"), longest.alias("l"))
+    """Benchmark questions with a word misspelt in each, mended by the words of all texts, rare ones too."""
+    docs = read(spark, sf_dir, "documents").select("text").unionByName(read(spark, sf_dir, "benchmark").select("text")).select(T.tokens(F.col("text")).alias("w"))
+    words = docs.select(F.explode("w").alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("freq"))
+    pairs = docs.where(F.size("w") > 1).select(F.explode(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("a"), F.slice("w", 2, F.size("w") - 1).alias("b"))).alias("p")).select("p.a", "p.b").distinct()
+    longest = F.array_max(F.transform(T.tokens(F.col("text")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    asked = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("q"), F.array_join(T.tokens(F.col("text")), " ").alias("t"), longest.alias("l"))
     wrong = F.concat(F.substring("l", F.lit(1), F.length("l") - 2), F.reverse(F.right("l", F.lit(2))))
     return titles.suggest(asked.select("q", F.replace("t", F.col("l"), wrong).alias("text")), words, pairs)
 

@@ -62,7 +62,7 @@ def style_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return styles(spark, sf_dir).groupBy("style").agg(F.median(F.length("text")).alias("middle")).withColumn("is_heading", F.col("middle") <= 11)
 
 
-@query("valid_names", "SELECT s_suppkey, regexp_matches('v' || (s_suppkey % 7) || '.' || s_suppkey || CASE WHEN s_suppkey % 3 = 0 THEN '/x' ELSE '' END, '^v[0-9]+(\\.[0-9]+)*$') AS version_ok, regexp_matches(s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' ' ELSE '' END, '^[A-Za-z0-9][A-Za-z0-9_.#-]{0,63}$') AS run_ok FROM supplier")
+@query("valid_names", "SELECT s_suppkey, regexp_matches('v' || (s_suppkey % 7) || '.' || s_suppkey || CASE WHEN s_suppkey % 3 = 0 THEN '/x' ELSE '' END, '^[a-z0-9][a-z0-9._-]{0,48}$') AS version_ok, regexp_matches(s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' ' ELSE '' END, '^[A-Za-z0-9][A-Za-z0-9._-]{0,63}$') AS run_ok FROM supplier")
 def valid_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Are names of versions and runs well formed?"""
     k = F.col("s_suppkey")
@@ -71,26 +71,28 @@ def valid_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "supplier").select("s_suppkey", R.valid_version(version).alias("version_ok"), R.valid_run(run).alias("run_ok"))
 
 
-_NAMES = "WITH n AS (SELECT s_suppkey, n_name || CASE s_suppkey % 4 WHEN 0 THEN ' (Long Form)' WHEN 1 THEN ' - Data Privacy' ELSE '' END AS name FROM supplier JOIN nation ON n_nationkey = s_nationkey)\n"
+#: Products whose name may follow that of a place.
+PRODUCTS = ("Red Notes", "Blue Notes")
+_NAMES = "WITH n AS (SELECT s_suppkey, n_name || CASE s_suppkey % 4 WHEN 0 THEN ' (Long Form)' WHEN 1 THEN ' - Red Notes' ELSE '' END AS name FROM supplier JOIN nation ON n_nationkey = s_nationkey)\n"
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of places with additions."""
     k = F.col("s_suppkey")
     rows = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
-    return rows.select("s_suppkey", F.concat("n_name", F.when(k % 4 == 0, " (Long Form)").when(k % 4 == 1, " - Data Privacy").otherwise("")).alias("name"))
+    return rows.select("s_suppkey", F.concat("n_name", F.when(k % 4 == 0, " (Long Form)").when(k % 4 == 1, " - Red Notes").otherwise("")).alias("name"))
 
 
-@query("canonical_names", _NAMES + "SELECT s_suppkey, trim(regexp_replace(regexp_replace(name, '\\s*\\([^)]*\\)$', ''), ' - (Data Privacy|Shareholding Disclosure)$', '')) AS place FROM n")
+@query("canonical_names", _NAMES + "SELECT s_suppkey, trim(regexp_replace(regexp_replace(name, '\\s*\\([^)]*\\)$', ''), ' - (Red Notes|Blue Notes)$', '')) AS place FROM n")
 def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of places without what products add."""
-    return names(spark, sf_dir).select("s_suppkey", R.canonical_place(F.col("name")).alias("place"))
+    return names(spark, sf_dir).select("s_suppkey", R.canonical_place(F.col("name"), PRODUCTS).alias("place"))
 
 
 @query("regions_of", _NAMES + "SELECT s_suppkey, CASE WHEN starts_with(name, 'NATION_1') THEN 'ones' WHEN regexp_replace(regexp_replace(name, '\\s*\\([^)]*\\)$', ''), ' - .*$', '') IN ('NATION_2', 'NATION_3') THEN 'listed' ELSE 'Other' END AS region FROM n")
 def regions_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A region by prefix, then by dictionary, else another one."""
-    place = R.canonical_place(F.col("name"))
+    place = R.canonical_place(F.col("name"), PRODUCTS)
     region = F.when(F.startswith("name", F.lit("NATION_1")), "ones").otherwise(F.coalesce(F.element_at(F.create_map(*[F.lit(x) for x in ("NATION_2", "listed", "NATION_3", "listed")]), place), F.lit("Other")))
     return names(spark, sf_dir).select("s_suppkey", region.alias("region"))
 
