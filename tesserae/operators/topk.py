@@ -135,46 +135,3 @@ def retrieval_metrics(ranked: DataFrame, keys: list[str], at: tuple[int, ...] =
     recall = [F.round(F.avg(F.col(f"n{k}") / F.col("n_relevant")), 6).alias(f"recall_{k}") for k in at]
     mrr = F.round(F.avg(F.coalesce(1.0 / F.col("first"), F.lit(0.0))), 6).alias("mrr")
     return per.groupBy(*keys).agg(F.count("*").alias("n_queries"), *hit, *recall, mrr)
-
-
-def hyperplane_buckets(rows: DataFrame, tables: int, bits: int, seed: int = 5, flips: int = 0) -> DataFrame:
-    """``rows`` with a row for each table and ``bucket``: the signs of an embedding on random hyperplanes.
-
-    With ``flips`` a row also probes the buckets that differ in one of as many
-    of its least certain signs.
-    """
-
-    @F.arrow_udf("array<bigint>")
-    def buckets(vectors: pa.Array) -> pa.Array:
-        x = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
-        planes = np.random.default_rng(seed).normal(size=(x.shape[1], tables * bits))
-        side = (x @ planes).reshape(len(x), tables, bits)
-        weights = 1 << np.arange(bits)
-        keys = ((side > 0) * weights).sum(axis=2)
-        every = [keys]
-        if flips:
-            near = np.argsort(np.abs(side), axis=2)[:, :, :flips]
-            every += [keys ^ weights[near[:, :, k]] for k in range(flips)]
-        found = np.concatenate([k + (np.arange(tables) << 40) for k in every], axis=1)
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, found.shape[1]), pa.int32()), pa.array(found.reshape(-1)))
-
-    return rows.withColumn("bucket", F.explode(buckets("embedding")))
-
-
-def lsh_top_k(rows: DataFrame, queries: DataFrame, id_col: str, k: int, tables: int = 16, bits: int = 6, flips: int = 4) -> DataFrame:
-    """``k`` nearest rows of each query among those that share a bucket with it; scores are exact.
-
-    Every row is indexed; rows and queries join on buckets, and each pair is
-    scored once, by the dot product that exact search uses.
-    """
-    index = hyperplane_buckets(rows, tables, bits).select(id_col, "bucket")
-    asked = hyperplane_buckets(queries.withColumnRenamed("qvec", "embedding"), tables, bits, flips=flips).select("q", "bucket")
-    pairs = asked.join(index, "bucket").where(F.col(id_col) != F.col("q")).select("q", id_col).distinct()
-    both = pairs.join(rows.select(id_col, "embedding"), id_col).join(queries.select("q", "qvec"), "q")
-
-    @F.arrow_udf("double")
-    def dot(a: pa.Array, b: pa.Array) -> pa.Array:
-        x, y = (v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(v), -1) for v in (a, b))
-        return pa.array((x * y).sum(axis=1))
-
-    return top_k(both.select("q", id_col, F.round(dot("embedding", "qvec"), 6).alias("score")), k, ["q"], [F.col("score").desc(), F.col(id_col)])

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import titles, topk, trees
+from ..operators import ann, titles, topk, trees
 from ..sources.tables import read
 from .catalog import query
 from .graphs import _SECTIONS, sections
-from .retrieval import _ALL, _SCOPED, hits, queries_of
+from .retrieval import _ALL, _SCOPED, SCOPE, hits, queries_of
 
 
 @query("question_suggestions")
@@ -229,6 +229,20 @@ def split_punctuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lsh_neighbours")
 def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate neighbours of the query set: rows that share a bucket of random hyperplanes, scored exactly; no SQL twin."""
+    """Approximate neighbours of the query set, by codes of every row, the best forty for each scored exactly; no SQL twin."""
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
-    return topk.lsh_top_k(rows, queries_of(spark, sf_dir), "vec_id", 10)
+    return ann.search(rows, queries_of(spark, sf_dir), "vec_id", 10).select("q", "vec_id", "label", "score", "rk")
+
+
+@query("routed_scope", _SCOPED + "SELECT q, vec_id, label, score, CAST(rk AS INTEGER) AS rk, 'exact' AS backend FROM r WHERE rk <= 10")
+def routed_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search within some labels goes to the exact backend, however large the table is."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return ann.routed(rows, queries_of(spark, sf_dir), "vec_id", 10, scope=list(SCOPE), few=0)
+
+
+@query("routed_floor")
+def routed_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table by codes, with the two best of each label beside the best ten; no SQL twin."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return ann.routed(rows, queries_of(spark, sf_dir), "vec_id", 10, few=0, floor=2)
