@@ -136,8 +136,13 @@ def bullet_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.tiers(sections(spark, sf_dir).select("doc_id", (F.col("n") % 40).cast("double").alias("x")), 6.0)
 
 
-@query("shard_assignment", "WITH j AS (SELECT doc_id AS job, CAST(ceil(n_chars / 500.0) AS BIGINT) AS pages FROM documents), r AS (SELECT *, row_number() OVER (ORDER BY pages DESC, job) - 1 AS place FROM j) SELECT job, pages, CAST(CASE WHEN (place // 8) % 2 = 0 THEN place % 8 ELSE 7 - place % 8 END AS INTEGER) AS shard FROM r")
+@query("shard_assignment", """
+WITH RECURSIVE j AS (SELECT doc_id AS job, CAST(ceil(n_chars / 500.0) AS BIGINT) AS pages FROM documents), o AS (SELECT *, greatest(coalesce(pages, 1), 1) AS size, row_number() OVER (ORDER BY greatest(coalesce(pages, 1), 1) DESC, job) AS i FROM j),
+s(i, loads, shard) AS (SELECT 0::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], -1::BIGINT UNION ALL
+SELECT o.i, list_transform(s.loads, lambda x, k: CASE WHEN k = list_position(s.loads, list_min(s.loads)) THEN x + o.size ELSE x END), list_position(s.loads, list_min(s.loads)) - 1 FROM s JOIN o ON o.i = s.i + 1)
+SELECT job, pages, shard::INTEGER AS shard FROM o JOIN s USING (i)
+""")
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Jobs dealt to eight shards, largest first."""
+    """Jobs to eight shards, the largest first, each to the one with the least to do."""
     jobs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("job"), F.ceil(F.col("n_chars") / 500).alias("pages"))
     return folds.assign_shards(jobs, 8)

@@ -7,11 +7,11 @@ from tesserae.sources.tables import read
 
 
 def test_suggestions_mend_words_in_their_context(spark):
-    lexicon = spark.createDataFrame([("substantial", 40), ("holding", 30), ("hiding", 60), ("disclosure", 50), ("cookie", 9), ("pipc", 9), ("picp", 2), ("dsar", 3), ("adrs", 90), ("rules", 70)], "term string, freq long")
-    pairs = spark.createDataFrame([("substantial", "holding"), ("cookie", "rules")], "a string, b string")
-    asked = [(1, "substsntial hilding"), (2, "disclosuer rules"), (3, "pcpi rules"), (4, "dasr"), (5, "holding rules"), (6, "zzzzzzz"), (7, "")]
+    lexicon = spark.createDataFrame([("perpetual", 40), ("binding", 30), ("bidding", 60), ("disclosure", 50), ("ferry", 9), ("gmta", 9), ("gtma", 2), ("kolv", 3), ("vlok", 90), ("rules", 70)], "term string, freq long")
+    pairs = spark.createDataFrame([("perpetual", "binding"), ("ferry", "rules")], "a string, b string")
+    asked = [(1, "perpstual bidning"), (2, "disclosuer rules"), (3, "mgta rules"), (4, "klov"), (5, "binding rules"), (6, "zzzzzzz"), (7, "")]
     out = {r.q: r.suggestion for r in titles.suggest(spark.createDataFrame(asked, "q int, text string"), lexicon, pairs).collect()}
-    assert out == {1: "substantial holding", 2: "disclosure rules", 3: "pipc rules", 4: "dsar", 5: None, 6: None, 7: None}
+    assert out == {1: "perpetual binding", 2: "disclosure rules", 3: "gmta rules", 4: "kolv", 5: None, 6: None, 7: None}
 
 
 def test_fuzzy_titles_need_likeness_and_a_lead(spark):
