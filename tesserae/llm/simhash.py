@@ -22,6 +22,8 @@ LARGE = 4_096
 MOST_SHINGLES = 2_000_000
 #: Members of a large group that go to each of its parts.
 PIVOTS = 8
+#: One set in so many tells which shingles many sets have.
+SAMPLED = 64
 #: Bytes of text whose sets of shingles a task holds at once.
 SLICE = 2 << 20
 
@@ -235,17 +237,18 @@ def named(narrow: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.withColumn("component_id", F.col("least.doc_id")).withColumn("keeper", rank() == F.col("least"))
 
 
-def prefix_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, enough that any two sets of Jaccard index 0.8 or more share one.
+def prefix_of(hashes: np.ndarray, common: np.ndarray, shared: int = 1) -> np.ndarray:
+    """The first shingles of a set, enough that any two sets of Jaccard index 0.8 or more have their first ``shared`` in common.
 
     Such sets share at least four fifths of either; in any one order of all
-    shingles, their first n - ceil(4n / 5) + 1 then meet. Shingles known to be
+    shingles, the first one that they share is among their first
+    n - ceil(4n / 5) + 1, the second one place further at most. Shingles known to be
     ``common`` (sorted) come last, which only keeps blocks small.
     """
     n = len(hashes)
     at = np.minimum(np.searchsorted(common, hashes), max(0, len(common) - 1))
     late = common[at] == hashes if len(common) else np.zeros(n, bool)
-    return np.r_[hashes[~late], hashes[late]][: n - (4 * n + 4) // 5 + 1] if n else hashes
+    return np.r_[hashes[~late], hashes[late]][: n - (4 * n + 4) // 5 + shared] if n else hashes
 
 
 def common_shingles(docs: DataFrame, size: int, one_in: int = 32, least: int = 8, most: int = 20_000) -> np.ndarray:
@@ -262,14 +265,14 @@ def common_shingles(docs: DataFrame, size: int, one_in: int = 32, least: int = 8
 
 
 def set_sketches(docs: DataFrame, size: int, words: int, common: np.ndarray) -> DataFrame:
-    """``(doc_id, tie, f, p, s)`` of every text: its fingerprint, the prefix of its shingle hashes, and all of them, distinct and sorted."""
+    """``(doc_id, tie, f, p, s)`` of every text: its fingerprint, the prefix of its shingle hashes that two near sets share two of, and all of them, distinct and sorted."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):  # sets of few texts at once
                 sets = [np.unique(shingle_hashes(x.as_py(), size, SEED)) for x in part.column("text")]
                 f = lists_of([np.array([fold_bits(remixed(h, k)) for k in range(words)], np.int64) for h in sets])
-                first = lists_of([prefix_of(h, common).view(np.int64) for h in sets])
+                first = lists_of([prefix_of(h, common, 2).view(np.int64) for h in sets])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), f, first, lists_of([h.view(np.int64) for h in sets])], ["doc_id", "tie", "f", "p", "s"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), text_of().alias("text"))
@@ -381,21 +384,43 @@ def exact_links(members: DataFrame, most: int = MOST_SHINGLES) -> DataFrame:
     return links.unionByName(exact_groups(all_.unionByName(open_).select("node", task("i", "j"), "s")))
 
 
-def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84, most: int = MOST_SHINGLES) -> DataFrame:
+def prefix_blocks(narrow: DataFrame, words: int, most: int) -> DataFrame:
+    """``narrow(node, f, p, s)``, a written table, to ``(node, f0.., k)``: distinct sets under a key that any two near ones share.
+
+    A key is one of a set's first shingles. Where, by a sample of sets, more
+    than ``most`` have it, they go under it together with each further shingle
+    of their prefix: two near sets have the first two that they share in both
+    prefixes, so they meet whether or not the first one is a key of many. The
+    sample decides the size of blocks alone.
+    """
+    n = F.col("n")
+    first = F.slice("p", 1, F.greatest(n - F.floor((4 * n + 4) / 5).cast("int") + 1, F.lit(0)))
+    some = narrow.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select("node", "p", F.size("s").alias("n")).dropDuplicates(["node"])
+    hot = cut(some.select(F.explode(first).alias("k")).groupBy("k").count().where(F.col("count") * SAMPLED > most).select("k"), "hot-shingles")
+    once = narrow.groupBy("node").agg(F.first("f").alias("f"), F.first("p").alias("p"), F.max(F.size("s")).alias("n"))
+    f = [F.col("f")[w].alias(f"f{w}") for w in range(words)]
+    rows = once.select("node", *f, F.explode(first).alias("k"))
+    if hot.isEmpty():
+        return rows
+    apart = join_hot(once.select("node", *f, "p", F.explode(first).alias("k")), hot, "k")
+    apart = apart.withColumn("next", F.explode("p")).where("next <> k").withColumn("k", F.xxhash64("k", "next"))
+    return join_hot(rows, hot, "k", "left_anti").unionByName(apart.select(*rows.columns))
+
+
+def similar_sets(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84, most: int = MOST_SHINGLES, block: int = LARGE) -> DataFrame:
     """``(doc_id, tie, component_id, keeper)``: groups linked by Jaccard index 0.8 or more of their distinct shingles.
 
-    Sets meet in blocks of a shared prefix shingle, which loses no pair. Within
-    a block, fingerprints tell apart what has nothing in common: at 0.8 a bit
-    differs with probability 0.19 at most (four of five shingles), so 84 of 256
-    bits are over five deviations away, for tables of any size. Whatever may be
+    Sets meet in blocks of a shared prefix shingle, or of two where one is in
+    the prefix of over ``block`` sets, which loses no pair. Within a block,
+    fingerprints tell apart what has nothing in common: at 0.8 a bit differs
+    with probability 0.19 at most (four of five shingles), so 84 of 256 bits
+    are over five deviations away, for tables of any size. Whatever may be
     linked is then decided on whole sets.
     """
     common = common_shingles(docs, size)
     narrow = cut(set_sketches(docs, size, words, common).withColumn("node", F.xxhash64("s")), "sets")
     prints = cut(narrow.groupBy("node").agg(F.min(rank()).alias("least")), "prints")
-    once = narrow.groupBy("node").agg(F.first("f").alias("f"), F.first("p").alias("p"))
-    rows = once.select("node", *[F.col("f")[w].alias(f"f{w}") for w in range(words)], F.explode("p").alias("k"))
-    coarse = cut(connected_components(keyed_links(rows, words, max_bits)), "candidates")
+    coarse = cut(connected_components(keyed_links(prefix_blocks(narrow, words, block), words, max_bits)), "candidates")
     sets = join_hot(narrow.select("node", "s"), coarse, "node").groupBy("node", "root").agg(F.first("s").alias("s"))
     links = exact_links(cut(sets, "candidate-sets"), most)
     roots = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))

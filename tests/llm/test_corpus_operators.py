@@ -508,6 +508,20 @@ def test_prefixes_of_similar_sets_meet_whatever_is_common():
         small = np.sort(rng.permutation(big)[: -(-4 * n // 5)])
         for common in (big[:0], big[::3], big):
             assert np.intersect1d(simhash.prefix_of(big, common), simhash.prefix_of(small, common)).size
+            assert np.intersect1d(simhash.prefix_of(big, common, 2), simhash.prefix_of(small, common, 2)).size >= min(2, len(small))
+
+
+def test_blocks_of_common_shingles_are_dealt_out_without_a_loss(spark):
+    rng = random.Random(31)
+    lines = [" ".join(f"c{rng.randrange(10**6)}" for _ in range(12)) for _ in range(4)]
+    texts = varied_texts()
+    for _ in range(60):  # most of each text is lines that all have
+        own = [f"o{rng.randrange(10**6)}" for _ in range(rng.choice((4, 8, 16)))]
+        texts += [" ".join([*rng.sample(lines, 3), *own]), " ".join([*rng.sample(lines, 4), *own])]
+    docs = cut(spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], DDL), "hot-texts")
+    want = kept_by_all_pairs(texts)
+    for block in (1, 3, 10_000):
+        assert sorted(r.doc_id for r in simhash.similar_sets(docs, block=block).where("keeper").collect()) == want
 
 
 # 5 mixing
