@@ -48,30 +48,54 @@ def better_tier(have: Column, new: Column, accept: float, margin: float, floor:
     return ladder([((have >= accept) & (new < accept), "keep"), ((new >= accept) & (have < accept), "replace"), (new > have + margin, "replace"), (new < have - margin, "keep"), (floor & detail, "replace")], "keep")
 
 
-def _at_least_zero(score: Column) -> Column:
-    return F.round(F.greatest(F.lit(0.0), score), 1)
+#: Points that defects cost, and how many of a kind count at most: digits swapped, notes cited without a body, cells each
+#: shown to be in the wrong place or twice. What extra words cost, and the most that a document without sections scores. Fixed values.
+SWAPPED, UNCITED, UNCITED_MOST, CELL, CELLS_MOST, EXTRA, UNDIVIDED = 15.0, 3.0, 10, 1.0, 10, 500.0, 40.0
+#: What a table is worth by its state. Fixed values.
+CREDITS = {"reclassified": 1.0, "verified continuation": 1.0, "continuation": 0.75, "absorbed": 0.75, "failed": 0.25, "unverified": 0.75, "uncertain": 0.6, "confident": 1.0}
 
 
-def integrity_score(deleted: Column, changed: Column) -> Column:
-    return _at_least_zero(100.0 - 12 * deleted - 5 * changed)
+def _points(score: Column) -> Column:
+    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)), 1)
 
 
-def placement_score(flagged: Column, total: Column) -> Column:
-    return _at_least_zero(100.0 - 100.0 * flagged / F.greatest(F.lit(1), total))
+def _cells(n: Column) -> Column:
+    return CELL * F.least(n, F.lit(CELLS_MOST))
 
 
-def uniqueness_score(extra_percent: Column, duplicates: Column) -> Column:
-    return _at_least_zero(100.0 - 5 * F.least(F.lit(20.0), extra_percent / 5) - F.least(F.lit(20), 4 * duplicates))
+def _part(n: Column, of: Column) -> Column:
+    return 100.0 * n / F.greatest(of, F.lit(1))
 
 
-def sectioning_score(lost: Column, sections: Column, blobs: Column) -> Column:
-    return _at_least_zero(100.0 - 100.0 * lost / sections - F.least(F.lit(40), 10 * blobs))
+def integrity_score(swapped: Column, uncited: Column) -> Column:
+    """Numbers whose digits were swapped, and notes that are cited and have no body."""
+    return _points(100.0 - SWAPPED * swapped - UNCITED * F.least(uncited, F.lit(UNCITED_MOST)))
 
 
-def table_credit(defects: Column, snapshot: Column) -> tuple[Column, Column]:
-    """Bucket of a table and what it is worth."""
-    bucket = ladder([(defects == 0, "ok"), ((defects == 1) & snapshot, "snapshot"), (defects < 3, "partial")], "failed")
-    return bucket, F.when(bucket == "ok", 1.0).when(bucket == "snapshot", 0.5).when(bucket == "partial", 0.75).otherwise(0.0)
+def placement_score(tables: Column, all_tables: Column, headings: Column, all_headings: Column, leaks: Column) -> Column:
+    """Tables outside their section, headings under the wrong parent or too deep, cells that landed in another section."""
+    return _points(100.0 - _part(tables, all_tables) - _part(headings, all_headings) - _cells(leaks))
+
+
+def uniqueness_score(extra: Column, words: Column, duplicates: Column) -> Column:
+    """Words that the source doesn't have, and cells that stand twice."""
+    return _points(100.0 - EXTRA * extra / F.greatest(words, F.lit(1)) - _cells(duplicates))
+
+
+def sectioning_score(lost: Column, promised: Column, outline_lost: Column, outline: Column, divided: Column) -> Column:
+    """Sections that are hollow or missing, entries of the outline that no section is for; not much for a document that isn't divided."""
+    score = _points(100.0 - _part(lost, promised) - _part(outline_lost, outline))
+    return F.when(divided, score).otherwise(F.least(score, F.lit(UNDIVIDED)))
+
+
+def table_credit(state: Column) -> tuple[Column, Column]:
+    """Bucket of a table and its credit, from ``state``: flags ``false_positive``, ``continuation`` with ``verified`` (or null), ``absorbed``, ``ok``, and the ``match``."""
+    going_on = F.when(state["verified"], "verified continuation").when(~state["verified"], "failed").otherwise("continuation")
+    bucket = (
+        F.when(state["false_positive"], "reclassified").when(state["continuation"], going_on).when(state["absorbed"], "absorbed").when(~state["ok"], "failed")
+        .when(state["match"] == "rank", "unverified").when(state["match"] == "uncertain", "uncertain").otherwise("confident")
+    )
+    return F.replace(bucket, F.lit("verified "), F.lit("")), F.create_map(*[F.lit(x) for pair in CREDITS.items() for x in pair])[bucket]
 
 
 def trigger(reason: Column) -> Column:

@@ -138,18 +138,22 @@ def build_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs(spark, sf_dir).select("doc_id", said.alias("mismatch"))
 
 
-@query("dimension_scores", _JOBS + "SELECT doc_id, round(greatest(0, 100.0::DOUBLE - 12 * gone - 5 * depth), 1) AS integrity, round(greatest(0, 100.0::DOUBLE - 100.0 * gone / greatest(1, depth + 3)), 1) AS placement, round(greatest(0, 100.0::DOUBLE - 5 * least(20, (100 - cov) / 5) - least(20, 4 * gone)), 1) AS uniqueness, round(greatest(0, 100.0::DOUBLE - 100.0 * gone / 8 - CASE WHEN long_runs THEN least(40, 10 * depth) ELSE 0 END), 1) AS sectioning FROM j")
-def dimension_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Integrity, placement, uniqueness and sectioning from counts of defects, each with its caps."""
-    c = F.col
-    return jobs(spark, sf_dir).select("doc_id", R.integrity_score(c("gone"), c("depth")).alias("integrity"), R.placement_score(c("gone"), c("depth") + 3).alias("placement"), R.uniqueness_score(100 - c("cov"), c("gone")).alias("uniqueness"), R.sectioning_score(c("gone"), F.lit(8), F.when(c("long_runs"), c("depth")).otherwise(0)).alias("sectioning"))
-
-
-@query("table_credits", _JOBS + "SELECT CASE WHEN gone = 0 THEN 'ok' WHEN gone = 1 AND long_runs THEN 'snapshot' WHEN gone < 3 THEN 'partial' ELSE 'failed' END AS bucket, count(*) AS n, round(sum(CASE WHEN gone = 0 THEN 1.0::DOUBLE WHEN gone = 1 AND long_runs THEN 0.5 WHEN gone < 3 THEN 0.75 ELSE 0 END), 4) AS credit FROM j GROUP BY 1")
+@query("table_credits", """
+WITH t AS (SELECT page_id, length(html) AS n, regexp_matches(html, '<ul>') AS a, html LIKE '%<b>%' AS b, url LIKE '%?%' AS c, url LIKE '%#%' AS d, url LIKE 'https%' AS e FROM pages WHERE html IS NOT NULL AND url IS NOT NULL),
+k AS (SELECT CASE WHEN NOT a THEN 'reclassified' WHEN c THEN CASE WHEN NOT e THEN 'failed' ELSE 'continuation' END WHEN d THEN 'absorbed' WHEN NOT b THEN 'failed' WHEN n > 6000 THEN 'unverified' WHEN n > 4000 THEN 'uncertain' ELSE 'confident' END AS bucket, c AND e AND b AS verified FROM t)
+SELECT bucket, count(*) AS n, round(sum(CASE WHEN bucket IN ('reclassified', 'confident') OR bucket = 'continuation' AND verified THEN 1.0::DOUBLE WHEN bucket = 'failed' THEN 0.25 WHEN bucket = 'uncertain' THEN 0.6 ELSE 0.75 END), 4) AS credit FROM k GROUP BY bucket
+""")
 def table_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each table's status is worth, by bucket."""
-    bucket, credit = R.table_credit(F.col("gone"), F.col("long_runs"))
-    return jobs(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.round(F.sum(credit), 4).alias("credit"))
+    """What each table's state is worth, by bucket; a page's markup and url stand for the state."""
+    html, url = F.col("html"), F.col("url")
+    holds = lambda c, t: F.contains(c, F.lit(t))
+    state = F.struct(
+        (~holds(html, "<ul>")).alias("false_positive"), holds(url, "?").alias("continuation"), F.when(~F.startswith(url, F.lit("https")), False).when(holds(html, "<b>"), True).alias("verified"), holds(url, "#").alias("absorbed"),
+        holds(html, "<b>").alias("ok"), F.when(F.length(html) > 6000, "rank").when(F.length(html) > 4000, "uncertain").otherwise("sure").alias("match"),
+    )
+    bucket, credit = R.table_credit(F.col("state"))
+    rows = read(spark, sf_dir, "pages").where("html is not null and url is not null").select(state.alias("state"))
+    return rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.round(F.sum(credit), 4).alias("credit"))
 
 
 @query("accept_reasons", _JOBS + "SELECT doc_id, a >= 60 AND cov >= 50 AND gone < 3 AS accepted, concat_ws('; ', CASE WHEN a < 60 THEN 'score ' || CAST(a AS INTEGER) || ' < 60' END, CASE WHEN cov < 50 THEN 'coverage' END, CASE WHEN gone >= 3 THEN 'pages missing' END) AS reasons FROM j")
