@@ -36,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage; null texts are clean, repeats go together."""
+    """Documents without a benchmark passage; null texts are clean, repeats go together, equal items decide alike, without items all stay."""
     bounded_batches(spark)
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +47,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes; null and empty texts have no words and so aren't taken, a null source is a source."""
+    """What the mix takes; null and empty texts have no words and so aren't taken, a null source is a source, rows of one hash share what is left at the threshold, an empty table gives no rows."""
     return mixing.mix(docs).where("taken > 0")
 
 

@@ -219,7 +219,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the benchmark items that it overlaps; null texts are clean, repeated rows each get their row."""
+    """Every document with the benchmark items that it overlaps; null texts are clean, repeated rows each get their row, equal items are listed each, an empty table gives no rows and an empty benchmark clean ones."""
     found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     share = F.array_max(F.transform("hits", lambda x: x["matched"] / x["tokens"]))
     return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"), F.transform("hits", lambda x: x["item_id"]).alias("item_ids"), F.coalesce(share, F.lit(0.0)).alias("best_overlap"), F.transform("hits", lambda x: x["at"]).alias("at_tokens"))

@@ -105,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total: fl
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: what the mix takes of every document; null texts have size 0, repeated rows each get their row."""
+    """Contract query: what the mix takes of every document; null texts have size 0, repeated rows each get their row, rows of one hash share what is left at the threshold, an empty table gives no rows."""
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 

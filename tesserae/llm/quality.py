@@ -194,8 +194,9 @@ def reject_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: score and prediction for every document.
 
-    Null and empty texts score by their statistics as any other. An empty
-    table gives no rows.
+    Null and empty texts score by their statistics as any other. Equal texts
+    score alike, repeated rows each get their row and teach as often as they
+    stand there. An empty table gives no rows.
     """
     known = measured(table(spark, sf_dir, "documents"))
     model = train(known, table(spark, sf_dir, "labels"))

@@ -448,6 +448,12 @@ def keep_one(docs: DataFrame, size: int = 5, words: int = 4, max_bits: int = 84)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: fingerprint and component of every document."""
+    """Contract query: fingerprint and component of every document.
+
+    Null and empty texts have fingerprint zero and are linked like any other;
+    texts of any length count whole; repeated rows each get their row and share
+    a component; a null doc_id comes after all others; an empty table gives no
+    rows; other columns play no part.
+    """
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("f")[0]), 16, "0")).alias("fingerprint"), "component_id")

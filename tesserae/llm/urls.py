@@ -93,7 +93,13 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFr
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: the verdict on every page's url."""
+    """Contract query: the verdict on every page's url.
+
+    A null or empty url has an empty host and path, no rule and the default; a
+    very long one is judged whole; of rules that fit alike the longest decides;
+    repeated pages and urls each get their row; an empty table gives none;
+    other columns play no part.
+    """
     return judge(table(spark, sf_dir, "pages"), default_rules())
 
 

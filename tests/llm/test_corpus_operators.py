@@ -859,3 +859,33 @@ def test_only_distinct_misses_are_encoded_and_appended(spark, model_path, tmp_pa
     other = model_path("byte_bpe_50k.json")
     assert {r.doc_id: r.n_tokens for r in tokens.count_tokens(df, other, cache).collect()} == dict(zip((1, 2, 3), tokens.JsonCounter(other).count(["a b", "a b", "c"]), strict=True))
     assert spark.read.parquet(cache).count() == 4
+
+
+def test_urls_of_any_length(spark):
+    long = "http://spam." + "a" * 50_000 + ".com/" + "b/" * 20_000 + "?q=1"
+    pages = spark.createDataFrame([(1, long), (2, None), (3, ""), (4, "http://x.net/fr/" + "z" * 60_000), (5, long)], "page_id long, url string").withColumn("token", F.lit("com")).withColumn("best", F.lit(1)).withColumn("host", F.lit("h"))
+    out = {r.page_id: (len(r.host), r.rule, r.verdict) for r in urls.judge(pages, urls.default_rules()).collect()}
+    assert out[1] == out[5] == (50_009, "com/", "allow") and out[2] == out[3] == (0, None, "allow") and out[4] == (5, "net/fr/", "block")
+
+
+def test_conversations_with_clashing_columns(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ok"), (2, 0, "assistant", None)]
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    more = plain
+    for name in ("record", "turns", "mask", "formatted", "messages", "content", "key"):
+        more = more.withColumn(name, F.lit(name))
+    told = lambda df: sorted((r.conv_id, r.record) for r in chat.records(df).collect())
+    assert told(more) == told(plain)
+
+
+def test_empty_tables_of_mixing_and_decontamination(spark, empty, awkward):
+    assert mixing.mix(empty).count() == 0
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.remove_contaminated(empty, none).count() == 0
+    assert decontaminate.remove_contaminated(awkward, none).count() == len(AWKWARD)
+
+
+def test_equal_texts_score_alike(spark, awkward):
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (5, 0, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    kept = [r.doc_id for r in quality.reject_low_quality(awkward, labels).collect()]
+    assert kept.count(1) == kept.count(2) and kept.count(5) in (0, 2, 3)
