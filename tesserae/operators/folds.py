@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut
+from .batches import planned
 
 
 def pack(elements: DataFrame, budget: int) -> DataFrame:
@@ -16,18 +16,8 @@ def pack(elements: DataFrame, budget: int) -> DataFrame:
 
     An element larger than the budget is a chunk of its own.
     """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ord")
-        chunk, room, out = -1, 0, []
-        for size in rows["size"]:
-            if chunk < 0 or size > room:
-                chunk, room = chunk + 1, budget
-            room -= size
-            out.append(chunk)
-        return rows.assign(chunk=out)[["doc_id", "ord", "chunk"]]
-
-    return elements.groupBy("doc_id").applyInPandas(fold, "doc_id bigint, ord int, chunk int")
+    rows = elements.select(F.col("doc_id").alias("key"), "ord", "size", F.lit(None).cast("int").alias("page"))
+    return planned(rows, most_rows=1 << 30, most_chars=budget).select(F.col("key").alias("doc_id"), "ord", F.col("batch").alias("chunk"))
 
 
 def legal_levels(entries: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import folds, tables, trees
+from ..operators import branches, folds, tables, trees
 from ..sources.tables import read
 from .catalog import query
 
@@ -34,11 +34,10 @@ SELECT a.doc_id, a.ord, coalesce('s' || c.ord || ' > ', '') || coalesce('s' || b
 FROM p a LEFT JOIN p b ON b.doc_id = a.doc_id AND b.ord = a.parent LEFT JOIN p c ON c.doc_id = b.doc_id AND c.ord = b.parent
 """)
 def breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Path of each section from the top."""
-    rows = trees.parents_by_level(sections(spark, sf_dir), "doc_id", 3)
-    key = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col("doc_id").alias("d"), F.col(c).cast("int").alias("o")))
-    nodes = rows.select(key("ord").alias("id"), key("parent").alias("up"), F.concat(F.lit("s"), F.col("ord").cast("string")).alias("label"))
-    return trees.levels_to_root(nodes, "id", "up", "label").select(F.col("id.d").alias("doc_id"), F.col("id.o").alias("ord"), "breadcrumb", "depth")
+    """Path of each section from the top: the levels that are open where it stands, by one window."""
+    rows = branches.spans(sections(spark, sf_dir).withColumnRenamed("doc_id", "key"), 3)
+    path = F.transform(F.concat("above", F.array("ord")), lambda o: F.concat(F.lit("s"), o.cast("string")))
+    return rows.select(F.col("key").alias("doc_id"), "ord", F.array_join(path, " > ").alias("breadcrumb"), (F.size("above") + 1).alias("depth"))
 
 
 @query("subtree_rows", _SECTIONS + ", u AS (SELECT a.doc_id, a.ord, coalesce(min(b.ord) - 1, (SELECT max(ord) FROM s z WHERE z.doc_id = a.doc_id)) AS until FROM s a LEFT JOIN s b ON b.doc_id = a.doc_id AND b.ord > a.ord AND b.level <= a.level GROUP BY a.doc_id, a.ord) SELECT u.doc_id, u.ord, CAST(until AS INTEGER) AS until, CAST(sum(t.n) AS BIGINT) AS n_chars FROM u JOIN s t ON t.doc_id = u.doc_id AND t.ord BETWEEN u.ord AND u.until GROUP BY ALL")
