@@ -6,7 +6,7 @@ import importlib
 from types import ModuleType
 
 #: Modules that register queries.
-MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs", "streams", "records", "suggest", "markup", "outline", "rules", "reads", "grids", "stitch", "chains", "subchunks", "versions", "layout", "faults", "batches", "contents", "scores", "folders")
+MODULES = ("retrieval", "rollups", "texts", "checks", "graphs", "runs", "streams", "records", "suggest", "markup", "outline", "rules", "reads", "grids", "stitch", "chains", "subchunks", "versions", "layout", "faults", "batches", "contents", "scores", "folders", "reading", "presence")
 
 
 def load_catalog() -> ModuleType:
