@@ -212,7 +212,7 @@ def like_contents(words: Column) -> Column:
 
 
 #: What a heading's first and last characters don't look like, and the words it has fewer of. Fixed values.
-PROSE_START, PROSE_END, HEADING_WORDS = r"^(?:\(?[0-9a-z]{1,4}\)\s+)?[a-z]", r"[,;:]$|[^0-9.]\.$|^[^0-9.].*\.$|\s.*\.$", 10
+PROSE_START, PROSE_END, HEADING_WORDS = r"^(?:\(?[0-9a-z]{1,4}\)\s+)?[a-z]", r"[,;:]$|^(?![0-9.]+$).*\.$", 10
 
 
 def heading_like(title: Column) -> Column:

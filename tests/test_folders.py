@@ -14,7 +14,7 @@ def test_every_folder_and_file_is_a_section(spark):
     assert {r.node: r.text for r in out}["a"] is None
 
 
-LETTERED = [(f"k{n}", p, k) for n in range(3) for k, p in enumerate(["A-scope/01-who-is-meant.md", "A-scope/02-notes.md", "B-breach/01-first-steps.md", "B-breach/02-notes.md", "README.md"])]
+LETTERED = [(f"k{n}", p, k) for n in range(3) for k, p in enumerate(["A-scope/01-who-is-meant.md", "A-scope/02-notes.md", "B-losses/01-first-steps.md", "B-losses/02-notes.md", "README.md"])]
 
 
 def lexicon(spark, more=()):
@@ -23,7 +23,7 @@ def lexicon(spark, more=()):
 
 def test_names_that_trees_agree_on(spark):
     out = {r.name: (r.letter, r.is_part) for r in lexicon(spark).collect()}
-    assert out == {"scope": ("A", True), "breach": ("B", True), "who-is-meant": ("A", False), "first-steps": ("B", False)}  # notes end both parts
+    assert out == {"scope": ("A", True), "losses": ("B", True), "who-is-meant": ("A", False), "first-steps": ("B", False)}  # notes end both parts
     assert lexicon(spark).where("name = 'notes'").count() == 0
     assert folders.learned(spark.createDataFrame(LETTERED[:5], "key string, path string, page int")).count() == 0  # one tree alone
 
@@ -34,17 +34,17 @@ def parts(spark, *paths):
 
 
 def test_a_wrapper_hides_the_level_and_parts_carry_on(spark):
-    got = parts(spark, "02-iceland/README.md", "02-iceland/01-who-is-meant/x.md", "02-iceland/02-notes/x.md", "02-iceland/03-loose.md", "02-iceland/01-first-steps/x.md", "02-iceland/02-notes-again/x.md")
-    assert got == {"01-who-is-meant": ("A", False, "02-iceland"), "02-notes": ("A", False, "02-iceland"), "03-loose.md": ("A", False, "02-iceland"), "01-first-steps": ("B", False, "02-iceland"), "02-notes-again": ("B", False, "02-iceland")}
+    got = parts(spark, "02-harbour/README.md", "02-harbour/01-who-is-meant/x.md", "02-harbour/02-notes/x.md", "02-harbour/03-loose.md", "02-harbour/01-first-steps/x.md", "02-harbour/02-notes-again/x.md")
+    assert got == {"01-who-is-meant": ("A", False, "02-harbour"), "02-notes": ("A", False, "02-harbour"), "03-loose.md": ("A", False, "02-harbour"), "01-first-steps": ("B", False, "02-harbour"), "02-notes-again": ("B", False, "02-harbour")}
 
 
 def test_a_single_folder_called_like_a_part_is_no_wrapper(spark):
-    assert parts(spark, "01-breach/01-x/y.md", "01-breach/02-z.md") == {"01-breach": ("B", True, None)}
+    assert parts(spark, "01-losses/01-x/y.md", "01-losses/02-z.md") == {"01-losses": ("B", True, None)}
 
 
 def test_mixed_trees_go_by_name_alone_and_lettered_ones_need_nothing(spark):
-    assert parts(spark, "A-scope/x.md", "08-breach/x.md", "09-ontario/x.md") == {"08-breach": ("B", True, None)}
-    assert parts(spark, "A-scope/x.md", "B-breach/y.md") == {}
+    assert parts(spark, "A-scope/x.md", "08-losses/x.md", "09-northern/x.md") == {"08-losses": ("B", True, None)}
+    assert parts(spark, "A-scope/x.md", "B-losses/y.md") == {}
     assert parts(spark, "unknown/x.md", "other/y.md") == {}
 
 
