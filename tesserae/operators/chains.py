@@ -47,7 +47,9 @@ def best_chain(pairs: Sequence[tuple[int, int, int]]) -> list[int]:
 def longest_chain(pairs: DataFrame, keys: list[str], a: str = "a", b: str = "b", worth: str | None = None) -> DataFrame:
     """The rows ``(*keys, a, b)`` of ``pairs`` that make the best chain of their key: strictly rising in ``a`` and ``b``.
 
-    One key's pairs, two numbers each, meet in a task.
+    Worths are positive, so where all pairs of a key rise they are its chain,
+    and Spark sees that by a window. Of the other keys, one key's pairs, two
+    numbers each, meet in a task.
     """
 
     def choose(found: pa.Table) -> pa.Table:
@@ -56,7 +58,11 @@ def longest_chain(pairs: DataFrame, keys: list[str], a: str = "a", b: str = "b",
 
     rows = pairs.select(*keys, a, b, (F.col(worth) if worth else F.lit(1)).cast("long").alias("_worth"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.groupBy(*keys).applyInArrow(choose, kinds)
+    order = Window.partitionBy(*keys).orderBy(a, b)
+    falls = (F.col(a) <= F.lag(a).over(order)) | (F.col(b) <= F.lag(b).over(order))
+    rows = rows.withColumn("_falls", F.coalesce(falls, F.lit(False))).withColumn("_falls", F.max("_falls").over(Window.partitionBy(*keys)))
+    rising, others = rows.where("not _falls").select(*keys, a, b), rows.where("_falls").drop("_falls")
+    return rising.unionByName(others.groupBy(*keys).applyInArrow(choose, kinds))
 
 
 def aligned(left: DataFrame, right: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

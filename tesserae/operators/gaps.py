@@ -72,23 +72,38 @@ def source_gaps(rows: DataFrame) -> DataFrame:
 
 
 def output_runs(rows: DataFrame, sizes: range) -> DataFrame:
-    """Runs of the output by hash: ``(doc_id, section, size, h)``, section null where a run goes beyond its own."""
+    """``(doc_id, of, i, n, h4, ...)``: the hashes of the output's runs of each of ``sizes`` from every word on, null beyond the text; ``of`` is the section."""
     order = Window.partitionBy("doc_id").orderBy("section", "i")
-    found = F.array(*[F.when(F.lead("i", k - 1).over(order).isNotNull(), F.struct(F.lit(k).alias("size"), run_at(F.col("token"), order, k).alias("h"), F.when(F.lead("section", k - 1).over(order) == F.col("section"), F.col("section")).alias("section"))) for k in sizes])
-    out = rows.where("side = 1").withColumn("found", found).select("doc_id", F.explode("found").alias("r")).where("r is not null")
-    return out.select("doc_id", "r.section", "r.size", "r.h")
+    found = [F.when(F.lead("i", k - 1).over(order).isNotNull(), run_at(F.col("token"), order, k)).alias(f"h{k}") for k in sizes]
+    return rows.where("side = 1").select("doc_id", F.col("section").alias("of"), "i", "n", *found)
 
 
 def windows(spans: DataFrame) -> DataFrame:
-    """Windows of ``spans(doc_id, section, first, words)``: ``(doc_id, section, first, k, size, h)``; a short span is one window."""
+    """Windows of ``spans(doc_id, section, first, words)``: ``(doc_id, section, first, k, size, head, h)``, head their first run; a short span is one window."""
     size = F.least(F.size("words"), F.lit(WINDOW))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)), F.lit(STRIDE))
     cuts = spans.select("doc_id", "section", "first", size.alias("size"), F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.slice("words", k, size).alias("words")))).alias("w"))
     # the same hash as a run of so many columns has
+    whole = lambda k: F.xxhash64(*[F.get("w.words", j) for j in range(k)])
     hashes = F.lit(None).cast("bigint")
     for k in range(RUN, WINDOW + 1):
-        hashes = F.when(F.col("size") == k, F.xxhash64(*[F.get("w.words", j) for j in range(k)])).otherwise(hashes)
-    return cuts.select("doc_id", "section", "first", F.col("w.k").alias("k"), "size", hashes.alias("h"))
+        hashes = F.when(F.col("size") == k, whole(k)).otherwise(hashes)
+    return cuts.select("doc_id", "section", "first", F.col("w.k").alias("k"), "size", whole(RUN).alias("head"), hashes.alias("h"))
+
+
+def windows_found(asked: DataFrame, runs: DataFrame) -> DataFrame:
+    """``(doc_id, section, first, here, there)``: shares of a span's windows that stand in its own section's output, and anywhere in it.
+
+    Windows meet the output's runs by their first words, and count where the run of their size says the same.
+    """
+    same = F.lit(False)
+    for k in range(RUN, WINDOW + 1):
+        same = same | ((F.col("size") == k) & (F.col(f"h{k}") == F.col("h")))
+    met = asked.join(runs, (asked["doc_id"] == runs["doc_id"]) & (asked["head"] == runs[f"h{RUN}"])).drop(runs["doc_id"]).where(same)
+    here = F.max(((F.col("of") == F.col("section")) & (F.col("i") + F.col("size") <= F.col("n"))).cast("int"))
+    met = met.groupBy("doc_id", "section", "first", "k").agg(here.alias("here"), F.lit(1).alias("there"))
+    out = asked.select("doc_id", "section", "first", "k").join(met, ["doc_id", "section", "first", "k"], "left")
+    return out.groupBy("doc_id", "section", "first").agg((F.sum(F.coalesce("here", F.lit(0))) / F.count("*")).alias("here"), (F.sum(F.coalesce("there", F.lit(0))) / F.count("*")).alias("there"))
 
 
 def unit_shares(spans: DataFrame, units: DataFrame) -> DataFrame:
@@ -133,12 +148,9 @@ def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
     spans = source.where(~F.col("kept") & (F.col("size") >= LEAST)).groupBy(*AT, "first").agg(words.alias("words"), F.max("replaced").alias("replaced"))
     spans = cut(spans.where(~F.col("replaced") | (F.size("words") >= 2 * LEAST)), "gap-spans")
     gone = spans.where("not replaced")
-    runs = output_runs(rows, range(RUN, WINDOW + 1)).distinct()
-    asked = windows(gone)
-    whole, own = runs.select("doc_id", "size", "h").distinct(), runs.where("section is not null")
-    seen = asked.join(whole.withColumn("there", F.lit(1)), ["doc_id", "size", "h"], "left").join(own.withColumn("here", F.lit(1)), ["doc_id", "section", "size", "h"], "left")
-    seen = seen.groupBy(*AT, "first").agg((F.count("here") / F.count("*")).alias("here"), (F.count("there") / F.count("*")).alias("there"))
-    runs_out = runs.where(f"size = {RUN}").select("doc_id", "h").distinct()
+    runs = cut(output_runs(rows, range(RUN, WINDOW + 1)), "gap-runs")
+    seen = windows_found(windows(gone), runs)
+    runs_out = runs.where(f"h{RUN} is not null").select("doc_id", F.col(f"h{RUN}").alias("h"))
     out_words = rows.where("side = 1").select("doc_id", "token").distinct().withColumn("met", F.lit(1))
     short = gone.where(F.size("words") <= REORDERED).select(*AT, "first", F.explode("words").alias("token")).join(out_words, ["doc_id", "token"], "left")
     short = short.groupBy(*AT, "first").agg((F.count("met") == F.count("*")).alias("reordered"))
@@ -172,7 +184,7 @@ def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
     texts = rows.join(F.broadcast(thin.select(*AT)) if thin.count() < 100_000 else thin.select(*AT), AT, "left_semi").groupBy(*AT, "side").agg(words)
     asked = windows(texts.where("side = 0").select(*AT, F.lit(0).alias("first"), "words"))
     n_asked = asked.groupBy(*AT).agg(F.count("*").alias("n_asked"))
-    held = output_runs(rows, range(WINDOW, WINDOW + 1)).where("section is not null").select("doc_id", F.col("section").alias("holder"), "h").distinct()
+    held = output_runs(rows, range(WINDOW, WINDOW + 1)).where(f"h{WINDOW} is not null and i + {WINDOW} <= n").select("doc_id", F.col("of").alias("holder"), F.col(f"h{WINDOW}").alias("h")).distinct()
     held = asked.join(held, ["doc_id", "h"]).where("holder <> section").groupBy(*AT, "holder").agg(F.count("*").alias("n_held")).join(n_asked, AT)
     best = held.select(*AT, F.struct((F.col("n_held") / F.col("n_asked")).alias("ratio"), (-F.col("holder")).alias("back")).alias("x")).groupBy(*AT).agg(F.max("x").alias("x"))
     order = Window.partitionBy("doc_id").orderBy("section", "i")
