@@ -32,13 +32,13 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("parts", cut)
     said = F.when(F.length("title") > 40, F.concat(F.array(F.concat("label", F.lit("."))), body)).otherwise(F.array(F.concat("label", F.when(F.contains("label", F.lit(".")), "").otherwise("."), F.lit(" "), body[0], *[F.when(F.size(body) > k, F.concat(F.lit(" "), F.get(body, k))).otherwise("") for k in (1, 2)])))
     rows = rows.select(F.col("doc_id").alias("key"), F.floor((F.col("nth") - 1) / 10).alias("page"), "nth", F.posexplode(said).alias("k", "line"))
-    return rows.select("key", "page", (F.col("nth") * 1000 + F.col("k")).alias("ord"), "line")
+    return rows.select("key", "page", (F.col("nth").cast("bigint") * F.lit(1 << 32) + F.col("k")).alias("ord"), "line")
 
 
 @query("contents_entries", WANTED + "SELECT doc_id, nth::INTEGER AS nth, label, title, page_to, CASE WHEN b = 0 THEN 1 ELSE 2 END AS depth FROM z")
 def contents_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of the printed listing, whole titles however they wrapped."""
-    return contents.entries(listing(spark, sf_dir), most_lines=1000).withColumnRenamed("key", "doc_id")
+    return contents.entries(listing(spark, sf_dir), most_lines=None).withColumnRenamed("key", "doc_id")
 
 
 @query("contents_pages", WANTED + "SELECT doc_id, page, n FROM (SELECT doc_id, (nth - 1) // 10 AS page, count(*) AS n FROM e GROUP BY ALL) WHERE n >= 6 OR n >= 3 AND page > 0")
@@ -50,5 +50,5 @@ def contents_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("folded_entries", WANTED + "SELECT doc_id, nth::INTEGER AS nth, CASE WHEN b > 0 THEN 'deeper' END AS why FROM z")
 def folded_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries that a tree of one level folds into the one above."""
-    found = contents.folded(contents.entries(listing(spark, sf_dir), most_lines=1000), 1)
+    found = contents.folded(contents.entries(listing(spark, sf_dir), most_lines=None), 1)
     return found.select(F.col("key").alias("doc_id"), "nth", "why")

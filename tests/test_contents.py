@@ -44,3 +44,28 @@ def test_entries_that_fold(spark):
     df = spark.createDataFrame(rows, "key long, nth int, label string")
     out = {(r.key, r.nth): r.why for r in contents.folded(df, 1).collect()}
     assert [out[1, n] for n in range(6)] == [None, None, None, "deeper", None, "fragment"] and out[2, 1] is None
+
+
+def test_labels_of_three_digits(spark):
+    got = read_back(spark, "99.4 Last of two ..... 7", "104. Scope ........ 8", "104.4 Who is meant ........ 9", "105.12.", "Limits that follow", "the plan ..... 10", "106.", "More ..... 11")
+    assert got == [("99.4", "Last of two", 7, 2), ("104", "Scope", 8, 1), ("104.4", "Who is meant", 9, 2), ("105.12", "Limits that follow the plan", 10, 2), ("106", "More", 11, 1)]
+    assert read_back(spark, "1. Scope ..... 3", "2024", "Report ..... 4") == [("1", "Scope", 3, 1), (None, "2024 Report", 4, 1)]
+
+
+def test_a_wrapped_title_whose_last_line_starts_like_a_label(spark):
+    assert read_back(spark, "7.4.", "Addresses of the hosts at", "97.33.30.60 and others ..... 12") == [("7.4", "Addresses of the hosts at 97.33.30.60 and others", 12, 2)]
+
+
+def test_a_title_of_very_many_lines_is_whole(spark):
+    rows = [f"line {k:04d} of the title" for k in range(1500)]
+    assert read_back(spark, "1.", *rows, "end ..... 3", "2. Next ..... 4", most_lines=None) == [("1", " ".join([*rows, "end"]), 3, 1), ("2", "Next", 4, 1)]
+
+
+def test_wrapped_lines_of_an_entry_stay_before_the_next_entry(spark, tmp_path):
+    from tesserae.plans.contents import contents_entries, folded_entries
+
+    title = " ".join(["wordsofthetitle"] * 3000)
+    spark.createDataFrame([(1, f"{title}\nNext title")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((r.nth, r.label, r.title) for r in contents_entries(spark, str(tmp_path)).collect())
+    assert found == [(1, "1", title), (2, "1.1", "Next title")]
+    assert sorted((r.nth, r.why) for r in folded_entries(spark, str(tmp_path)).collect()) == [(1, None), (2, "deeper")]
