@@ -95,3 +95,11 @@ def test_shards_equal_a_loop(spark, shards):
     df = spark.createDataFrame(list(sizes.items()), "job long, pages long").repartition(7)
     out = {r.job: r.shard for r in folds.assign_shards(df, shards).collect()}
     assert out == loop(sizes, shards)[0]
+
+
+def test_a_table_moved_under_a_heading_that_says_the_same_is_noticed(spark):
+    said = ["# Terms", "| a | b |", "# Terms", "end of it"]
+    rows = spark.createDataFrame([(1, k, x) for k, x in enumerate(said)], "doc_id long, ord int, line string")
+    found = faults.fault_matrix(rows, ("move_table",)).collect()
+    assert [(r.placement, r.caught) for r in found] == [(1, True)]
+    assert [r.placement for r in faults.checks(rows, rows).collect()] == [0]
