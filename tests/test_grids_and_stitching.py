@@ -208,3 +208,10 @@ def test_rows_stay_where_anything_speaks_against_it(spark):
     assert detached(spark, [*ROWS, (1, 3, 2, 9, ["", "another"])], PAGES) == []  # two tables open alike
     assert detached(spark, [r for r in ROWS if r[4] != ["Asked", "Told"]], PAGES) == []  # no caption row
     assert detached(spark, ROWS, [(1, 1, "all other words here"), (1, 2, "and nothing of the join")]) == []
+
+
+@pytest.mark.parametrize("word", ["ñó", "ключ", "—"])
+def test_rows_in_any_script_go_back(spark, word):
+    tail, head = " ".join([word] * 9), f"{word} {word}"
+    rows = [(1, 1, 1, 0, ["(f)", "x", tail]), (1, 2, 2, 0, ["", "", head]), *ROWS[2:]]
+    assert detached(spark, rows, [(1, 1, f"(f) x {tail}"), (1, 2, f"{head} (g) And later?")]) == [(1, 2, 1 + 1, 0)]
