@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,26 @@ def test_approximate_neighbours_find_nine_of_ten(spark, sf_dir):
         scores = {i: sum(a * b for a, b in zip(v, rows[q], strict=True)) for i, v in rows.items() if i != q}
         hits += len(found.get(q, set()) & set(sorted(scores, key=lambda i: (-scores[i], i))[:10]))
     assert hits >= 0.9 * 10 * len(asked)
+
+
+def test_scores_of_many_queries_come_in_bounded_batches_and_the_best_so_far_count():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3 * topk.BLOCK, 4)).astype("float32")
+    vectors[topk.BLOCK :] *= 0.01  # later blocks have nothing near the best
+    kind = pa.list_(pa.float32())
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(vectors))), pa.array(np.arange(len(vectors)) % 3), pa.array(list(vectors), kind)], ["id", "label", "embedding"])
+    asked = pa.table({"q": pa.array(range(-1, -1201, -1)), "qvec": pa.array(list(rng.normal(size=(1200, 4)).astype("float32")), kind)})
+    whole = list(topk._block_scores(asked, "id", None, None, "label")(iter([rows.slice(0, topk.BLOCK)])))
+    assert sum(b.num_rows for b in whole) == topk.BLOCK * 1200 and max(b.num_rows for b in whole) <= topk.BLOCK * topk.QUERIES
+    scores = np.array(asked.column("qvec").to_pylist()) @ vectors.astype(float).T
+    for floor in (None, 2):
+        found = pa.Table.from_batches(topk._block_scores(asked, "id", 5, floor, "label")(iter([rows])))
+        got = set(zip(found.column("q").to_pylist(), found.column("id").to_pylist(), strict=True))
+        best = [(x, np.argsort(-scores[-x - 1])[:5]) for x in range(-1, -1201, -1)]
+        labels = [(x, np.flatnonzero(np.arange(scores.shape[1]) % 3 == g)) for x in range(-1, -1201, -1) for g in range(3)] if floor else []
+        best += [(x, of[np.argsort(-scores[-x - 1][of])[:2]]) for x, of in labels]
+        assert {(x, i) for x, ids in best for i in ids.tolist()} <= got
+        assert max(i for _, i in got) < topk.BLOCK
+    near = pa.Table.from_batches(topk._block_scores(asked, "id", 5, None, "label", 0.1)(iter([rows])))
+    got = set(zip(near.column("q").to_pylist(), near.column("id").to_pylist(), strict=True))
+    assert {(-k - 1, int(i)) for k in range(1200) for i in np.flatnonzero(scores[k] >= np.sort(scores[k])[-5] - 0.1)} <= got
