@@ -52,16 +52,25 @@ def respaced(cell: Column, page: Column) -> Column:
 
     The cell's characters have to stand in the page one after the other, white
     space aside; else it stays as it is. Its own layout stays in any case.
+    Where the first such place lacks a space that the cell has, a line of the
+    page that has just these characters and all the cell's spaces goes before.
     """
 
     def build(x: Column) -> Column:
         uc = x["uc"]
-        at = F.instr(x["said"], F.array_join(F.transform(uc, shown), ""))
+        at = F.instr(x["said"], x["want"])
+        more = F.greatest(F.size(uc) - 1, F.lit(0))
+        rest = lambda g: F.slice(g, 2, more)
+        agrees = lambda g: F.forall(F.zip_with(rest(x["gc"]), g, lambda own, there: ~own.rlike(r"\s|<br") | (there != "")), lambda ok: F.coalesce(ok, F.lit(False)))
         # the page's gaps behind the first character, one before each of the others
-        between = F.concat(F.array(F.lit("")), F.slice(x["gp"], at + 1, F.greatest(F.size(uc) - 1, F.lit(0))))
+        first = F.slice(x["gp"], at + 1, more)
+        lines = F.filter(F.split(page, "\n"), lambda s: (F.length(s) >= F.length(x["want"])) & (F.translate(s, " \t\x0b\f\r", "") == x["want"]))
+        fits = F.filter(F.transform(lines, lambda s: rest(F.regexp_extract_all(s, F.lit(plain), 1))), agrees)
+        between = F.concat(F.array(F.lit("")), let(first, lambda g: F.when(agrees(g), g).otherwise(F.coalesce(F.get(fits, 0), g))))
         spaced = F.zip_with(F.zip_with(x["gc"], between, lambda own, there: F.when(own.rlike(r"\s|<br") | (there == ""), own).when(own.rlike("^<[^/]"), F.concat(F.lit(" "), own)).otherwise(F.concat(own, F.lit(" ")))), uc, lambda g, u: F.concat(g, u))
         return F.when((at > 0) & (F.size(uc) > 0), F.concat(F.array_join(spaced, ""), tail(cell))).otherwise(cell)
 
     plain = r"(\s*+)(\S)"
     page = F.coalesce(page, F.lit(""))
-    return let(F.struct(units(cell).alias("uc"), gaps(cell).alias("gc"), F.regexp_replace(page, r"\s+", "").alias("said"), F.regexp_extract_all(page, F.lit(plain), 1).alias("gp")), build)
+    want = F.array_join(F.transform(units(cell), shown), "")
+    return let(F.struct(units(cell).alias("uc"), gaps(cell).alias("gc"), want.alias("want"), F.regexp_replace(page, r"\s+", "").alias("said"), F.regexp_extract_all(page, F.lit(plain), 1).alias("gp")), build)

@@ -49,3 +49,15 @@ def respaced(spark, cell, page):
 ])
 def test_spaces_come_back_and_nothing_else(spark, cell, page, want):
     assert respaced(spark, cell, page) == want
+
+
+@pytest.mark.parametrize(("cell", "page", "want"), [("a bc", "ab c\n a bc\n", "a bc"), ("a b,cd", "ab, c d\na b, cd", "a b, cd"), ("abc", "x a b c\nab c", "a b c"), ("a bc", "ab c\nx a bc", "a b c")])
+def test_a_line_that_agrees_with_the_own_spaces_goes_first(spark, cell, page, want):
+    assert respaced(spark, cell, page) == want
+
+
+def test_lines_that_differ_in_their_spaces_alone_come_back(spark, tmp_path):
+    from tesserae.plans.layout import respaced_lines
+
+    spark.createDataFrame([(1, "ab c. De\na bc. De")], "doc_id long, text string").unionByName(spark.createDataFrame([(2, "no tes of\nnot es of")], "doc_id long, text string")).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r.said for r in respaced_lines(spark, str(tmp_path)).collect()) == ["a bc. De", "ab c. De", "no tes of", "not es of"]
