@@ -74,3 +74,12 @@ def test_rows_without_embedding_and_empty_tables(spark):
     assert [r.vec_id for r in ann.search(rows, asked, "vec_id", 2).orderBy("rk").collect()] == [4, 3]
     assert ann.search(rows.limit(0), asked, "vec_id", 2).count() == 0
     assert ann.search(rows, asked.limit(0), "vec_id", 2).count() == 0
+
+
+def test_titles_that_many_rows_share_are_compared_once(spark):
+    from pyspark.sql import functions as F
+
+    asked = spark.range(2000).select(F.col("id").alias("q"), F.lit("a").alias("scope"), F.when(F.col("id") % 2 == 0, "the red ring rules").otherwise("the blue gear rules").alias("title"))
+    known = spark.range(3000).select(F.col("id").alias("key"), F.lit("a").alias("scope"), F.when(F.col("id") == 7, "Blue gear rule").otherwise("red ring").alias("title"))
+    found = titles.fuzzy_titles(asked, known)
+    assert {(r.q % 2, r.key) for r in found.collect()} == {(0, None), (1, 7)} and found.count() == 2000
