@@ -1,5 +1,6 @@
 """Suggestions against all pairs, and chunks."""
 
+import random
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -32,3 +33,15 @@ def test_paragraph_chunks_keep_long_texts_whole(spark, tmp_path):
     assert load_catalog().QUERIES["paragraph_chunks"](spark, str(tmp_path)).where("doc_id = 1").count() == len(paragraphs)
     rows = spark.createDataFrame([("\n".join(paragraphs),)], "t string").select(lexicon.chunk_text(F.col("t")).alias("c"), lexicon.chunk_text(F.col("t"), most=10).alias("few")).first()
     assert all(p.strip() in "\n".join(rows.c) for p in paragraphs) and rows.few == rows.c[:10]
+
+
+def test_letters_that_one_word_has_alone_leave_no_close_pair_out(spark):
+    rng = random.Random(4)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choices("abcdeféß\u0430\u0431", k=rng.randint(4, 12)))
+        b = "".join(c for c in a if rng.random() < 0.9) + rng.choice(["", "x", "é"])
+        pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.bit_count(lexicon.letter_set(F.col("a")).bitwiseXOR(lexicon.letter_set(F.col("b")))).alias("n"))
+    for r in df.collect():
+        assert r.n <= len(r.a) + len(r.b) - 2 * sum(m.size for m in SequenceMatcher(None, r.a, r.b).get_matching_blocks())
