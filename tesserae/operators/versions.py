@@ -17,7 +17,8 @@ def streamed(cells: DataFrame) -> DataFrame:
     said = F.coalesce("said", F.lit(""))
     words = F.filter(F.split(F.lower(said), "[^0-9a-z]+"), lambda w: w != "")
     row = Window.partitionBy("key", "tab", "line")
-    return cells.select(*CELL, said.alias("said"), content_stream(said).alias("s"), words.alias("words"), F.count("*").over(row).alias("width"), (F.row_number().over(row.orderBy("item")) - 1).alias("nth"))
+    placed = cells.select(*CELL, said.alias("said"), F.count("*").over(row).alias("width"), (F.row_number().over(row.orderBy("item")) - 1).alias("nth"))
+    return placed.select(*CELL, "said", content_stream(said).alias("s"), words.alias("words"), "width", "nth")
 
 
 def neighbours(cells: DataFrame, longest: int) -> DataFrame:
@@ -70,7 +71,8 @@ def moved_text(before: DataFrame, after: DataFrame) -> DataFrame:
     change is ``moved`` where the side of the table changed, ``reshaped`` where
     the row has another number of cells. The later cell is the first in order
     that has all of the earlier one's letters in a row; candidates meet by a
-    hash of the first words.
+    hash of the first words. The asked cells are the side that is held, so the
+    many runs of words of the later ones are looked up as they come.
     """
     early, late = streamed(before), streamed(after)
     early = early.withColumn("role", role(early)).where(F.length("s") >= LEAST_LETTERS).where(F.size("words") > 0)
@@ -79,8 +81,8 @@ def moved_text(before: DataFrame, after: DataFrame) -> DataFrame:
     asked = early.select(*CELL, "s", "role", "width", size.alias("size"), F.xxhash64(F.array_join(F.slice("words", 1, size), " ")).alias("h"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)))
     anchors = F.flatten(F.transform(starts, lambda k: F.transform(F.filter(F.sequence(F.lit(1), F.lit(ANCHOR)), lambda n: k + n - 1 <= F.size("words")), lambda n: F.struct(n.alias("size"), F.xxhash64(F.array_join(F.slice("words", k, n), " ")).alias("h")))))
-    held = late.where(F.size("words") > 0).select("key", F.struct("tab", "line", "item", "role", "width", F.col("s").alias("text")).alias("to"), F.explode(F.array_distinct(anchors)).alias("a")).select("key", "to", "a.size", "a.h")
-    met = asked.join(held, ["key", "size", "h"]).where(F.contains("to.text", F.col("s")))
+    held = late.where(F.size("words") > 0).select("key", F.struct("tab", "line", "item", "role", "width").alias("to"), F.col("s").alias("text"), F.explode(F.array_distinct(anchors)).alias("a")).select("key", "to", "text", "a.size", "a.h")
+    met = asked.hint("shuffle_hash").join(held, ["key", "size", "h"]).where(F.contains("text", F.col("s")))
     first = met.groupBy(*CELL, "s", "role", "width").agg(F.min("to").alias("to"))
     change = F.when(F.col("to.width") != F.col("width"), "reshaped").when(F.col("to.role") != F.col("role"), "moved")
     return first.select(*CELL, "role", F.col("to.tab").alias("to_tab"), F.col("to.line").alias("to_line"), F.col("to.item").alias("to_item"), F.col("to.role").alias("to_role"), change.alias("change"), "s").where("change is not null")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import grids
+from ..sources.shared import dealt
 from ..sources.tables import read
 from .catalog import query
 
@@ -27,7 +28,8 @@ UNION ALL SELECT doc_id, line, k AS col, 1, CASE WHEN k = len(parts) THEN least(
 
 def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, line, said, parts, nth, n_run, width)``: the lines of documents as rows of a table."""
-    lines = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "said"))
+    docs = dealt(read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"), "doc_id", "text")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "said"))
     lines = lines.withColumn("said", F.trim(F.regexp_replace("said", r"[\x09-\x0D\x20]+", " "))).where("said <> ''")
     doc = Window.partitionBy("doc_id").orderBy("ord")
     lines = lines.select("doc_id", "said", (F.row_number().over(doc) - 1).alias("line"), F.substring("said", 1, 1).alias("letter"), F.split("said", r"\. ").alias("parts"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import branches, versions
-from ..sources.tables import read
+from ..sources.shared import cut_together
 from .catalog import query
 from .grids import LINES, shaped
 from .markup import _HEADS, headings
@@ -64,7 +64,7 @@ _WORDS = "contains(' ' || array_to_string(list_filter(regexp_split_to_array(lowe
 @query("moved_text", _MOVED % _WORDS + "SELECT doc_id, line, item, role, to_line, to_item, to_role, change FROM v WHERE change IS NOT NULL")
 def moved_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences that the later stage holds on the other side of its table, or in a row of another shape."""
-    found = versions.moved_text(*stages(spark, sf_dir))
+    found = cut_together(versions.moved_text(*stages(spark, sf_dir)), "moved-text")
     long = lambda c: F.col(c).cast("bigint").alias(c)
     return found.select(F.col("key").alias("doc_id"), long("line"), long("item"), "role", long("to_line"), long("to_item"), "to_role", "change")
 
@@ -73,7 +73,7 @@ def moved_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM v LEFT JOIN late b ON b.doc_id = v.doc_id AND b.line = v.to_line + 1 AND b.item = 0 WHERE change = 'moved'""")
 def column_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of them can be put back, and why the others can't."""
-    found = versions.column_repairs(*stages(spark, sf_dir))
+    found = cut_together(versions.column_repairs(*stages(spark, sf_dir)), "column-repairs")
     long = lambda c: F.col(c).cast("bigint").alias(c)
     return found.select(F.col("key").alias("doc_id"), long("line"), long("item"), long("to_line"), long("to_item"), "why")
 
@@ -83,8 +83,8 @@ SELECT doc_id, count(*) AS n_repairs, 0::BIGINT AS n_left FROM good GROUP BY doc
 def repaired_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repairs of each document, and how many are left to make once they are made: none."""
     before, after = stages(spark, sf_dir)
-    repairs = versions.column_repairs(before, after).where("why is null")
-    again = versions.column_repairs(before, versions.repaired(after, repairs)).where("why is null").groupBy("key").agg(F.count("*").alias("n_left"))
+    repairs = cut_together(versions.column_repairs(before, after).where("why is null"), "repairs")
+    again = cut_together(versions.column_repairs(before, versions.repaired(after, repairs)).where("why is null"), "repairs-left").groupBy("key").agg(F.count("*").alias("n_left"))
     out = repairs.groupBy("key").agg(F.count("*").alias("n_repairs")).join(again, "key", "left")
     return out.select(F.col("key").alias("doc_id"), "n_repairs", F.coalesce("n_left", F.lit(0)).cast("bigint").alias("n_left"))
 

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of text that a task takes where it makes rows of every word.
+TASK_BYTES = 4 << 20
 
 _own_dir: dict[str, str] = {}
 
@@ -43,6 +47,28 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, text: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``df`` with the rows of a key in one partition, partitions of about ``task_bytes`` of the column ``text``.
+
+    Windows, groups and joins by the key and more need no further shuffle, and
+    what a task's texts explode into fits it, however large the table.
+    """
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, size // task_bytes + 1), key)
+
+
+def cut_together(df: DataFrame, tag: str) -> DataFrame:
+    """``cut``, where rows that lie together by some of a join's keys aren't shuffled anew by all of them."""
+    conf, name = df.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut(df, tag)
+    finally:
+        conf.set(name, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in whichever store it names."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,0 +1,38 @@
+"""What queries shuffle stays in proportion to the texts that they read."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__
+
+
+def shuffled(spark, run) -> int:
+    """Bytes that the stages of ``run`` wrote for shuffles."""
+    context = spark.sparkContext
+
+    def known() -> dict[int, int]:
+        context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)
+        return {stages.apply(k).stageId(): stages.apply(k).shuffleWriteBytes() for k in range(stages.size())}
+
+    before = known()
+    run()
+    return sum(n for stage, n in known().items() if stage not in before)
+
+
+@pytest.fixture(scope="module")
+def text_bytes(spark, sf_dir) -> int:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+
+
+@pytest.mark.parametrize(("name", "most"), [("moved_text", 2), ("column_repairs", 2), ("repaired_rest", 4)])
+def test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, name, most) -> None:
+    run = __spark_entry__.queries()[name]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with tables too large for it
+    try:
+        found = shuffled(spark, lambda: run(spark, sf_dir).write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found < most * text_bytes
