@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import like_contents
-from ..sources.shared import cut
+from ..sources.shared import cut, cut_together
 from .chains import longest_chain
 
 #: Words of a gap worth a row (twice as many where other words stand instead), of a window and its stride, of a run. Fixed values.
@@ -40,14 +40,18 @@ def matched_runs(rows: DataFrame) -> DataFrame:
     The k-th time a run occurs meets the k-th time it does on the other side,
     counted from either end; of those the longest rising chain stays.
     """
-    edge = rows.select("doc_id", "side", "section", "n").distinct().select("doc_id", "side", "section", F.lit(EDGE).alias("token"), F.explode(F.concat(F.sequence(F.lit(1 - RUN), F.lit(-1)).cast("array<bigint>"), F.transform(F.sequence(F.lit(0), F.lit(RUN - 2)), lambda k: F.col("n") + k))).alias("i"))
-    both = rows.select("doc_id", "side", "section", "token", F.col("i").cast("bigint").alias("i")).unionByName(edge)
+    at = lambda k: F.struct(F.lit(EDGE).alias("token"), k.cast("bigint").alias("i"))
+    own = F.array(F.struct("token", F.col("i").cast("bigint").alias("i")))
+    front = F.when(F.col("i") == 0, F.concat(F.transform(F.sequence(F.lit(1 - RUN), F.lit(-1)), at), own)).otherwise(own)
+    padded = F.when(F.col("i") == F.col("n") - 1, F.concat(front, F.transform(F.sequence(F.lit(0), F.lit(RUN - 2)), lambda k: at(F.col("n") + k)))).otherwise(front)
+    both = rows.select("doc_id", "side", "section", F.explode(padded).alias("x")).select("doc_id", "side", "section", "x.token", "x.i")
     order = Window.partitionBy("doc_id", "side", "section").orderBy("i")
     both = both.withColumn("h", run_at(F.col("token"), order, RUN)).withColumn("whole", F.lead("i", RUN - 1).over(order).isNotNull()).where("whole")
     same = Window.partitionBy("doc_id", "side", "section", "h")
     both = both.withColumn("up", F.row_number().over(same.orderBy("i"))).withColumn("down", -F.row_number().over(same.orderBy(F.desc("i")))).withColumn("nth", F.explode(F.array("up", "down")))
     left, right = (both.where(f"side = {s}").select("doc_id", "section", "h", "nth", F.col("i").alias(x)) for s, x in ((0, "a"), (1, "b")))
-    return longest_chain(left.join(right, ["doc_id", "section", "h", "nth"]).select("doc_id", "section", "a", "b").distinct(), AT)
+    met = left.join(right, ["doc_id", "section", "h", "nth"]).select("doc_id", "section", "a", "b").distinct()
+    return longest_chain(cut_together(met, "gap-pairs"), AT)
 
 
 def source_gaps(rows: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def windows_found(asked: DataFrame, runs: DataFrame) -> DataFrame:
     same = F.lit(False)
     for k in range(RUN, WINDOW + 1):
         same = same | ((F.col("size") == k) & (F.col(f"h{k}") == F.col("h")))
-    met = asked.join(runs, (asked["doc_id"] == runs["doc_id"]) & (asked["head"] == runs[f"h{RUN}"])).drop(runs["doc_id"]).where(same)
+    met = asked.hint("shuffle_hash").join(runs, (asked["doc_id"] == runs["doc_id"]) & (asked["head"] == runs[f"h{RUN}"])).drop(runs["doc_id"]).where(same)
     here = F.max(((F.col("of") == F.col("section")) & (F.col("i") + F.col("size") <= F.col("n"))).cast("int"))
     met = met.groupBy("doc_id", "section", "first", "k").agg(here.alias("here"), F.lit(1).alias("there"))
     out = asked.select("doc_id", "section", "first", "k").join(met, ["doc_id", "section", "first", "k"], "left")
@@ -128,7 +132,7 @@ def covered(words: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
 
 
 def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
-    """``tokens(doc_id, side, section, pos, token)`` and ``units(doc_id, words)`` to gaps by section.
+    """``tokens(doc_id, side, section, pos, token)`` and ``units(doc_id, words)`` to gaps by section; tokens are best dealt by document.
 
     ``(doc_id, section, start, n, bucket, ratio, retention)``; side 0 is the
     source, 1 the output. A gap is a row of source words in no run that the
@@ -141,14 +145,16 @@ def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
     ``changed``, from twice the size. retention is the share of its words that
     a section kept; one without a gap has one row of bucket ``none``.
     """
-    rows = cut(numbered(tokens), "gap-tokens")
-    source = cut(source_gaps(rows), "gap-source")
-    share = source.groupBy(*AT).agg(F.round(F.avg(F.col("kept").cast("double")), 4).alias("retention"))
+    rows = numbered(tokens)
+    lost = F.when(~F.col("kept") & (F.col("size") >= LEAST), F.struct("first", "i", "token", "replaced"))
+    # of kept words their share alone goes on
+    told = cut_together(source_gaps(rows).groupBy(*AT).agg(F.round(F.avg(F.col("kept").cast("double")), 4).alias("retention"), F.collect_list(lost).alias("lost")), "gap-sections")
+    share = told.select(*AT, "retention")
     words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"])
-    spans = source.where(~F.col("kept") & (F.col("size") >= LEAST)).groupBy(*AT, "first").agg(words.alias("words"), F.max("replaced").alias("replaced"))
+    spans = told.select(*AT, F.explode("lost").alias("x")).select(*AT, "x.*").groupBy(*AT, "first").agg(words.alias("words"), F.max("replaced").alias("replaced"))
     spans = cut(spans.where(~F.col("replaced") | (F.size("words") >= 2 * LEAST)), "gap-spans")
     gone = spans.where("not replaced")
-    runs = cut(output_runs(rows, range(RUN, WINDOW + 1)), "gap-runs")
+    runs = output_runs(rows, range(RUN, WINDOW + 1))
     seen = windows_found(windows(gone), runs)
     runs_out = runs.where(f"h{RUN} is not null").select("doc_id", F.col(f"h{RUN}").alias("h"))
     out_words = rows.where("side = 1").select("doc_id", "token").distinct().withColumn("met", F.lit(1))
@@ -166,7 +172,8 @@ def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
         bucket = F.when(test, F.struct(F.lit(name).alias("bucket"), ratio.alias("ratio"))).otherwise(bucket)
     told = told.select(*AT, F.col("first").cast("int").alias("start"), F.size("words").alias("n"), bucket.alias("b"))
     out = share.join(told, AT, "left")
-    return out.select("doc_id", "section", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b.bucket", F.lit("none")).alias("bucket"), F.round(F.coalesce("b.ratio", F.lit(0.0)), 4).alias("ratio"), "retention")
+    out = out.select("doc_id", "section", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b.bucket", F.lit("none")).alias("bucket"), F.round(F.coalesce("b.ratio", F.lit(0.0)), 4).alias("ratio"), "retention")
+    return cut_together(out, "gaps")
 
 
 def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -179,16 +186,16 @@ def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
     rows = numbered(tokens)
     sizes = rows.where("side = 0").groupBy(*AT).agg(F.count("*").alias("n_tokens"))
     share = gaps.groupBy(*AT).agg(F.min("retention").alias("retention")).join(sizes, AT)
-    thin = cut(share.where((F.col("retention") <= HOLLOW_KEPT) & (F.col("n_tokens") >= HOLLOW_BODY)), "hollow-thin")
+    thin = cut_together(share.where((F.col("retention") <= HOLLOW_KEPT) & (F.col("n_tokens") >= HOLLOW_BODY)), "hollow-thin")
     words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"]).alias("words")
-    texts = rows.join(F.broadcast(thin.select(*AT)) if thin.count() < 100_000 else thin.select(*AT), AT, "left_semi").groupBy(*AT, "side").agg(words)
+    texts = cut_together(rows.join(F.broadcast(thin.select(*AT)) if thin.count() < 100_000 else thin.select(*AT), AT, "left_semi").groupBy(*AT, "side").agg(words), "hollow-texts")
     asked = windows(texts.where("side = 0").select(*AT, F.lit(0).alias("first"), "words"))
     n_asked = asked.groupBy(*AT).agg(F.count("*").alias("n_asked"))
     held = output_runs(rows, range(WINDOW, WINDOW + 1)).where(f"h{WINDOW} is not null and i + {WINDOW} <= n").select("doc_id", F.col("of").alias("holder"), F.col(f"h{WINDOW}").alias("h")).distinct()
-    held = asked.join(held, ["doc_id", "h"]).where("holder <> section").groupBy(*AT, "holder").agg(F.count("*").alias("n_held")).join(n_asked, AT)
+    held = asked.hint("shuffle_hash").join(held, ["doc_id", "h"]).where("holder <> section").groupBy(*AT, "holder").agg(F.count("*").alias("n_held")).join(n_asked, AT)
     best = held.select(*AT, F.struct((F.col("n_held") / F.col("n_asked")).alias("ratio"), (-F.col("holder")).alias("back")).alias("x")).groupBy(*AT).agg(F.max("x").alias("x"))
     order = Window.partitionBy("doc_id").orderBy("section", "i")
     known = rows.where("side = 0").select("doc_id", run_at(F.col("token"), order, RUN).alias("h"), F.lead("i", RUN - 1).over(order).isNotNull().alias("whole")).where("whole").select("doc_id", "h").distinct()
     own = covered(texts.where("side = 1").select(*AT, "words"), AT, known)
     out = thin.join(best, AT).join(own, AT, "left").where((F.col("x.ratio") >= HOLLOW_HELD) & (F.coalesce("covered", F.lit(0.0)) < HOLLOW_OWN))
-    return out.select(*AT, "n_tokens", "retention", (-F.col("x.back")).alias("absorbed_by"), F.round("x.ratio", 4).alias("absorbed_ratio"))
+    return cut_together(out.select(*AT, "n_tokens", "retention", (-F.col("x.back")).alias("absorbed_by"), F.round("x.ratio", 4).alias("absorbed_ratio")), "hollow")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import gaps, outline, tables
-from ..sources.shared import cut
+from ..sources.shared import cut, dealt
 from .catalog import query
 from .markup import MD, kind_of, markdown
 
@@ -63,27 +63,38 @@ def section_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.attach_ranges(notes, pages, ["doc_id"], "page", "lo", "hi").select("doc_id", "section", "note")
 
 
+def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, ord, section, bar, words)`` of lines with text, words one string; read once, a document's lines in one partition."""
+    line = F.col("line")
+    rows = markdown(spark, sf_dir).where(line != "").select("doc_id", "ord", F.floor(F.col("ord") / 9).cast("int").alias("section"), line.startswith("|").alias("bar"), F.array_join(T.tokens(T.clean_markdown(line)), " ").alias("words"))
+    return dealt(cut(rows, "line-words"), "doc_id", "words")
+
+
+def tokens_of(rows: DataFrame, place: Column, output: Column) -> DataFrame:
+    """``(doc_id, side, section, pos, token)``: the words of lines in the source, and where ``output(side, section, o)`` isn't null there too.
+
+    A line's words stay together: places of a line, then of a word in it.
+    """
+    sides = F.filter(F.array(F.struct(F.lit(0).alias("side"), F.col("section"), place.alias("o")), output), lambda x: x.isNotNull())
+    rows = rows.where("words <> ''").select("doc_id", "words", F.explode(sides).alias("x"))
+    rows = rows.select("doc_id", "x.side", "x.section", "x.o", F.posexplode(F.split("words", " ")).alias("k", "token"))
+    return rows.select("doc_id", "side", "section", (F.col("o") * F.lit(1 << 32) + F.col("k")).alias("pos"), "token")
+
+
 def both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of documents and of a damaged output: lines gone, moved to the next section, or shuffled in place."""
-    md = markdown(spark, sf_dir).where(F.col("line") != "").withColumn("section", F.floor(F.col("ord") / 9).cast("int"))
-    words = F.posexplode(T.tokens(T.clean_markdown(F.col("line")))).alias("k", "token")
-    source = md.select("doc_id", F.lit(0).alias("side"), "section", F.col("ord").cast("bigint").alias("o"), words)
     moved = F.when(F.col("ord") % 13 == 5, F.col("section") + 1).otherwise(F.col("section"))
     place = F.when(F.col("ord") % 11 == 4, F.col("ord") - 3).otherwise(F.col("ord")).cast("bigint")
-    output = md.where("ord % 7 <> 3").select("doc_id", F.lit(1).alias("side"), moved.alias("section"), place.alias("o"), words)
-    # a line's words stay together: places of a line, then of a word in it
-    return source.unionByName(output).select("doc_id", "side", "section", F.struct("o", "k").alias("pos"), "token").withColumn("pos", F.col("pos.o") * F.lit(1 << 32) + F.col("pos.k"))
+    output = F.when(F.col("ord") % 7 != 3, F.struct(F.lit(1).alias("side"), moved.alias("section"), place.alias("o")))
+    return tokens_of(line_words(spark, sf_dir), F.col("ord").cast("bigint"), output)
 
 
 def emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides again, but where a section has no table all of its output stands at the end of the section before it."""
-    md = markdown(spark, sf_dir).where(F.col("line") != "").withColumn("section", F.floor(F.col("ord") / 9).cast("int"))
-    words = F.posexplode(T.tokens(T.clean_markdown(F.col("line")))).alias("k", "token")
-    place = (F.col("ord").cast("bigint") * F.lit(1 << 32) + F.col("k")).alias("pos")
-    tables_in = md.groupBy("doc_id", "section").agg(F.max(F.col("line").startswith("|")).alias("has_table"))
-    output = md.join(tables_in, ["doc_id", "section"]).withColumn("section", F.when(F.col("has_table") | (F.col("section") == 0), F.col("section")).otherwise(F.col("section") - 1))
-    out = md.select("doc_id", F.lit(0).alias("side"), "section", "ord", words).unionByName(output.select("doc_id", F.lit(1).alias("side"), "section", "ord", words))
-    return out.select("doc_id", "side", "section", place, "token")
+    rows = line_words(spark, sf_dir).withColumn("has_table", F.max("bar").over(Window.partitionBy("doc_id", "section")))
+    section = F.when(F.col("has_table") | (F.col("section") == 0), F.col("section")).otherwise(F.col("section") - 1)
+    place = F.col("ord").cast("bigint")
+    return tokens_of(rows, place, F.struct(F.lit(1).alias("side"), section.alias("section"), place.alias("o")))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +113,7 @@ def localized_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hollow_sections")
 def hollow_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections whose body went to another one, the heading left behind."""
-    rows = cut(emptied(spark, sf_dir), "hollow-sides")
+    rows = emptied(spark, sf_dir)
     return gaps.hollow(rows, gaps.localized_gaps(rows, cells(spark, sf_dir)))
 
 
