@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut_together
 from .chains import longest_chain
 
 #: Words of a probe, and where in a row probes begin, in thirds of its words.
@@ -34,20 +35,24 @@ def probes(rows: DataFrame) -> DataFrame:
 
 
 def located(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(key, ord, nth, page)``: the pages that hold a probe of ``rows(key, ord, said)``, met by hash."""
-    return probes(rows).join(probe_index(pages), ["key", "h"]).select("key", "ord", "nth", "page").distinct()
+    """``(key, ord, nth, page)``: the pages that hold a probe of ``rows(key, ord, said)``, met by hash and written down.
+
+    Where both are dealt by key the runs of a page meet their probes as they come, and aren't shuffled.
+    """
+    return cut_together(probes(rows).join(probe_index(pages), ["key", "h"]).select("key", "ord", "nth", "page").distinct(), "located")
 
 
-def attributed(rows: DataFrame, pages: DataFrame, in_order: bool = False) -> DataFrame:
+def attributed(rows: DataFrame, pages: DataFrame, in_order: bool = False, met: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``page``: the first page that holds the row's earliest known probe, else that of the row before, else the first page.
 
     With ``in_order`` pages never fall from one row to the next: of all pages
     that hold a probe of a row, those are taken that locate most rows that way.
+    ``met`` is what ``located`` finds, if that is known.
     """
-    met = located(rows, pages)
+    met = located(rows, pages) if met is None else met
     if in_order:
         # a page may hold many rows: places rise within it by the row
-        most = rows.agg(F.max("ord")).first()[0] or 0
+        most = met.agg(F.max("ord")).first()[0] or 0
         chain = longest_chain(met.select("key", F.col("ord").alias("a"), (F.col("page").cast("long") * (most + 1) + F.col("ord")).alias("b")).distinct(), ["key"])
         found = chain.select("key", F.col("a").alias("ord"), F.floor((F.col("b") - F.col("a")) / (most + 1)).cast("long").alias("found"))
     else:

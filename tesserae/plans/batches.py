@@ -41,8 +41,9 @@ def row_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_pages_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, pages never falling: as documents are printed in order, no row with a probe on a page is lost by that."""
     rows, pages = whole_rows(spark, sf_dir), printed_pages(spark, sf_dir)
-    met = batches.located(rows, pages).select("key", "ord").distinct()
-    out = batches.attributed(rows, pages, in_order=True)
+    found = batches.located(rows, pages)
+    met = found.select("key", "ord").distinct()
+    out = batches.attributed(rows, pages, in_order=True, met=found)
     rising = out.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "page"))), lambda x: x["page"]).alias("p")).select("key", (F.col("p") == F.array_sort("p")).alias("rising"))
     return met.groupBy("key").agg(F.count("*").alias("n_located")).join(rising, "key").select(F.col("key").alias("doc_id"), "n_located", "rising")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__
+from pyspark.sql import functions as F
+from tesserae.plans import stitch
 
 
 def shuffled(spark, run) -> int:
@@ -26,7 +28,7 @@ def text_bytes(spark, sf_dir) -> int:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
 
 
-@pytest.mark.parametrize(("name", "most"), [("moved_text", 2), ("column_repairs", 2), ("repaired_rest", 4), ("localized_gaps", 14), ("hollow_sections", 14), ("fault_matrix", 8), ("faults_caught", 8)])
+@pytest.mark.parametrize(("name", "most"), [("moved_text", 2), ("column_repairs", 2), ("repaired_rest", 4), ("localized_gaps", 14), ("hollow_sections", 14), ("fault_matrix", 8), ("faults_caught", 8), ("row_pages_in_order", 3), ("row_pages", 3), ("continuation_scores", 1)])
 def test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, name, most) -> None:
     run = __spark_entry__.queries()[name]
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -36,3 +38,9 @@ def test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, name, most)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert found < most * text_bytes
+
+
+def test_printed_rows_stay_dealt_by_document(spark, sf_dir) -> None:
+    at = stitch.pieces(spark, sf_dir).select("doc_id", F.spark_partition_id().alias("at")).distinct()
+    found = at.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0], at.select("at").distinct().count()
+    assert found == (1, int(spark.conf.get("spark.sql.shuffle.partitions")))
