@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse, content_stream, unescape
+from ..sources.shared import cut, dealt
 
 #: A comment, a tag (quoted values may hold ``>``), text, or a stray ``<``.
 PIECE = r"""((?s)<!--.*?-->|</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<)"""
@@ -207,7 +208,8 @@ def verify_split(rows: DataFrame, key: str, html: str, split: DataFrame) -> Data
     labels = F.transform(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("line", content_stream(F.col("raw")).alias("s"))))), lambda x: x["s"])
     want = before.groupBy("key", "tab").agg(kept.alias("rows"), labels.alias("labels"))
     whole = split.groupBy("key", "tab").agg(F.array_sort(F.collect_list(F.struct("part", "said"))).alias("parts"))
-    whole = whole.withColumn("said", F.array_join(F.transform("parts", lambda x: x["said"]), "\n\n")).withColumn("id", F.struct("key", "tab"))
+    whole = whole.withColumn("said", F.array_join(F.transform("parts", lambda x: x["said"]), "\n\n")).select("key", "tab", "said", F.struct("key", "tab").alias("id"))
+    whole = dealt(cut(whole, "split-tables"), "id", "said")
     after = raw_rows(whole, "id", "said").groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("tab", "line", "raw"))), lambda x: x["raw"]).alias("rows"))
     heads = F.transform(F.regexp_extract_all("said", F.lit(r"(?m)^#{2,4}\s+(.*)$"), 1), content_stream)
     got = whole.select("key", "tab", "id", heads.alias("heads")).join(after.withColumnRenamed("key", "id").withColumnRenamed("rows", "rows_after"), "id", "left")
