@@ -48,6 +48,23 @@ def test_as_of_takes_the_last_at_or_before(spark):
     assert sorted((r.name, r.v) for r in tables.as_of(left, right, ["k"], "at", "v").collect()) == [("x", None), ("y", 50), ("z", None)]
 
 
+def test_sliced_join_is_the_join(spark, monkeypatch):
+    a = spark.createDataFrame([(k, k % 3 if k < 40 else 7) for k in range(50)] + [(99, None)], "note int, page int")
+    b = spark.createDataFrame([(k, k % 4, k % 4 + k % 2) for k in range(30)] + [(90, None, 3), (91, 8, 8)], "chunk int, lo int, hi int")
+    want = sorted((x.note, y.chunk, x.page) for x in a.collect() for y in b.collect() if None not in (x.page, y.lo) and y.lo <= x.page <= y.hi)
+    for name, n in (("SLICE", 3), ("TASK_PAIRS", 10)):
+        monkeypatch.setattr(tables, name, n)
+    assert rows(tables.attach_ranges(a, b, [], "page", "lo", "hi"), "note", "chunk", "page") == want
+    assert rows(tables.join_sliced(b.withColumnRenamed("lo", "page"), a, "page"), "note", "chunk") == sorted((x.note, y.chunk) for x in a.collect() for y in b.collect() if x.page is not None and x.page == y.lo)
+
+
+def test_a_page_that_all_share_is_dealt_to_tasks(spark):
+    points = spark.range(0, 3000, 1, 1).select(F.col("id").alias("note"), F.expr("id div 9000").alias("page"))
+    ranges = spark.range(0, 5000, 1, 1).select(F.col("id").alias("chunk"), F.expr("id div 9000").alias("lo"), F.expr("id div 9000").alias("hi"))
+    made = tables.attach_ranges(points, ranges, [], "page", "lo", "hi").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert made.sum() == 15_000_000 and made.max() <= 10_000_000
+
+
 def test_gate_rollup_counts_every_level(spark):
     docs = spark.createDataFrame([("p", "x", "pass", 95.0), ("p", "y", "fail", 10.0)], "product string, jur string, gate string, score double")
     out = {(r.product, r.jur): (r.n_docs, r.verdict) for r in tables.gate_rollup(docs, ["product", "jur"]).collect()}
