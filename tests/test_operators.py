@@ -1,6 +1,7 @@
 """Operators on small literal inputs, and checks that must react to damage."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,23 @@ def test_queries_beyond_the_broadcast_bound_go_in_slices(spark):
     assert len(whole) == 30
 
 
+def test_memory_of_scores_stays_as_queries_grow():
+    vectors = np.random.default_rng(5).random((12_000, 8))
+
+    def peak(n):
+        asked = pa.table({"q": pa.array(range(n)), "qvec": pa.array(list(vectors[:n]))})
+        batch = pa.RecordBatch.from_pydict({"id": pa.array(range(4000)), "embedding": pa.array(list(vectors[:4000]))})
+        run = topk._block_scores(asked, "id", 10, None, "label")
+        tracemalloc.start()
+        n_rows = sum(found.num_rows for found in run(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n_rows >= 10 * n
+        return most
+
+    assert peak(12_000) < 1.5 * peak(3_000)
+
+
 def test_clear_lead(spark):
     hits = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.7), (2, 1, 0.9), (2, 2, 0.85), (3, 9, 0.1)], "q int, id int, score double")
     assert rows(topk.clear_lead(hits, 0.1, "id"), "q", "id") == [(1, 1), (3, 9)]
