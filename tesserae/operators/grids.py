@@ -15,6 +15,8 @@ from ..sources.shared import cut, dealt
 PIECE = r"""((?s)<!--.*?-->|</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<)"""
 #: The most that a cell may span (HTML's own limits).
 MOST_COLUMNS, MOST_ROWS = 1_000, 65_534
+#: What a slot takes besides its text.
+SLOT_BYTES = 32
 
 
 def pieces(rows: DataFrame, key: str, html: str) -> DataFrame:
@@ -115,7 +117,14 @@ def placed(found: DataFrame) -> DataFrame:
 
 
 def slots(grid: DataFrame, repeat: bool = False) -> DataFrame:
-    """``(key, tab, line, col, said)``: each slot of the grid; a cell's text in its first one, or in all of them."""
+    """``(key, tab, line, col, said)``: each slot of the grid; a cell's text in its first one, or in all of them.
+
+    Cells are written once and dealt by the bytes of their slots: Spark doesn't
+    know how rows lie after Python laid them out, and would shuffle slots.
+    """
+    area = F.col("rowspan").cast("bigint") * F.col("colspan")
+    bytes_of = SLOT_BYTES * area + F.octet_length("said") * (area if repeat else F.lit(1))
+    grid = dealt(cut(grid.select("key", "tab", "line", "item", "col", "rowspan", "colspan", "said"), "cells"), "key", bytes_of)
     down, right = F.sequence(F.lit(0), F.col("rowspan") - 1), F.sequence(F.lit(0), F.col("colspan") - 1)
     out = grid.withColumn("dr", F.explode(down)).withColumn("dc", F.explode(right))
     said = F.col("said") if repeat else F.when((F.col("dr") == 0) & (F.col("dc") == 0), F.col("said")).otherwise("")

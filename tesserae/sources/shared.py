@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task takes where it makes rows of every word.
@@ -47,13 +47,14 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dealt(df: DataFrame, key: str, text: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+def dealt(df: DataFrame, key: str, text: str | Column, task_bytes: int = TASK_BYTES) -> DataFrame:
     """``df`` with the rows of a key in one partition, partitions of about ``task_bytes`` of the column ``text``.
 
     Windows, groups and joins by the key and more need no further shuffle, and
-    what a task's texts explode into fits it, however large the table.
+    what a task's texts explode into fits it, however large the table. In place
+    of a text's name, a column says how many bytes a row makes.
     """
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size = df.agg(F.sum(F.octet_length(text) if isinstance(text, str) else text)).first()[0] or 0
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(least, size // task_bytes + 1), key)
 

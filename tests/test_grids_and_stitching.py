@@ -71,6 +71,19 @@ def test_pipes_and_cleaning(spark):
 PARTED = "<table><tr><td>Ask</td><td>Say</td></tr><tr><td colspan=2>4.1 Ways in</td></tr><tr><td>q1</td><td>a <table><tr><td>4.9 inner</td></tr></table></td></tr><tr><td colspan=2>4.2 Ways out &amp; on</td></tr><tr><td>4.3 x</td><td>two cells</td></tr></table>"
 
 
+@pytest.mark.parametrize("shown", [lambda grid: grids.pipe_text(grids.slots(grid)), lambda grid: grids.cleaned(grids.slots(grid, repeat=True))])
+def test_slots_are_not_shuffled(spark, shown):
+    grid = grids.placed(grids.cells(tables_of(spark, "<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>"), "k", "h"))
+    assert "ENSURE_REQUIREMENTS" not in shown(grid)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slots_are_dealt_by_what_they_hold(spark):
+    wide = f'<table><tr><td colspan="1000">{"x" * 400}</td></tr></table>'
+    filled = grids.slots(grids.placed(grids.cells(tables_of(spark, *[wide] * 60), "k", "h")), repeat=True)
+    held = filled.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).toPandas()["n"]
+    assert held.sum() == 60_000 and held.max() < 30_000
+
+
 def test_split_at_rows_that_name_a_part(spark):
     rows = tables_of(spark, PARTED, "<table><tr><td>no part</td></tr></table>")
     for repeat, n in ((False, 1), (True, 2)):
