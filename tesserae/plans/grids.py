@@ -46,9 +46,11 @@ def escaped(text):
     return text
 
 
-def html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, html)``: documents as tables in markup."""
+def html(spark: SparkSession, sf_dir: str, below: int | None = None) -> DataFrame:
+    """``(doc_id, html)``: documents as tables in markup, all of them or those of less than ``below`` columns."""
     rows = shaped(spark, sf_dir)
+    if below is not None:
+        rows = rows.where(F.col("width") < below)
     shared = F.when(F.col("nth") == 1, F.concat(F.lit('<th rowspan="'), F.col("n_run").cast("string"), F.lit('">'), escaped(F.col("letter")), F.lit("</th>"))).otherwise("")
     cell = lambda x, k: F.concat(F.when(k == F.size("parts") - 1, F.concat(F.lit('<td colspan="'), (F.col("width") - k).cast("string"), F.lit('">'))).otherwise("<td>"), escaped(x), F.lit("</td>"))
     rows = rows.select("doc_id", "line", F.concat(F.lit("<tr>"), shared, F.array_join(F.transform("parts", cell), ""), F.lit("</tr>")).alias("tr"))
@@ -81,8 +83,7 @@ n AS (SELECT doc_id, dense_rank() OVER (PARTITION BY doc_id ORDER BY line) - 1 A
 SELECT doc_id, line::INTEGER AS line, col::INTEGER AS col, said FROM n WHERE said <> ''""")
 def table_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots with each span's text repeated, then cleaned of the repeats and of what is empty; tables below HTML's limit of columns."""
-    narrow = html(spark, sf_dir).join(shaped(spark, sf_dir).where("width < 1000").select("doc_id").distinct(), "doc_id", "left_semi")
-    grid = grids.placed(grids.cells(narrow, "doc_id", "html"))
+    grid = grids.placed(grids.cells(html(spark, sf_dir, 1000), "doc_id", "html"))
     return grids.cleaned(grids.slots(grid, repeat=True)).where("said <> ''").select(F.col("key").alias("doc_id"), "line", "col", "said")
 
 
