@@ -44,3 +44,9 @@ def test_printed_rows_stay_dealt_by_document(spark, sf_dir) -> None:
     at = stitch.pieces(spark, sf_dir).select("doc_id", F.spark_partition_id().alias("at")).distinct()
     found = at.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0], at.select("at").distinct().count()
     assert found == (1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@pytest.mark.parametrize("name", ["table_grid", "table_parts"])
+def test_tables_of_a_document_stay_where_its_text_was_dealt(spark, sf_dir, name) -> None:
+    plan = __spark_entry__.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
