@@ -1,13 +1,19 @@
-"""What a section lost against its source and where it went: runs of words meet by hash, one chain keeps them in order."""
+"""What a section lost against its source and where it went: runs of words that both have, one chain keeps them in order, document by document."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import like_contents
-from ..sources.shared import cut, cut_together
-from .chains import longest_chain
+from ..sources.shared import cut, dealt
+from .chains import best_chain
 
 #: Words of a gap worth a row (twice as many where other words stand instead), of a window and its stride, of a run. Fixed values.
 LEAST, WINDOW, STRIDE, RUN = 4, 8, 4, 4
@@ -21,118 +27,225 @@ HOLLOW_KEPT, HOLLOW_BODY, HOLLOW_HELD, HOLLOW_OWN = 0.15, 150, 0.6, 0.8
 #: Stands before and behind each section, so that its first and last words make whole runs.
 EDGE = "\0"
 AT = ["doc_id", "section"]
+#: What rows of a document are besides its source and output: units of words, what is known of its sections.
+SOURCE, OUTPUT, UNIT, KNOWN = range(4)
+#: Rows that a task hands on at once.
+BATCH = 4096
 
-
-def run_at(words: Column, order: Window, size: int) -> Column:
-    """Hash of the ``size`` words from a row on."""
-    return F.xxhash64(words, *[F.lead(words, k).over(order) for k in range(1, size)])
+Words = list[str]
 
 
-def numbered(tokens: DataFrame) -> DataFrame:
-    """Tokens with ``i``, their number in the section, and ``n``, how many it has."""
-    by = Window.partitionBy("doc_id", "side", "section")
-    return tokens.select("doc_id", "side", "section", "token", (F.row_number().over(by.orderBy("pos")) - 1).alias("i"), F.count("*").over(by).alias("n"))
+def grams(words: Words, size: int) -> Iterator[tuple[str, ...]]:
+    """The run of ``size`` words from each word on, as far as they are whole."""
+    return zip(*(words[k:] for k in range(size)), strict=False)
 
 
-def matched_runs(rows: DataFrame) -> DataFrame:
-    """``(doc_id, section, a, b)``: runs that a section's source and output have in the same order, edges included.
+def matched_runs(source: Words, output: Words) -> list[tuple[int, int]]:
+    """``(a, b)``: runs that both sides of a section have in the same order, edges included.
 
     The k-th time a run occurs meets the k-th time it does on the other side,
     counted from either end; of those the longest rising chain stays.
     """
-    at = lambda k: F.struct(F.lit(EDGE).alias("token"), k.cast("bigint").alias("i"))
-    own = F.array(F.struct("token", F.col("i").cast("bigint").alias("i")))
-    front = F.when(F.col("i") == 0, F.concat(F.transform(F.sequence(F.lit(1 - RUN), F.lit(-1)), at), own)).otherwise(own)
-    padded = F.when(F.col("i") == F.col("n") - 1, F.concat(front, F.transform(F.sequence(F.lit(0), F.lit(RUN - 2)), lambda k: at(F.col("n") + k)))).otherwise(front)
-    both = rows.select("doc_id", "side", "section", F.explode(padded).alias("x")).select("doc_id", "side", "section", "x.token", "x.i")
-    order = Window.partitionBy("doc_id", "side", "section").orderBy("i")
-    both = both.withColumn("h", run_at(F.col("token"), order, RUN)).withColumn("whole", F.lead("i", RUN - 1).over(order).isNotNull()).where("whole")
-    same = Window.partitionBy("doc_id", "side", "section", "h")
-    both = both.withColumn("up", F.row_number().over(same.orderBy("i"))).withColumn("down", -F.row_number().over(same.orderBy(F.desc("i")))).withColumn("nth", F.explode(F.array("up", "down")))
-    left, right = (both.where(f"side = {s}").select("doc_id", "section", "h", "nth", F.col("i").alias(x)) for s, x in ((0, "a"), (1, "b")))
-    met = left.join(right, ["doc_id", "section", "h", "nth"]).select("doc_id", "section", "a", "b").distinct()
-    return longest_chain(cut_together(met, "gap-pairs"), AT)
-
-
-def source_gaps(rows: DataFrame) -> DataFrame:
-    """Source tokens with ``kept`` and, where they aren't, their gap: ``(doc_id, section, i, n, token, kept, first, size, replaced)``."""
-    chain = cut(matched_runs(rows), "gap-chain")
-    source = rows.where("side = 0").join(chain.select("doc_id", "section", F.col("a").alias("i"), "b"), ["doc_id", "section", "i"], "left")
-    # runs that begin before the first word belong to the edge
-    early = chain.where("a < 0").groupBy("doc_id", "section").agg(F.max(F.struct("a", "b")).alias("early"))
-    sizes = rows.where("side = 1").groupBy("doc_id", "section").agg(F.count("*").alias("n_out"))
-    late = chain.groupBy("doc_id", "section").agg(F.max(F.struct("a", "b")).alias("late"))
-    source = source.join(early, AT, "left").join(late, AT, "left").join(sizes, AT, "left").na.fill({"n_out": 0})
-    order = Window.partitionBy(*AT).orderBy("i")
-    back, on = order.rowsBetween(1 - RUN, 0), order.rowsBetween(Window.unboundedPreceding, 0)
-    kept = F.coalesce(F.max("b").over(back).isNotNull(), F.lit(False)) | (F.col("i") < F.coalesce(F.col("early.a") + RUN, F.lit(0)))
-    source = source.withColumn("kept", kept).withColumn("new", F.when(F.col("kept") | F.coalesce(F.lag("kept").over(order), F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(on))
-    # output words between the matches on either side say that the gap was replaced
-    before = F.coalesce(F.last(F.col("b") + RUN, ignorenulls=True).over(on), F.greatest(F.col("early.b") + RUN, F.lit(0)), F.lit(0))
-    after = F.coalesce(F.first("b", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)), F.col("n_out"))
-    source = source.withColumn("replaced", F.least(after, F.col("n_out")) > before)
-    gap = Window.partitionBy(*AT, "run")
-    return source.select(*AT, "i", "n", "token", "kept", F.min("i").over(gap).alias("first"), F.count("*").over(gap).alias("size"), "replaced")
-
-
-def output_runs(rows: DataFrame, sizes: range) -> DataFrame:
-    """``(doc_id, of, i, n, h4, ...)``: the hashes of the output's runs of each of ``sizes`` from every word on, null beyond the text; ``of`` is the section."""
-    order = Window.partitionBy("doc_id").orderBy("section", "i")
-    found = [F.when(F.lead("i", k - 1).over(order).isNotNull(), run_at(F.col("token"), order, k)).alias(f"h{k}") for k in sizes]
-    return rows.where("side = 1").select("doc_id", F.col("section").alias("of"), "i", "n", *found)
-
-
-def windows(spans: DataFrame) -> DataFrame:
-    """Windows of ``spans(doc_id, section, first, words)``: ``(doc_id, section, first, k, size, head, h)``, head their first run; a short span is one window."""
-    size = F.least(F.size("words"), F.lit(WINDOW))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)), F.lit(STRIDE))
-    cuts = spans.select("doc_id", "section", "first", size.alias("size"), F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.slice("words", k, size).alias("words")))).alias("w"))
-    # the same hash as a run of so many columns has
-    whole = lambda k: F.xxhash64(*[F.get("w.words", j) for j in range(k)])
-    hashes = F.lit(None).cast("bigint")
-    for k in range(RUN, WINDOW + 1):
-        hashes = F.when(F.col("size") == k, whole(k)).otherwise(hashes)
-    return cuts.select("doc_id", "section", "first", F.col("w.k").alias("k"), "size", whole(RUN).alias("head"), hashes.alias("h"))
-
-
-def windows_found(asked: DataFrame, runs: DataFrame) -> DataFrame:
-    """``(doc_id, section, first, here, there)``: shares of a span's windows that stand in its own section's output, and anywhere in it.
-
-    Windows meet the output's runs by their first words, and count where the run of their size says the same.
+    edge = [EDGE] * (RUN - 1)
+    there: dict[tuple[str, ...], list[int]] = {}
+    for b, run in enumerate(grams([*edge, *output, *edge], RUN), 1 - RUN):
+        there.setdefault(run, []).append(b)
+    here: dict[tuple[str, ...], list[int]] = {}
+    for a, run in enumerate(grams([*edge, *source, *edge], RUN), 1 - RUN):
+        if run in there:
+            here.setdefault(run, []).append(a)
+    met: set[tuple[int, int]] = set()
+    for run, a in here.items():
+        b = there[run]
+        n = min(len(a), len(b))
+        met.update(zip(a[:n], b[:n], strict=True))
+        met.update(zip(a[-n:], b[-n:], strict=True))
+    pairs = sorted(met)
+    if all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False)):
+        return pairs
+    return [pairs[k] for k in best_chain([(a, b, 1) for a, b in pairs])]
+
+
+def section_gaps(source: Words, output: Words) -> tuple[float, list[tuple[int, int, bool]]]:
+    """The share of a section's words that it kept, and its gaps ``(first, last + 1, replaced)`` of some words."""
+    chain = matched_runs(source, output) if output else []
+    n, kept = len(source), bytearray(len(source))
+    for a, _ in chain:
+        for i in range(max(a, 0), min(a + RUN, n)):
+            kept[i] = 1
+    found, starts, i = [], [a for a, _ in chain], 0
+    while (first := kept.find(0, i)) >= 0:
+        i = kept.find(1, first)
+        i = n if i < 0 else i
+        if i - first >= LEAST:
+            # output words between the matches on either side say that the gap was replaced
+            at = bisect_left(starts, first)
+            before, after = chain[at - 1][1] + RUN if at else 0, chain[at][1] if at < len(chain) else len(output)
+            found.append((first, i, min(after, len(output)) > before))
+    return sum(kept) / n, found
+
+
+def windows(words: Words) -> list[tuple[str, ...]]:
+    """Windows of a span; a short span is one window."""
+    size = min(len(words), WINDOW)
+    return [tuple(words[k : k + size]) for k in range(0, max(len(words) - size + 1, 1), STRIDE)]
+
+
+def unit_share(words: Words, units: dict[tuple[str, ...], dict[int, set[tuple[str, ...]]]]) -> float:
+    """Words of a span in units that stand in it whole, each unit once."""
+    met = set()
+    for k in range(len(words) - SHORTEST_UNIT + 1):
+        for size, known in units.get(tuple(words[k : k + SHORTEST_UNIT]), {}).items():
+            unit = tuple(words[k : k + size])
+            if unit in known:
+                met.add(unit)
+    return min(1.0, sum(map(len, met)) / len(words))
+
+
+def covered(words: Words, known: set[tuple[str, ...]]) -> float:
+    """The share of a list's words in ``known`` runs; each run adds what the one before it doesn't cover."""
+    end = n = 0
+    for k, run in enumerate(grams(words, RUN)):
+        if run in known:
+            n += min(RUN, k + RUN - end)
+            end = k + RUN
+    return n / len(words) if words else 0.0
+
+
+class Runs:
+    """Runs of words of a document's sections and of all of it, made when they are asked for."""
+
+    def __init__(self, sections: dict[Any, Words]) -> None:
+        self.sections, self.made = sections, {}
+        self.words = [w for words in sections.values() for w in words]
+
+    def of(self, size: int, section: Any = None, whole: bool = True) -> set[tuple[str, ...]]:
+        at = (size, whole, section)
+        if at not in self.made:
+            self.made[at] = set(grams(self.words if whole else self.sections.get(section, []), size))
+        return self.made[at]
+
+
+def document_gaps(source: dict[Any, Words], output: dict[Any, Words], units: list[Words]) -> Iterator[tuple]:
+    """``(section, start, n, bucket, ratio, retention, words)``: gaps of each section; one that no rule here excuses has no bucket, its words and the share of them that runs cover."""
+    runs, heads = Runs(output), {}
+    for unit in units:
+        if len(unit) >= SHORTEST_UNIT:
+            heads.setdefault(tuple(unit[:SHORTEST_UNIT]), {}).setdefault(len(unit), set()).add(tuple(unit))
+    for section, words in source.items():
+        retention, found = section_gaps(words, output.get(section, []))
+        spans = [(first, words[first:stop], replaced) for first, stop, replaced in found if not replaced or stop - first >= 2 * LEAST]
+        if not spans:
+            yield section, 0, 0, "none", 0.0, retention, None
+        for first, span, replaced in spans:
+            bucket, ratio = excused(span, section, runs, heads) if not replaced else ("changed", 0.0)
+            yield section, first, len(span), bucket, ratio, retention, None if bucket else span
+
+
+def excused(span: Words, section: Any, runs: Runs, units: dict) -> tuple[str | None, float]:
+    """Bucket and ratio by the first rule that holds; no bucket and the share that runs cover if none does."""
+    asked = windows(span)
+    size = len(asked[0])
+    here = sum(w in runs.of(size, section, whole=False) for w in asked) / len(asked)
+    if here >= MOVED:
+        return "relocated", here
+    there = sum(w in runs.of(size) for w in asked) / len(asked)
+    if there >= ELSEWHERE:
+        return "elsewhere", there
+    share = unit_share(span, units)
+    if share >= UNITS:
+        return "restructured", share
+    share = covered(span, runs.of(RUN))
+    if share >= ELSEWHERE:
+        return "elsewhere", share
+    if len(span) <= REORDERED and all((w,) in runs.of(1) for w in span):
+        return "elsewhere", 1.0
+    return None, share
+
+
+def hollow_sections(source: dict[Any, Words], output: dict[Any, Words], kept: dict[Any, float]) -> Iterator[tuple]:
+    """``(section, n_tokens, retention, absorbed_by, absorbed_ratio)`` of the sections in ``kept``."""
+    asked = {s: windows(source[s]) for s in kept if len(source.get(s, [])) >= HOLLOW_BODY}
+    wanted = {w for found in asked.values() for w in found}
+    holders: dict[tuple[str, ...], set] = {}
+    for section, words in output.items() if wanted else ():
+        for w in grams(words, WINDOW):
+            if w in wanted:
+                holders.setdefault(w, set()).add(section)
+    known = Runs(source)
+    for section, found in asked.items():
+        held = Counter(s for w in found for s in holders.get(w, ()) if s != section)
+        if not held:
+            continue
+        ratio, back = max((n / len(found), -s) for s, n in held.items())
+        if ratio >= HOLLOW_HELD and covered(output.get(section, []), known.of(RUN)) < HOLLOW_OWN:
+            yield section, len(source[section]), kept[section], -back, ratio
+
+
+def laid(rows: list[tuple[int, int, Words]]) -> Words:
+    """The words of ``(pos, line, words)`` in order of their places; of words at one place the lower line's goes first."""
+    if all(a[0] + len(a[2]) <= b[0] for a, b in zip(rows, rows[1:], strict=False)):
+        return [w for _, _, words in rows for w in words]
+    return [w for _, _, w in sorted(((pos + k, line, w) for pos, line, words in rows for k, w in enumerate(words)), key=lambda x: x[:2])]
+
+
+def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Any, list[dict[Any, list[tuple[int, int, Words]]]]]]:
+    """Each document of sorted rows with ``{section: rows}`` of each side."""
+    now, sides = None, None
+    for batch in batches:
+        for doc, side, section, pos, line, token in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if sides is None or doc != now:
+                if sides is not None:
+                    yield now, sides
+                now, sides = doc, [{} for _ in range(KNOWN + 1)]
+            sides[side].setdefault(section, []).append((pos, line, token.split(" ")))
+    if sides is not None:
+        yield now, sides
+
+
+def by_document(rows: DataFrame, find: Callable[..., Iterator[tuple]], kinds: str) -> DataFrame:
+    """``(doc_id, section, *kinds)``: what ``find(source, output, sides)`` says of each document, whose rows lie in one task and come in order.
+
+    The text is shuffled once, in partitions of bounded size; a task holds one document at a time.
     """
-    same = F.lit(False)
-    for k in range(RUN, WINDOW + 1):
-        same = same | ((F.col("size") == k) & (F.col(f"h{k}") == F.col("h")))
-    met = asked.hint("shuffle_hash").join(runs, (asked["doc_id"] == runs["doc_id"]) & (asked["head"] == runs[f"h{RUN}"])).drop(runs["doc_id"]).where(same)
-    here = F.max(((F.col("of") == F.col("section")) & (F.col("i") + F.col("size") <= F.col("n"))).cast("int"))
-    met = met.groupBy("doc_id", "section", "first", "k").agg(here.alias("here"), F.lit(1).alias("there"))
-    out = asked.select("doc_id", "section", "first", "k").join(met, ["doc_id", "section", "first", "k"], "left")
-    return out.groupBy("doc_id", "section", "first").agg((F.sum(F.coalesce("here", F.lit(0))) / F.count("*")).alias("here"), (F.sum(F.coalesce("there", F.lit(0))) / F.count("*")).alias("there"))
-
-
-def unit_shares(spans: DataFrame, units: DataFrame) -> DataFrame:
-    """``(doc_id, section, first, units_share)``: words of a span in units that stand in it whole, each unit once."""
-    head = lambda at: F.xxhash64(*[F.get("words", at + j) for j in range(SHORTEST_UNIT)])
-    known = units.where(F.size("words") >= SHORTEST_UNIT).distinct().select("doc_id", F.col("words").alias("unit"), F.xxhash64(*[F.get("words", j) for j in range(SHORTEST_UNIT)]).alias("h"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - SHORTEST_UNIT, F.lit(0)))
-    asked = spans.select("doc_id", "section", "first", "words", F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), head(k).alias("h")))).alias("r"))
-    met = asked.select("doc_id", "section", "first", "words", "r.k", "r.h").join(known, ["doc_id", "h"]).where(F.slice("words", F.col("k") + 1, F.size("unit")) == F.col("unit"))
-    once = met.select("doc_id", "section", "first", F.size("words").alias("n"), "unit").distinct()
-    return once.groupBy("doc_id", "section", "first").agg(F.least(F.lit(1.0), F.sum(F.size("unit")) / F.first("n")).alias("units_share"))
-
-
-def covered(words: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
-    """``(*keys, covered)``: the share of each list's words in runs that ``known(doc_id, h)`` has."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - RUN, F.lit(0)))
-    runs = words.where(F.size("words") >= RUN).select(*keys, F.size("words").alias("n"), F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.xxhash64(*[F.get("words", k + j) for j in range(RUN)]).alias("h")))).alias("r"))
-    met = runs.select(*keys, "n", "r.k", "r.h").join(known, ["doc_id", "h"], "left_semi")
-    # each run adds what the one before it doesn't cover
-    step = F.least(F.lit(RUN), F.col("k") - F.coalesce(F.lag("k").over(Window.partitionBy(*keys).orderBy("k")), F.lit(-RUN)))
-    return met.withColumn("step", step).groupBy(*keys).agg((F.sum("step") / F.first("n")).alias("covered"))
+    doc, section = (rows.schema[c].dataType.simpleString() for c in AT)
+    schema = f"doc_id {doc}, section {section}, {kinds}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for key, sides in documents(batches):
+            source, output = ({s: laid(x) for s, x in sides[side].items()} for side in (SOURCE, OUTPUT))
+            found.extend((key, *row) for row in find(source, output, sides))
+            if len(found) >= BATCH:
+                yield batch_of(found)
+                found = []
+        if found:
+            yield batch_of(found)
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], names)
+
+    empty = rows.sparkSession.createDataFrame([], schema)
+    names, types = empty.columns, list(empty.toArrow().schema.types)
+    ordered = dealt(rows.select("doc_id", "side", "section", "pos", "line", "token"), "doc_id", "token").sortWithinPartitions("doc_id", "side", "section", "pos", "line")
+    return ordered.mapInArrow(run, schema)
+
+
+def joined(tokens: DataFrame, side: int, others: DataFrame, section: Column, token: Column) -> DataFrame:
+    """Rows of ``tokens`` and of what else belongs to their documents, as one table."""
+    kinds = {c: tokens.schema[c].dataType for c in AT}
+    line = F.col("line").cast("long") if "line" in tokens.columns else F.lit(0).cast("long")
+    rows = tokens.select("doc_id", "side", "section", F.col("pos").cast("long").alias("pos"), line.alias("line"), "token")
+    zero = F.lit(0).cast("long")
+    return rows.unionByName(others.select(F.col("doc_id").cast(kinds["doc_id"]).alias("doc_id"), F.lit(side).alias("side"), section.cast(kinds["section"]).alias("section"), zero.alias("pos"), zero.alias("line"), token.alias("token")))
 
 
 def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
-    """``tokens(doc_id, side, section, pos, token)`` and ``units(doc_id, words)`` to gaps by section; tokens are best dealt by document.
+    """``tokens(doc_id, side, section, pos, token)`` and ``units(doc_id, words)`` to gaps by section.
+
+    A row's ``token`` is one word or several with a space between, which stand
+    at ``pos`` and the places after it; where words of rows share a place, a
+    column ``line`` says which go first.
 
     ``(doc_id, section, start, n, bucket, ratio, retention)``; side 0 is the
     source, 1 the output. A gap is a row of source words in no run that the
@@ -145,35 +258,12 @@ def localized_gaps(tokens: DataFrame, units: DataFrame) -> DataFrame:
     ``changed``, from twice the size. retention is the share of its words that
     a section kept; one without a gap has one row of bucket ``none``.
     """
-    rows = numbered(tokens)
-    lost = F.when(~F.col("kept") & (F.col("size") >= LEAST), F.struct("first", "i", "token", "replaced"))
-    # of kept words their share alone goes on
-    told = cut_together(source_gaps(rows).groupBy(*AT).agg(F.round(F.avg(F.col("kept").cast("double")), 4).alias("retention"), F.collect_list(lost).alias("lost")), "gap-sections")
-    share = told.select(*AT, "retention")
-    words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"])
-    spans = told.select(*AT, F.explode("lost").alias("x")).select(*AT, "x.*").groupBy(*AT, "first").agg(words.alias("words"), F.max("replaced").alias("replaced"))
-    spans = cut(spans.where(~F.col("replaced") | (F.size("words") >= 2 * LEAST)), "gap-spans")
-    gone = spans.where("not replaced")
-    runs = output_runs(rows, range(RUN, WINDOW + 1))
-    seen = windows_found(windows(gone), runs)
-    runs_out = runs.where(f"h{RUN} is not null").select("doc_id", F.col(f"h{RUN}").alias("h"))
-    out_words = rows.where("side = 1").select("doc_id", "token").distinct().withColumn("met", F.lit(1))
-    short = gone.where(F.size("words") <= REORDERED).select(*AT, "first", F.explode("words").alias("token")).join(out_words, ["doc_id", "token"], "left")
-    short = short.groupBy(*AT, "first").agg((F.count("met") == F.count("*")).alias("reordered"))
-    keys = [*AT, "first"]
-    told = spans.join(seen, keys, "left").join(unit_shares(gone, units), keys, "left").join(covered(gone, keys, runs_out), keys, "left").join(short, keys, "left")
-    told = told.na.fill(0.0, ["here", "there", "units_share", "covered"])
-    rules = [
-        (F.col("replaced"), "changed", F.lit(0.0)), (F.col("here") >= MOVED, "relocated", F.col("here")), (F.col("there") >= ELSEWHERE, "elsewhere", F.col("there")), (F.col("units_share") >= UNITS, "restructured", F.col("units_share")),
-        (F.col("covered") >= ELSEWHERE, "elsewhere", F.col("covered")), (F.coalesce("reordered", F.lit(False)), "elsewhere", F.lit(1.0)), (like_contents(F.col("words")), "restructured", F.lit(1.0)),
-    ]
-    bucket = F.struct(F.lit("dropped").alias("bucket"), F.col("covered").alias("ratio"))
-    for test, name, ratio in reversed(rules):
-        bucket = F.when(test, F.struct(F.lit(name).alias("bucket"), ratio.alias("ratio"))).otherwise(bucket)
-    told = told.select(*AT, F.col("first").cast("int").alias("start"), F.size("words").alias("n"), bucket.alias("b"))
-    out = share.join(told, AT, "left")
-    out = out.select("doc_id", "section", F.coalesce("start", F.lit(0)).alias("start"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b.bucket", F.lit("none")).alias("bucket"), F.round(F.coalesce("b.ratio", F.lit(0.0)), 4).alias("ratio"), "retention")
-    return cut_together(out, "gaps")
+    rows = joined(tokens, UNIT, units.where(F.size("words") >= SHORTEST_UNIT), F.lit(0), F.array_join("words", " "))
+    find = lambda source, output, sides: document_gaps(source, output, [words for listed in sides[UNIT].values() for _, _, words in listed])
+    told = by_document(rows, find, "start int, n int, bucket string, ratio double, retention double, words array<string>")
+    contents = F.col("bucket").isNull() & like_contents(F.col("words"))
+    bucket = F.when(contents, "restructured").otherwise(F.coalesce("bucket", F.lit("dropped")))
+    return cut(told.select(*AT, "start", "n", bucket.alias("bucket"), F.round(F.when(contents, 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), F.round("retention", 4).alias("retention")), "gaps")
 
 
 def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -183,19 +273,9 @@ def hollow(tokens: DataFrame, gaps: DataFrame) -> DataFrame:
     output holds most of its windows, and the section's own output isn't text
     that the source has.
     """
-    rows = numbered(tokens)
-    sizes = rows.where("side = 0").groupBy(*AT).agg(F.count("*").alias("n_tokens"))
-    share = gaps.groupBy(*AT).agg(F.min("retention").alias("retention")).join(sizes, AT)
-    thin = cut_together(share.where((F.col("retention") <= HOLLOW_KEPT) & (F.col("n_tokens") >= HOLLOW_BODY)), "hollow-thin")
-    words = F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"]).alias("words")
-    texts = cut_together(rows.join(F.broadcast(thin.select(*AT)) if thin.count() < 100_000 else thin.select(*AT), AT, "left_semi").groupBy(*AT, "side").agg(words), "hollow-texts")
-    asked = windows(texts.where("side = 0").select(*AT, F.lit(0).alias("first"), "words"))
-    n_asked = asked.groupBy(*AT).agg(F.count("*").alias("n_asked"))
-    held = output_runs(rows, range(WINDOW, WINDOW + 1)).where(f"h{WINDOW} is not null and i + {WINDOW} <= n").select("doc_id", F.col("of").alias("holder"), F.col(f"h{WINDOW}").alias("h")).distinct()
-    held = asked.hint("shuffle_hash").join(held, ["doc_id", "h"]).where("holder <> section").groupBy(*AT, "holder").agg(F.count("*").alias("n_held")).join(n_asked, AT)
-    best = held.select(*AT, F.struct((F.col("n_held") / F.col("n_asked")).alias("ratio"), (-F.col("holder")).alias("back")).alias("x")).groupBy(*AT).agg(F.max("x").alias("x"))
-    order = Window.partitionBy("doc_id").orderBy("section", "i")
-    known = rows.where("side = 0").select("doc_id", run_at(F.col("token"), order, RUN).alias("h"), F.lead("i", RUN - 1).over(order).isNotNull().alias("whole")).where("whole").select("doc_id", "h").distinct()
-    own = covered(texts.where("side = 1").select(*AT, "words"), AT, known)
-    out = thin.join(best, AT).join(own, AT, "left").where((F.col("x.ratio") >= HOLLOW_HELD) & (F.coalesce("covered", F.lit(0.0)) < HOLLOW_OWN))
-    return cut_together(out.select(*AT, "n_tokens", "retention", (-F.col("x.back")).alias("absorbed_by"), F.round("x.ratio", 4).alias("absorbed_ratio")), "hollow")
+    thin = gaps.where(F.col("retention") <= HOLLOW_KEPT).select(*AT, "retention").distinct()
+    rows = joined(tokens, KNOWN, thin, F.col("section"), F.col("retention").cast("string"))
+    find = lambda source, output, sides: hollow_sections(source, output, {s: float(known[0][2][0]) for s, known in sides[KNOWN].items()})
+    section = tokens.schema["section"].dataType.simpleString()
+    found = by_document(rows, find, f"n_tokens bigint, retention double, absorbed_by {section}, absorbed_ratio double")
+    return cut(found.withColumn("absorbed_ratio", F.round("absorbed_ratio", 4)), "hollow")

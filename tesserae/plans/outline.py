@@ -64,21 +64,20 @@ def section_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, ord, section, bar, words)`` of lines with text, words one string; read once, a document's lines in one partition."""
+    """``(doc_id, ord, section, bar, words)`` of lines with text, words one string; read once."""
     line = F.col("line")
     rows = markdown(spark, sf_dir).where(line != "").select("doc_id", "ord", F.floor(F.col("ord") / 9).cast("int").alias("section"), line.startswith("|").alias("bar"), F.array_join(T.tokens(T.clean_markdown(line)), " ").alias("words"))
-    return dealt(cut(rows, "line-words"), "doc_id", "words")
+    return cut(rows, "line-words")
 
 
 def tokens_of(rows: DataFrame, place: Column, output: Column) -> DataFrame:
-    """``(doc_id, side, section, pos, token)``: the words of lines in the source, and where ``output(side, section, o)`` isn't null there too.
+    """``(doc_id, side, section, pos, line, token)``: the words of lines in the source, and where ``output(side, section, o)`` isn't null there too.
 
-    A line's words stay together: places of a line, then of a word in it.
+    A line's words are one row: places of a line, then of a word in it.
     """
     sides = F.filter(F.array(F.struct(F.lit(0).alias("side"), F.col("section"), place.alias("o")), output), lambda x: x.isNotNull())
-    rows = rows.where("words <> ''").select("doc_id", "words", F.explode(sides).alias("x"))
-    rows = rows.select("doc_id", "x.side", "x.section", "x.o", F.posexplode(F.split("words", " ")).alias("k", "token"))
-    return rows.select("doc_id", "side", "section", (F.col("o") * F.lit(1 << 32) + F.col("k")).alias("pos"), "token")
+    rows = rows.where("words <> ''").select("doc_id", "words", "ord", F.explode(sides).alias("x"))
+    return rows.select("doc_id", "x.side", "x.section", (F.col("x.o") * F.lit(1 << 32)).alias("pos"), F.col("ord").alias("line"), F.col("words").alias("token"))
 
 
 def both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +90,7 @@ def both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides again, but where a section has no table all of its output stands at the end of the section before it."""
-    rows = line_words(spark, sf_dir).withColumn("has_table", F.max("bar").over(Window.partitionBy("doc_id", "section")))
+    rows = dealt(line_words(spark, sf_dir), "doc_id", "words").withColumn("has_table", F.max("bar").over(Window.partitionBy("doc_id", "section")))
     section = F.when(F.col("has_table") | (F.col("section") == 0), F.col("section")).otherwise(F.col("section") - 1)
     place = F.col("ord").cast("bigint")
     return tokens_of(rows, place, F.struct(F.lit(1).alias("side"), section.alias("section"), place.alias("o")))
@@ -101,7 +100,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table cells and note bodies of three words or more, as token lists."""
     md = markdown(spark, sf_dir)
     parts = F.when(F.col("line").rlike(r"^\|.*\|$"), F.split("line", r"\|")).when(F.col("line").rlike(r"^\[\^[0-9]+\]:"), F.array(F.regexp_replace("line", r"^\[\^[0-9]+\]:", "")))
-    return md.select("doc_id", F.explode(parts).alias("c")).select("doc_id", T.tokens(F.col("c")).alias("words")).where(F.size("words") >= 3).distinct()
+    return md.select("doc_id", F.explode(parts).alias("c")).select("doc_id", T.tokens(F.col("c")).alias("words")).where(F.size("words") >= 3)
 
 
 @query("localized_gaps")
@@ -122,4 +121,4 @@ w AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(c), '[\\p{L}\\p{N}]+') AS
 """)
 def restructured_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells and notes as units of words."""
-    return cells(spark, sf_dir)
+    return cells(spark, sf_dir).distinct()

@@ -112,6 +112,16 @@ def test_gaps_say_where_a_span_went(spark, source, output, others, units, want):
     assert gap_rows(spark, source, output, others, units) == want
 
 
+def test_rows_of_several_words_say_the_same_as_words(spark):
+    kinds = "doc_id long, side int, section int, pos long, line int, token string"
+    sides = [(0, 0, 0, 1, NUMBERS), (0, 0, 100, 2, COLOURS), (1, 0, 0, 2, COLOURS[:4]), (1, 0, 0, 1, NUMBERS[:4]), (1, 0, 50, 3, NUMBERS[4:]), (1, 2, 0, 4, COLOURS[4:])]
+    single = [(1, side, section, 2 * (pos + k) + (line == 2), 0, w) for side, section, pos, line, said in sides for k, w in enumerate(said)]
+    whole = [(1, side, section, pos, line, " ".join(said)) for side, section, pos, line, said in sides]
+    none = spark.createDataFrame([], "doc_id long, words array<string>")
+    one, many = (sorted(map(tuple, gaps.localized_gaps(spark.createDataFrame(rows, kinds), none).collect())) for rows in (single, whole))
+    assert one == many and [r[2:5] for r in one] == [(12, 12, "dropped")]
+
+
 def test_coverage_joins_runs_over_a_seam(spark):
     seam = [*COLOURS[:5], *COLOURS[7:12]]
     assert gap_rows(spark, [*NUMBERS, *seam], NUMBERS, [*COLOURS[:5], "x", "x", *COLOURS[7:12]]) == [(12, 10, "elsewhere", 1.0, 0.5455)]

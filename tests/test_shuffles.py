@@ -50,3 +50,8 @@ def test_printed_rows_stay_dealt_by_document(spark, sf_dir) -> None:
 def test_tables_of_a_document_stay_where_its_text_was_dealt(spark, sf_dir, name) -> None:
     plan = __spark_entry__.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+@pytest.mark.parametrize(("name", "most"), [("localized_gaps", 4), ("hollow_sections", 8)])
+def test_gaps_move_lines_and_not_words(spark, sf_dir, text_bytes, name, most) -> None:
+    test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, name, most)
