@@ -9,6 +9,8 @@ from .text import let, unescape
 
 #: Layout (tags and white space), then one unit of content: an entity or a character.
 UNIT = r"(?s)((?:<[^>]+>|\s++)*+)(&[#0-9a-zA-Z]+;|.)"
+#: Words of a line that one pattern matches; longer ones go unit by unit.
+MATCHED = 300
 #: Layout at the end.
 TAIL = r"((?:<[^>]+>|\s)++)\z"
 
@@ -47,30 +49,54 @@ def reprojected(before: Column, after: Column) -> Column:
     return let(F.struct(units(before).alias("ub"), units(after).alias("ua")), build)
 
 
-def respaced(cell: Column, page: Column) -> Column:
+def escape(text: Column) -> Column:
+    for char, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot")):
+        text = F.replace(text, F.lit(char), F.lit(f"&{name};"))
+    return text
+
+
+def respaced(cell: Column, page: Column, place: Column | None = None) -> Column:
     """``cell`` with a space wherever it has none and the page has some between the same two characters.
 
     The cell's characters have to stand in the page one after the other, white
     space aside; else it stays as it is. Its own layout stays in any case.
-    Where the first such place lacks a space that the cell has, a line of the
-    page that has just these characters and all the cell's spaces goes before.
+    Where it is known at which ``place`` of the page the cell stands, and that
+    has just these characters, its spaces count and the page isn't searched.
+    Else the first such place does; where that lacks a space that the cell has,
+    a line of the page that has just these characters and all the cell's
+    spaces goes before.
     """
+    plain = r"(\s*+)(\S)"
+    white = " \t\n\x0b\f\r"
+    laid = lambda text: F.regexp_extract_all(text, F.lit(plain), 1)
+    more = lambda x: F.greatest(F.size(x["uc"]) - 1, F.lit(0))
+    rest = lambda x, g: F.slice(g, 2, more(x))
+
+    def spaced(x: Column, between: Column) -> Column:
+        gap = F.zip_with(x["gc"], F.concat(F.array(F.lit("")), between), lambda own, there: F.when(own.rlike(r"\s|<br") | (there == ""), own).when(own.rlike("^<[^/]"), F.concat(F.lit(" "), own)).otherwise(F.concat(own, F.lit(" "))))
+        return F.concat(F.array_join(F.zip_with(gap, x["uc"], lambda g, u: F.concat(g, u)), ""), tail(cell))
+
+    def search(x: Column, y: Column) -> Column:
+        at = F.instr(y["said"], x["want"])
+        agrees = lambda g: F.forall(F.zip_with(rest(x, x["gc"]), g, lambda own, there: ~own.rlike(r"\s|<br") | (there != "")), lambda ok: F.coalesce(ok, F.lit(False)))
+        # the page's gaps behind the first character, one before each of the others
+        first = F.slice(y["gp"], at + 1, more(x))
+        lines = F.filter(F.split(page, "\n"), lambda s: (F.length(s) >= F.length(x["want"])) & (F.translate(s, white, "") == x["want"]))
+        fits = F.filter(F.transform(lines, lambda s: rest(x, laid(s))), agrees)
+        between = let(first, lambda g: F.when(agrees(g), g).otherwise(F.coalesce(F.get(fits, 0), g)))
+        return F.when(at > 0, spaced(x, between)).otherwise(cell)
 
     def build(x: Column) -> Column:
-        uc = x["uc"]
-        at = F.instr(x["said"], x["want"])
-        more = F.greatest(F.size(uc) - 1, F.lit(0))
-        rest = lambda g: F.slice(g, 2, more)
-        agrees = lambda g: F.forall(F.zip_with(rest(x["gc"]), g, lambda own, there: ~own.rlike(r"\s|<br") | (there != "")), lambda ok: F.coalesce(ok, F.lit(False)))
-        # the page's gaps behind the first character, one before each of the others
-        first = F.slice(x["gp"], at + 1, more)
-        lines = F.filter(F.split(page, "\n"), lambda s: (F.length(s) >= F.length(x["want"])) & (F.translate(s, " \t\x0b\f\r", "") == x["want"]))
-        fits = F.filter(F.transform(lines, lambda s: rest(F.regexp_extract_all(s, F.lit(plain), 1))), agrees)
-        between = F.concat(F.array(F.lit("")), let(first, lambda g: F.when(agrees(g), g).otherwise(F.coalesce(F.get(fits, 0), g))))
-        spaced = F.zip_with(F.zip_with(x["gc"], between, lambda own, there: F.when(own.rlike(r"\s|<br") | (there == ""), own).when(own.rlike("^<[^/]"), F.concat(F.lit(" "), own)).otherwise(F.concat(own, F.lit(" ")))), uc, lambda g, u: F.concat(g, u))
-        return F.when((at > 0) & (F.size(uc) > 0), F.concat(F.array_join(spaced, ""), tail(cell))).otherwise(cell)
+        found = let(F.struct(F.regexp_replace(page, r"\s+", "").alias("said"), laid(page).alias("gp")), lambda y: search(x, y))
+        if place is not None:
+            found = F.when(F.translate(place, white, "") == x["want"], spaced(x, rest(x, laid(place)))).otherwise(found)
+        return F.when(F.size(x["uc"]) > 0, found).otherwise(cell)
+
+    def at_place(p: Column) -> Column:
+        # most cells are the place's words with some of its spaces: then the place says it all; a matcher goes one deeper with each word
+        words = F.concat(F.lit(r"^\Q"), F.replace(p, F.lit(" "), F.lit(r"\E ?\Q")), F.lit(r"\E\z"))
+        return F.when(~F.contains(p, F.lit(r"\E")) & (F.size(F.split(p, " ")) <= MATCHED) & F.call_function("rlike", cell, words), p).otherwise(by_units)
 
-    plain = r"(\s*+)(\S)"
     page = F.coalesce(page, F.lit(""))
-    want = F.array_join(F.transform(units(cell), shown), "")
-    return let(F.struct(units(cell).alias("uc"), gaps(cell).alias("gc"), want.alias("want"), F.regexp_replace(page, r"\s+", "").alias("said"), F.regexp_extract_all(page, F.lit(plain), 1).alias("gp")), build)
+    by_units = let(let(units(cell), lambda u: F.struct(u.alias("uc"), gaps(cell).alias("gc"), F.array_join(F.transform(u, shown), "").alias("want"))), build)
+    return by_units if place is None else let(escape(F.trim(F.regexp_replace(place, r"\s+", " "))), at_place)

@@ -61,3 +61,26 @@ def test_lines_that_differ_in_their_spaces_alone_come_back(spark, tmp_path):
 
     spark.createDataFrame([(1, "ab c. De\na bc. De")], "doc_id long, text string").unionByName(spark.createDataFrame([(2, "no tes of\nnot es of")], "doc_id long, text string")).write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(r.said for r in respaced_lines(spark, str(tmp_path)).collect()) == ["a bc. De", "ab c. De", "no tes of", "not es of"]
+
+
+@pytest.mark.parametrize(("cell", "page", "place", "want"), [
+    ("ab", "x a b\nab", "ab", "ab"), ("ab", "x ab\na  b ", "a  b ", "a b"), ("a &amp;b", "a& b\na & b", "a & b", "a &amp; b"), ("a<br>bc", "ab c\na b c", "a b c", "a<br>b c"), ("a b", "a b\nab", "ab", "a b"), ("abc", "a bc", "x", "a bc"),
+    (r"a\Eb", r"a\E b", r"a\E b", r"a\E b"), ("a.b", "a.  b\nacb", "a.  b", "a. b"),
+])
+def test_a_known_place_goes_first(spark, cell, page, place, want):
+    found = spark.createDataFrame([(cell, page, place)], "c string, p string, at string").select(layout.respaced(F.col("c"), F.col("p"), F.col("at")).alias("r"))
+    assert found.first().r == want
+
+
+def test_lines_keep_their_own_spaces_wherever_else_their_letters_stand(spark, tmp_path):
+    from tesserae.plans.layout import respaced_lines
+
+    text = "a taxi new here\nin\nit ends, b. Then\nit ends,b. Then\nit ends,b.Then\nq & <b> \"r\", S\nq & <b> \"r\",S"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.said for r in sorted(respaced_lines(spark, str(tmp_path)).collect(), key=lambda r: r.ord)] == text.split("\n")
+
+
+def test_a_line_may_have_any_number_of_words(spark):
+    place = "Word, " * 20_000
+    found = spark.createDataFrame([(place.strip().replace(" ", ""), place, place)], "c string, p string, at string").select(layout.respaced(F.col("c"), F.col("p"), F.col("at")).alias("r"))
+    assert found.first().r == place.strip()
