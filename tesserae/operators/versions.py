@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,28 +67,63 @@ def role(cells: DataFrame) -> Column:
     return F.when((cells["nth"] == cells["width"] - 1) & (cells["width"] > 1), "answer").otherwise("question")
 
 
+def first_holders(asked: list[dict], held: list[dict]) -> Iterator[tuple[dict, dict]]:
+    """Cells with the first cell in order of ``held`` that has their first words, and all of their letters, in a row."""
+    waiting: dict[tuple[str, ...], list[dict]] = {}
+    for cell in asked:
+        waiting.setdefault(tuple(cell["words"].split(" ")[:ANCHOR]), []).append(cell)
+    sizes = {len(head) for head in waiting}
+    for there in held:
+        words = there["words"].split(" ") if there["words"] else []
+        for head in {run for size in sizes for run in zip(*(words[k:] for k in range(size)), strict=False) if run in waiting}:
+            left = []
+            for cell in waiting[head]:
+                if cell["s"] in there["s"]:
+                    yield cell, there
+                else:
+                    left.append(cell)
+            waiting[head] = left
+
+
+def followed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``moved_text`` with ``at_end``, whether the later cell ends with the text, and ``receives``, what the first cell of the row below it says.
+
+    A document's cells are one row of each side; all that is asked of them is
+    answered in one pass over its words, and nothing is shuffled that lies together.
+    """
+    early, late = streamed(before), streamed(after)
+    part = lambda cells: F.struct("tab", "line", "item", role(cells).alias("role"), F.col("width").cast("int").alias("width"), F.col("nth").cast("int").alias("nth"), "s", F.array_join("words", " ").alias("words"))
+    asked = early.where(F.length("s") >= LEAST_LETTERS).where(F.size("words") > 0).groupBy("key").agg(F.collect_list(part(early)).alias("early"))
+    both = asked.join(late.groupBy("key").agg(F.array_sort(F.collect_list(part(late))).alias("late")), "key")
+    kind = {c: before.schema[c].dataType.simpleString() for c in CELL} | {f"to_{c}": after.schema[c].dataType.simpleString() for c in CELL[1:]}
+    schema = ", ".join([*(f"{c} {kind[c]}" for c in CELL), "role string", *(f"to_{c} {kind[f'to_{c}']}" for c in CELL[1:]), "to_role string, change string, s string, at_end boolean, receives string"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for key, early, late in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                firsts = {(x["tab"], x["line"]): x["s"] for x in late if x["nth"] == 0}
+                for x, to in first_holders(early, late):
+                    change = "reshaped" if to["width"] != x["width"] else "moved" if to["role"] != x["role"] else None
+                    if change:
+                        found.append((key, x["tab"], x["line"], x["item"], x["role"], to["tab"], to["line"], to["item"], to["role"], change, x["s"], to["s"].endswith(x["s"]), firsts.get((to["tab"], to["line"] + 1))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], names)
+
+    empty = before.sparkSession.createDataFrame([], schema)
+    names, types = empty.columns, list(empty.toArrow().schema.types)
+    return both.mapInArrow(find, schema)
+
+
 def moved_text(before: DataFrame, after: DataFrame) -> DataFrame:
     """Text of earlier cells that a later cell holds in another place.
 
     ``(key, tab, line, item, role, to_tab, to_line, to_item, to_role, change, s)``:
     change is ``moved`` where the side of the table changed, ``reshaped`` where
     the row has another number of cells. The later cell is the first in order
-    that has all of the earlier one's letters in a row; candidates meet by a
-    hash of the first words. The asked cells are the side that is held, so the
-    many runs of words of the later ones are looked up as they come.
+    that has all of the earlier one's letters in a row, and its first words.
     """
-    early, late = streamed(before), streamed(after)
-    early = early.withColumn("role", role(early)).where(F.length("s") >= LEAST_LETTERS).where(F.size("words") > 0)
-    late = late.withColumn("role", role(late))
-    size = F.least(F.size("words"), F.lit(ANCHOR))
-    asked = early.select(*CELL, "s", "role", "width", size.alias("size"), F.xxhash64(F.array_join(F.slice("words", 1, size), " ")).alias("h"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)))
-    anchors = F.flatten(F.transform(starts, lambda k: F.transform(F.filter(F.sequence(F.lit(1), F.lit(ANCHOR)), lambda n: k + n - 1 <= F.size("words")), lambda n: F.struct(n.alias("size"), F.xxhash64(F.array_join(F.slice("words", k, n), " ")).alias("h")))))
-    held = late.where(F.size("words") > 0).select("key", F.struct("tab", "line", "item", "role", "width").alias("to"), F.col("s").alias("text"), F.explode(F.array_distinct(anchors)).alias("a")).select("key", "to", "text", "a.size", "a.h")
-    met = asked.hint("shuffle_hash").join(held, ["key", "size", "h"]).where(F.contains("text", F.col("s")))
-    first = met.groupBy(*CELL, "s", "role", "width").agg(F.min("to").alias("to"))
-    change = F.when(F.col("to.width") != F.col("width"), "reshaped").when(F.col("to.role") != F.col("role"), "moved")
-    return first.select(*CELL, "role", F.col("to.tab").alias("to_tab"), F.col("to.line").alias("to_line"), F.col("to.item").alias("to_item"), F.col("to.role").alias("to_role"), change.alias("change"), "s").where("change is not null")
+    return followed(before, after).drop("at_end", "receives")
 
 
 def column_repairs(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -94,16 +132,11 @@ def column_repairs(before: DataFrame, after: DataFrame) -> DataFrame:
     It can where a question stands at the end of an answer and the row below
     has an empty first cell for it; anything else has no one place to go.
     """
-    moved = moved_text(before, after).where("change = 'moved'")
-    late = streamed(after)
-    cell = late.select("key", F.col("tab").alias("to_tab"), F.col("line").alias("to_line"), F.col("item").alias("to_item"), F.col("s").alias("whole"))
-    below = late.where("nth = 0").select("key", F.col("tab").alias("to_tab"), (F.col("line") - 1).alias("to_line"), F.col("s").alias("receives"))
-    rows = moved.join(cell, ["key", "to_tab", "to_line", "to_item"]).join(below, ["key", "to_tab", "to_line"], "left")
     why = (
-        F.when((F.col("role") != "question") | (F.col("to_role") != "answer"), "not a question in an answer").when(~F.endswith("whole", F.col("s")), "not at the answer's end")
+        F.when((F.col("role") != "question") | (F.col("to_role") != "answer"), "not a question in an answer").when(~F.col("at_end"), "not at the answer's end")
         .when(F.col("receives").isNull(), "no row below").when(F.col("receives") != "", "the row below has a first cell")
     )
-    return rows.select(*CELL, "to_tab", "to_line", "to_item", "s", why.alias("why"))
+    return followed(before, after).where("change = 'moved'").select(*CELL, "to_tab", "to_line", "to_item", "s", why.alias("why"))
 
 
 def repaired(after: DataFrame, repairs: DataFrame) -> DataFrame:

@@ -84,6 +84,8 @@ def repaired_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repairs of each document, and how many are left to make once they are made: none."""
     before, after = stages(spark, sf_dir)
     repairs = cut_together(versions.column_repairs(before, after).where("why is null"), "repairs")
+    mine = repairs.select("key").distinct()  # nothing is asked of other documents
+    before, after = (cells.join(mine, "key", "left_semi") for cells in (before, after))
     again = cut_together(versions.column_repairs(before, versions.repaired(after, repairs)).where("why is null"), "repairs-left").groupBy("key").agg(F.count("*").alias("n_left"))
     out = repairs.groupBy("key").agg(F.count("*").alias("n_repairs")).join(again, "key", "left")
     return out.select(F.col("key").alias("doc_id"), "n_repairs", F.coalesce("n_left", F.lit(0)).cast("bigint").alias("n_left"))

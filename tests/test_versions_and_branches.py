@@ -113,3 +113,11 @@ def test_ranges_and_owners_equal_a_walk(spark):
         for p in range(1, n_pages + 1):
             held = [(rows[o][2] if o >= 0 else 1, o) for o, (a, _, b) in got.items() if a <= p <= b]
             assert owners[p] == (max(held)[1] if held else max((-r[2], r[1]) for r in rows)[1])
+
+
+def test_words_of_a_cell_are_not_made_rows(spark):
+    many = " ".join(f"word{k}" for k in range(3000))
+    before, after = cells(spark, [many, ANS1]), cells(spark, [Q1, "x", f"{many} {ANS1}"])
+    found = versions.moved_text(before, after)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.item, r.to_item, r.change) for r in found.collect()} == {(0, 2, "reshaped"), (1, 2, "reshaped")}
