@@ -65,6 +65,29 @@ def rare_word_presence(source: DataFrame, output: DataFrame, page: str = "page",
     return found.withColumn("present", F.col("n_found") >= share * F.col("n_words"))
 
 
+#: Words whose counts every task holds.
+COMMON = 100_000
+
+
+def rare_words_kept(words: DataFrame, df: DataFrame, page: str = "page", keep: int = 8, share: float = 0.5, common: int = COMMON) -> DataFrame:
+    """``rare_word_presence`` of ``words(doc_id, page, token, there)``, each word of a page once, and ``df(token, df)``.
+
+    Every task holds the counts of the commonest words, so these stay where
+    they lie and only a page's rarest of them go on. Words beyond, of which
+    there are few, go to their counts.
+    """
+    order = Window.partitionBy("doc_id", page).orderBy(F.col("df"), F.length("token").desc(), F.col("token"))
+    rarest = lambda rows: rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= keep).drop("r")
+    columns = ["doc_id", page, "token", "there", "df"]
+    more = df.count() > common
+    rows = words.join(F.broadcast(df.orderBy(F.col("df").desc(), "token").limit(common) if more else df), "token", "left")
+    rare = rarest(rows.where("df is not null").select(*columns))
+    if more:
+        rare = rarest(rare.unionByName(rows.where("df is null").drop("df").join(df, "token").select(*columns)))
+    found = rare.groupBy("doc_id", page).agg(F.count("*").alias("n_words"), F.count_if("there").alias("n_found"))
+    return found.withColumn("present", F.col("n_found") >= share * F.col("n_words"))
+
+
 def window_containment(needles: DataFrame, hay: DataFrame, *keys: str) -> DataFrame:
     """Share of distinct windows ``(keys, w)`` that occur anywhere in ``hay(w)``.
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from tesserae.operators import quality as Q
 from tesserae.plans import stitch
 
 
@@ -55,3 +57,17 @@ def test_tables_of_a_document_stay_where_its_text_was_dealt(spark, sf_dir, name)
 @pytest.mark.parametrize(("name", "most"), [("localized_gaps", 4), ("hollow_sections", 8)])
 def test_gaps_move_lines_and_not_words(spark, sf_dir, text_bytes, name, most) -> None:
     test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, name, most)
+
+
+def test_pages_meet_the_counts_of_their_words_where_they_lie(spark, sf_dir, text_bytes) -> None:
+    test_shuffles_are_few_times_the_texts(spark, sf_dir, text_bytes, "page_fingerprint_coverage", 2)
+
+
+@pytest.mark.parametrize("common", [0, 3, 40, 100_000])
+def test_rare_words_are_the_same_however_few_counts_a_task_holds(spark, common) -> None:
+    rows = [(d, k, f"w{(d * k * j) % (17 + 3 * k)}") for d in range(6) for k in range(12) for j in range(10)]
+    a = spark.createDataFrame(rows, "doc_id long, ord long, token string").withColumn("page", F.floor(F.col("ord") / 4))
+    words = a.groupBy("doc_id", "page", "token").agg(F.max(F.col("ord") % 7 != 3).alias("there")).withColumn("there", F.max("there").over(Window.partitionBy("doc_id", "token")))
+    df = a.select("doc_id", "page", "token").distinct().groupBy("token").agg(F.count("*").alias("df"))
+    want, found = Q.rare_word_presence(a, a.where("ord % 7 <> 3")), Q.rare_words_kept(words, df, common=common)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
