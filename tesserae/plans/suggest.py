@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import lexicon
+from ..sources.shared import cut
 from ..sources.tables import read
 from .catalog import query
 
@@ -15,6 +16,7 @@ from .catalog import query
 def close_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words seen once, with the common word that they resemble most; the measure has no SQL twin."""
     words = read(spark, sf_dir, "documents").select(F.explode(T.tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    words = cut(words.where("freq = 1 and length(word) >= 6 or freq >= 20 and length(word) >= 4"), "word-counts")
     rare = words.where("freq = 1 and length(word) >= 6").select("word")
     return lexicon.close_matches(rare, words.where("freq >= 20 and length(word) >= 4").withColumnRenamed("word", "term"))
 

@@ -45,3 +45,25 @@ def test_letters_that_one_word_has_alone_leave_no_close_pair_out(spark):
     df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.bit_count(lexicon.letter_set(F.col("a")).bitwiseXOR(lexicon.letter_set(F.col("b")))).alias("n"))
     for r in df.collect():
         assert r.n <= len(r.a) + len(r.b) - 2 * sum(m.size for m in SequenceMatcher(None, r.a, r.b).get_matching_blocks())
+
+
+def test_common_letters_equal_the_table():
+    rng = random.Random(5)
+    for _ in range(300):
+        p, q = ("".join(rng.choice("abcé𝒳") for _ in range(rng.randint(0, 9))) for _ in range(2))
+        row = [0] * (len(q) + 1)
+        for c in p:
+            row = [0, *row]
+            last, now = row[1:], [0]
+            for j, d in enumerate(q):
+                now.append(last[j] + 1 if c == d else max(now[j], last[j + 1]))
+            row = now
+        assert lexicon.common_letters(p, q) == row[-1]
+
+
+def test_pairs_of_one_initial_and_length_are_shared_out(spark):
+    words = [f"a{k:07d}" for k in range(0, 4000, 2)]
+    rows = spark.createDataFrame([(w,) for w in words], "word string")
+    terms = spark.createDataFrame([(f"a{k:07d}", k) for k in range(1, 4000, 2)], "term string, freq int")
+    plan = lexicon.close_matches(rows, terms)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_i" in plan and "_j" in plan
